@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
+from . import decontaminate, quality
 from .textkit import read
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(docs, read(spark, sf_dir, "labels"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op10_decontaminate,)}
+QUERIES = {f.__name__: f for f in (op1_quality, op10_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}
