@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality
+from . import decontaminate, quality, substring_dedup
 from .textkit import read
 
 
@@ -14,11 +14,15 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, read(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op3_substring_dedup, op10_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}
