@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality, substring_dedup
+from . import decontaminate, pii, quality, substring_dedup
 from .textkit import read
 
 
@@ -14,6 +14,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, read(spark, sf_dir, "labels"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -23,6 +27,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op3_substring_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op10_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
 #: Bytes of text handled at once; keeps the numpy temporaries of a task small whatever the batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = U64(pow(int(_BASE), -1, 1 << 64))
