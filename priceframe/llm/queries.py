@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pii, quality, substring_dedup
-from .textkit import read
+from . import decontaminate, pii, quality, substring_dedup, warc
+from .textkit import read, shared_dir
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,11 +22,17 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    return warc.digest(warc.read(spark, path))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op6_warc, op10_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}
