@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash_dedup, pii, quality, substring_dedup, warc
+from . import decontaminate, embedding_dedup, minhash_dedup, pii, quality, substring_dedup, warc
 from .textkit import read, shared_dir
 
 
@@ -22,6 +22,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.cluster(read(spark, sf_dir, "embeddings"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), path)
@@ -37,6 +41,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op6_warc, op7_minhash_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op5_embedding_dedup, op6_warc, op7_minhash_dedup, op10_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}
