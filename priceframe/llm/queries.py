@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, minhash_dedup, pii, quality, substring_dedup, warc
+from . import decontaminate, embedding_dedup, minhash_dedup, pii, quality, substring_dedup, suffix_dedup, warc
 from .textkit import read, shared_dir
 
 
@@ -36,11 +36,15 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.cluster(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op5_embedding_dedup, op6_warc, op7_minhash_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op5_embedding_dedup, op6_warc, op7_minhash_dedup, op9_suffix_dedup, op10_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}
