@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, minhash_dedup, pii, quality, substring_dedup, suffix_dedup, warc
+from . import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, pii, quality, substring_dedup, suffix_dedup, warc
 from .textkit import read, shared_dir
 
 
@@ -22,6 +22,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.cluster(read(spark, sf_dir, "embeddings"))
 
@@ -36,6 +40,12 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.cluster(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix(docs, mixing.domain_of(F.col("source")), **mixing.PRODUCTION)
+    return mixed.select("row.doc_id", "domain", "row.lang", "row.source", "n_tokens", F.col("epoch").cast("int").alias("epoch"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -45,6 +55,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op5_embedding_dedup, op6_warc, op7_minhash_dedup, op9_suffix_dedup, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op4_line_dedup, op5_embedding_dedup, op6_warc, op7_minhash_dedup, op8_mixing, op9_suffix_dedup, op10_decontaminate)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL}
