@@ -31,7 +31,7 @@ from . import textkit as tk
 
 _PLACE_BITS = 30
 #: Bytes of segments in one index.
-_INDEX_BYTES = 2 << 20
+_INDEX_BYTES = 1 << 20
 
 
 class _Segments:
@@ -77,6 +77,24 @@ def _slices(texts: pa.ChunkedArray, window: int, gram: int):
         yield own, off[a : b + 1] - off[a], int(off[a]), _Segments(own, off[a : b + 1] - off[a], window, gram)
 
 
+_ITEM_BITS = 21
+
+
+def _sorted(first: np.ndarray, second: np.ndarray, items: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """items by first, then second, and where a new pair begins. Up to 2**21 items sort as single words with their keys."""
+    if n < 1 << _ITEM_BITS:
+        bits = tk.U64(_ITEM_BITS)
+        keys = (((first.astype(tk.U64) << bits) | second.astype(tk.U64)) << bits) | items.astype(tk.U64)
+        keys.sort()
+        items = (keys & tk.U64((1 << _ITEM_BITS) - 1)).astype(np.int64)
+        keys >>= bits
+    else:
+        keys = (first.astype(tk.U64) << tk.U64(32)) | second.astype(tk.U64)
+        by = np.argsort(keys)
+        items, keys = items[by], keys[by]
+    return items, np.concatenate(([True], keys[1:] != keys[:-1]))
+
+
 def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes sorted by their first depth symbols (of 9 bits) at least, by prefix doubling; and the packed first 7 symbols."""
     n = len(symbols)
@@ -84,12 +102,10 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     packed = np.zeros(n, tk.U64)
     for j in range(7):
         packed = (packed << tk.U64(9)) | wide[j : j + n]
-    order = np.argsort(packed)
-    ranked = packed[order]
-    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    order, new = _sorted(packed >> tk.U64(45), (packed >> tk.U64(27)) & tk.U64(0x3FFFF), np.arange(n), n)
     rank = np.zeros(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    done = 7
+    done = 4
     slots = np.arange(n)
     while done < depth:
         slots = slots[~(new[slots] & np.append(new, True)[slots + 1])]
@@ -98,11 +114,8 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
         own = order[slots]
         after = own + done
         second = np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
-        keys = (rank[own].astype(tk.U64) << tk.U64(32)) | second.astype(tk.U64)
-        by = np.argsort(keys)
-        order[slots] = own = own[by]
-        keys = keys[by]
-        changed = np.concatenate(([True], keys[1:] != keys[:-1]))
+        own, changed = _sorted(rank[own], second, own, n)
+        order[slots] = own
         new[slots] = changed
         rank[own] = slots[np.maximum.accumulate(np.where(changed, np.arange(len(slots)), 0))]
         done *= 2
@@ -212,7 +225,7 @@ def _index(table: pa.Table, window: int) -> pa.Table:
 
 def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram: int, finish, schema: str | StructType) -> DataFrame:
     """finish(table, bytes, bounds, flags of removed bytes) makes the rows of each chunk."""
-    dealt = anchors.deal(docs, id_cols, text_col, bucket_bytes=32 << 20)
+    dealt = anchors.deal(docs, id_cols, text_col, bucket_bytes=8 << 20)
     name, buckets = dealt.chunk, dealt.buckets
 
     def hashes_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
