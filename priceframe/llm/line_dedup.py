@@ -50,26 +50,26 @@ def _place(start: Column) -> Column:
     return F.struct(F.col("doc").isNull().alias("none"), "doc", "digest", start.alias("s"))
 
 
-def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int = CUT) -> DataFrame:
-    """docs packed in the struct ``row``, with its ``lines`` and the indexes of those to ``remove``."""
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    packed = packed.withColumn("digest", F.xxhash64("doc", "text"))
-    bare = packed.where(F.instr("text", "\n") > 0).select("doc", "digest", F.split("text", "\n").alias("lines"))
+def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int = CUT, into: str = "remove") -> DataFrame:
+    """docs with the indexes of the lines to remove in ``into``, null where there are none."""
+    own = tk.fresh("digest", [*docs.columns, into])
+    docs = docs.withColumn(own, F.xxhash64(id_col, text_col))
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(own).alias("digest"), F.col(text_col).alias("text"))
+    bare = texts.where(F.instr("text", "\n") > 0).select("doc", "digest", F.split("text", "\n").alias("lines"))
     chunks = bare.select("doc", "digest", "lines", F.filter(_chunks(_ends(F.col("lines"), cut)), lambda c: c["e"] > c["s"]).alias("chunks"))
     keyed = chunks.select("doc", "digest", F.explode(F.transform("chunks", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.xxhash64(_text(F.col("lines"), c)).alias("key"), F.length(_text(F.col("lines"), c)).alias("size")))).alias("c"))
     keyed = keyed.select("doc", "digest", "c.*")
     twice = keyed.groupBy("key", "size").agg(F.min(_place(F.col("s"))).alias("first"), F.max(_place(F.col("s"))).alias("last")).where("first != last").select("key", "size")
     candidates = keyed.join(twice, ["key", "size"]).groupBy("digest", "doc").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
-    same = lambda other: (F.col("t.digest") == F.col(f"{other}.digest")) & F.col("t.doc").eqNullSafe(F.col(f"{other}.doc"))
-    texts = packed.select("doc", "digest", "text")
-    spots = texts.alias("t").join(candidates.alias("c"), same("c")).select("t.doc", "t.digest", F.split("t.text", "\n").alias("lines"), "c.spans")
+    spots = texts.alias("t").join(candidates.alias("c"), (F.col("t.digest") == F.col("c.digest")) & F.col("t.doc").eqNullSafe(F.col("c.doc"))).select("t.doc", "t.digest", F.split("t.text", "\n").alias("lines"), "c.spans")
     spots = spots.select("doc", "digest", F.explode(F.transform("spans", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), _text(F.col("lines"), c).alias("chunk")))).alias("c")).select("doc", "digest", "c.*")
     firsts = spots.groupBy("chunk").agg(F.min(_place(F.col("s"))).alias("first"), F.max(_place(F.col("s"))).alias("last")).where("first != last")
     repeats = spots.join(firsts, "chunk").where(_place(F.col("s")) != F.col("first"))
-    removed = repeats.groupBy("digest", "doc").agg(F.flatten(F.collect_set(F.sequence("s", "e"))).alias("remove"))
-    out = packed.alias("t").join(removed.alias("r"), same("r"), "left")
-    return out.select("t.row", F.split("t.text", "\n").alias("lines"), F.coalesce("r.remove", F.array().cast("array<int>")).alias("remove"))
+    doc = tk.fresh("doc", [*docs.columns, into])
+    removed = repeats.groupBy(F.col("digest").alias(f"{own}_2"), F.col("doc").alias(doc)).agg(F.flatten(F.collect_set(F.sequence("s", "e"))).alias(into))
+    out = docs.join(removed, (docs[own] == removed[f"{own}_2"]) & docs[id_col].eqNullSafe(removed[doc]), "left")
+    return out.drop(own, f"{own}_2", doc)
 
 
 def _kept(lines: Column, remove: Column) -> Column:
@@ -79,20 +79,20 @@ def _kept(lines: Column, remove: Column) -> Column:
 
 def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int = CUT) -> DataFrame:
     """docs with the repeats' lines removed from the texts, same columns."""
-    marked = mark(docs, id_col=id_col, text_col=text_col, cut=cut)
-    text = F.when(F.size("remove") > 0, _kept(F.col("lines"), F.col("remove"))).otherwise(F.col("row")[text_col])
-    return marked.select(*[text.alias(c) if c.lower() == text_col.lower() else F.col("row")[c].alias(c) for c in docs.columns])
+    gone, lines = tk.fresh("gone", docs.columns), tk.fresh("lines", docs.columns)
+    marked = mark(docs, id_col=id_col, text_col=text_col, cut=cut, into=gone).withColumn(lines, F.when(F.col(gone).isNotNull(), F.split(F.col(text_col), "\n")))
+    text = F.when(F.col(gone).isNotNull(), _kept(F.col(lines), F.col(gone))).otherwise(F.col(text_col))
+    return marked.withColumn(text_col, text).select(*docs.columns)
 
 
 def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int = CUT) -> DataFrame:
     """One row per document: id, n_lines, n_removed (lines), kept_sha256 of the text that stays."""
-    docs = docs.select(id_col, text_col)
-    marked = mark(docs, id_col=id_col, text_col=text_col, cut=cut)
-    kept = F.when(F.size("remove") > 0, _kept(F.col("lines"), F.col("remove"))).otherwise(F.coalesce(F.col("row")[text_col], F.lit("")))
+    marked = mark(docs.select(id_col, text_col), id_col=id_col, text_col=text_col, cut=cut, into="gone").withColumn("lines", F.split(text_col, "\n"))
+    kept = F.when(F.col("gone").isNotNull(), _kept(F.col("lines"), F.col("gone"))).otherwise(F.coalesce(F.col(text_col), F.lit("")))
     return marked.select(
-        F.col("row")[id_col].alias(id_col),
+        id_col,
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.size("remove").cast("long").alias("n_removed"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
     )
 
