@@ -81,7 +81,7 @@ def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     count = int(min(max_pivots, max(4, -(-size["n"] // (max(1, size["labels"]) * cell_rows)))))
     chosen = points.orderBy("h1", "cid").limit(count).select("dim", "unit").collect()
     dim = chosen[0]["dim"] if chosen else 0
-    pivots = np.array([np.frombuffer(r["unit"], float) for r in chosen if r["dim"] == dim]).reshape(-1, dim)
+    pivots = np.array([np.frombuffer(r["unit"], float) for r in chosen if r["dim"] == dim]) if chosen else np.empty((0, 0))
     eps = float(np.sqrt(2 - 2 * cosine)) + 1e-9
 
     @F.arrow_udf(_CELLS)

@@ -149,12 +149,13 @@ def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
 
 def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
     """docs with repeats removed from the texts: the kept words joined by a space; untouched texts stay as they are."""
+    columns = docs.columns
 
     def finish(table: pa.Table, words: _Words, flags: np.ndarray) -> pa.Table:
         touched = np.diff(np.concatenate(([0], np.cumsum(flags)))[words.ptr]) > 0
         old = table.column(text_col).to_pylist()
         new = [_kept(words, flags, d).decode() if touched[d] else old[d] for d in range(table.num_rows)]
         at = table.schema.get_field_index(text_col)
-        return table.set_column(at, text_col, pa.array(new, pa.string())).select(docs.columns)
+        return table.set_column(at, text_col, pa.array(new, pa.string())).select(columns)
 
     return _mark(docs, [id_col], text_col, window, finish, docs.schema)

@@ -292,6 +292,7 @@ def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
 
 def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 400, gram: int = 64) -> DataFrame:
     """docs with the repeats' bytes removed from the texts, same columns. A cut within a character drops what is left of it."""
+    columns = docs.columns
 
     def finish(table: pa.Table, buf: np.ndarray, off: np.ndarray, flags: np.ndarray) -> pa.Table:
         old, new = table.column(text_col).to_pylist(), []
@@ -299,6 +300,6 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
             own = flags[off[d] : off[d + 1]]
             new.append(buf[off[d] : off[d + 1]][~own].tobytes().decode("utf-8", "ignore") if own.any() else old[d])
         at = table.schema.get_field_index(text_col)
-        return table.set_column(at, text_col, pa.array(new, pa.string())).select(docs.columns)
+        return table.set_column(at, text_col, pa.array(new, pa.string())).select(columns)
 
     return _mark(docs, [id_col], text_col, window, gram, finish, docs.schema)

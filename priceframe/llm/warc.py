@@ -142,7 +142,7 @@ class WarcReader(DataSourceReader):
                 out.append(_Files(names))
                 names, size = [], 0
             names, size = [*names, name], size + own
-        return [*out, _Files(names)] if names else out
+        return [*out, _Files(names)] if names or not out else out
 
     def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
         store, top = _open(self.path)

@@ -146,7 +146,7 @@ def vector_links(rows: list[tuple], least: float = 0.98) -> list[tuple]:
         v = np.array(values, float)
         if len(v) and np.isfinite(v).all() and np.linalg.norm(v) > 0:
             unit[vec] = v / np.linalg.norm(v)
-            by_label[label].append(vec)
+            by_label[label, len(v)].append(vec)
     edges = []
     for own in by_label.values():
         m = np.array([unit[i] for i in own])
