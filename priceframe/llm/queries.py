@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, pii, quality, substring_dedup, suffix_dedup, warc
+from . import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, oracles, pii, quality, substring_dedup, suffix_dedup, warc
 from .textkit import read, shared_dir
 
 
@@ -57,4 +57,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op4_line_dedup, op5_embedding_dedup, op6_warc, op7_minhash_dedup, op8_mixing, op9_suffix_dedup, op10_decontaminate)}
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL = oracles.ORACLE_SQL

@@ -18,7 +18,8 @@ def documents(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for t in ("documents", "benchmark", "embeddings"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     sql = con.execute(queries.ORACLE_SQL[name])
     order = [df.columns.index(d[0]) for d in sql.description]
