@@ -226,4 +226,12 @@ ORACLE_SQL: dict[str, str] = {
     "scan_dates_semi": f"WITH {STORED} SELECT row_seq FROM s WHERE snapshot_date IN (SELECT DISTINCT snapshot_date FROM s WHERE source = 'aws' AND gpu_name = 'H100')",
     "replace_dates": f"WITH {STORED}, d AS (SELECT DISTINCT snapshot_date FROM s WHERE snapshot_date LIKE '1996-0%') SELECT row_seq, 'old' AS mark FROM s WHERE snapshot_date >= '{CUTOFF}' AND snapshot_date NOT IN (SELECT * FROM d) UNION ALL SELECT row_seq, 'new' AS mark FROM s WHERE snapshot_date IN (SELECT * FROM d)",
     "affected_dates": f"WITH {STORED} SELECT DISTINCT snapshot_date FROM s WHERE snapshot_date >= '{CUTOFF}' AND (source = 'akash' OR (source <> 'akash' AND NOT {KEEP}))",
+    "repair_daily_hourly": f"WITH {OFFERS}, k AS (SELECT *, {_of('cloreai')} AND {pf('price_per_hour')} > 0 AS hit, {fmt(pf('price_per_hour') + ' / 24')} AS low, {fmt(pf('price_per_hour'))} AS high FROM o) SELECT row_seq, CASE WHEN hit THEN high ELSE low END AS price_per_hour, CASE WHEN hit THEN high ELSE low END AS price_per_gpu_hour, hit AS changed FROM k",
+    "master_sorted": f"WITH {STORED} SELECT {', '.join(COLUMNS)} FROM s WHERE lower(pricing_type) <> 'inference'",
+    "inference_sorted": f"WITH {STORED} SELECT {', '.join(COLUMNS)} FROM s WHERE lower(pricing_type) = 'inference'",
+    "schema_migrate": f"WITH {OFFERS} SELECT row_seq, source, CASE WHEN right(row_seq, 1) IN ('0', '2', '4', '6', '8') THEN '7' ELSE '' END AS upfront_price, raw_extra FROM o",
+    "incremental_finalize": f"""WITH {STORED}, fresh AS (SELECT * FROM s WHERE source = 'akash' AND snapshot_date LIKE '%-03-01'), kept_old AS (SELECT * FROM s WHERE source <> 'akash'),
+      d AS (SELECT snapshot_date FROM fresh WHERE snapshot_date >= '{CUTOFF}' UNION SELECT snapshot_date FROM kept_old WHERE snapshot_date >= '{CUTOFF}' AND NOT {KEEP})
+      SELECT DISTINCT {', '.join(COLUMNS)} FROM (SELECT * FROM fresh UNION ALL SELECT * FROM kept_old) WHERE snapshot_date IN (SELECT * FROM d) AND snapshot_date >= '{CUTOFF}' AND {KEEP}
+      UNION ALL SELECT DISTINCT {', '.join("'published' AS tenancy" if x == 'tenancy' else x for x in COLUMNS)} FROM kept_old WHERE snapshot_date >= '{CUTOFF}' AND snapshot_date NOT IN (SELECT * FROM d)""",
 }

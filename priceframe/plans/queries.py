@@ -11,6 +11,7 @@ from priceframe.functions import conform as c
 from priceframe.operators import conform, dedup, quality, repair, resolve, stats
 from priceframe.plans.bridge import offers
 from priceframe.plans.oracles import CUTOFF
+from priceframe.sources import offers as sinks
 from priceframe.schema import BACKFILL, COLUMNS
 
 col = F.col
@@ -297,3 +298,40 @@ def replace_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def affected_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(spark, sf_dir)
     return dedup.affected_dates(rows.where("source != 'akash'"), rows.where("source = 'akash'"), CUTOFF)
+
+
+@query
+def repair_daily_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one source whose price was divided by 24, with the true price in the JSON tail."""
+    own = offers(spark, sf_dir).select("row_seq", "source", "provider", F.lit("1").alias("gpu_count"), col("price_per_hour").alias("true"))
+    each = c.format_float(c.parse_float(col("true")) / 24)
+    tail = F.to_json(F.struct(col("true").alias("source_price_usd"), F.lit("hour").alias("source_price_unit")))
+    broken = own.withColumns({"price_per_hour": each, "price_per_gpu_hour": each, "raw_extra": tail})
+    return repair.daily_as_hourly(broken).select("row_seq", "price_per_hour", "price_per_gpu_hour", "changed")
+
+
+@query
+def master_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.sorted_table(hourly(spark, sf_dir), sinks.MASTER_ORDER)
+
+
+@query
+def inference_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.sorted_table(quality.split_kind(stored(spark, sf_dir))[1], sinks.INFERENCE_ORDER)
+
+
+@query
+def schema_migrate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as cells, every other one under a header that lacks the upfront prices."""
+    old = [x for x in COLUMNS if not x.startswith("upfront")]
+    full = F.array(*[F.lit("7") if x.startswith("upfront") else col(x) for x in COLUMNS])
+    cells = offers(spark, sf_dir).select("row_seq", F.when(F.substring("row_seq", -1, 1).isin("0", "2", "4", "6", "8"), full).otherwise(F.array(*[col(x) for x in old])).alias("cells"))
+    return dedup.migrate_header(cells, old).select("row_seq", "source", "upfront_price", "raw_extra")
+
+
+@query
+def incremental_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(spark, sf_dir).select(*COLUMNS)
+    old, new = rows.where("source != 'akash'"), rows.where("source = 'akash' and snapshot_date like '%-03-01'")
+    published = dedup.dedup_exact(old.withColumn("tenancy", F.lit("published")))
+    return dedup.incremental_finalize(published, old, new, CUTOFF, lambda x: x)
