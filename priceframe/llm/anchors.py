@@ -37,6 +37,7 @@ class Deal:
 
 def deal(docs: DataFrame, keys: list[str], text_col: str, chunk_bytes: int = 8 << 20, bucket_bytes: int = 256 << 20) -> Deal:
     spark = docs.sparkSession
+    tk.small_batches(spark)
     total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()[0]
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks, buckets = max(least, -(-total // chunk_bytes)), max(least, -(-total // bucket_bytes))

@@ -144,6 +144,7 @@ def _as_udf(fn, kind, first: bool):
 def find(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 13, slice_bytes: int = 32 << 20, into: str = "found") -> DataFrame:
     """docs with a struct column ``into``: n_words, n_hit, item_ids (sorted strings) and hit spans in code points."""
     spark = docs.sparkSession
+    tk.small_batches(spark)
     parts = list(_slices(benchmark, item_col, item_text_col, slice_bytes))
     state = tk.fresh("state", [*docs.columns, into])
     for k, items in enumerate(parts):

@@ -10,8 +10,8 @@ A document's set is its distinct shingles of ``words`` words, A-Z lower-cased. D
    far a member is from its leader.
 4. Buckets whose members are then in one component are done. In the others, similarity's triangle inequality leaves few pairs:
    members not linked to the leader, among each other; and, if some member is between half similar and linked, those against
-   the linked ones. Large buckets are cut into blocks, a group for each pair of blocks. Pairs that signatures do not rule
-   out by six standard deviations are confirmed on full sets and added.
+   the linked ones. Large buckets are cut into blocks, a group for each pair of blocks. Inside a group, pairs that signatures
+   do not rule out by six standard deviations are confirmed on full sets; only links that connect something leave.
 
 Defined cases: null texts and texts without words have the empty set and are linked with nothing; with fewer words than a
 shingle has, the whole sequence is the one shingle; a row with a null id is linked with nothing, has a null component and is
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +34,8 @@ BANDS, ROWS, WORDS, SHARE, SEED = 45, 5, 5, 75, 11
 _FACTS = T.StructType([T.StructField("n", T.LongType()), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 #: Six standard deviations of the estimate from all minima, below the threshold; and four below one half.
 _VIABLE, _HALF = 0.57, 0.37
-_BLOCK = 2000
+#: A block's rows and shingles at most, about.
+_BLOCK, _BLOCK_SHINGLES = 2000, 1_000_000
 
 
 def _hashers(count: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -97,51 +99,83 @@ def _facts(texts: pa.Array, bands: int, rows: int, words: int) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(join(ns, np.int64), pa.int64()), pa.array(join(h1, tk.U64).view(np.int64)), pa.array(join(h2, tk.U64).view(np.int64)), lists], ["n", "h1", "h2", "bands"])
 
 
-def _signatures(texts: pa.Array, count: int, words: int) -> pa.Array:
+def _pack(texts: pa.Array, count: int, words: int) -> pa.Array:
+    """Signatures, and the texts compressed; they travel to every bucket that has to look at them."""
     buf, off = tk.utf8(texts)
+    pack = zstandard.ZstdCompressor(level=3)
     out = []
     for a, b in tk.slices(off):
         out += [row.tobytes() for row in _minima(*shingles(buf[off[a] : off[b]], off[a : b + 1] - off[a], words), count)]
-    return pa.array(out, pa.binary())
+    packed = [pack.compress(buf[off[k] : off[k + 1]].tobytes()) for k in range(len(texts))]
+    return pa.StructArray.from_arrays([pa.array(out, pa.binary()), pa.array(packed, pa.binary())], ["sig", "packed"])
 
 
-def _confirm(sig_a: pa.Array, text_a: pa.Array, sig_b: pa.Array, text_b: pa.Array, share: int, words: int) -> pa.Array:
+def _unpack(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    unpack = zstandard.ZstdDecompressor()
+    raw = [unpack.decompress(x) for x in packed]
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
+
+
+def _confirm(sig_a: pa.Array, packed_a: pa.Array, sig_b: pa.Array, packed_b: pa.Array, share: int, words: int) -> pa.Array:
     """0: linked, 1: at least half similar, 2: less. Full sets are compared unless signatures rule out one half."""
     x, y = (np.frombuffer(b"".join(s.to_pylist()), np.uint16).reshape(len(s), -1) for s in (sig_a, sig_b))
     out = np.full(len(x), 2, np.int32)
     viable = np.flatnonzero((x == y).mean(axis=1) >= _HALF)
-    held: tuple[str | None, np.ndarray] = (None, np.empty(0, tk.U64))
-    for start in range(0, len(viable), 256):
-        own = viable[start : start + 256]
-        buf, off = tk.utf8(text_a.take(pa.array(own)))
+    held: tuple[bytes | None, np.ndarray] = (None, np.empty(0, tk.U64))
+    for start in range(0, len(viable), 64):
+        own = pa.array(viable[start : start + 64])
+        buf, off = _unpack(packed_a.take(own).to_pylist())
         hashes, ptr = shingles(buf, off, words)
-        for k, other in enumerate(text_b.take(pa.array(own)).to_pylist()):
+        for k, other in enumerate(packed_b.take(own).to_pylist()):
             if other != held[0]:
-                held = other, np.sort(shingles(*tk.utf8(pa.array([other], pa.string())), words)[0])
+                held = other, np.sort(shingles(*_unpack([other]), words)[0])
             mine = hashes[ptr[k] : ptr[k + 1]]
             common = int((held[1][np.minimum(np.searchsorted(held[1], mine), len(held[1]) - 1)] == mine).sum()) if len(held[1]) else 0
             union = len(mine) + len(held[1]) - common
-            out[own[k]] = 0 if union and 100 * common >= share * union else 1 if 2 * common >= union else 2
+            out[viable[start + k]] = 0 if union and 100 * common >= share * union else 1 if 2 * common >= union else 2
     return pa.array(out)
 
 
-def _residual(table: pa.Table) -> pa.Table:
-    """Pairs of one group's buckets that may be linked: different components, alike signatures, and left by the triangle rule."""
-    key, cid, comp, status = (table.column(c).to_numpy() for c in ("part", "cid", "comp", "status"))
-    side = table.column("side").to_numpy()
-    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(key), -1)
-    order = np.argsort(key, kind="stable")
-    bounds = np.flatnonzero(np.concatenate(([True], key[order][1:] != key[order][:-1], [True])))
-    a, b = [], []
+def _residual(table: pa.Table, bands: int, share: int, words: int) -> pa.Table:
+    """Links that one group's buckets still give. A pair is looked at in the first band that has it, if it lies in different
+    components, the triangle rule leaves it and signatures do not rule it out; then full sets are compared. Of the links
+    found, only those leave that connect what the group had not connected yet."""
+    part, band, cid, comp, status, side = (table.column(c).to_numpy() for c in ("part", "band", "cid", "comp", "status", "side"))
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(part), -1)
+    packed = table.column("packed")
+    sets: dict[int, np.ndarray] = {}
+
+    def set_of(row: int) -> np.ndarray:
+        if row not in sets:
+            sets[row] = np.sort(shingles(*_unpack([packed[row].as_py()]), words)[0])
+        return sets[row]
+
+    order = np.lexsort((cid, part))
+    bounds = np.flatnonzero(np.concatenate(([True], part[order][1:] != part[order][:-1], [True])))
+    _, label = np.unique(comp, return_inverse=True)
+    links: list[tuple[int, int]] = []
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         own = order[lo:hi]
         for i in own[status[own] > 0].tolist():
-            other = own[(comp[own] != comp[i]) & ((status[own] == 2) | (status[own] == 1) | (status[i] == 1)) & ((side[own] != side[i]) | (side[i] == 2))]
-            other = other[(sig[other] == sig[i]).mean(axis=1) >= _VIABLE] if len(other) else other
-            a += np.maximum(cid[other], cid[i]).tolist()
-            b += np.minimum(cid[other], cid[i]).tolist()
-    pairs = sorted(set(zip(a, b, strict=True)))
-    return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "r": pa.array([p[1] for p in pairs], pa.int64())})
+            other = own[(label[own] != label[i]) & ((status[own] > 0) | (status[i] == 1)) & ((side[own] != side[i]) | (side[i] == 2))]
+            other = other[(status[other] == 0) | (cid[other] < cid[i])]
+            if not len(other):
+                continue
+            same = sig[other] == sig[i]
+            shared = same.reshape(len(other), bands, -1).all(axis=2)
+            other = other[(same.mean(axis=1) >= _VIABLE) & (shared.argmax(axis=1) == band[i])]
+            mine = set_of(i) if len(other) else None
+            for j in other.tolist():
+                if label[j] == label[i]:
+                    continue
+                theirs = set_of(j)
+                if 100 * min(len(mine), len(theirs)) < share * max(len(mine), len(theirs)):
+                    continue
+                common = int((mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs).sum())
+                if 100 * common >= share * (len(mine) + len(theirs) - common):
+                    links.append((int(cid[i]), int(cid[j])))
+                    label[label == label[j]] = label[i]
+    return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "r": pa.array([x[1] for x in links], pa.int64())})
 
 
 def cluster(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, share: int = SHARE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -149,28 +183,28 @@ def cluster(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     tk.ensure_checkpoint_dir(spark)
     facts = F.arrow_udf(lambda t: _facts(t, bands, rows, words), _FACTS)
-    signature = F.arrow_udf(lambda t: _signatures(t, bands * rows, words), T.BinaryType())
+    pack = F.arrow_udf(lambda t: _pack(t, bands * rows, words), T.StructType([T.StructField("sig", T.BinaryType()), T.StructField("packed", T.BinaryType())]))
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     narrow = docs.select("id", facts("text").alias("f")).select("id", "f.*").checkpoint()
 
     usable = narrow.where("n > 0 and id is not null")
-    classes = usable.groupBy("n", "h1", "h2").agg(F.min("id").alias("cid"))
-    labelled = usable.join(classes, ["n", "h1", "h2"])
-    members = labelled.where("id = cid").select("cid", F.explode("bands").alias("key"))
+    same = ["n", "h1", "h2"]
+    classes = usable.groupBy(*same).agg(F.min("id").alias("cid")).checkpoint()
+    members = usable.join(classes.withColumn("id", F.col("cid")), ["id", *same]).select("cid", "n", F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("key").agg(F.min("cid").alias("leader"), F.max("cid").alias("last")).where("leader != last").select("key", "leader")
     placed = members.join(buckets, "key").distinct().checkpoint()
 
     needed = placed.select(F.col("cid").alias("id")).distinct()
     path = tk.shared_dir(spark, "minhash")
-    docs.join(needed, "id").withColumn("sig", signature("text")).write.option("compression", "zstd").parquet(path)
+    docs.join(needed, "id").select("id", pack("text").alias("p")).select("id", "p.*").write.option("compression", "zstd").parquet(path)
     texts = spark.read.parquet(path)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        left = texts.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("id").alias("r"), F.col("sig").alias("sig_r"), F.col("text").alias("text_r"))
+        left = texts.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.col("packed").alias("packed_a"))
+        right = texts.select(F.col("id").alias("r"), F.col("sig").alias("sig_r"), F.col("packed").alias("packed_r"))
         check = F.arrow_udf(lambda s, t, u, v: _confirm(s, t, u, v, share, words), T.IntegerType())
         both = pairs.join(left, "a").join(right, "r")
-        return both.select("a", "r", check("sig_a", "text_a", "sig_r", "text_r").alias("status")).groupBy("a", "r").agg(F.min("status").alias("status")).checkpoint()
+        return both.select("a", "r", check("sig_a", "packed_a", "sig_r", "packed_r").alias("status")).groupBy("a", "r").agg(F.min("status").alias("status")).checkpoint()
 
     stars = confirmed(placed.where("cid != leader").select(F.col("cid").alias("a"), F.col("leader").alias("r")).distinct())
     links = stars.where("status = 0").select("a", "r")
@@ -179,20 +213,27 @@ def cluster(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     state = placed.join(roots.select(F.col("node").alias("cid"), F.col("root").alias("comp")), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     state = state.join(stars.select(F.col("a").alias("cid"), F.col("r").alias("leader"), "status"), ["cid", "leader"], "left")
     state = state.withColumn("status", F.when(F.col("cid") == F.col("leader"), 0).otherwise(F.col("status")))
-    open_ = state.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.max((F.col("status") == 1).cast("int")).alias("between"), F.sum((F.col("status") > 0).cast("int")).alias("loose"), F.count(F.lit(1)).alias("size")).where("c1 != c2 and (between = 1 or loose > 1)")
+    between, loose = F.col("status") == 1, F.col("status") > 0
+    open_ = state.groupBy("key").agg(
+        F.min("band").alias("band"), F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.max(between.cast("int")).alias("between"),
+        F.sum(loose.cast("int")).alias("loose"), F.sum(F.when(loose, F.col("n")).otherwise(0)).alias("loose_n"),
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("size_n"), F.bit_xor(F.xxhash64("cid")).alias("who"), F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("who_2"),
+    ).where("c1 != c2 and (between = 1 or loose > 1)")
+    open_ = open_.groupBy("size", "who", "who_2", "between", "loose", "loose_n", "size_n").agg(F.min_by("key", "band").alias("key"))
     rest = state.join(open_, "key").where("status > 0 or between = 1")
-    rest = rest.withColumn("blocks", F.ceil(F.when(F.col("between") == 1, F.col("size")).otherwise(F.col("loose")) / F.lit(_BLOCK)).cast("int"))
+    held = lambda whole, part: F.when(F.col("between") == 1, F.col(whole)).otherwise(F.col(part))
+    rest = rest.withColumn("blocks", F.greatest(F.ceil(held("size", "loose") / F.lit(_BLOCK)), F.ceil(held("size_n", "loose_n") / F.lit(_BLOCK_SHINGLES))).cast("int"))
     rest = rest.withColumn("block", F.pmod(F.xxhash64("cid", "key"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rest = rest.select("key", "cid", "comp", "status", "block", other.alias("other"))
-    rest = rest.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("part"), "cid", "comp", "status", F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
-    rest = rest.join(texts.select(F.col("id").alias("cid"), "sig"), "cid")
+    rest = rest.select("key", "band", "cid", "comp", "status", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
+    rest = rest.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("part"), "band", "cid", "comp", "status", side.alias("side"))
+    rest = rest.join(texts.select(F.col("id").alias("cid"), "sig", "packed"), "cid")
     groups = int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
-    pairs = rest.withColumn("g", F.pmod(F.xxhash64("part"), F.lit(groups))).groupBy("g").applyInArrow(_residual, "a long, r long").distinct()
-    more = confirmed(pairs).where("status = 0").select("a", "r")
-    roots = components(links.union(more), "a", "r")
+    more = rest.withColumn("g", F.pmod(F.xxhash64("part"), F.lit(groups))).groupBy("g").applyInArrow(lambda t: _residual(t, bands, share, words), "a long, r long").checkpoint()
+    if not more.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("r")).union(more), "a", "r")
 
-    known = labelled.select("id", "n", "h1", "h2", "cid").distinct().join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("id", "n", "h1", "h2", F.coalesce("root", "cid").alias("component_id"))
+    known = usable.select("id", *same).join(classes, same).distinct().join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("id", "n", "h1", "h2", F.coalesce("root", "cid").alias("component_id"))
     out = narrow.select("id", "n", "h1", "h2").join(known, ["id", "n", "h1", "h2"], "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 U64 = np.uint64
 #: Bytes of text handled at once; keeps the numpy temporaries of a task small whatever the batch.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and a Python worker.
+BATCH_BYTES = 8 << 20
 
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = U64(pow(int(_BASE), -1, 1 << 64))
@@ -37,6 +39,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give DataFrame.checkpoint() a folder: the session's spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    small_batches(spark)
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
         import tempfile
@@ -47,6 +50,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(where)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of long texts small, so that workers of one executor fit beside each other."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def as_array(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     if isinstance(column, pa.ChunkedArray):
         return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
