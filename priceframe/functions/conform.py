@@ -30,8 +30,13 @@ def blank_to_null(c: Column) -> Column:
 
 
 def lookup(known: dict, key: Column) -> Column:
-    """The value of a small fixed table, null where it has no such key."""
-    return F.element_at(F.create_map(*[F.lit(x) for x in chain(*known.items())]), key)
+    """The value of a small fixed table, null where it has no such key. The table is one parsed literal, which the optimizer
+    folds, rather than a column object for each entry."""
+    return F.element_at(F.expr(f"map({', '.join(map(_literal, chain(*known.items())))})"), key)
+
+
+def _literal(x) -> str:
+    return f"{x!r}D" if isinstance(x, float) else str(x) if isinstance(x, int) else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def parse_float(c: Column) -> Column:
