@@ -233,9 +233,8 @@ def cluster(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("r")).union(more), "a", "r")
 
-    known = usable.select("id", *same).join(classes, same).distinct().join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("id", "n", "h1", "h2", F.coalesce("root", "cid").alias("component_id"))
-    out = narrow.select("id", "n", "h1", "h2").join(known, ["id", "n", "h1", "h2"], "left")
-    component = F.coalesce("component_id", "id")
+    out = narrow.select("id", *same).join(classes, same, "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("root", "cid", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
