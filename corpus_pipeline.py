@@ -19,8 +19,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without repeated multi-line chunks; n_chars counts the new text."""
-    out = line_dedup.remove(docs)
+    """Every document, without repeated passages of two or more lines; n_chars counts the new text."""
+    out = line_dedup.remove(docs, cut=None)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -11,6 +11,10 @@ the others lose their lines.
 3. Candidate chunks are grouped by their whole text, which compares them byte by byte; repeats other than the first of each
    text are taken out of their documents.
 
+Boundaries lie inside a repeated passage by chance only, so short passages are missed. With ``cut`` None every two neighbouring
+lines are a chunk instead. Each line of a repeated passage of two or more lines lies in such a pair, so none is missed, and
+the union of the repeated pairs is exactly the union of these passages; the first place of each line's text always stays.
+
 Defined cases: null texts have no lines and stay null; the empty text is one empty line; a document whose lines are all
 removed gets the empty text; single-line chunks always stay; rows equal in id and text are one document, whose chunks do not
 repeat each other; null ids are compared as such. Other columns pass through whatever their names.
@@ -42,6 +46,13 @@ def _chunks(ends: Column) -> Column:
     return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("s"), e.alias("e")))
 
 
+def _spans(lines: Column, cut: int | None) -> Column:
+    """First and last lines of the chunks of two or more lines; of all pairs of neighbours where cut is None."""
+    if cut is None:
+        return F.transform(F.sequence(F.lit(0), F.size(lines) - 2), lambda i: F.struct(i.alias("s"), (i + 1).alias("e")))
+    return F.filter(_chunks(_ends(lines, cut)), lambda c: c["e"] > c["s"])
+
+
 def _text(lines: Column, span: Column) -> Column:
     return F.array_join(F.slice(lines, span["s"] + 1, span["e"] - span["s"] + 1), "\n")
 
@@ -50,13 +61,13 @@ def _place(start: Column) -> Column:
     return F.struct(F.col("doc").isNull().alias("none"), "doc", "digest", start.alias("s"))
 
 
-def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int = CUT, into: str = "remove") -> DataFrame:
+def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int | None = CUT, into: str = "remove") -> DataFrame:
     """docs with the indexes of the lines to remove in ``into``, null where there are none."""
     own = tk.fresh("digest", [*docs.columns, into])
     docs = docs.withColumn(own, F.xxhash64(id_col, text_col))
     texts = docs.select(F.col(id_col).alias("doc"), F.col(own).alias("digest"), F.col(text_col).alias("text"))
     bare = texts.where(F.instr("text", "\n") > 0).select("doc", "digest", F.split("text", "\n").alias("lines"))
-    chunks = bare.select("doc", "digest", "lines", F.filter(_chunks(_ends(F.col("lines"), cut)), lambda c: c["e"] > c["s"]).alias("chunks"))
+    chunks = bare.select("doc", "digest", "lines", _spans(F.col("lines"), cut).alias("chunks"))
     keyed = chunks.select("doc", "digest", F.explode(F.transform("chunks", lambda c: F.struct(c["s"].alias("s"), c["e"].alias("e"), F.xxhash64(_text(F.col("lines"), c)).alias("key"), F.length(_text(F.col("lines"), c)).alias("size")))).alias("c"))
     keyed = keyed.select("doc", "digest", "c.*")
     twice = keyed.groupBy("key", "size").agg(F.min(_place(F.col("s"))).alias("first"), F.max(_place(F.col("s"))).alias("last")).where("first != last").select("key", "size")
@@ -67,7 +78,7 @@ def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut
     firsts = spots.groupBy("chunk").agg(F.min(_place(F.col("s"))).alias("first"), F.max(_place(F.col("s"))).alias("last")).where("first != last")
     repeats = spots.join(firsts, "chunk").where(_place(F.col("s")) != F.col("first"))
     doc = tk.fresh("doc", [*docs.columns, into])
-    removed = repeats.groupBy(F.col("digest").alias(f"{own}_2"), F.col("doc").alias(doc)).agg(F.flatten(F.collect_set(F.sequence("s", "e"))).alias(into))
+    removed = repeats.groupBy(F.col("digest").alias(f"{own}_2"), F.col("doc").alias(doc)).agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("s", "e")))).alias(into))
     out = docs.join(removed, (docs[own] == removed[f"{own}_2"]) & docs[id_col].eqNullSafe(removed[doc]), "left")
     return out.drop(own, f"{own}_2", doc)
 
@@ -77,7 +88,7 @@ def _kept(lines: Column, remove: Column) -> Column:
     return F.array_join(F.transform(rest, lambda i: F.get(lines, i)), "\n")
 
 
-def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int = CUT) -> DataFrame:
+def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int | None = CUT) -> DataFrame:
     """docs with the repeats' lines removed from the texts, same columns."""
     gone, lines = tk.fresh("gone", docs.columns), tk.fresh("lines", docs.columns)
     marked = mark(docs, id_col=id_col, text_col=text_col, cut=cut, into=gone).withColumn(lines, F.when(F.col(gone).isNotNull(), F.split(F.col(text_col), "\n")))
@@ -85,7 +96,7 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", c
     return marked.withColumn(text_col, text).select(*docs.columns)
 
 
-def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int = CUT) -> DataFrame:
+def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", cut: int | None = CUT) -> DataFrame:
     """One row per document: id, n_lines, n_removed (lines), kept_sha256 of the text that stays."""
     marked = mark(docs.select(id_col, text_col), id_col=id_col, text_col=text_col, cut=cut, into="gone").withColumn("lines", F.split(text_col, "\n"))
     kept = F.when(F.col("gone").isNotNull(), _kept(F.col("lines"), F.col("gone"))).otherwise(F.coalesce(F.col(text_col), F.lit("")))

@@ -43,3 +43,26 @@ def test_contaminated_stage(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     kept = {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, documents(spark), SF).collect()}
     assert kept == {r[0] for r in brute.decontaminate(rows, items) if not r[-1]}
+
+
+def repeated_lines(rows):
+    """rows: id, text, ids distinct. The texts without the pairs of neighbouring lines seen before in order of id and line."""
+    seen, out = set(), {}
+    for doc, text in sorted(rows):
+        lines = text.split("\n")
+        gone = set()
+        for k, pair in enumerate(zip(lines, lines[1:], strict=False)):
+            gone |= {k, k + 1} if pair in seen else set()
+            seen.add(pair)
+        out[doc] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+    return out
+
+
+def test_line_stage_misses_no_short_passage(spark):
+    rows = [(r.doc_id, r.text) for r in documents(spark).collect() if r.text is not None]
+    for k in range(40):
+        passage = [f"passage {k} line {j} " + "word " * 30 for j in range(2 + k % 3)]
+        rows += [(10**6 + 100 * k + j, "\n".join([f"before {k} {j}", *passage, f"after {k} {j}"])) for j in range(3)]
+    out = corpus_pipeline.dedup_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert texts[10**6 + 1] == "before 0 1\nafter 0 1" and texts == repeated_lines(rows)
