@@ -42,6 +42,18 @@ def test_trees_select_unmatched_cards(spark):
     assert [(s.kind, s.start, s.end, s.base) for s in found.spans] == [(2, 0, 16, False), (2, 17, 33, False)]
 
 
+def test_trees_add_spans_of_a_rare_kind(spark):
+    """Many cards crowd out phones in one sample for all kinds; a phone without a plus is found all the same."""
+    draw = random.Random(2)
+    digits = lambda n: "".join(draw.choice("0123456789") for _ in range(n))
+    cards = [f"text {digits(16)} more" for _ in range(1000)]
+    for phones in (12, 120):
+        calls = [f"call +{digits(2)} {digits(3)} {digits(3)} {digits(4)} now" for _ in range(phones)]
+        rows = list(enumerate([*cards, *calls])) + [(9000, "call 555 010 9999 now")]
+        found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"), sample=150).where("doc_id = 9000").first()
+        assert [(s.kind, s.start, s.end, s.base) for s in found.spans] == [(3, 5, 17, False)]
+
+
 def test_decontaminate(spark, docs, rows):
     items = [(k, r[1]) for k, r in enumerate(rows[:30:3])] + [(100, "Ab"), (101, None), (102, "..."), (103, rows[0][1]), (103, rows[0][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
