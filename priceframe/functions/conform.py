@@ -22,7 +22,7 @@ def text(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Text without white space at either end."""
-    return F.regexp_replace(text(c), r"^\s+|\s+$", "")
+    return F.btrim(text(c), F.lit(" \t\n\x0b\f\r"))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -62,17 +62,22 @@ def number_text(c: Column) -> Column:
     return F.when(c == F.floor(c), c.cast("decimal(38,0)").cast("string")).otherwise(c.cast("string"))
 
 
-def norm_provider(c: Column) -> Column:
+def provider_key(c: Column) -> Column:
     key = F.translate(F.lower(strip(c)), "- ", "__")
-    key = F.regexp_replace(F.regexp_replace(key, r"_(?:our_)?sponsor(?:ed)?$", ""), r"_sponsored$", "")
+    return F.when(key.contains("_"), F.regexp_replace(F.regexp_replace(key, t.SPONSOR, ""), t.SPONSORED, "")).otherwise(key)
+
+
+def provider_of(key: Column) -> Column:
     return F.coalesce(lookup(t.PROVIDERS, key), key)
 
 
-def gpu_keys(c: Column) -> list[Column]:
-    """The spellings under which a GPU name is looked up, in order."""
-    key = F.lower(strip(c))
-    spaced = strip(F.regexp_replace(F.translate(key, "-_", "  "), r"\s+", " "))
-    return [key, spaced, F.regexp_replace(key, r"[^a-z0-9]+", ""), strip(F.regexp_replace(spaced, r"\s*(pcie|sxm\d?|nvlink|hgx)\s*\d*\s*g?b?$", ""))]
+def norm_provider(c: Column) -> Column:
+    return provider_of(provider_key(c))
+
+
+def gpu_spaced(key: Column) -> Column:
+    """A lower-case name with single spaces for its separators."""
+    return strip(F.regexp_replace(F.translate(key, "-_", "  "), r"\s+", " "))
 
 
 def gpu_by_pattern(c: Column) -> Column:
@@ -86,80 +91,117 @@ def gpu_by_pattern(c: Column) -> Column:
     return out
 
 
+def gpu_alias(key: Column, spaced: Column) -> Column:
+    """The name under the first of four spellings that is an alias; blank where one names no GPU, null where none is known."""
+    none = dict.fromkeys(t.NO_GPU, "")
+    compact, stripped = F.regexp_replace(key, r"[^a-z0-9]+", ""), strip(F.regexp_replace(spaced, t.FORM_FACTOR, ""))
+    return F.coalesce(lookup({**t.GPU_NAMES, **none, "": ""}, key), lookup({**t.GPU_NAMES, **none}, spaced), lookup(t.GPU_NAMES, compact), lookup(t.GPU_NAMES, stripped))
+
+
 def norm_gpu_name(c: Column) -> Column:
     """Blank for what names no GPU; else an alias under one of four spellings, a pattern, or the stripped text.
 
-    On long tables use with_gpu_name, which does this for each distinct name only.
+    On tables use the steps of operators/conform.py, which evaluate every spelling once.
     """
-    key, spaced, compact, stripped = gpu_keys(c)
-    alias = lambda k: lookup(t.GPU_NAMES, k)
-    return (
-        F.when((key == "") | key.isin(t.NO_GPU), "")
-        .when(alias(key).isNotNull(), alias(key))
-        .when(spaced.isin(t.NO_GPU), "")
-        .otherwise(F.coalesce(alias(spaced), alias(compact), alias(stripped), gpu_by_pattern(c), strip(c)))
-    )
+    key = F.lower(strip(c))
+    return F.coalesce(gpu_alias(key, gpu_spaced(key)), gpu_by_pattern(c), strip(c))
+
+
+def variant_of(own: Column) -> Column:
+    key = F.lower(own)
+    return F.coalesce(lookup(t.VARIANTS, F.translate(key, "-_ ", "")), lookup(t.VARIANTS, key), own)
 
 
 def norm_variant(c: Column) -> Column:
-    key = F.lower(strip(c))
-    return F.coalesce(lookup(t.VARIANTS, F.translate(key, "-_ ", "")), lookup(t.VARIANTS, key), strip(c))
+    return variant_of(strip(c))
+
+
+def pricing_key(c: Column) -> Column:
+    return F.translate(F.lower(strip(c)), "- ", "__")
+
+
+def pricing_of(raw: Column, key: Column) -> Column:
+    return F.when(text(raw) == "", "on_demand").otherwise(F.coalesce(lookup(t.PRICING_TYPES, key), text(raw)))
 
 
 def norm_pricing_type(c: Column) -> Column:
-    key = F.translate(F.lower(strip(c)), "- ", "__")
-    return F.when(text(c) == "", "on_demand").otherwise(F.coalesce(lookup(t.PRICING_TYPES, key), text(c)))
+    return pricing_of(c, pricing_key(c))
 
 
 _SPEC = "struct<Gpus:array<struct<Count:string,MemoryInfo:struct<SizeInMiB:string,SizeInGiB:string>>>,TotalGpuMemoryInMiB:string>"
 
 
-def _spec_memory(raw: Column, count: Column) -> Column:
-    """GB per GPU from a specification written as JSON or as a Python literal."""
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(strip(raw), r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
-    spec = F.from_json(F.when(plain.rlike(r"^[{\[]"), plain), _SPEC, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+def memory_spec(own: Column) -> Column:
+    """A specification written as JSON or as a Python literal, null for other text."""
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(own, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
+    return F.from_json(F.when(own.rlike(r"^[{\[]"), plain), _SPEC, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
+
+
+def spec_memory(spec: Column, count: Column) -> Column:
+    """GB per GPU from a specification."""
     first = F.get(spec["Gpus"], 0)
     mib, gib, total = number(first["MemoryInfo"]["SizeInMiB"]), number(first["MemoryInfo"]["SizeInGiB"]), number(spec["TotalGpuMemoryInMiB"])
     given = F.coalesce(F.nullif(number(count), F.lit(0.0)), F.nullif(number(first["Count"]), F.lit(0.0)), F.lit(1.0))
     divisor = F.when(given > 0, given).otherwise(1.0)
-    return F.when(mib > 0, F.round(mib / 1024, 6)).when(gib > 0, F.round(gib, 6)).when(total > 0, F.round(total / divisor / 1024, 6))
+    return F.when(spec.isNotNull(), F.when(mib > 0, F.round(mib / 1024, 6)).when(gib > 0, F.round(gib, 6)).when(total > 0, F.round(total / divisor / 1024, 6)))
 
 
-def norm_gpu_memory(raw: Column, gpu_name: Column, count: Column, variant: Column, name_is_canonical: bool = False) -> Column:
-    """GB per GPU as text: a number as it is, a specification, a size with a unit, or what the model implies."""
-    own = strip(raw)
-    sized = F.nullif(F.regexp_extract(own, r"(?i)(\d+(?:\.\d+)?)\s*(?:Gi?B|GB)\b", 1), F.lit(""))
-    gpu = gpu_name if name_is_canonical else norm_gpu_name(gpu_name)
-    compact = F.replace(F.lower(F.when(own != "", own).otherwise(text(gpu_name))), F.lit(" "), F.lit(""))
-    model = (
+def model_memory(own: Column, gpu: Column, name: Column, variant: Column) -> Column:
+    """GB that the canonical model implies; own is the stripped memory text, name the GPU text as given."""
+    compact = F.replace(F.lower(F.when(own != "", own).otherwise(text(name))), F.lit(" "), F.lit(""))
+    return (
         F.when((gpu == "H100") & (norm_variant(variant) == "NVL"), 94.0)
         .when((gpu == "A100") & compact.contains("80"), 80.0)
         .when((gpu == "A100") & compact.contains("40"), 40.0)
         .otherwise(lookup({k: float(v) for k, v in t.GPU_MEMORY.items()}, gpu))
     )
-    return text(number_text(F.coalesce(number(raw), _spec_memory(raw, count), sized.try_cast("double"), model)))
 
 
-def norm_region(region: Column, provider: Column, country: Column, raw_extra: Column, source: Column) -> Column:
-    """The region, else the country, else what the provider implies."""
-    own, land = strip(region), F.upper(strip(country))
+def memory_text(own: Column, known: Column, model: Column) -> Column:
+    """Memory as text: the known number, else a size with a unit, else what the model implies."""
+    sized = F.nullif(F.regexp_extract(own, t.SIZE_WITH_UNIT, 1), F.lit(""))
+    return F.coalesce(known, sized.try_cast("double"), model)
+
+
+def norm_gpu_memory(raw: Column, gpu_name: Column, count: Column, variant: Column) -> Column:
+    """GB per GPU as text: a number as it is, a specification, a size with a unit, or what the model implies."""
+    own = strip(raw)
+    known = F.coalesce(number(raw), spec_memory(memory_spec(own), count))
+    return text(number_text(memory_text(own, known, model_memory(own, norm_gpu_name(gpu_name), gpu_name, variant))))
+
+
+def first_location(raw_extra: Column) -> Column:
+    """The first filled element of the tail's locations."""
     place = F.from_json(F.get_json_object(text(raw_extra), "$.locations"), "array<string>")
-    first = F.get(F.filter(F.transform(place, strip), lambda x: x != ""), 0)
-    vultr = F.coalesce(first, F.lit("global"))
-    wide = norm_provider(provider).isin(t.GLOBAL_PROVIDERS) | norm_provider(source).isin(t.GLOBAL_PROVIDERS)
-    return F.when(own != "", own).when(land != "", land).when(norm_provider(provider) == "vultr", vultr).when(wide, "global").otherwise("")
+    return F.get(F.filter(F.transform(place, strip), lambda x: x != ""), 0)
 
 
-def geo_group(region: Column, country: Column) -> Column:
-    """The display bucket of a region or country code."""
-    own, land = strip(region), F.upper(strip(country))
-    key = F.replace(F.translate(F.lower(own), "_", "-"), F.lit(" "), F.lit(""))
+def region_of(own: Column, land: Column, provider: Column, source: Column, raw_extra: Column) -> Column:
+    """The region, else the country, else what the provider implies; all of them stripped or canonical already."""
+    wide = provider.isin(t.GLOBAL_PROVIDERS) | source.isin(t.GLOBAL_PROVIDERS)
+    return F.when(own != "", own).when(land != "", land).when(provider == "vultr", F.coalesce(first_location(raw_extra), F.lit("global"))).when(wide, "global").otherwise("")
+
+
+def norm_region(region: Column, provider: Column, country: Column, raw_extra: Column, source: Column) -> Column:
+    return region_of(strip(region), F.upper(strip(country)), norm_provider(provider), norm_provider(source), raw_extra)
+
+
+def geo_key(region: Column) -> Column:
+    return F.replace(F.translate(F.lower(strip(region)), "_", "-"), F.lit(" "), F.lit(""))
+
+
+def group_of(own: Column, land: Column, key: Column) -> Column:
+    """The display bucket of a region (stripped, and its key) or a country (upper case)."""
     chain_: Column = F.lit("Unknown")
     for group, prefixes in reversed(t.REGION_GROUPS):
-        chain_ = F.when(reduce(lambda a, b: a | b, [key.startswith(p) for p in prefixes.split()]), group).otherwise(chain_)
+        chain_ = F.when(key.rlike(f"^(?:{'|'.join(prefixes)})"), group).otherwise(chain_)
     return F.coalesce(lookup(t.COUNTRY_GROUPS, F.upper(own)), lookup(t.COUNTRY_GROUPS, land), F.when(own == "", "Unknown").otherwise(chain_))
 
 
+def geo_group(region: Column, country: Column) -> Column:
+    return group_of(strip(region), F.upper(strip(country)), geo_key(region))
+
+
 def per_gpu_price(amount: Column, count: Column) -> Column:
     """amount / count to six decimals as text; the amount itself where the count is not positive, blank where it is blank."""
     own, n = number(amount), parse_float(count)
@@ -172,14 +214,25 @@ def json_get(raw: Column, key: str) -> Column:
 
 
 def json_map(raw: Column) -> Column:
-    return F.coalesce(F.from_json(text(raw), "map<string,string>"), F.create_map().cast("map<string,string>"))
+    """The object's members, each value a variant that keeps its type; of equal keys the last. Empty where the text is no object."""
+    whole = F.from_json(text(raw), "map<string,variant>")
+    entries = F.reverse(F.map_entries(whole))
+    last = F.reverse(F.filter(entries, lambda e, i: F.array_position(F.transform(entries, lambda x: x["key"]), e["key"]) == i + 1))
+    keys = F.map_keys(whole)
+    once = F.when(F.size(keys) == F.size(F.array_distinct(keys)), whole).otherwise(F.map_from_entries(last))
+    return F.coalesce(once, F.expr("cast(map() as map<string,variant>)"))
 
 
 def json_put(raw: Column, changes: dict[str, Column], drop: list[str] | None = None) -> Column:
-    """The object with keys set (where the value is not null) and dropped; the old text if nothing is left."""
-    kept = F.map_filter(json_map(raw), lambda k, v: ~k.isin([*changes, *(drop or ["\0"])]) | (k.isin(list(changes)) & reduce(lambda a, b: a | b, [(k == c) & x.isNull() for c, x in changes.items()], F.lit(False))))
-    new = F.map_filter(F.map_from_arrays(F.array(*[F.lit(k) for k in changes]), F.array(*[x.cast("string") for x in changes.values()])), lambda k, v: v.isNotNull()) if changes else F.create_map().cast("map<string,string>")
-    whole = F.map_concat(kept, new)
+    """The object with keys set to texts (where the text is not null) and dropped, other values as they are; the old text if
+    nothing is left. Set keys stay in their place, new ones come last."""
+
+    def changed(k: Column, v: Column) -> Column:
+        return reduce(lambda rest, c: F.when((k == c[0]) & c[1].isNotNull(), c[1].cast("variant")).otherwise(rest), changes.items(), v)
+
+    old = json_map(raw) if not drop else F.map_filter(json_map(raw), lambda k, v: ~k.isin(drop))
+    new = F.array(*[F.struct(F.lit(k).alias("key"), x.cast("variant").alias("value")) for k, x in changes.items()])
+    whole = F.map_concat(F.transform_values(old, changed), F.map_from_entries(F.filter(new, lambda e: e["value"].isNotNull() & ~F.array_contains(F.map_keys(old), e["key"]))))
     return F.when(F.size(whole) > 0, F.to_json(whole)).otherwise(text(raw))
 
 

@@ -3,82 +3,80 @@
 from __future__ import annotations
 
 
-def _pairs(text: str) -> dict[str, str]:
-    """Lines of ``value: key | key ...`` as key -> value."""
-    out: dict[str, str] = {}
-    for line in text.strip().splitlines():
-        value, _, keys = line.partition(": ")
-        out |= {k.strip(): value.strip() for k in keys.split("|")}
-    return out
-
-
 # Fixed values.
-PROVIDERS = _pairs("""
-digitalocean: do | digital_ocean
-gcp: gcp | google_cloud | googlecloud
-lambda: lambda_labs | lambdalabs
-massedcompute: massed_compute | massedcompute
-oracle: oci | oracle_cloud
-packet_ai: packet.ai | packet_ai
-runpod: runpod
-thundercompute: thunder_compute | thundercompute
-""")
+PROVIDERS = {
+    "do": "digitalocean", "digital_ocean": "digitalocean",
+    "gcp": "gcp", "google_cloud": "gcp", "googlecloud": "gcp",
+    "lambda_labs": "lambda", "lambdalabs": "lambda",
+    "massed_compute": "massedcompute", "massedcompute": "massedcompute",
+    "oci": "oracle", "oracle_cloud": "oracle",
+    "packet.ai": "packet_ai", "packet_ai": "packet_ai",
+    "runpod": "runpod",
+    "thunder_compute": "thundercompute", "thundercompute": "thundercompute",
+}
 
 # Fixed values.
-GPU_NAMES = _pairs("""
-H100: nvidia h100 | h100 | h100 sxm | h100 pcie | h100 sxm5 | h100-sxm | h100-80g-sxm5 | h100-80g-pcie | h100-80gb | h100-80gb-sxm | h100 80gb | h100 80gb sxm | h100-sxm5-80gb | h100-pcie-80gb | h100-80g-pcie-nvlink
-H200: nvidia h200 | h200 | h200-sxm | h200-141gb | h200-141g-sxm
-A100: nvidia a100 | a100 | a100 sxm | a100 pcie | a100 sxm4 | a100-sxm4-40gb | a100-sxm4-80gb | a100-pcie-40gb | a100-pcie-80gb | a100-80gb | a100-80g | a100-40gb | a100-80gb-sxm | a100-80gb-pcie | a100-80g-pcie | a100-80g-pcie-nvlink | a100 80gb | a100 40gb
-A10G: nvidia a10g | a10g | a10g-24gb
-A10: nvidia a10 | a10 | a10-24gb | a10-pcie-24gb
-A40: nvidia a40 | a40 | a40-pcie-48gb
-A16: nvidia a16 | a16
-L4: nvidia l4 | l4 | l4-pcie-24gb | l4 pcie
-L40: nvidia l40 | l40 | l40-pcie-48gb
-L40S: nvidia l40s | l40s | l40s-pcie-48gb | l40s pcie
-T4: nvidia t4 | t4 | t4-16gb
-V100: nvidia v100 | v100 | tesla v100 | tesla v100 sxm2 | tesla v100 sxm3 | v100-sxm2-16gb | v100-sxm2-32gb | v100-sxm3-32gb
-K80: nvidia k80 | k80 | tesla k80
-Tesla M60: tesla m60 | m60
-P100: nvidia p100 | p100 | tesla p100 | p100-pcie-16gb
-P4: nvidia p4 | p4 | tesla p4
-P40: nvidia p40 | p40 | tesla p40
-B200: nvidia b200 | b200 | b200-192gb
-B300: nvidia b300 | b300
-GB200: nvidia gb200 | gb200
-RTX 4090: rtx 4090 | geforce rtx 4090 | nvidia geforce rtx 4090 | rtx4090 | geforcertx4090-pcie-24gb
-RTX 4080: rtx 4080 | geforce rtx 4080 | rtx4080
-RTX 3090: rtx 3090 | geforce rtx 3090 | rtx3090 | geforcertx3090-pcie-24gb
-RTX 3080: rtx 3080 | geforce rtx 3080 | rtx3080
-RTX 5090: rtx 5090 | geforce rtx 5090 | rtx5090 | geforcertx5090-pcie-32gb
-RTX A6000: rtx a6000 | a6000 | rtxa6000 | rtx a6000 ada
-RTX 6000: rtx 6000 | rtx6000
-RTX 6000 Ada: rtx 6000 ada | rtx6000ada
-RTX PRO 6000: rtx pro 6000 | rtxpro6000 | nvidia rtx pro 6000
-RTX PRO 6000 Server Edition: rtx pro 6000 se | rtxpro6000se | pro6000se | nvidia rtx pro 6000 server edition | rtx pro 6000 server edition
-RTX PRO 6000 Workstation Edition: rtx pro 6000 workstation edition | rtxpro6000we | pro6000we
-RTX PRO 6000 Blackwell Max-Q Workstation Edition: rtx pro 6000 blackwell max-q workstation edition | rtxpro6000blackwellmaxqworkstationedition
-RTX A5000: rtx a5000 | a5000 | rtxa5000
-RTX 5000 Ada: rtx 5000 ada | rtx5000ada
-RTX A4500: rtx a4500 | rtxa4500
-RTX A4000: rtx a4000 | a4000 | rtxa4000
-RTX A2000: rtx a2000 | a2000 | rtxa2000
-GTX 1070 Ti: gtx 1070 ti | gtx1070ti
-GTX 1050 Ti: gtx 1050 ti | gtx1050ti
-MI300X: mi300x | amd mi300x
-MI250X: mi250x | amd mi250x
-Radeon Pro V520: radeon pro v520
-Trainium: trainium
-Trainium2: trainium2
-Inferentia: inferentia
-Inferentia2: inferentia2
-Gaudi: gaudi | gaudi hl-205
-Gaudi 2: gaudi 2 | gaudi2
-Gaudi 3: gaudi 3 | gaudi3
-Qualcomm AI100: qualcomm ai100
-T4G: t4g
-GH200: gh200
-""")
+GPU_NAMES = {
+    "nvidia h100": "H100", "h100": "H100", "h100 sxm": "H100", "h100 pcie": "H100", "h100 sxm5": "H100", "h100-sxm": "H100", "h100-80g-sxm5": "H100", "h100-80g-pcie": "H100",
+    "h100-80gb": "H100", "h100-80gb-sxm": "H100", "h100 80gb": "H100", "h100 80gb sxm": "H100", "h100-sxm5-80gb": "H100", "h100-pcie-80gb": "H100",
+    "h100-80g-pcie-nvlink": "H100",
+    "nvidia h200": "H200", "h200": "H200", "h200-sxm": "H200", "h200-141gb": "H200", "h200-141g-sxm": "H200",
+    "nvidia a100": "A100", "a100": "A100", "a100 sxm": "A100", "a100 pcie": "A100", "a100 sxm4": "A100", "a100-sxm4-40gb": "A100", "a100-sxm4-80gb": "A100",
+    "a100-pcie-40gb": "A100", "a100-pcie-80gb": "A100", "a100-80gb": "A100", "a100-80g": "A100", "a100-40gb": "A100", "a100-80gb-sxm": "A100", "a100-80gb-pcie": "A100",
+    "a100-80g-pcie": "A100", "a100-80g-pcie-nvlink": "A100", "a100 80gb": "A100", "a100 40gb": "A100",
+    "nvidia a10g": "A10G", "a10g": "A10G", "a10g-24gb": "A10G",
+    "nvidia a10": "A10", "a10": "A10", "a10-24gb": "A10", "a10-pcie-24gb": "A10",
+    "nvidia a40": "A40", "a40": "A40", "a40-pcie-48gb": "A40",
+    "nvidia a16": "A16", "a16": "A16",
+    "nvidia l4": "L4", "l4": "L4", "l4-pcie-24gb": "L4", "l4 pcie": "L4",
+    "nvidia l40": "L40", "l40": "L40", "l40-pcie-48gb": "L40",
+    "nvidia l40s": "L40S", "l40s": "L40S", "l40s-pcie-48gb": "L40S", "l40s pcie": "L40S",
+    "nvidia t4": "T4", "t4": "T4", "t4-16gb": "T4",
+    "nvidia v100": "V100", "v100": "V100", "tesla v100": "V100", "tesla v100 sxm2": "V100", "tesla v100 sxm3": "V100", "v100-sxm2-16gb": "V100", "v100-sxm2-32gb": "V100",
+    "v100-sxm3-32gb": "V100",
+    "nvidia k80": "K80", "k80": "K80", "tesla k80": "K80",
+    "tesla m60": "Tesla M60", "m60": "Tesla M60",
+    "nvidia p100": "P100", "p100": "P100", "tesla p100": "P100", "p100-pcie-16gb": "P100",
+    "nvidia p4": "P4", "p4": "P4", "tesla p4": "P4",
+    "nvidia p40": "P40", "p40": "P40", "tesla p40": "P40",
+    "nvidia b200": "B200", "b200": "B200", "b200-192gb": "B200",
+    "nvidia b300": "B300", "b300": "B300",
+    "nvidia gb200": "GB200", "gb200": "GB200",
+    "rtx 4090": "RTX 4090", "geforce rtx 4090": "RTX 4090", "nvidia geforce rtx 4090": "RTX 4090", "rtx4090": "RTX 4090", "geforcertx4090-pcie-24gb": "RTX 4090",
+    "rtx 4080": "RTX 4080", "geforce rtx 4080": "RTX 4080", "rtx4080": "RTX 4080",
+    "rtx 3090": "RTX 3090", "geforce rtx 3090": "RTX 3090", "rtx3090": "RTX 3090", "geforcertx3090-pcie-24gb": "RTX 3090",
+    "rtx 3080": "RTX 3080", "geforce rtx 3080": "RTX 3080", "rtx3080": "RTX 3080",
+    "rtx 5090": "RTX 5090", "geforce rtx 5090": "RTX 5090", "rtx5090": "RTX 5090", "geforcertx5090-pcie-32gb": "RTX 5090",
+    "rtx a6000": "RTX A6000", "a6000": "RTX A6000", "rtxa6000": "RTX A6000", "rtx a6000 ada": "RTX A6000",
+    "rtx 6000": "RTX 6000", "rtx6000": "RTX 6000",
+    "rtx 6000 ada": "RTX 6000 Ada", "rtx6000ada": "RTX 6000 Ada",
+    "rtx pro 6000": "RTX PRO 6000", "rtxpro6000": "RTX PRO 6000", "nvidia rtx pro 6000": "RTX PRO 6000",
+    "rtx pro 6000 se": "RTX PRO 6000 Server Edition", "rtxpro6000se": "RTX PRO 6000 Server Edition", "pro6000se": "RTX PRO 6000 Server Edition",
+    "nvidia rtx pro 6000 server edition": "RTX PRO 6000 Server Edition", "rtx pro 6000 server edition": "RTX PRO 6000 Server Edition",
+    "rtx pro 6000 workstation edition": "RTX PRO 6000 Workstation Edition", "rtxpro6000we": "RTX PRO 6000 Workstation Edition", "pro6000we": "RTX PRO 6000 Workstation Edition",
+    "rtx pro 6000 blackwell max-q workstation edition": "RTX PRO 6000 Blackwell Max-Q Workstation Edition",
+    "rtxpro6000blackwellmaxqworkstationedition": "RTX PRO 6000 Blackwell Max-Q Workstation Edition",
+    "rtx a5000": "RTX A5000", "a5000": "RTX A5000", "rtxa5000": "RTX A5000",
+    "rtx 5000 ada": "RTX 5000 Ada", "rtx5000ada": "RTX 5000 Ada",
+    "rtx a4500": "RTX A4500", "rtxa4500": "RTX A4500",
+    "rtx a4000": "RTX A4000", "a4000": "RTX A4000", "rtxa4000": "RTX A4000",
+    "rtx a2000": "RTX A2000", "a2000": "RTX A2000", "rtxa2000": "RTX A2000",
+    "gtx 1070 ti": "GTX 1070 Ti", "gtx1070ti": "GTX 1070 Ti",
+    "gtx 1050 ti": "GTX 1050 Ti", "gtx1050ti": "GTX 1050 Ti",
+    "mi300x": "MI300X", "amd mi300x": "MI300X",
+    "mi250x": "MI250X", "amd mi250x": "MI250X",
+    "radeon pro v520": "Radeon Pro V520",
+    "trainium": "Trainium",
+    "trainium2": "Trainium2",
+    "inferentia": "Inferentia",
+    "inferentia2": "Inferentia2",
+    "gaudi": "Gaudi", "gaudi hl-205": "Gaudi",
+    "gaudi 2": "Gaudi 2", "gaudi2": "Gaudi 2",
+    "gaudi 3": "Gaudi 3", "gaudi3": "Gaudi 3",
+    "qualcomm ai100": "Qualcomm AI100",
+    "t4g": "T4G",
+    "gh200": "GH200",
+}
 
 # Fixed values.
 NO_GPU = ["1", "cpu", "gpu", "gpu (unspecified)", "none", "n/a", "na", "unknown", "unspecified"]
@@ -118,61 +116,59 @@ GPU_MEMORY = {
 }
 
 # Providers whose offers have no region of their own.
-GLOBAL_PROVIDERS = "aethir akash coreweave crusoe denvr e2e getdeploying gmicloud jarvislabs latitude linode massedcompute oracle paperspace thundercompute voltagepark".split()
+GLOBAL_PROVIDERS = ["aethir", "akash", "coreweave", "crusoe", "denvr", "e2e", "getdeploying", "gmicloud", "jarvislabs", "latitude", "linode", "massedcompute", "oracle", "paperspace", "thundercompute", "voltagepark"]
 
 # Fixed values.
-COUNTRY_GROUPS = _pairs("""
-US Other: US
-Canada: CA
-LATAM: MX | BR | CL | AR
-Europe: CZ | DE | ES | FR | GB | IE | IS | IT | NL | NO | PL | RO | SE | CH
-Middle East: IL | AE | QA | SA
-APAC: AU | ID | IN | JP | KR | MY | NZ | SG
-Africa: ZA
-""")
+COUNTRY_GROUPS = {
+    "US": "US Other",
+    "CA": "Canada",
+    "MX": "LATAM", "BR": "LATAM", "CL": "LATAM", "AR": "LATAM",
+    "CZ": "Europe", "DE": "Europe", "ES": "Europe", "FR": "Europe", "GB": "Europe", "IE": "Europe", "IS": "Europe", "IT": "Europe", "NL": "Europe", "NO": "Europe",
+    "PL": "Europe", "RO": "Europe", "SE": "Europe", "CH": "Europe",
+    "IL": "Middle East", "AE": "Middle East", "QA": "Middle East", "SA": "Middle East",
+    "AU": "APAC", "ID": "APAC", "IN": "APAC", "JP": "APAC", "KR": "APAC", "MY": "APAC", "NZ": "APAC", "SG": "APAC",
+    "ZA": "Africa",
+}
 
 # Region prefixes in the order in which they are tried.
 REGION_GROUPS = [
-    ("US East", "us-east useast eastus"),
-    ("US West", "us-west uswest westus westcentralus"),
-    ("US Central", "us-central uscentral centralus northcentralus southcentralus"),
-    ("Canada", "ca- canada cacentr caeast"),
-    ("Middle East", "me- uae qatar israel il-"),
-    ("Europe", "eu- europe westeurope northeurope uk germany france switzerland sweden norway italy poland spain"),
-    ("APAC", "ap- asia eastasia southeastasia australia japan korea centralindia southindia westindia jioindia indonesia malaysia newzealand"),
-    ("LATAM", "sa- brazil southamerica mexico chile"),
-    ("Africa", "af- southafrica"),
-    ("US Other", "us"),
-    ("North America", "na- northamerica"),
+    ("US East", ["us-east", "useast", "eastus"]),
+    ("US West", ["us-west", "uswest", "westus", "westcentralus"]),
+    ("US Central", ["us-central", "uscentral", "centralus", "northcentralus", "southcentralus"]),
+    ("Canada", ["ca-", "canada", "cacentr", "caeast"]),
+    ("Middle East", ["me-", "uae", "qatar", "israel", "il-"]),
+    ("Europe", ["eu-", "europe", "westeurope", "northeurope", "uk", "germany", "france", "switzerland", "sweden", "norway", "italy", "poland", "spain"]),
+    ("APAC", ["ap-", "asia", "eastasia", "southeastasia", "australia", "japan", "korea", "centralindia", "southindia", "westindia", "jioindia", "indonesia", "malaysia", "newzealand"]),
+    ("LATAM", ["sa-", "brazil", "southamerica", "mexico", "chile"]),
+    ("Africa", ["af-", "southafrica"]),
+    ("US Other", ["us"]),
+    ("North America", ["na-", "northamerica"]),
 ]
 
 # Fixed values.
-PRICING_TYPES = _pairs("""
-on_demand: on_demand
-spot: spot | preemptible | interruptible | bid
-reserved: reserved | committed | commitment | savings_plan
-inference: inference
-""")
+PRICING_TYPES = {
+    "on_demand": "on_demand",
+    "spot": "spot", "preemptible": "spot", "interruptible": "spot", "bid": "spot",
+    "reserved": "reserved", "committed": "reserved", "commitment": "reserved", "savings_plan": "reserved",
+    "inference": "inference",
+}
 
 # Fixed values.
-VARIANTS = _pairs("""
-SXM: sxm | sxm4 | sxm5
-PCIe: pcie | pci-e | pci_e
-NVL: nvl | nvlink
-HGX: hgx
-""")
+VARIANTS = {
+    "sxm": "SXM", "sxm4": "SXM", "sxm5": "SXM",
+    "pcie": "PCIe", "pci-e": "PCIe", "pci_e": "PCIe",
+    "nvl": "NVL", "nvlink": "NVL",
+    "hgx": "HGX",
+}
 
 # Rank of a source where sources overlap, lowest first; others rank OTHER_PRIORITY.
 PRIORITIES = {
-    **dict.fromkeys("aws azure gcp oracle vultr akash cudo linode runpod vastai lambda tensordock deepinfra openrouter".split(), 1),
-    **dict.fromkeys("jarvislabs thundercompute crusoe novita latitude massedcompute e2e voltagepark denvr paperspace".split(), 2),
-    **dict.fromkeys("coreweave together lightningai gmicloud aethir hyperstack gcore firmus neysa salad cloreai exabits qubrid".split(), 2),
-    "skypilot": 3,
-    "shadeform": 4,
-    "getdeploying": 5,
-    "primeintellect": 2,
+    "aws": 1, "azure": 1, "gcp": 1, "oracle": 1, "vultr": 1, "akash": 1, "cudo": 1, "linode": 1, "runpod": 1, "vastai": 1, "lambda": 1, "tensordock": 1,
+    "deepinfra": 1, "openrouter": 1, "jarvislabs": 2, "thundercompute": 2, "crusoe": 2, "novita": 2, "latitude": 2, "massedcompute": 2, "e2e": 2,
+    "voltagepark": 2, "denvr": 2, "paperspace": 2, "coreweave": 2, "together": 2, "lightningai": 2, "gmicloud": 2, "aethir": 2, "hyperstack": 2, "gcore": 2,
+    "firmus": 2, "neysa": 2, "salad": 2, "cloreai": 2, "exabits": 2, "qubrid": 2, "skypilot": 3, "shadeform": 4, "getdeploying": 5, "primeintellect": 2,
     "datacrunch": 2,
-}
+}
 OTHER_PRIORITY = 99
 
 # Fixed values for the repairs of stored rows.
@@ -190,3 +186,9 @@ FULL_CARD_MEMORY = {"A100": 80, "A16": 16, "A40": 48, "B200": 192, "GB200": 192,
 MAX_GPU_PRICE = [("akash", "GTX 1070 Ti", 20.0)]  # source, gpu_name, highest plausible price per GPU and hour
 CANONICAL_METRIC = {"akash": "weightedAverage"}
 EMPTY_WORDS = ["", "none", "nan", "null"]
+
+# Patterns of provider suffixes, of form factors after a GPU's name, and of a size with a unit.
+SPONSOR = r"_(?:our_)?sponsor(?:ed)?$"
+SPONSORED = r"_sponsored$"
+FORM_FACTOR = r"\s*(pcie|sxm\d?|nvlink|hgx)\s*\d*\s*g?b?$"
+SIZE_WITH_UNIT = r"(?i)(\d+(?:\.\d+)?)\s*(?:Gi?B|GB)\b"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,46 +9,74 @@ from priceframe.functions import conform as c
 from priceframe.schema import COLUMNS
 
 
-def by_distinct(rows: DataFrame, inputs: list[str], **made: Column) -> DataFrame:
-    """rows with more columns that depend on the inputs alone. Long rule chains run once for each distinct input, not once a
-    row, and the answers are joined back; Spark broadcasts them when their measured size allows it."""
-    keys = {x: f"_key_{k}" for k, x in enumerate(inputs)}
-    known = rows.select(*inputs).distinct().select(*[F.col(x).alias(k) for x, k in keys.items()], *[v.alias(f"_made_{k}") for k, v in made.items()])
-    same = reduce(lambda a, b: a & b, [rows[x].eqNullSafe(known[k]) for x, k in keys.items()])
-    joined = rows.join(known, same, "left").withColumns({k: F.col(f"_made_{k}") for k in made})
-    return joined.drop(*keys.values(), *[f"_made_{k}" for k in made])
-
-
 def settle(rows: DataFrame, **made: Column) -> DataFrame:
     """rows with more columns, through a one-element generator: what reads them later reads columns, and the optimizer does
     not copy their expressions into it, which would grow with the product of the steps."""
     return rows.select(*[x for x in rows.columns if x not in made], F.inline(F.array(F.struct(*[v.alias(k) for k, v in made.items()]))))
 
 
-def with_gpu_name(offers: DataFrame, raw: str = "gpu_name", into: str = "gpu_name") -> DataFrame:
-    return by_distinct(offers, [raw], **{into: c.norm_gpu_name(F.col(raw))})
+#: Columns in the order in which they are made; a step's columns may read those of the steps before.
+Steps = list[dict[str, Column]]
+
+
+def in_steps(rows: DataFrame, *chains: Steps) -> DataFrame:
+    """rows with the columns of several chains, whose first steps are made together, then their second ones, and so on. Every
+    intermediate text is evaluated once a row and used by name; new names that start with one underscore are dropped."""
+    keep = rows.columns
+    for k in range(max(map(len, chains))):
+        rows = settle(rows, **{name: made for chain in chains if k < len(chain) for name, made in chain[k].items()})
+    return rows.select(*[x for x in rows.columns if x in keep or x[:1] != "_" or x[:2] == "__"])
+
+
+def provider_steps(raw: str, into: str) -> Steps:
+    key = f"_key_{into}"
+    return [{key: c.provider_key(F.col(raw))}, {into: c.provider_of(F.col(key))}]
+
 
+def gpu_steps(raw: str, into: str) -> Steps:
+    col = F.col
+    named = F.coalesce(col("_g_alias"), c.gpu_by_pattern(col(raw)), c.strip(col(raw)))
+    return [{"_g_key": F.lower(c.strip(col(raw)))}, {"_g_spaced": c.gpu_spaced(col("_g_key"))}, {"_g_alias": c.gpu_alias(col("_g_key"), col("_g_spaced"))}, {into: named}]
+
+
+def memory_steps(raw: str, gpu: str, into: str) -> Steps:
+    """gpu is canonical; the variant is the raw one."""
+    col = F.col
+    known = F.coalesce(c.number(col("_m_own")), c.spec_memory(col("_m_spec"), col("gpu_count")))
+    model = c.model_memory(col("_m_own"), col(gpu), col(gpu), col("gpu_variant"))
+    return [{"_m_own": c.strip(col(raw))}, {"_m_spec": c.memory_spec(col("_m_own"))}, {"_m_known": known}, {"_m_value": c.memory_text(col("_m_own"), col("_m_known"), model)}, {into: c.text(c.number_text(col("_m_value")))}]
 
-def with_memory(offers: DataFrame, gpu: str = "gpu_name", into: str = "gpu_memory_gb") -> DataFrame:
-    made = c.norm_gpu_memory(F.col("gpu_memory_gb"), F.col(gpu), F.col("gpu_count"), F.col("gpu_variant"), True)
-    return by_distinct(offers, list(dict.fromkeys(["gpu_memory_gb", gpu, "gpu_count", "gpu_variant"])), **{into: made})
+
+def region_steps(region: str, provider: str, into: str) -> Steps:
+    """provider is canonical."""
+    col = F.col
+    return [
+        {"_r_own": c.strip(col(region)), "_r_land": F.upper(c.strip(col("country"))), "_r_p": c.provider_key(col(provider)), "_r_s": c.provider_key(col("source"))},
+        {"_r_p2": c.provider_of(col("_r_p")), "_r_s2": c.provider_of(col("_r_s"))},
+        {into: c.region_of(col("_r_own"), col("_r_land"), col("_r_p2"), col("_r_s2"), col("raw_extra"))},
+    ]
 
 
-def with_geo_group(offers: DataFrame, region: str = "region", into: str = "geo_group") -> DataFrame:
-    return by_distinct(offers, [region, "country"], **{into: c.geo_group(F.col(region), F.col("country"))})
+def group_steps(region: str, into: str) -> Steps:
+    col = F.col
+    return [
+        {"_a_own": c.strip(col(region)), "_a_land": F.upper(c.strip(col("country"))), "_a_key": c.geo_key(col(region))},
+        {into: c.group_of(col("_a_own"), col("_a_land"), col("_a_key"))},
+    ]
 
 
 def conform_offers(fields: DataFrame) -> DataFrame:
     """Offer rows from any subset of the columns: defaults for the rest, then provider, GPU, memory, pricing type, variant,
-    region and geographic group, in that order (memory sees the raw variant, the group the filled region)."""
+    region and geographic group, in that order (memory sees the raw variant, the group the filled region). One pass over the
+    rows: no shuffle, no join, no second read."""
     defaults = {"currency": "USD", "price_unit": "hour"}
     rest = [x for x in fields.columns if x not in COLUMNS]
     have = {k: c.text(F.col(k)) if k in fields.columns else F.lit(defaults.get(k, "")) for k in COLUMNS}
-    col = F.col
-    own = by_distinct(fields.select(*[have[k].alias(k) for k in COLUMNS], *rest), ["provider"], provider=c.norm_provider(col("provider")))
-    own = with_memory(with_gpu_name(own))
-    own = settle(own, pricing_type=c.norm_pricing_type(col("pricing_type")), gpu_variant=c.norm_variant(col("gpu_variant")), region=c.norm_region(col("region"), col("provider"), col("country"), col("raw_extra"), col("source")))
-    return with_geo_group(own).select(*COLUMNS, *rest)
+    own = fields.select(*[have[k].alias(k) for k in COLUMNS], *rest)
+    own = in_steps(own, provider_steps("provider", "provider"), gpu_steps("gpu_name", "gpu_name"), [{"_t_key": c.pricing_key(F.col("pricing_type"))}, {"pricing_type": c.pricing_of(F.col("pricing_type"), F.col("_t_key"))}])
+    own = in_steps(own, memory_steps("gpu_memory_gb", "gpu_name", "gpu_memory_gb"), region_steps("region", "provider", "region"))
+    variant = [{"_v_own": c.strip(F.col("gpu_variant"))}, {"gpu_variant": c.variant_of(F.col("_v_own"))}]
+    return in_steps(own, variant, group_steps("region", "geo_group")).select(*COLUMNS, *rest)
 
 
 def typed(offers: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from priceframe.functions import conform as c
 from priceframe.functions import tables as t
-from priceframe.operators.conform import by_distinct, settle, with_geo_group, with_gpu_name, with_memory
+from priceframe.operators.conform import gpu_steps, group_steps, in_steps, memory_steps, provider_steps, region_steps, settle
 from priceframe.operators.quality import keep_existing, of
 from priceframe.schema import COLUMNS
 
@@ -15,11 +17,18 @@ col = F.col
 
 
 def _rewrite(rows: DataFrame, new: dict[str, Column], flag: str) -> DataFrame:
-    """rows with new values for all the columns at once, and in flag whether any differs from the old one. (see settle)."""
-    differs = F.coalesce(col(flag), F.lit(False)) if flag in rows.columns else F.lit(False)
-    for k, v in new.items():
-        differs = differs | (c.text(v) != c.text(col(k)))
-    return settle(rows, **{k: c.text(v) for k, v in new.items()}, **{flag: differs})
+    """rows with new values for all the columns at once, and in flag whether any differs from the old one (see settle).
+    Columns of rows that start with two underscores are helpers and go."""
+    made = {k: f"__new_{k}" for k in new}
+    out = settle(rows, **{made[k]: c.text(v) for k, v in new.items()})
+    before = F.coalesce(col(flag), F.lit(False)) if flag in rows.columns else F.lit(False)
+    differs = reduce(lambda a, b: a | b, [col(made[k]) != c.text(col(k)) for k in new], before)
+    return out.select(*[col(made[x]).alias(x) if x in made else col(x) for x in rows.columns if x != flag and not x.startswith("__")], differs.alias(flag))
+
+
+def _tail(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows with values of the JSON tail, read once, as __key."""
+    return settle(rows, **{f"__{k}": c.json_get(col("raw_extra"), k) for k in keys})
 
 
 def shifted_tail(rows: DataFrame, flag: str = "shifted") -> DataFrame:
@@ -34,16 +43,17 @@ def shifted_tail(rows: DataFrame, flag: str = "shifted") -> DataFrame:
 
 def normalise(rows: DataFrame, flag: str = "changed") -> DataFrame:
     """Provider, GPU name, memory, region and geographic group by the conforming rules."""
-    out = with_gpu_name(by_distinct(rows, ["provider"], _provider=c.norm_provider(col("provider"))), into="_gpu")
-    out = settle(out, _region=c.norm_region(col("region"), col("_provider"), col("country"), col("raw_extra"), col("source")))
-    out = with_geo_group(with_memory(out, "_gpu", "_memory"), "_region", "_group")
-    new = {"provider": col("_provider"), "gpu_name": col("_gpu"), "gpu_memory_gb": col("_memory"), "region": col("_region"), "geo_group": col("_group")}
-    return _rewrite(out, new, flag).drop("_provider", "_gpu", "_region", "_memory", "_group")
+    out = in_steps(rows, provider_steps("provider", "__provider"), gpu_steps("gpu_name", "__gpu"))
+    out = in_steps(out, memory_steps("gpu_memory_gb", "__gpu", "__memory"), region_steps("region", "__provider", "__region"))
+    out = in_steps(out, group_steps("__region", "__group"))
+    new = {"provider": col("__provider"), "gpu_name": col("__gpu"), "gpu_memory_gb": col("__memory"), "region": col("__region"), "geo_group": col("__group")}
+    return _rewrite(out, new, flag)
 
 
 def reserved_markers(rows: DataFrame, flag: str = "changed") -> DataFrame:
     """On-demand rows that are capacity blocks or reservations, by their markers or by a price under the model's floor."""
-    billing, purchase, status = (c.json_get(col("raw_extra"), k) for k in ("billing_model", "purchase_option", "capacity_status"))
+    rows = _tail(rows, "billing_model", "purchase_option", "capacity_status")
+    billing, purchase, status = col("__billing_model"), col("__purchase_option"), col("__capacity_status")
     price, floor = c.parse_float(col("price_per_gpu_hour")), c.lookup(t.RESERVED_FLOORS, c.text(col("gpu_name")))
     kind = (
         F.when((billing == "capacity_block") | (purchase == "capacity_block"), "capacity_block")
@@ -51,7 +61,8 @@ def reserved_markers(rows: DataFrame, flag: str = "changed") -> DataFrame:
         .when(status.isin("UnusedCapacityReservation", "AllocatedCapacityReservation"), "capacity_reservation")
         .when((price > 0) & (price < floor), "capacity_block")
     )
-    kind = F.when(of("aws") & (F.lower(c.text(col("pricing_type"))) == "on_demand"), kind)
+    rows = settle(rows, __kind=F.when(of("aws") & (F.lower(c.text(col("pricing_type"))) == "on_demand"), kind))
+    kind = col("__kind")
     fill = lambda own: F.coalesce(c.blank_to_null(own), kind)
     put = c.json_put(col("raw_extra"), {"purchase_option": fill(purchase), "billing_model": fill(billing)})
     hit = kind.isNotNull()
@@ -69,9 +80,9 @@ def upfront(rows: DataFrame, flag: str = "changed") -> DataFrame:
     odd = mine & (c.text(col("pricing_type")) == "on_demand") & (each > 500)
     own = lambda k: c.text(col(k))
     or_ = lambda k, other: F.coalesce(c.blank_to_null(own(k)), other)
-    rows = settle(rows, _mine=mine, _odd=odd, _price=c.parse_float(col("price_per_hour")), _count=c.parse_float(specs["gpu_count"]),
-                  _up=F.when(odd, or_("upfront_price", own("price_per_hour"))).otherwise(own("upfront_price")))
-    mine, odd, price, count, up = (col(x) for x in ("_mine", "_odd", "_price", "_count", "_up"))
+    rows = settle(rows, __mine=mine, __odd=odd, __price=c.parse_float(col("price_per_hour")), __count=c.parse_float(specs["gpu_count"]),
+                  __up=F.when(odd, or_("upfront_price", own("price_per_hour"))).otherwise(own("upfront_price")))
+    mine, odd, price, count, up = (col(x) for x in ("__mine", "__odd", "__price", "__count", "__up"))
     up_each = F.when(odd, or_("upfront_price_per_gpu", own("price_per_gpu_hour"))).otherwise(own("upfront_price_per_gpu"))
     kind = F.when(odd, F.lit("reserved")).otherwise(own("pricing_type"))
     reserved = mine & (count > 0) & (kind == "reserved") & (c.parse_float(up) > 0)
@@ -85,18 +96,20 @@ def upfront(rows: DataFrame, flag: str = "changed") -> DataFrame:
         "price_per_hour": F.when(odd, F.lit("0")).otherwise(own("price_per_hour")),
         "price_per_gpu_hour": F.when(hourly, c.format_float(price / count)).when(odd, F.lit("0")).otherwise(own("price_per_gpu_hour")),
     }
-    return _rewrite(rows, new, flag).drop("_mine", "_odd", "_price", "_count", "_up")
+    return _rewrite(rows, new, flag)
 
 
 def daily_as_hourly(rows: DataFrame, flag: str = "changed") -> DataFrame:
     """Hourly prices that were divided by 24 although the source's price was hourly already."""
-    mine = of("cloreai")
-    legacy = c.parse_float(c.json_get(col("raw_extra"), "daily_usd"))
-    source = F.when(legacy > 0, legacy).otherwise(c.parse_float(c.json_get(col("raw_extra"), "source_price_usd")))
-    unit = F.when(legacy > 0, "hour").otherwise(F.lower(c.json_get(col("raw_extra"), "source_price_unit")))
-    usable = mine & (source > 0) & unit.isin("hour", "hr", "hourly")
-    count = F.when(c.parse_float(col("gpu_count")) > 0, c.parse_float(col("gpu_count"))).otherwise(1.0)
-    price, each = c.parse_float(col("price_per_hour")), c.parse_float(col("price_per_gpu_hour"))
+    rows = _tail(rows, "daily_usd", "source_price_usd", "source_price_unit")
+    old = c.parse_float(col("__daily_usd"))
+    rows = settle(
+        rows, __mine=of("cloreai"), __legacy=old, __price=c.parse_float(col("price_per_hour")), __each=c.parse_float(col("price_per_gpu_hour")), __own=c.parse_float(col("gpu_count")),
+        __source=F.when(old > 0, old).otherwise(c.parse_float(col("__source_price_usd"))), __unit=F.when(old > 0, "hour").otherwise(F.lower(col("__source_price_unit"))),
+    )
+    mine, legacy, price, each, source = (col(x) for x in ("__mine", "__legacy", "__price", "__each", "__source"))
+    usable = mine & (source > 0) & col("__unit").isin("hour", "hr", "hourly")
+    count = F.when(col("__own") > 0, col("__own")).otherwise(1.0)
     moved = c.json_put(col("raw_extra"), {"source_price_usd": c.format_float(legacy), "source_price_unit": F.lit("hour")}, ["daily_usd"])
     new = {
         "price_per_hour": F.when(usable & (price > 0) & (F.abs(price * 24 - source) <= 1e-4), c.format_float(source)).otherwise(col("price_per_hour")),
@@ -108,10 +121,11 @@ def daily_as_hourly(rows: DataFrame, flag: str = "changed") -> DataFrame:
 
 def tier_marker(rows: DataFrame, flag: str = "changed") -> DataFrame:
     """The tier's old key becomes the metric; the canonical suffix leaves the instance name."""
-    tier, metric = c.json_get(col("raw_extra"), "price_tier"), c.json_get(col("raw_extra"), "price_metric")
-    mine = of("akash")
+    rows = _tail(rows, "price_tier", "price_metric")
+    mine, tier = of("akash"), col("__price_tier")
+    put = c.json_put(col("raw_extra"), {"price_metric": F.coalesce(c.blank_to_null(col("__price_metric")), tier)}, ["price_tier"])
     new = {
-        "raw_extra": F.when(mine & (tier != ""), c.json_put(col("raw_extra"), {"price_metric": F.coalesce(c.blank_to_null(metric), tier)}, ["price_tier"])).otherwise(col("raw_extra")),
+        "raw_extra": F.when(mine & (tier != ""), put).otherwise(col("raw_extra")),
         "instance_type": F.when(mine, F.regexp_replace(c.strip(col("instance_type")), "_weightedAverage$", "")).otherwise(col("instance_type")),
     }
     return _rewrite(rows, new, flag)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _case(key: str, values: list[str]) -> str:
@@ -21,6 +22,7 @@ _PRICING = ["on-demand", "Preemptible", "committed", "inference", "", "on_demand
 _EXTRA = [
     "", "{\"locations\":[\"\",\"ewr\"]}", "{\"billing_model\":\"capacity_block\"}", "{\"purchase_option\":\"capacity_reservation\",\"a\":\"b\"}", "{\"capacity_status\":\"UnusedCapacityReservation\"}",
     "{\"price_tier\":\"max\"}", "{\"price_metric\":\"weightedAverage\"}", "not json", "{\"price_tier\":\"weightedAverage\",\"note\":\"x\"}",
+    "{\"a\":1,\"ok\":true,\"locs\":[\"x\",2],\"n\":{\"k\":2.5},\"price_tier\":\"avg\",\"capacity_status\":\"AllocatedCapacityReservation\"}", "{\"daily_usd\":24.5,\"k\":[1,{\"b\":false}]}",
 ]
 
 #: Cents of the hourly price; a price is shown with two decimals.
@@ -31,29 +33,65 @@ def _money(cents: str) -> str:
     return f"(CAST(CAST(floor(({cents}) / 100) AS BIGINT) AS STRING) || '.' || lpad(CAST(({cents}) % 100 AS STRING), 2, '0'))"
 
 
-def offers_sql(lineitem: str = "lineitem", supplier: str = "supplier") -> str:
+def offer_columns() -> list[str]:
+    """The offer's columns as SQL over lineitem and supplier."""
     pick = lambda values, key: _case(f"({key}) % {len(values)}", values)
     instance = """CASE WHEN l_suppkey % 8 = 1 AND l_partkey % 40 = 1 THEN 'Standard_NC40ads_H100_v5' WHEN l_suppkey % 8 = 4 AND l_partkey % 5 = 2 THEN ' GB200  NVL72'
         WHEN l_suppkey % 8 = 3 AND l_partkey % 5 = 3 THEN 'it_weightedAverage' WHEN l_suppkey % 8 = 3 AND l_partkey % 5 = 4 THEN 'it_max' ELSE 'it-' || CAST(l_partkey % 40 AS STRING) END"""
     each = f"""CASE WHEN l_suppkey % 8 = 1 AND l_partkey % 7 = 3 THEN '812.5' WHEN l_suppkey % 8 = 0 AND l_partkey % 5 = 1 THEN '0.015625' WHEN l_suppkey % 8 = 4 AND l_partkey % 11 = 3 THEN '1.0'
         WHEN l_suppkey % 8 = 3 AND l_partkey % 3 = 0 THEN '55.83' ELSE {_money(_CENTS)} END"""
     count = f"""CASE WHEN l_suppkey % 8 = 4 AND l_partkey % 11 = 3 THEN {_money(_CENTS)} ELSE {pick(['1', '2', '4', '8', '0', ''], 'l_linenumber + l_partkey')} END"""
-    return f"""
-SELECT lpad(CAST(l_orderkey AS STRING), 12, '0') || lpad(CAST(l_linenumber AS STRING), 3, '0') || lpad(CAST(l_partkey AS STRING), 10, '0') || lpad(CAST(l_suppkey AS STRING), 9, '0') || lpad(CAST({_CENTS} AS STRING), 10, '0') AS row_seq,
-  substr(CAST(CAST(l_shipdate AS DATE) AS STRING), 1, 7) || '-01' AS snapshot_date, CAST(CAST(l_shipdate AS DATE) AS STRING) || 'T00:00:00Z' AS snapshot_ts,
-  {pick(_SOURCES, 'l_suppkey')} AS source, {pick(_PROVIDERS, 'l_partkey')} AS provider, {instance} AS instance_type, 'f' || CAST(l_partkey % 6 AS STRING) AS instance_family,
-  {pick(_GPUS, 'l_partkey + l_suppkey % 3')} AS gpu_name, {pick(['SXM5', 'pci-e', '', 'nvl', 'Odd ', 'PCI E'], 'l_linenumber + l_suppkey')} AS gpu_variant, {pick(_MEMORY, 'l_orderkey')} AS gpu_memory_gb,
-  {count} AS gpu_count, {pick(['', 'NVLink', 'none', 'PCIe'], 'l_suppkey')} AS gpu_interconnect, {pick(['', '8', '16/32', '64'], 'l_orderkey')} AS vcpus, {pick(['nan', '64', '128.5'], 'l_orderkey + l_suppkey')} AS ram_gb,
-  {pick(['', '2x1900 NVMe SSD', 'NULL'], 'l_suppkey')} AS storage_desc, {pick(['100 Gbps', '', ' '], 'l_orderkey')} AS network_desc, {pick(_REGIONS, 's_nationkey + l_linenumber')} AS region,
-  {pick(['', 'a', 'b'], 'l_orderkey')} AS zone, {pick(['', 'us', 'DE', '', 'JP'], 's_nationkey')} AS country, '' AS geo_group, {pick(_PRICING, 'l_linenumber * 3 + l_suppkey')} AS pricing_type,
-  {pick(['', '1yr', '', '3yr'], 'l_partkey')} AS commitment_period, {_money(_CENTS)} AS price_per_hour, {each} AS price_per_gpu_hour, '' AS upfront_price, '' AS upfront_price_per_gpu,
-  CASE WHEN l_orderkey % 97 = 5 THEN '12.5' ELSE 'USD' END AS currency, CASE WHEN l_orderkey % 97 = 5 THEN '3.25' ELSE 'hour' END AS price_unit,
-  CASE WHEN l_orderkey % 97 = 5 THEN 'usd' ELSE {pick(['True', 'False', ''], 'l_orderkey')} END AS available, CASE WHEN l_orderkey % 97 = 5 THEN 'hour' ELSE {pick(['', '3'], 'l_orderkey')} END AS available_count,
-  CASE WHEN l_orderkey % 97 = 5 THEN 'true' ELSE {pick(['Linux', 'Windows'], 'l_linenumber')} END AS os, {pick(['Shared', ''], 'l_suppkey')} AS tenancy, {pick(['NA', ''], 'l_orderkey')} AS pre_installed_sw, {pick(_EXTRA, 'l_orderkey + l_partkey')} AS raw_extra
-FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey"""
+    return [
+        f"lpad(CAST(l_orderkey AS STRING), 12, '0') || lpad(CAST(l_linenumber AS STRING), 3, '0') || lpad(CAST(l_partkey AS STRING), 10, '0') || lpad(CAST(l_suppkey AS STRING), 9, '0') || lpad(CAST({_CENTS} AS STRING), 10, '0') AS row_seq",
+        f"substr(CAST(CAST(l_shipdate AS DATE) AS STRING), 1, 7) || '-01' AS snapshot_date",
+        f"CAST(CAST(l_shipdate AS DATE) AS STRING) || 'T00:00:00Z' AS snapshot_ts",
+        f"{pick(_SOURCES, 'l_suppkey')} AS source",
+        f"{pick(_PROVIDERS, 'l_partkey')} AS provider",
+        f"{instance} AS instance_type",
+        f"'f' || CAST(l_partkey % 6 AS STRING) AS instance_family",
+        f"{pick(_GPUS, 'l_partkey + l_suppkey % 3')} AS gpu_name",
+        f"{pick(['SXM5', 'pci-e', '', 'nvl', 'Odd ', 'PCI E'], 'l_linenumber + l_suppkey')} AS gpu_variant",
+        f"{pick(_MEMORY, 'l_orderkey')} AS gpu_memory_gb",
+        f"{count} AS gpu_count",
+        f"{pick(['', 'NVLink', 'none', 'PCIe'], 'l_suppkey')} AS gpu_interconnect",
+        f"{pick(['', '8', '16/32', '64'], 'l_orderkey')} AS vcpus",
+        f"{pick(['nan', '64', '128.5'], 'l_orderkey + l_suppkey')} AS ram_gb",
+        f"{pick(['', '2x1900 NVMe SSD', 'NULL'], 'l_suppkey')} AS storage_desc",
+        f"{pick(['100 Gbps', '', ' '], 'l_orderkey')} AS network_desc",
+        f"{pick(_REGIONS, 's_nationkey + l_linenumber')} AS region",
+        f"{pick(['', 'a', 'b'], 'l_orderkey')} AS zone",
+        f"{pick(['', 'us', 'DE', '', 'JP'], 's_nationkey')} AS country",
+        f"'' AS geo_group",
+        f"{pick(_PRICING, 'l_linenumber * 3 + l_suppkey')} AS pricing_type",
+        f"{pick(['', '1yr', '', '3yr'], 'l_partkey')} AS commitment_period",
+        f"{_money(_CENTS)} AS price_per_hour",
+        f"{each} AS price_per_gpu_hour",
+        f"'' AS upfront_price",
+        f"'' AS upfront_price_per_gpu",
+        f"CASE WHEN l_orderkey % 97 = 5 THEN '12.5' ELSE 'USD' END AS currency",
+        f"CASE WHEN l_orderkey % 97 = 5 THEN '3.25' ELSE 'hour' END AS price_unit",
+        f"CASE WHEN l_orderkey % 97 = 5 THEN 'usd' ELSE {pick(['True', 'False', ''], 'l_orderkey')} END AS available",
+        f"CASE WHEN l_orderkey % 97 = 5 THEN 'hour' ELSE {pick(['', '3'], 'l_orderkey')} END AS available_count",
+        f"CASE WHEN l_orderkey % 97 = 5 THEN 'true' ELSE {pick(['Linux', 'Windows'], 'l_linenumber')} END AS os",
+        f"{pick(['Shared', ''], 'l_suppkey')} AS tenancy",
+        f"{pick(['NA', ''], 'l_orderkey')} AS pre_installed_sw",
+        f"{pick(_EXTRA, 'l_orderkey + l_partkey')} AS raw_extra",
+    ]
+
+
+def offers_sql() -> str:
+    return f"SELECT {', '.join(offer_columns())} FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"
+
+
+def read_spread(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """A table; rows of fewer files than the cluster has cores are dealt over all cores before costly work on each of them."""
+    rows, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty offers, with row_seq: the place of a row in its source's file."""
-    tables = {name: f"parquet.`{sf_dir}/{name}.parquet`" for name in ("lineitem", "supplier")}
-    return spark.sql(offers_sql(**tables))
+    used = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+    items = read_spread(spark, f"{sf_dir}/lineitem.parquet", "l_orderkey").select(*used)
+    suppliers = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", "s_nationkey")
+    return items.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).selectExpr(*offer_columns())

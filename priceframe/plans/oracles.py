@@ -46,6 +46,15 @@ def object_(x: str) -> str:
     return f"CASE WHEN json_valid({x}) THEN {x} ELSE '{{}}' END"
 
 
+def patched(x: str, **new: str) -> str:
+    """The object with absent keys set to SQL texts, and keys dropped whose text is NULL."""
+    out = object_(x)
+    for k, v in new.items():
+        patch = f"json_object({quoted(k)}, {v})" if v == "NULL" else f"CASE WHEN {js(x, k)} = '' THEN json_object({quoted(k)}, {v}) ELSE json('{{}}') END"
+        out = f"json_merge_patch({out}, {patch})"
+    return f"CAST({out} AS VARCHAR)"
+
+
 def provider(x: str) -> str:
     key = f"regexp_replace(regexp_replace(translate(lower({strip(x)}), '- ', '__'), '_(our_)?sponsor(ed)?$', ''), '_sponsored$', '')"
     return case(t.PROVIDERS, key, key)
@@ -79,7 +88,7 @@ def pricing(x: str) -> str:
 
 def geo(region: str, country: str) -> str:
     key = f"replace(translate(lower({strip(region)}), '_', '-'), ' ', '')"
-    chain = " ".join(f"WHEN regexp_matches({key}, '^({p.replace(' ', '|')})') THEN {quoted(g)}" for g, p in t.REGION_GROUPS)
+    chain = " ".join(f"WHEN regexp_matches({key}, '^({'|'.join(p)})') THEN {quoted(g)}" for g, p in t.REGION_GROUPS)
     return f"coalesce({case(t.COUNTRY_GROUPS, f'upper({strip(region)})')}, {case(t.COUNTRY_GROUPS, f'upper({strip(country)})')}, CASE WHEN {strip(region)} = '' THEN 'Unknown' {chain} ELSE 'Unknown' END)"
 
 
@@ -109,7 +118,7 @@ _SAME = [x for x in COLUMNS if x not in ("provider", "gpu_name", "gpu_memory_gb"
 CONFORMED = f"""{OFFERS},
 c1 AS MATERIALIZED (SELECT *, {provider('provider')} AS p2, {gpu('gpu_name')} AS g2 FROM o),
 c2 AS MATERIALIZED (SELECT *, {memory('gpu_memory_gb', 'g2', 'gpu_count', 'gpu_variant')} AS m2, {pricing('pricing_type')} AS t2, {variant('gpu_variant')} AS v2, {region('region', 'p2', 'country', 'raw_extra', 'source')} AS r2 FROM c1),
-f AS MATERIALIZED (SELECT row_seq, {', '.join(_SAME)}, p2 AS provider, g2 AS gpu_name, m2 AS gpu_memory_gb, t2 AS pricing_type, v2 AS gpu_variant, r2 AS region, {geo('r2', 'country')} AS geo_group FROM c2)"""
+f AS MATERIALIZED (SELECT row_seq, {', '.join(_SAME)}, p2 AS provider, g2 AS gpu_name, m2 AS gpu_memory_gb, t2 AS pricing_type, v2 AS gpu_variant, r2 AS region, {geo('r2', 'country')} AS geo_group, false AS changed FROM c2)"""
 #: What is stored: named devices and per-token offers.
 STORED = f"{CONFORMED}, s AS MATERIALIZED (SELECT * FROM f WHERE lower(pricing_type) = 'inference' OR {strip('gpu_name')} <> '')"
 
@@ -163,6 +172,56 @@ def _scalar(expr: str, name: str) -> str:
 _distinct = lambda x: f"count(DISTINCT nullif({strip(x)}, ''))"
 _kind = f"CASE WHEN {js('raw_extra', 'billing_model')} = 'capacity_block' OR {js('raw_extra', 'purchase_option')} = 'capacity_block' THEN 'capacity_block' WHEN {js('raw_extra', 'billing_model')} = 'capacity_reservation' OR {js('raw_extra', 'purchase_option')} = 'capacity_reservation' OR {js('raw_extra', 'capacity_status')} IN ('UnusedCapacityReservation', 'AllocatedCapacityReservation') THEN 'capacity_reservation' WHEN {pf('price_per_gpu_hour')} > 0 AND {pf('price_per_gpu_hour')} < {case(t.RESERVED_FLOORS, 'gpu_name')} THEN 'capacity_block' END"
 _off = f"upper({strip('available')}) IN {inside(t.CURRENCIES)} AND lower({strip('available_count')}) IN {inside(t.PRICE_UNITS)} AND lower({strip('os')}) IN {inside(t.BOOLEANS)}"
+
+
+def _step(name: str, hit: str, new: dict[str, str]) -> str:
+    """A repair of {rows} as the table ``name``: columns with new values where hit holds, and changed where any differs."""
+    value = {k: f"CASE WHEN {hit} THEN {v} ELSE {k} END" for k, v in new.items()}
+    differs = " OR ".join(f"({v}) <> {k}" for k, v in value.items())
+    brace = lambda x: x.replace("{", "{{").replace("}", "}}")
+    return f"{name} AS MATERIALIZED (SELECT * REPLACE (" + brace(", ".join(f"{v} AS {k}" for k, v in value.items()) + f", changed OR {differs} AS changed") + ") FROM {rows})"
+
+
+def _braced(x: str) -> str:
+    return x.replace("{", "{{").replace("}", "}}")
+
+
+_own = lambda k: f"nullif({js('raw_extra', k)}, '')"
+_hit = f"({_of('aws')} AND lower(pricing_type) = 'on_demand' AND ({_kind}) IS NOT NULL)"
+_fill = lambda x: f"coalesce({x}, {_kind})"
+RESERVED = _step("d3", _hit, {"pricing_type": "'reserved'", "commitment_period": _fill("nullif(commitment_period, '')"), "raw_extra": patched("raw_extra", purchase_option=_fill(_own("purchase_option")), billing_model=_fill(_own("billing_model")))})
+_known = f"({_of('azure')} AND instance_type IN {inside(list(t.SKU_SPECS))})"
+_specs = _step("d4a", _known, {k: case({sku: v[j] for sku, v in t.SKU_SPECS.items()}, "instance_type") for j, k in enumerate(("gpu_name", "gpu_memory_gb", "gpu_count", "gpu_variant"))})
+_marked = f"d4b AS MATERIALIZED (SELECT *, {_of('azure')} AS mine, {_of('azure')} AND pricing_type = 'on_demand' AND {pf('price_per_gpu_hour')} > 500 AS odd, {pf('price_per_hour')} AS was FROM d4a)"
+_moved = _step("d4c", "odd", {"pricing_type": "'reserved'", "commitment_period": "coalesce(nullif(commitment_period, ''), 'unknown')", "upfront_price": "coalesce(nullif(upfront_price, ''), price_per_hour)", "upfront_price_per_gpu": "coalesce(nullif(upfront_price_per_gpu, ''), price_per_gpu_hour)", "price_per_hour": "'0'", "price_per_gpu_hour": "'0'"}).format(rows="d4b")
+_up = f"mine AND {pf('gpu_count')} > 0 AND pricing_type = 'reserved' AND {pf('upfront_price')} > 0"
+_each_up = _step("d4d", _up, {"upfront_price_per_gpu": fmt(pf("upfront_price") + " / " + pf("gpu_count"))}).format(rows="d4c")
+_each = _step("d4e", f"mine AND {pf('gpu_count')} > 0 AND NOT ({_up}) AND was > 0", {"price_per_gpu_hour": fmt("was / " + pf("gpu_count"))}).format(rows="d4d")
+UPFRONT = f"{_specs}, " + _braced(f"{_marked}, {_moved}, {_each_up}, {_each}, d4 AS (SELECT * EXCLUDE (mine, odd, was) FROM d4e)")
+_legacy, _cards = pf(js("raw_extra", "daily_usd")), f"CASE WHEN {pf('gpu_count')} > 0 THEN {pf('gpu_count')} ELSE 1 END"
+_source = f"CASE WHEN {_legacy} > 0 THEN {_legacy} ELSE {pf(js('raw_extra', 'source_price_usd'))} END"
+_usable = f"{_of('cloreai')} AND ({_source}) > 0 AND ({_legacy} > 0 OR lower({js('raw_extra', 'source_price_unit')}) IN ('hour', 'hr', 'hourly'))"
+DAILY = _step("d5a", f"{_usable} AND {pf('price_per_hour')} > 0 AND abs({pf('price_per_hour')} * 24 - ({_source})) <= 1e-4", {"price_per_hour": fmt(f"({_source})")})
+DAILY += ", " + _braced(_step("d5b", f"{_usable} AND {pf('price_per_gpu_hour')} > 0 AND abs({pf('price_per_gpu_hour')} * 24 - ({_source}) / ({_cards})) <= 1e-4", {"price_per_gpu_hour": fmt(f"({_source}) / ({_cards})")}).format(rows="d5a"))
+DAILY += ", " + _braced(_step("d5", f"{_of('cloreai')} AND {_legacy} > 0", {"raw_extra": patched("raw_extra", source_price_usd=fmt(_legacy), source_price_unit="'hour'", daily_usd="NULL")}).format(rows="d5b"))
+TIER = _step("d6a", f"{_of('akash')} AND {js('raw_extra', 'price_tier')} <> ''", {"raw_extra": patched("raw_extra", price_metric=f"coalesce({_own('price_metric')}, {js('raw_extra', 'price_tier')})", price_tier="NULL")})
+TIER += ", " + _braced(_step("d6", _of("akash"), {"instance_type": f"regexp_replace({strip('instance_type')}, '_weightedAverage$', '')"}).format(rows="d6a"))
+_node = f"regexp_replace({strip('instance_type')}, '\\s+', ' ', 'g')"
+_nodes = f"{_of('coreweave')} AND {_node} IN {inside(list(t.NODE_COUNTS))}"
+NODES = _step("d7a", _nodes, {"gpu_count": case(t.NODE_COUNTS, _node), "gpu_memory_gb": case(t.NODE_MEMORY, _node)})
+NODES += ", " + _braced(_step("d7", f"{_nodes} AND {pf('price_per_hour')} > 0", {"price_per_gpu_hour": fmt(f"{pf('price_per_hour')} / {pf('gpu_count')}")}).format(rows="d7a"))
+_share = f"round({num('gpu_memory_gb')} / {case({a: float(b) for a, b in t.FULL_CARD_MEMORY.items()}, 'gpu_name')}, 6)"
+_cards_of = f"CASE WHEN {_share} > 0 THEN {_share} ELSE 1.0 END"
+_shown = f"CASE WHEN ({_cards_of}) = floor({_cards_of}) THEN CAST(CAST({_cards_of} AS BIGINT) AS VARCHAR) ELSE CAST({_cards_of} AS VARCHAR) END"
+FRACTIONS = _step("d8a", f"{_of('vultr')} AND {pf('price_per_hour')} > 0", {"price_per_gpu_hour": fmt(f"{pf('price_per_hour')} / ({_cards_of})")})
+FRACTIONS += ", " + _braced(_step("d8", _of("vultr"), {"gpu_count": _shown}).format(rows="d8a"))
+_back = {"upfront_price": "currency", "upfront_price_per_gpu": "price_unit", "currency": "available", "price_unit": "available_count", "available": "os", "available_count": "tenancy", "os": "pre_installed_sw", "tenancy": "raw_extra", "pre_installed_sw": "''", "raw_extra": "''"}
+_new = {"provider": "p2", "gpu_name": "g2", "gpu_memory_gb": "m2", "region": "r2", "geo_group": geo("r2", "country")}
+REPAIRED = f"""{OFFERS}, d1 AS MATERIALIZED (SELECT * REPLACE ({', '.join(f"CASE WHEN {_off} THEN {new} ELSE {old} END AS {old}" for old, new in _back.items())}), {_off} AS shifted FROM o),
+n1 AS MATERIALIZED (SELECT *, {provider('provider')} AS p2, {gpu('gpu_name')} AS g2 FROM d1),
+n2 AS MATERIALIZED (SELECT *, {memory('gpu_memory_gb', 'g2', 'gpu_count', 'gpu_variant')} AS m2, {region('region', 'p2', 'country', 'raw_extra', 'source')} AS r2 FROM n1),
+d2 AS MATERIALIZED (SELECT * EXCLUDE (p2, g2, m2, r2) REPLACE ({', '.join(f'{v} AS {k}' for k, v in _new.items())}), {' OR '.join(f'({v}) <> {k}' for k, v in _new.items())} AS changed FROM n2),
+{RESERVED.format(rows='d2')}, {UPFRONT.format(rows='d3')}, {DAILY.format(rows='d4')}, {TIER.format(rows='d5')}, {NODES.format(rows='d6')}, {FRACTIONS.format(rows='d7')}"""
 _top = f"coalesce(nullif({strip('gpu_name')}, ''), '(unknown)')"
 _fresh = f"SELECT {', '.join(COLUMNS)} FROM s"
 
@@ -177,7 +236,7 @@ ORACLE_SQL: dict[str, str] = {
     "conform_offers": f"WITH {CONFORMED} SELECT row_seq, {', '.join(COLUMNS)} FROM f",
     "per_gpu_price": _scalar(f"CASE WHEN {pf('gpu_count')} <= 0 THEN price_per_hour ELSE {fmt(num('price_per_hour') + ' / ' + pf('gpu_count'))} END", "each"),
     "format_price": _scalar(fmt(f"{pf('price_per_hour')} / 7"), "shown"),
-    "json_tail_update": _scalar(f"CASE WHEN {js('raw_extra', 'note')} = 'x' THEN 'x|new|' WHEN {js('raw_extra', 'price_tier')} <> '' THEN '|new|' ELSE '|new|' END", "parts"),
+    "json_tail_update": _scalar(patched("raw_extra", added="'new'", price_tier="NULL"), "new"),
     "save_filter": f"WITH {CONFORMED} SELECT row_seq FROM f WHERE lower(pricing_type) = 'inference' OR {strip('gpu_name')} <> ''",
     "quality_keep": f"WITH {CONFORMED} SELECT row_seq FROM f WHERE {KEEP}",
     "outlier_bounds": f"WITH {CONFORMED} SELECT row_seq FROM f WHERE {OUTLIER}",
@@ -188,16 +247,12 @@ ORACLE_SQL: dict[str, str] = {
     "price_sanity": f"WITH {OFFERS} SELECT row_seq, CAST(price_per_hour AS DOUBLE) AS price FROM o WHERE CAST(price_per_hour AS DOUBLE) > 0 AND CAST(price_per_hour AS DOUBLE) <= 500",
     "repair_shifted_tail": f"WITH {OFFERS} SELECT row_seq, {_off} AS shifted, " + ", ".join(f"CASE WHEN {_off} THEN {new} ELSE {old} END AS {old}" for old, new in (("upfront_price", "currency"), ("upfront_price_per_gpu", "price_unit"), ("currency", "available"), ("price_unit", "available_count"), ("available", "os"), ("available_count", "tenancy"), ("os", "pre_installed_sw"), ("tenancy", "raw_extra"), ("pre_installed_sw", "''"), ("raw_extra", "''"))) + " FROM o",
     "normalise_existing": f"WITH {CONFORMED} SELECT row_seq, f.provider, f.gpu_name, f.gpu_memory_gb, f.region, f.geo_group, (f.provider <> o.provider OR f.gpu_name <> o.gpu_name OR f.gpu_memory_gb <> o.gpu_memory_gb OR f.region <> o.region OR f.geo_group <> o.geo_group) AS changed FROM f JOIN o USING (row_seq)",
-    "repair_reserved": f"WITH {CONFORMED}, k AS (SELECT *, CASE WHEN {_of('aws')} AND lower(pricing_type) = 'on_demand' THEN {_kind} END AS kind FROM f) SELECT row_seq, CASE WHEN kind IS NOT NULL THEN 'reserved' ELSE pricing_type END AS pricing_type, CASE WHEN kind IS NOT NULL THEN coalesce(nullif(commitment_period, ''), kind) ELSE commitment_period END AS commitment_period, coalesce(nullif({js('raw_extra', 'purchase_option')}, ''), kind, '') AS purchase_option, coalesce(nullif({js('raw_extra', 'billing_model')}, ''), kind, '') AS billing_model FROM k",
-    "repair_upfront": f"""WITH {CONFORMED}, a AS (SELECT *, {_of('azure')} AS mine, {_of('azure')} AND instance_type = 'Standard_NC40ads_H100_v5' AS known FROM f),
-      b AS (SELECT *, CASE WHEN known THEN '1' ELSE gpu_count END AS gc, mine AND pricing_type = 'on_demand' AND {pf('price_per_gpu_hour')} > 500 AS odd FROM a),
-      c AS (SELECT *, CASE WHEN odd THEN 'reserved' ELSE pricing_type END AS pt, CASE WHEN odd THEN coalesce(nullif(upfront_price, ''), price_per_hour) ELSE upfront_price END AS up FROM b)
-      SELECT row_seq, CASE WHEN known THEN 'H100' ELSE gpu_name END AS gpu_name, gc AS gpu_count, pt AS pricing_type, up AS upfront_price, CASE WHEN odd THEN '0' ELSE price_per_hour END AS price_per_hour,
-        CASE WHEN mine AND {pf('gc')} > 0 AND pt = 'reserved' AND {pf('up')} > 0 THEN {fmt(pf('up') + ' / ' + pf('gc'))} WHEN odd THEN price_per_gpu_hour ELSE upfront_price_per_gpu END AS upfront_price_per_gpu,
-        CASE WHEN mine AND {pf('gc')} > 0 AND NOT (pt = 'reserved' AND {pf('up')} > 0) AND {pf('price_per_hour')} > 0 THEN {fmt(pf('price_per_hour') + ' / ' + pf('gc'))} WHEN odd THEN '0' ELSE price_per_gpu_hour END AS price_per_gpu_hour FROM c""",
-    "repair_tier": f"WITH {CONFORMED} SELECT row_seq, CASE WHEN {_of('akash')} THEN regexp_replace({strip('instance_type')}, '_weightedAverage$', '') ELSE instance_type END AS instance_type, CASE WHEN {_of('akash')} THEN coalesce(nullif({js('raw_extra', 'price_metric')}, ''), {js('raw_extra', 'price_tier')}) ELSE {js('raw_extra', 'price_metric')} END AS price_metric, CASE WHEN {_of('akash')} THEN '' ELSE {js('raw_extra', 'price_tier')} END AS price_tier FROM f",
-    "repair_node_counts": f"WITH {CONFORMED}, k AS (SELECT *, {_of('coreweave')} AND regexp_replace({strip('instance_type')}, '\\s+', ' ', 'g') = 'GB200 NVL72' AS hit FROM f) SELECT row_seq, CASE WHEN hit THEN '4' ELSE gpu_count END AS gpu_count, CASE WHEN hit THEN '186' ELSE gpu_memory_gb END AS gpu_memory_gb, CASE WHEN hit AND {pf('price_per_hour')} > 0 THEN {fmt(pf('price_per_hour') + ' / 4')} ELSE price_per_gpu_hour END AS price_per_gpu_hour FROM k",
-    "repair_fractional": f"WITH {CONFORMED}, k AS (SELECT *, CASE WHEN round({num('gpu_memory_gb')} / {case({a: float(b) for a, b in t.FULL_CARD_MEMORY.items()}, 'gpu_name')}, 6) > 0 THEN round({num('gpu_memory_gb')} / {case({a: float(b) for a, b in t.FULL_CARD_MEMORY.items()}, 'gpu_name')}, 6) ELSE 1.0 END AS n FROM f) SELECT row_seq, CASE WHEN {_of('vultr')} THEN n ELSE {pf('gpu_count')} END AS gpu_count, CASE WHEN {_of('vultr')} AND {pf('price_per_hour')} > 0 THEN {fmt(pf('price_per_hour') + ' / n')} ELSE price_per_gpu_hour END AS price_per_gpu_hour FROM k",
+    "repair_reserved": f"WITH {CONFORMED}, {RESERVED.format(rows='f')} SELECT row_seq, pricing_type, commitment_period, raw_extra FROM d3",
+    "repair_upfront": f"WITH {CONFORMED}, {UPFRONT.format(rows='f')} SELECT row_seq, gpu_name, gpu_count, pricing_type, upfront_price, price_per_hour, upfront_price_per_gpu, price_per_gpu_hour FROM d4",
+    "repair_tier": f"WITH {CONFORMED}, {TIER.format(rows='f')} SELECT row_seq, instance_type, raw_extra FROM d6",
+    "repair_node_counts": f"WITH {CONFORMED}, {NODES.format(rows='f')} SELECT row_seq, gpu_count, gpu_memory_gb, price_per_gpu_hour FROM d7",
+    "repair_fractional": f"WITH {CONFORMED}, {FRACTIONS.format(rows='f')} SELECT row_seq, {pf('gpu_count')} AS gpu_count, price_per_gpu_hour FROM d8",
+    "repair_counts": f"WITH {REPAIRED} SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE shifted) AS shifted, count(*) FILTER (WHERE changed) AS changed, count(*) FILTER (WHERE NOT {KEEP}) AS dropped FROM d8 GROUP BY source",
     "dedup_exact": f"WITH {STORED} SELECT DISTINCT {', '.join(COLUMNS)} FROM ({_fresh} UNION ALL {_fresh})",
     "retention_retained": f"WITH {STORED} SELECT row_seq FROM s WHERE snapshot_date >= '{CUTOFF}'",
     "retention_expired": f"WITH {STORED} SELECT row_seq FROM s WHERE snapshot_date < '{CUTOFF}'",
@@ -226,7 +281,8 @@ ORACLE_SQL: dict[str, str] = {
     "scan_dates_semi": f"WITH {STORED} SELECT row_seq FROM s WHERE snapshot_date IN (SELECT DISTINCT snapshot_date FROM s WHERE source = 'aws' AND gpu_name = 'H100')",
     "replace_dates": f"WITH {STORED}, d AS (SELECT DISTINCT snapshot_date FROM s WHERE snapshot_date LIKE '1996-0%') SELECT row_seq, 'old' AS mark FROM s WHERE snapshot_date >= '{CUTOFF}' AND snapshot_date NOT IN (SELECT * FROM d) UNION ALL SELECT row_seq, 'new' AS mark FROM s WHERE snapshot_date IN (SELECT * FROM d)",
     "affected_dates": f"WITH {STORED} SELECT DISTINCT snapshot_date FROM s WHERE snapshot_date >= '{CUTOFF}' AND (source = 'akash' OR (source <> 'akash' AND NOT {KEEP}))",
-    "repair_daily_hourly": f"WITH {OFFERS}, k AS (SELECT *, {_of('cloreai')} AND {pf('price_per_hour')} > 0 AS hit, {fmt(pf('price_per_hour') + ' / 24')} AS low, {fmt(pf('price_per_hour'))} AS high FROM o) SELECT row_seq, CASE WHEN hit THEN high ELSE low END AS price_per_hour, CASE WHEN hit THEN high ELSE low END AS price_per_gpu_hour, hit AS changed FROM k",
+    "repair_daily_hourly": f"""WITH {OFFERS}, k AS (SELECT row_seq, source, provider, '1' AS gpu_count, {fmt(pf('price_per_hour') + ' / 24')} AS low, CASE WHEN right(row_seq, 1) < '5' THEN '{{"source_price_usd":"' || price_per_hour || '","source_price_unit":"hour"}}' ELSE '{{"a":[1,true],"daily_usd":' || price_per_hour || ',"z":{{"k":null}}}}' END AS raw_extra FROM o),
+      b AS (SELECT *, low AS price_per_hour, low AS price_per_gpu_hour, false AS changed FROM k), {DAILY.format(rows='b')} SELECT row_seq, price_per_hour, price_per_gpu_hour, raw_extra, changed FROM d5""",
     "master_sorted": f"WITH {STORED} SELECT {', '.join(COLUMNS)} FROM s WHERE lower(pricing_type) <> 'inference'",
     "inference_sorted": f"WITH {STORED} SELECT {', '.join(COLUMNS)} FROM s WHERE lower(pricing_type) = 'inference'",
     "schema_migrate": f"WITH {OFFERS} SELECT row_seq, source, CASE WHEN right(row_seq, 1) IN ('0', '2', '4', '6', '8') THEN '7' ELSE '' END AS upfront_price, raw_extra FROM o",

@@ -12,6 +12,7 @@ from priceframe.operators import conform, dedup, quality, repair, resolve, stats
 from priceframe.plans.bridge import offers
 from priceframe.plans.oracles import CUTOFF
 from priceframe.sources import offers as sinks
+from priceframe.sources.shared import written
 from priceframe.schema import BACKFILL, COLUMNS
 
 col = F.col
@@ -36,30 +37,29 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.split_kind(stored(spark, sf_dir))[0]
 
 
-def _scalar(name: str, made: Callable[[], object], out: str = "norm", inputs: list[str] | None = None) -> None:
-    """A query of one function; with inputs it runs once for each distinct input."""
+def _scalar(name: str, made: Callable[[], object], out: str = "norm") -> None:
+    """A query of one function."""
+    QUERIES[name] = lambda spark, sf_dir: offers(spark, sf_dir).select("row_seq", made().alias(out))
 
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = offers(spark, sf_dir)
-        rows = conform.by_distinct(rows, inputs, **{out: made()}) if inputs else rows.withColumn(out, made())
-        return rows.select("row_seq", out)
 
-    QUERIES[name] = run
-
-
-_scalar("norm_provider", lambda: c.norm_provider(col("provider")), inputs=["provider"])
-_scalar("norm_gpu_name", lambda: c.norm_gpu_name(col("gpu_name")), inputs=["gpu_name"])
+_scalar("norm_provider", lambda: c.norm_provider(col("provider")))
 _scalar("norm_region", lambda: c.norm_region(col("region"), col("provider"), col("country"), col("raw_extra"), col("source")))
 _scalar("norm_pricing_type", lambda: c.norm_pricing_type(col("pricing_type")))
 _scalar("norm_variant", lambda: c.norm_variant(col("gpu_variant")))
-_scalar("geo_group", lambda: c.geo_group(col("region"), col("country")), inputs=["region", "country"])
+_scalar("geo_group", lambda: c.geo_group(col("region"), col("country")))
 _scalar("per_gpu_price", lambda: c.per_gpu_price(col("price_per_hour"), col("gpu_count")), "each")
 _scalar("format_price", lambda: c.format_float(c.parse_float(col("price_per_hour")) / 7), "shown")
 
 
+@query
+def norm_gpu_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform.in_steps(offers(spark, sf_dir).select("row_seq", "gpu_name"), conform.gpu_steps("gpu_name", "norm")).select("row_seq", "norm")
+
+
 @query
 def norm_gpu_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform.with_memory(conform.with_gpu_name(offers(spark, sf_dir))).select("row_seq", col("gpu_memory_gb").alias("norm"))
+    named = conform.in_steps(offers(spark, sf_dir), conform.gpu_steps("gpu_name", "gpu_name"))
+    return conform.in_steps(named, conform.memory_steps("gpu_memory_gb", "gpu_name", "norm")).select("row_seq", "norm")
 
 
 @query
@@ -70,7 +70,7 @@ def conform_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def json_tail_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     new = c.json_put(col("raw_extra"), {"added": F.lit("new")}, ["price_tier"])
-    return offers(spark, sf_dir).withColumn("new", new).select("row_seq", F.concat_ws("|", c.json_get(col("new"), "note"), c.json_get(col("new"), "added"), c.json_get(col("new"), "price_tier")).alias("parts"))
+    return offers(spark, sf_dir).select("row_seq", new.alias("new"))
 
 
 def _rows(name: str, condition: Callable[[], object]) -> None:
@@ -115,7 +115,7 @@ def normalise_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def repair_reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repair.reserved_markers(conformed(spark, sf_dir))
-    return out.select("row_seq", "pricing_type", "commitment_period", *[c.json_get(col("raw_extra"), k).alias(k) for k in ("purchase_option", "billing_model")])
+    return out.select("row_seq", "pricing_type", "commitment_period", "raw_extra")
 
 
 @query
@@ -126,7 +126,7 @@ def repair_upfront(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def repair_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repair.tier_marker(conformed(spark, sf_dir))
-    return out.select("row_seq", "instance_type", *[c.json_get(col("raw_extra"), k).alias(k) for k in ("price_metric", "price_tier")])
+    return out.select("row_seq", "instance_type", "raw_extra")
 
 
 @query
@@ -198,39 +198,39 @@ def dedup_keyed_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rank_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.rank_sources(stored(spark, sf_dir)).select("provider", "source", col("ord.rank").alias("rank")).distinct()
+    return resolve.rank_sources(stored(spark, sf_dir).select("row_seq", *resolve.NEEDED)).select("provider", "source", col("ord.rank").alias("rank")).distinct()
 
 
 @query
 def primary_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.rank_sources(stored(spark, sf_dir)).where("is_primary").select("provider", "source").distinct()
+    return resolve.rank_sources(stored(spark, sf_dir).select("row_seq", *resolve.NEEDED)).where("is_primary").select("provider", "source").distinct()
 
 
 @query
 def resolve_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.resolve(hourly(spark, sf_dir), backfill=False).select("row_seq", "source", "provider")
+    return resolve.resolve(hourly(spark, sf_dir), backfill=False, carry=["row_seq", "source", "provider"])
 
 
 @query
 def resolve_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.resolve(hourly(spark, sf_dir)).select("row_seq", "source", *BACKFILL)
+    return resolve.resolve(hourly(spark, sf_dir), carry=["row_seq", "source", *BACKFILL])
 
 
 @query
 def resolve_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.resolve(quality.split_kind(stored(spark, sf_dir))[1], backfill=False).select("row_seq", "source", "provider")
+    return resolve.resolve(quality.split_kind(stored(spark, sf_dir))[1], backfill=False, carry=["row_seq", "source", "provider"])
 
 
 @query
 def resolve_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = hourly(spark, sf_dir)
-    return resolve.resolve_stats(rows, resolve.resolve(rows, backfill=False))
+    rows = written(hourly(spark, sf_dir).select("row_seq", *resolve.NEEDED), "hourly")
+    return resolve.resolve_stats(rows, resolve.resolve(rows, backfill=False, carry=["provider", "source"]))
 
 
 @query
 def resolve_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = hourly(spark, sf_dir)
-    return resolve.resolve_breakdown(rows, resolve.resolve(rows, backfill=False))
+    rows = written(hourly(spark, sf_dir).select("row_seq", *resolve.NEEDED), "hourly")
+    return resolve.resolve_breakdown(rows, resolve.resolve(rows, backfill=False, carry=["provider", "source"]))
 
 
 @query
@@ -260,7 +260,7 @@ def source_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def master_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.master_summary(resolve.resolve(hourly(spark, sf_dir), backfill=False))
+    return stats.master_summary(resolve.resolve(hourly(spark, sf_dir), backfill=False, carry=["provider", "gpu_name", "snapshot_date"]))
 
 
 @query
@@ -302,12 +302,14 @@ def affected_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def repair_daily_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of one source whose price was divided by 24, with the true price in the JSON tail."""
+    """Rows of one source whose price was divided by 24, with the true price in the JSON tail, under the old key in some."""
     own = offers(spark, sf_dir).select("row_seq", "source", "provider", F.lit("1").alias("gpu_count"), col("price_per_hour").alias("true"))
     each = c.format_float(c.parse_float(col("true")) / 24)
-    tail = F.to_json(F.struct(col("true").alias("source_price_usd"), F.lit("hour").alias("source_price_unit")))
+    new_tail = F.to_json(F.struct(col("true").alias("source_price_usd"), F.lit("hour").alias("source_price_unit")))
+    old_tail = F.concat(F.lit('{"a":[1,true],"daily_usd":'), col("true"), F.lit(',"z":{"k":null}}'))
+    tail = F.when(F.substring("row_seq", -1, 1) < "5", new_tail).otherwise(old_tail)
     broken = own.withColumns({"price_per_hour": each, "price_per_gpu_hour": each, "raw_extra": tail})
-    return repair.daily_as_hourly(broken).select("row_seq", "price_per_hour", "price_per_gpu_hour", "changed")
+    return repair.daily_as_hourly(broken).select("row_seq", "price_per_hour", "price_per_gpu_hour", "raw_extra", "changed")
 
 
 @query
