@@ -231,6 +231,8 @@ def json_put(raw: Column, changes: dict[str, Column], drop: list[str] | None = N
         return reduce(lambda rest, c: F.when((k == c[0]) & c[1].isNotNull(), c[1].cast("variant")).otherwise(rest), changes.items(), v)
 
     old = json_map(raw) if not drop else F.map_filter(json_map(raw), lambda k, v: ~k.isin(drop))
+    if not changes:
+        return F.when(F.size(old) > 0, F.to_json(old)).otherwise(text(raw))
     new = F.array(*[F.struct(F.lit(k).alias("key"), x.cast("variant").alias("value")) for k, x in changes.items()])
     whole = F.map_concat(F.transform_values(old, changed), F.map_from_entries(F.filter(new, lambda e: e["value"].isNotNull() & ~F.array_contains(F.map_keys(old), e["key"]))))
     return F.when(F.size(whole) > 0, F.to_json(whole)).otherwise(text(raw))

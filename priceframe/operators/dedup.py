@@ -15,6 +15,11 @@ def dedup_exact(rows: DataFrame, columns: list[str] = COLUMNS) -> DataFrame:
     return rows.select(*[c.text(F.col(x)).alias(x) for x in columns]).distinct()
 
 
+def dedup_first(rows: DataFrame, seq: str = "row_seq", columns: list[str] = COLUMNS) -> DataFrame:
+    """One row for each different content of the columns, with the first of its places."""
+    return rows.groupBy(*[c.text(F.col(x)).alias(x) for x in columns]).agg(F.min(seq).alias(seq))
+
+
 def dedup_keyed(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row of each key, found by a partial minimum over the order and the rest of the row."""
     rest = [x for x in rows.columns if x not in key and x not in order]
@@ -83,11 +88,12 @@ def union_sources(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def incremental_finalize(published: DataFrame, old: DataFrame, new: DataFrame, cutoff: str, rebuild) -> DataFrame:
-    """The published table after new rows arrived: only affected dates are rebuilt, from old and new rows of all sources."""
+def incremental_finalize(published: DataFrame, old: DataFrame, new: DataFrame, cutoff: str, rebuild, seq: str = "row_seq") -> DataFrame:
+    """The published table after new rows arrived: only affected dates are rebuilt, from old and new rows of all sources (with
+    their places), expired and affected dates leave it."""
     dates = affected_dates(old, new, cutoff)
-    rows = prune(old.unionByName(new), cutoff, quality=True)
-    return replace_dates(published, rebuild(scan_dates(rows, dates)), dates, cutoff)
+    rows = scan_dates(old.unionByName(new).where(~expired(cutoff) & keep_existing()), dates)
+    return replace_dates(published, rebuild(dedup_first(rows, seq)), dates, cutoff)
 
 
 def migrate_header(cells: DataFrame, old_header: list[str], columns: list[str] = COLUMNS, col: str = "cells") -> DataFrame:

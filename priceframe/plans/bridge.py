@@ -10,7 +10,7 @@ def _case(key: str, values: list[str]) -> str:
     return f"CASE {key} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(values)) + " END"
 
 
-_SOURCES = ["aws", "azure", "cloreai", "akash", "coreweave", "vultr", "skypilot", "getdeploying"]
+SOURCES = ["aws", "azure", "cloreai", "akash", "coreweave", "vultr", "skypilot", "getdeploying"]
 _PROVIDERS = ["aws", "AZURE ", "google cloud", "lambda-labs", "runpod_our_sponsor", "vultr", "akash", "coreweave", "cloreai", ""]
 _GPUS = [
     "h100-sxm5-80gb", "NVIDIA H100", "A100 80GB", "a100-sxm4-40gb", "RTXA2000", "RTXPro6000", "gtx1070ti", "p40", "gaudi2", "GPU (unspecified)", "CPU", "1", "",
@@ -45,7 +45,7 @@ def offer_columns() -> list[str]:
         f"lpad(CAST(l_orderkey AS STRING), 12, '0') || lpad(CAST(l_linenumber AS STRING), 3, '0') || lpad(CAST(l_partkey AS STRING), 10, '0') || lpad(CAST(l_suppkey AS STRING), 9, '0') || lpad(CAST({_CENTS} AS STRING), 10, '0') AS row_seq",
         f"substr(CAST(CAST(l_shipdate AS DATE) AS STRING), 1, 7) || '-01' AS snapshot_date",
         f"CAST(CAST(l_shipdate AS DATE) AS STRING) || 'T00:00:00Z' AS snapshot_ts",
-        f"{pick(_SOURCES, 'l_suppkey')} AS source",
+        f"{pick(SOURCES, 'l_suppkey')} AS source",
         f"{pick(_PROVIDERS, 'l_partkey')} AS provider",
         f"{instance} AS instance_type",
         f"'f' || CAST(l_partkey % 6 AS STRING) AS instance_family",

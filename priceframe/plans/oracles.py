@@ -132,37 +132,42 @@ PRICE_AS_COUNT = f"""({_of('coreweave')} AND lower(pricing_type) = 'on_demand' A
 KEEP = f"(NOT {OUTLIER} AND NOT {OTHER_TIER} AND NOT {PRICE_AS_COUNT} AND (lower(pricing_type) = 'inference' OR ({strip('gpu_name')} <> '' AND NOT regexp_matches({strip('gpu_name')}, '^[0-9]+(\\.[0-9]+)?$'))))"
 
 
-def resolved(inference: bool = False) -> str:
-    """kept(row_seq), all(row_seq, ...) by walking each provider's and date's offers one after the other, as lists of covered keys."""
+def walked(inference: bool = False, rows: str = "s", tag: str = "") -> str:
+    """marked{tag}(row_seq, keep, ...) by walking each provider's and date's offers one after the other, as lists of covered keys."""
     key = lambda names: "md5(" + " || chr(1) || ".join(f"lower({strip(n)})" for n in names) + ")"
     only = "= 'inference'" if inference else "<> 'inference'"
     prio = case({k: v for k, v in t.PRIORITIES.items()}, "source", str(t.OTHER_PRIORITY))
-    return f"""{STORED},
-base AS MATERIALIZED (SELECT * REPLACE (lower({strip('provider')}) AS provider), {prio} AS prio FROM s WHERE lower(pricing_type) {only} AND {strip('provider')} <> ''),
-ordered AS MATERIALIZED (SELECT *, {key(['snapshot_date', 'provider', 'instance_type', 'pricing_type'])} AS ik, {key(['snapshot_date', 'provider', 'gpu_name', 'gpu_count', 'region', 'pricing_type', 'os'])} AS gk, {strip('gpu_name')} <> '' AS named,
+    return f"""base{tag} AS MATERIALIZED (SELECT * REPLACE (lower({strip('provider')}) AS provider), {prio} AS prio FROM {rows} WHERE lower(pricing_type) {only} AND {strip('provider')} <> ''),
+ordered{tag} AS MATERIALIZED (SELECT *, {key(['snapshot_date', 'provider', 'instance_type', 'pricing_type'])} AS ik, {key(['snapshot_date', 'provider', 'gpu_name', 'gpu_count', 'region', 'pricing_type', 'os'])} AS gk, {strip('gpu_name')} <> '' AS named,
   source = first_value(source) OVER (PARTITION BY provider ORDER BY prio, source) AS is_primary,
-  row_number() OVER (PARTITION BY provider, snapshot_date ORDER BY prio, source, row_seq) AS n, row_number() OVER (ORDER BY prio, source, row_seq) AS ord FROM base),
-walk AS (
-  SELECT provider, snapshot_date, 0 AS n, CAST([] AS VARCHAR[]) AS iks, CAST([] AS VARCHAR[]) AS gks, false AS keep FROM (SELECT DISTINCT provider, snapshot_date FROM ordered)
+  row_number() OVER (PARTITION BY provider, snapshot_date ORDER BY prio, source, row_seq) AS n, row_number() OVER (ORDER BY prio, source, row_seq) AS ord FROM base{tag}),
+walk{tag} AS (
+  SELECT provider, snapshot_date, 0 AS n, CAST([] AS VARCHAR[]) AS iks, CAST([] AS VARCHAR[]) AS gks, false AS keep FROM (SELECT DISTINCT provider, snapshot_date FROM ordered{tag})
   UNION ALL
   SELECT w.provider, w.snapshot_date, w.n + 1, CASE WHEN k.keep THEN list_append(w.iks, r.ik) ELSE w.iks END, CASE WHEN k.keep AND r.named THEN list_append(w.gks, r.gk) ELSE w.gks END, k.keep
-  FROM walk w JOIN ordered r ON r.provider = w.provider AND r.snapshot_date = w.snapshot_date AND r.n = w.n + 1,
+  FROM walk{tag} w JOIN ordered{tag} r ON r.provider = w.provider AND r.snapshot_date = w.snapshot_date AND r.n = w.n + 1,
     LATERAL (SELECT r.is_primary OR NOT (list_contains(w.iks, r.ik) OR (r.named AND list_contains(w.gks, r.gk))) AS keep) k
 ),
-marked AS MATERIALIZED (SELECT o.*, w.keep FROM ordered o JOIN walk w USING (provider, snapshot_date, n))"""
+marked{tag} AS MATERIALIZED (SELECT o.*, w.keep FROM ordered{tag} o JOIN walk{tag} w USING (provider, snapshot_date, n))"""
 
 
-def backfilled() -> str:
-    donors = []
-    for b in BACKFILL:
-        donors.append(f"arg_min({b}, ord) FILTER (WHERE lower({strip(b)}) NOT IN {inside(t.EMPTY_WORDS)}) AS d_{b}")
+def resolved(inference: bool = False) -> str:
+    return f"{STORED}, {walked(inference)}"
+
+
+def filled(tag: str = "") -> str:
+    """filled{tag}: the kept rows of marked{tag}, backfilled from the lost ones."""
+    donors = ", ".join(f"arg_min({b}, ord) FILTER (WHERE lower({strip(b)}) NOT IN {inside(t.EMPTY_WORDS)}) AS d_{b}" for b in BACKFILL)
     own = ", ".join(f"CASE WHEN lower({strip('k.' + b)}) NOT IN {inside(t.EMPTY_WORDS)} THEN k.{b} ELSE coalesce(d.d_{b}, k.{b}) END AS {b}" for b in BACKFILL)
-    return f"""{resolved()},
-first_i AS (SELECT ik, min(ord) AS first_ord FROM marked WHERE keep GROUP BY ik),
-lost AS (SELECT m.*, coalesce(first_ord < ord, false) AS by_i FROM marked m LEFT JOIN first_i USING (ik) WHERE NOT keep),
-pairs AS (SELECT k.row_seq AS kept_seq, l.* FROM lost l JOIN marked k ON k.keep AND l.by_i AND k.ik = l.ik UNION ALL SELECT k.row_seq, l.* FROM lost l JOIN marked k ON k.keep AND NOT l.by_i AND k.named AND k.gk = l.gk),
-d AS (SELECT kept_seq, {', '.join(donors)} FROM pairs GROUP BY kept_seq)
-SELECT k.row_seq, k.source, {own} FROM marked k LEFT JOIN d ON d.kept_seq = k.row_seq WHERE k.keep"""
+    return f"""first_i{tag} AS (SELECT ik, min(ord) AS first_ord FROM marked{tag} WHERE keep GROUP BY ik),
+lost{tag} AS (SELECT m.*, coalesce(first_ord < ord, false) AS by_i FROM marked{tag} m LEFT JOIN first_i{tag} USING (ik) WHERE NOT keep),
+pairs{tag} AS (SELECT k.row_seq AS kept_seq, l.* FROM lost{tag} l JOIN marked{tag} k ON k.keep AND l.by_i AND k.ik = l.ik UNION ALL SELECT k.row_seq, l.* FROM lost{tag} l JOIN marked{tag} k ON k.keep AND NOT l.by_i AND k.named AND k.gk = l.gk),
+given{tag} AS (SELECT kept_seq, {donors} FROM pairs{tag} GROUP BY kept_seq),
+filled{tag} AS (SELECT k.* REPLACE ({own}) FROM marked{tag} k LEFT JOIN given{tag} d ON d.kept_seq = k.row_seq WHERE k.keep)"""
+
+
+def backfilled() -> str:
+    return f"{resolved()}, {filled()} SELECT row_seq, source, {', '.join(BACKFILL)} FROM filled"
 
 
 def _scalar(expr: str, name: str) -> str:
@@ -260,7 +265,7 @@ ORACLE_SQL: dict[str, str] = {
     "prune_incremental": f"WITH {STORED} SELECT DISTINCT {', '.join(COLUMNS)} FROM s WHERE snapshot_date >= '{CUTOFF}' AND {KEEP}",
     "archive_month_split": f"WITH {STORED} SELECT substr(snapshot_date, 1, 7) AS month, count(*) AS n_rows FROM s WHERE snapshot_date < '{CUTOFF}' GROUP BY 1",
     "merge_archives": f"WITH {STORED} SELECT DISTINCT snapshot_date, source, provider, price_per_hour FROM s",
-    "union_sources": f"WITH {STORED} SELECT source, count(*) AS n_rows FROM s WHERE source IN ('aws', 'vultr', 'akash') GROUP BY source",
+    "union_sources": f"WITH {STORED} SELECT source, count(*) AS n_rows FROM s GROUP BY source",
     "dedup_keyed_first": f"WITH {STORED} SELECT gpu_name, price_per_hour, row_seq FROM (SELECT *, row_number() OVER (PARTITION BY gpu_name, price_per_hour ORDER BY row_seq) AS k FROM s) WHERE k = 1",
     "rank_sources": f"WITH {STORED} SELECT DISTINCT provider, source, CAST({case(t.PRIORITIES, 'source', str(t.OTHER_PRIORITY))} AS INTEGER) AS rank FROM s WHERE {strip('provider')} <> ''",
     "primary_source": f"WITH {STORED} SELECT DISTINCT provider, first_value(source) OVER (PARTITION BY provider ORDER BY {case(t.PRIORITIES, 'source', str(t.OTHER_PRIORITY))}, source) AS source FROM s WHERE {strip('provider')} <> ''",
@@ -286,8 +291,10 @@ ORACLE_SQL: dict[str, str] = {
     "master_sorted": f"WITH {STORED} SELECT {', '.join(COLUMNS)} FROM s WHERE lower(pricing_type) <> 'inference'",
     "inference_sorted": f"WITH {STORED} SELECT {', '.join(COLUMNS)} FROM s WHERE lower(pricing_type) = 'inference'",
     "schema_migrate": f"WITH {OFFERS} SELECT row_seq, source, CASE WHEN right(row_seq, 1) IN ('0', '2', '4', '6', '8') THEN '7' ELSE '' END AS upfront_price, raw_extra FROM o",
-    "incremental_finalize": f"""WITH {STORED}, fresh AS (SELECT * FROM s WHERE source = 'akash' AND snapshot_date LIKE '%-03-01'), kept_old AS (SELECT * FROM s WHERE source <> 'akash'),
-      d AS (SELECT snapshot_date FROM fresh WHERE snapshot_date >= '{CUTOFF}' UNION SELECT snapshot_date FROM kept_old WHERE snapshot_date >= '{CUTOFF}' AND NOT {KEEP})
-      SELECT DISTINCT {', '.join(COLUMNS)} FROM (SELECT * FROM fresh UNION ALL SELECT * FROM kept_old) WHERE snapshot_date IN (SELECT * FROM d) AND snapshot_date >= '{CUTOFF}' AND {KEEP}
+    "incremental_finalize": f"""WITH RECURSIVE {STORED}, fresh AS (SELECT * FROM s WHERE source = 'akash' AND snapshot_date LIKE '%-03-01'), kept_old AS (SELECT * FROM s WHERE source <> 'akash'),
+      d AS (SELECT snapshot_date FROM fresh WHERE snapshot_date >= '{CUTOFF}' UNION SELECT snapshot_date FROM kept_old WHERE snapshot_date >= '{CUTOFF}' AND NOT {KEEP}),
+      part AS (SELECT {', '.join(COLUMNS)}, min(row_seq) AS row_seq FROM (SELECT * FROM fresh UNION ALL SELECT * FROM kept_old) WHERE snapshot_date IN (SELECT * FROM d) AND snapshot_date >= '{CUTOFF}' AND {KEEP} GROUP BY {', '.join(COLUMNS)}),
+      {walked(False, 'part', '_h')}, {filled('_h')}, {walked(True, 'part', '_t')}, {filled('_t')}
+      SELECT {', '.join(COLUMNS)} FROM filled_h UNION ALL SELECT {', '.join(COLUMNS)} FROM filled_t
       UNION ALL SELECT DISTINCT {', '.join("'published' AS tenancy" if x == 'tenancy' else x for x in COLUMNS)} FROM kept_old WHERE snapshot_date >= '{CUTOFF}' AND snapshot_date NOT IN (SELECT * FROM d)""",
 }

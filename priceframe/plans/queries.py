@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from priceframe.functions import conform as c
 from priceframe.operators import conform, dedup, quality, repair, resolve, stats
-from priceframe.plans.bridge import offers
+from priceframe.plans.bridge import SOURCES, offers
 from priceframe.plans.oracles import CUTOFF
 from priceframe.sources import offers as sinks
 from priceframe.sources.shared import written
+from priceframe.streaming.incremental import rebuild
 from priceframe.schema import BACKFILL, COLUMNS
 
 col = F.col
@@ -186,7 +187,7 @@ def merge_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(spark, sf_dir)
-    parts = {name: rows.where(col("source") == name).drop("source") for name in ("vultr", "aws", "akash")}
+    parts = {name: rows.where(col("source") == name).drop("source") for name in SOURCES}
     return dedup.union_sources({**parts, "_master": rows.drop("source")}).groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -333,7 +334,8 @@ def schema_migrate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incremental_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(spark, sf_dir).select(*COLUMNS)
+    """One source's rows of every March arrive; their dates are resolved anew."""
+    rows = written(stored(spark, sf_dir).select("row_seq", *COLUMNS), "stored")
     old, new = rows.where("source != 'akash'"), rows.where("source = 'akash' and snapshot_date like '%-03-01'")
     published = dedup.dedup_exact(old.withColumn("tenancy", F.lit("published")))
-    return dedup.incremental_finalize(published, old, new, CUTOFF, lambda x: x)
+    return dedup.incremental_finalize(published, old, new, CUTOFF, rebuild)

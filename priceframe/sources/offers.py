@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from priceframe.functions import conform as c
 from priceframe.operators import dedup, quality
 from priceframe.schema import COLUMNS, RAW_SCHEMA
+from priceframe.sources.shared import written
 
 MASTER_ORDER = ["snapshot_date", "provider", "gpu_name", "region", "pricing_type", "instance_type"]
 INFERENCE_ORDER = ["snapshot_date", "provider", "instance_type"]
@@ -35,13 +36,39 @@ def sorted_table(offers: DataFrame, order: list[str]) -> DataFrame:
     return offers.select(*COLUMNS).repartitionByRange("snapshot_date").sortWithinPartitions(*order)
 
 
-def write_master(offers: DataFrame, folder: str) -> None:
-    """Replace the dates that offers has; other dates stay."""
-    hourly, inference = quality.split_kind(offers)
+def _dates_below(spark: SparkSession, folder: str):
+    """Hadoop's file system and the date folders of a table as (date, path)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    store = top.getFileSystem(conf)
+    paths = [f.getPath() for f in store.listStatus(top)] if store.exists(top) else []
+    blank = "__HIVE_DEFAULT_PARTITION__"
+    return store, [(p.getName().partition("=")[2].replace(blank, ""), p) for p in paths if p.getName().startswith("snapshot_date=")]
+
+
+def drop_dates(spark: SparkSession, folder: str, gone) -> None:
+    """Remove the date folders whose date gone(date) names. Their number is that of dates, which a driver may list."""
+    store, found = _dates_below(spark, folder)
+    for date, path in found:
+        if gone(date):
+            store.delete(path, True)
+
+
+def write_slice(rows: DataFrame, folder: str, order: list[str], dates: set[str], cutoff: str) -> None:
+    """Publish the rebuilt rows of some dates: those dates are replaced, with no rows left they go, expired dates go, others stay."""
+    sorted_table(rows, order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(folder)
+    spark = rows.sparkSession
+    filled = {r[0] for r in rows.select("snapshot_date").distinct().collect()}
+    drop_dates(spark, folder, lambda d: d < cutoff or d in dates - filled)
+
+
+def write_master(hourly: DataFrame, inference: DataFrame, folder: str, dates: set[str], cutoff: str) -> None:
+    """Publish both tables of some dates; each input is evaluated once, from a written copy."""
     for kind, rows, order in (("master", hourly, MASTER_ORDER), ("inference", inference, INFERENCE_ORDER)):
-        sorted_table(rows, order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(f"{folder}/{kind}")
+        write_slice(written(rows.select(*COLUMNS), kind), f"{folder}/{kind}", order, dates, cutoff)
 
 
-def write_archives(expired: DataFrame, folder: str) -> None:
+def write_archives(expired: DataFrame, folder: str, mode: str = "append") -> None:
     """Expired rows as gzip CSV, a folder for each month."""
-    expired.withColumn("month", dedup.archive_month(F.col("snapshot_date"))).write.mode("append").partitionBy("month").option("header", True).option("escape", '"').option("compression", "gzip").csv(folder)
+    rows = expired.select(*COLUMNS).withColumn("month", dedup.archive_month(F.col("snapshot_date")))
+    rows.write.mode(mode).partitionBy("month").option("header", True).option("escape", '"').option("compression", "gzip").csv(folder)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's spark.checkpoint.dir, also given to DataFrame.checkpoint(). It has to be set: a default on one machine's
-    disk would hold blocks that no other machine sees."""
+    """The session's spark.checkpoint.dir, also given to DataFrame.checkpoint(). Where it is unset, a run on one machine (tests)
+    gets a folder of its own; on a cluster, where that would hold blocks no other machine sees, it is an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        where = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.conf.set("spark.checkpoint.dir", where)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")

@@ -116,7 +116,7 @@ def test_header_migration(spark):
 
 
 def test_incremental_finalize(spark):
-    rows = lambda *r: table(spark, *r)
+    rows = lambda *r: table(spark, *r).withColumn("row_seq", F.lit("1"))
     published = rows({"snapshot_date": "2026-01-02", "provider": "keep"}, {"snapshot_date": "2026-01-05", "provider": "stale"}, {"snapshot_date": "2025-01-01", "provider": "old"})
     old, new = rows({"snapshot_date": "2026-01-02", "provider": "keep", "gpu_name": "H100"}), rows({"snapshot_date": "2026-01-05", "provider": "fresh", "gpu_name": "H100"}, {"snapshot_date": "2025-01-01", "provider": "late", "gpu_name": "H100"})
     out = dedup.incremental_finalize(published, old, new, "2025-10-01", lambda x: x)
@@ -131,3 +131,43 @@ def test_gate_and_types(spark):
     typed = conform.typed(df)
     assert [f.dataType for f in typed.schema] == [f.dataType for f in OFFER_SCHEMA] and typed.first().vcpus is None
     assert stats.master_summary(df.limit(0)).first().n_rows == 0
+
+
+def test_repair_all_order_and_counters(spark):
+    rows = table(
+        spark,
+        {"source": "aws", "gpu_name": "h100", "pricing_type": "on_demand", "price_per_gpu_hour": "0.1", "raw_extra": '{"n":1}', "region": "r", "gpu_memory_gb": "80"},
+        {"source": "akash", "gpu_name": "H100", "instance_type": "a_min", "region": "r", "geo_group": "Unknown", "gpu_memory_gb": "80"},
+        {"source": "vultr", "provider": "vultr", "gpu_name": "a100-80gb", "gpu_memory_gb": "40", "price_per_hour": "1.2", "region": "r"},
+        {"source": "x", "gpu_name": "H100", "currency": "1", "price_unit": "2", "available": "USD", "available_count": "hour", "os": "true", "region": "r", "geo_group": "Unknown", "gpu_memory_gb": "80"},
+        {"source": "x", "gpu_name": "H100", "region": "r", "geo_group": "Unknown", "gpu_memory_gb": "80"},
+    )
+    out = repair.repair_all(rows)
+    assert out.columns == [*COLUMNS, "shifted", "changed", "keep"]
+    by = {r.source: r for r in out.where("source != 'x'").collect()}
+    assert (by["aws"].pricing_type, by["aws"].raw_extra) == ("reserved", '{"n":1,"purchase_option":"capacity_block","billing_model":"capacity_block"}')
+    assert (by["vultr"].gpu_name, by["vultr"].gpu_count, by["vultr"].price_per_gpu_hour) == ("A100", "0.5", "2.4")
+    counts = {r.source: tuple(r)[1:] for r in repair.repair_counts(out).collect()}
+    assert counts == {"aws": (1, 0, 1, 0), "akash": (1, 0, 0, 1), "vultr": (1, 0, 1, 0), "x": (2, 1, 0, 0)}
+
+
+def test_tail_keeps_types(spark):
+    raw = '{"a":1,"ok":true,"locs":["x",2],"n":{"k":2.5,"z":null},"s":"\\"q\\"","price_tier":"max"}'
+    put = c.json_put(F.col("x"), {"ok": F.lit("no"), "new": F.lit("v"), "none": F.lit(None)}, ["price_tier"])
+    cases = [raw, '{"a":1,"a":2}', "[1]", "nope", '{"price_tier":1}', "", None]
+    out = [r[0] for r in spark.createDataFrame([(k, x) for k, x in enumerate(cases)], "k int, x string").orderBy("k").select(put).collect()]
+    assert out[:3] == ['{"a":1,"ok":"no","locs":["x",2],"n":{"k":2.5,"z":null},"s":"\\"q\\"","new":"v"}', '{"a":2,"ok":"no","new":"v"}', '{"ok":"no","new":"v"}']
+    gone = c.json_put(F.col("x"), {}, ["price_tier"])
+    assert [r[0] for r in spark.createDataFrame([(x,) for x in cases[4:]], "x string").select(gone).collect()] == ['{"price_tier":1}', "", ""]
+
+
+def planned_scans(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_plans_read_each_table_once(spark):
+    assert planned_scans(queries.conform_offers(spark, SF)) == 2
+    assert planned_scans(queries.normalise_existing(spark, SF)) == 2
+    assert planned_scans(queries.repair_counts(spark, SF)) == 2
+    backfilled = queries.resolve_backfill(spark, SF)
+    assert "lineitem" not in str(backfilled.inputFiles()) and planned_scans(backfilled) <= 8

@@ -1,5 +1,7 @@
 """Files in and out, and the streaming run."""
 
+from pyspark.sql import functions as F
+
 from priceframe.schema import COLUMNS
 from priceframe.sources import offers as io
 from priceframe.streaming import incremental
@@ -20,14 +22,56 @@ def test_scan_and_archive(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "old").iterdir() if p.is_dir()) == ["month=2025-03", "month=unknown"]
 
 
+def rows_of(spark, path, *names):
+    return sorted(tuple(str(r[x]) for x in names) for r in spark.read.parquet(str(path)).collect())
+
+
 def test_streaming_replaces_only_affected_dates(spark, tmp_path):
     landed = tmp_path / "in"
     landed.mkdir()
-    args = [str(tmp_path / x) for x in ("in", "history", "out", "check")]
+    args = [str(tmp_path / x) for x in ("in", "history", "out", "old", "check")]
     base = {"provider": "p", "instance_type": "i", "gpu_name": "H100", "pricing_type": "on_demand"}
-    write_csv(landed / "a.csv", {**base, "source": "skypilot", "snapshot_date": "2026-01-02", "price_per_hour": "2"}, {**base, "source": "skypilot", "snapshot_date": "2026-01-03", "price_per_hour": "2"}, {})
+    write_csv(
+        landed / "a.csv",
+        {**base, "source": "skypilot", "snapshot_date": "2026-01-02", "price_per_hour": "2"},
+        {**base, "source": "skypilot", "snapshot_date": "2026-01-03", "price_per_hour": "2"},
+        {**base, "source": "skypilot", "snapshot_date": "2025-11-01", "price_per_hour": "3"},
+        {**base, "source": "tokens", "snapshot_date": "2026-01-03", "pricing_type": "inference", "instance_type": "m"},
+        {},
+    )
     incremental.run(spark, *args, "2025-10-01")
+    assert rows_of(spark, tmp_path / "out/master", "snapshot_date") == [("2025-11-01",), ("2026-01-02",), ("2026-01-03",)]
+    assert rows_of(spark, tmp_path / "out/inference", "source") == [("tokens",)]
+    # A late row, a better source for one date, and a later cutoff under which an old date expires.
     write_csv(landed / "b.csv", {**base, "source": "aws", "snapshot_date": "2026-01-03", "price_per_hour": "1"}, {**base, "source": "aws", "snapshot_date": "2020-01-01"})
-    incremental.run(spark, *args, "2025-10-01")
-    out = spark.read.parquet(str(tmp_path / "out" / "master")).collect()
-    assert sorted((str(r.snapshot_date), r.source) for r in out) == [("2026-01-02", "skypilot"), ("2026-01-03", "aws")]
+    incremental.run(spark, *args, "2025-12-01")
+    assert rows_of(spark, tmp_path / "out/master", "snapshot_date", "source") == [("2026-01-02", "skypilot"), ("2026-01-03", "aws")]
+    archived = spark.read.option("header", True).csv(str(tmp_path / "old" / "*" / "*")).collect()
+    assert sorted(r.snapshot_date for r in archived) == ["2020-01-01", "2025-11-01"]
+    assert {str(r[0]) for r in rows_of(spark, tmp_path / "history", "snapshot_date")} == {"2026-01-02", "2026-01-03"}
+
+
+def test_incremental_drops_emptied_dates_and_keeps_file_order(spark, tmp_path):
+    base = {"provider": "p", "instance_type": "i", "gpu_name": "GTX 1070 Ti", "pricing_type": "on_demand", "source": "akash"}
+    history, out, old = (str(tmp_path / x) for x in ("history", "out", "old"))
+    row = lambda *r: table(spark, *r).coalesce(1).withColumn("row_seq", F.format_string("%05d", F.monotonically_increasing_id()))
+    good, bad = {**base, "snapshot_date": "2026-01-01", "price_per_gpu_hour": "2"}, {**base, "snapshot_date": "2026-01-02", "price_per_gpu_hour": "99"}
+    # Rows stored before a rule existed: published although the rule rejects them.
+    row(good, bad).write.partitionBy("snapshot_date").parquet(f"{history}/batch=0")
+    io.write_master(row(good, bad), row(good).limit(0), out, {"2026-01-01", "2026-01-02"}, "2025-01-01")
+    # Of two rows of a lower source with the same key the first in the file stays.
+    two = [{**base, "source": s, "snapshot_date": "2026-01-03", "instance_type": i, "gpu_name": "", "pricing_type": "Inference", "price_per_hour": p} for s, i, p in (("akash", "a", "1"), ("zzz", "b", "9"), ("zzz", "b", "1"))]
+    for _ in range(2):  # a repeated batch changes nothing
+        incremental.take_in(spark, row(*two), 1, history, out, old, "2025-01-01")
+    assert rows_of(spark, f"{out}/master", "snapshot_date", "price_per_gpu_hour") == [("2026-01-01", "2")]
+    assert rows_of(spark, f"{out}/inference", "source", "price_per_hour") == [("akash", "1"), ("zzz", "9")]
+    assert rows_of(spark, history, "snapshot_date") == [("2026-01-01",), *[("2026-01-03",)] * 3]
+
+
+def test_append_and_master_order(spark, tmp_path):
+    offers = table(spark, *[{"snapshot_date": f"2026-01-0{1 + k % 3}", "provider": f"p{k % 4}", "gpu_name": "H100" if k else "", "source": "a"} for k in range(12)])
+    io.append_offers(offers, str(tmp_path / "s"))
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 11
+    parts = io.sorted_table(offers, io.MASTER_ORDER).rdd.glom().collect()
+    rows = [(r.snapshot_date, r.provider) for part in parts for r in part]
+    assert rows == sorted(rows)
