@@ -6,12 +6,15 @@ vector also goes to the cell of pivot j if a neighbour of it could live there: b
 to j is at most that to its own pivot plus 2 * eps, and, sharper, only if it is within eps of the plane between the two
 pivots. So each home cell holds all neighbours of its own vectors, and cells join independently and count each link once.
 
-Equal vectors are one class before the join. A cell with many home vectors is cut into parts that share its candidates. Inside
-a part only counts and a spanning set of links leave, never all pairs.
+Equal vectors are one class before the join. Home vectors and candidates of a cell are both cut into blocks of about
+``part_rows``, and every pair of blocks is a part of its own, so no task holds a cell, however dense. Inside a part only counts
+and a spanning set of links leave, never all pairs. A dense cell of n vectors has (n / part_rows)**2 parts: counting each
+vector's links compares them all. Pivots are drawn for every length of which there are many vectors.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite components, or whose label is null, links with
 nothing; vectors of different length never link; a null id links with nothing, its component is null and it is kept; repeated
-rows are equal vectors and link with each other, so each counts the others.
+rows are equal vectors and link with each other, so each counts the others, and each of them is reported; columns other than
+the three named are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,25 +48,26 @@ def unit(vectors: pa.Array) -> pa.Array:
 
 
 def _join_part(table: pa.Table, cosine: float) -> pa.Table:
-    """Within one part: each home vector's links, and (node, smallest node reached inside the part)."""
-    cid, weight, query = table.column("cid").to_numpy(), table.column("m").to_numpy(), table.column("query").to_numpy(zero_copy_only=False)
+    """Within one part: the links of its queries, and (node, smallest node reached inside the part)."""
+    cid, weight = table.column("cid").to_numpy(), table.column("m").to_numpy()
+    query, candidate = (table.column(c).to_numpy(zero_copy_only=False) for c in ("query", "candidate"))
     x = np.frombuffer(b"".join(table.column("unit").to_pylist()), float).reshape(len(cid), -1)
-    order = np.argsort(cid, kind="stable")
-    cid, weight, query, x = cid[order], weight[order], query[order], x[order]
-    label = np.arange(len(cid))
-    links = np.zeros(len(cid), np.int64)
-    asked = np.flatnonzero(query)
+    nodes, at = np.unique(cid, return_inverse=True)
+    label = np.arange(len(nodes))
+    asked, others = np.flatnonzero(query), np.flatnonzero(candidate)
+    links = np.zeros(len(asked), np.int64)
     for start in range(0, len(asked), 256):
         own = asked[start : start + 256]
-        near = x[own] @ x.T >= cosine
-        near[np.arange(len(own)), own] = False
-        links[own] = near @ weight
+        near = x[own] @ x[others].T >= cosine
+        near[cid[own][:, None] == cid[others][None]] = False
+        links[start : start + 256] = near @ weight[others]
         for k in np.flatnonzero(near.any(axis=1)).tolist():
-            seen = np.unique(label[np.append(np.flatnonzero(near[k]), own[k])])
+            seen = np.unique(label[np.append(at[others[near[k]]], at[own[k]])])
             if len(seen) > 1:
                 label[np.isin(label, seen[1:])] = seen[0]
-    keep = query | (label != np.arange(len(cid)))
-    return pa.table({"cid": cid[keep], "links": pa.array(np.where(query[keep], links[keep], 0), pa.int64()), "root": cid[label[keep]]})
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    none = np.zeros(len(moved), np.int64)
+    return pa.table({"cid": np.concatenate([cid[asked], nodes[moved]]), "links": np.concatenate([links, none]), "root": np.concatenate([cid[asked], nodes[label[moved]]])})
 
 
 def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", cosine: float = 0.98, cell_rows: int = 1000, max_pivots: int = 1024, part_rows: int = 2000) -> DataFrame:
@@ -77,23 +81,29 @@ def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
     classes = usable.groupBy(*same).agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("m"))
     points = usable.join(classes, same).where("id = cid").dropDuplicates(["cid", *same]).select("cid", "m", "label", "dim", "unit", "h1").checkpoint()
 
-    size = points.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("label").alias("labels")).first()
-    count = int(min(max_pivots, max(4, -(-size["n"] // (max(1, size["labels"]) * cell_rows)))))
-    chosen = points.orderBy("h1", "cid").limit(count).select("dim", "unit").collect()
-    dim = chosen[0]["dim"] if chosen else 0
-    pivots = np.array([np.frombuffer(r["unit"], float) for r in chosen if r["dim"] == dim]) if chosen else np.empty((0, 0))
+    # Lengths of more than cell_rows vectors get pivots, the commonest 64 of them; the others' cells are small or cut into parts.
+    lengths = points.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("label").alias("labels")).where(F.col("n") > cell_rows)
+    lengths = lengths.orderBy(F.desc("n"), "dim").limit(64).collect()
+    total = max(1, sum(r["n"] for r in lengths))
+    wanted = {r["dim"]: max(4, min(max_pivots * r["n"] // total, -(-r["n"] // (max(1, r["labels"]) * cell_rows)))) for r in lengths}
+    share = F.lit(0)
+    for r in lengths:
+        share = F.when(F.col("dim") == r["dim"], F.lit(int(min(1.0, 2 * wanted[r["dim"]] / r["n"] + 16 / r["n"]) * (1 << 30)))).otherwise(share)
+    chosen = points.where(F.pmod("h1", F.lit(1 << 30)) < share).select("dim", "unit", "h1", "cid").orderBy("h1", "cid").limit(4 * (max_pivots + 64 * 16)).collect()
+    pivots = {d: np.array([np.frombuffer(r["unit"], float) for r in chosen if r["dim"] == d][:n]) for d, n in wanted.items()}
+    pivots = {d: (p, np.maximum(np.linalg.norm(p[:, None] - p[None], axis=2), 1e-12)) for d, p in pivots.items() if len(p)}
     eps = float(np.sqrt(2 - 2 * cosine)) + 1e-9
 
     @F.arrow_udf(_CELLS)
     def cells(units: pa.Array) -> pa.Array:
         out = []
-        apart = np.maximum(np.linalg.norm(pivots[:, None] - pivots[None], axis=2), 1e-12)
         for raw in units.to_pylist():
             x = np.frombuffer(raw, float)
-            if len(x) != dim:
+            if len(x) not in pivots:
                 out.append([{"cell": -1, "home": True}])
                 continue
-            far = np.linalg.norm(pivots - x, axis=1)
+            points_, apart = pivots[len(x)]
+            far = np.linalg.norm(points_ - x, axis=1)
             home = int(np.argmin(far))
             near = (far <= far[home] + 2 * eps) & ((far**2 - far[home] ** 2) / (2 * apart[home]) <= eps)
             out.append([{"cell": k, "home": k == home} for k in np.flatnonzero(near).tolist()])
@@ -101,10 +111,16 @@ def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
 
     placed = points.withColumn("at", F.explode(cells("unit"))).select("cid", "m", "label", "dim", "unit", F.col("at.cell").alias("cell"), F.col("at.home").alias("home"))
     cell = ["label", "dim", "cell"]
-    parts = placed.where("home").groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("parts"))
-    spread = placed.join(parts, cell).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    spread = spread.withColumn("query", F.col("home") & (F.pmod(F.xxhash64("cid"), F.col("parts")) == F.col("part"))).select(*cell, "part", "cid", "m", "unit", "query")
-    joined = spread.groupBy(*cell, "part").applyInArrow(lambda t: _join_part(t, cosine), "cid long, links long, root long").checkpoint()
+    blocks = lambda n: F.ceil(n / F.lit(part_rows)).cast("int")
+    sizes = placed.groupBy(*cell).agg(blocks(F.count(F.when(F.col("home"), 1))).alias("qs"), blocks(F.count(F.lit(1))).alias("cs")).where("qs > 0")
+    sized = placed.join(sizes, cell)
+    whole = F.col("qs") * F.col("cs") == 1
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rows = [*cell, "q", "c", "cid", "m", "unit", "query", "candidate"]
+    candidates = sized.withColumns({"c": F.pmod(F.xxhash64("cid"), F.col("cs")).cast("int"), "query": whole & F.col("home"), "candidate": F.lit(True)}).withColumn("q", every("qs"))
+    queries = sized.where(F.col("home") & ~whole).withColumns({"q": F.pmod(F.xxhash64("cid"), F.col("qs")).cast("int"), "query": F.lit(True), "candidate": F.lit(False)}).withColumn("c", every("cs"))
+    parts = candidates.select(*rows).unionByName(queries.select(*rows))
+    joined = parts.groupBy(*cell, "q", "c").applyInArrow(lambda t: _join_part(t, cosine), "cid long, links long, root long").checkpoint()
     roots = components(joined.where("cid != root").select("cid", "root"), "cid", "root")
     links = joined.groupBy("cid").agg(F.sum("links").alias("links"))
 
