@@ -10,8 +10,9 @@ A document's set is its distinct shingles of ``words`` words, A-Z lower-cased. D
    far a member is from its leader.
 4. Buckets whose members are then in one component are done. In the others, similarity's triangle inequality leaves few pairs:
    members not linked to the leader, among each other; and, if some member is between half similar and linked, those against
-   the linked ones. Large buckets are cut into blocks, a group for each pair of blocks. Inside a group, pairs that signatures
-   do not rule out by six standard deviations are confirmed on full sets; only links that connect something leave.
+   the linked ones. Large buckets are cut into blocks, a part for each pair of blocks; tasks get parts by their measured size.
+   Inside a part, pairs that signatures do not rule out by six standard deviations are confirmed on full sets; only links that
+   connect something leave. Which members count as half similar to a leader is ruled out at four deviations.
 
 Defined cases: null texts and texts without words have the empty set and are linked with nothing; with fewer words than a
 shingle has, the whole sequence is the one shingle; a row with a null id is linked with nothing, has a null component and is
@@ -36,6 +37,8 @@ _FACTS = T.StructType([T.StructField("n", T.LongType()), T.StructField("h1", T.L
 _VIABLE, _HALF = 0.57, 0.37
 #: A block's rows and shingles at most, about.
 _BLOCK, _BLOCK_SHINGLES = 2000, 1_000_000
+#: Rows and shingles of the parts that one task gets at once, and decoded shingles that it holds, about.
+_GROUP, _GROUP_SHINGLES, _HELD = 4000, 2_000_000, 4_000_000
 
 
 def _hashers(count: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -144,10 +147,16 @@ def _residual(table: pa.Table, bands: int, share: int, words: int) -> pa.Table:
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(part), -1)
     packed = table.column("packed")
     sets: dict[int, np.ndarray] = {}
+    held = 0
 
     def set_of(row: int) -> np.ndarray:
+        nonlocal held
         if row not in sets:
+            if held > _HELD:
+                sets.clear()
+                held = 0
             sets[row] = np.sort(shingles(*_unpack([packed[row].as_py()]), words)[0])
+            held += len(sets[row])
         return sets[row]
 
     order = np.lexsort((cid, part))
@@ -224,12 +233,13 @@ def cluster(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     held = lambda whole, part: F.when(F.col("between") == 1, F.col(whole)).otherwise(F.col(part))
     rest = rest.withColumn("blocks", F.greatest(F.ceil(held("size", "loose") / F.lit(_BLOCK)), F.ceil(held("size_n", "loose_n") / F.lit(_BLOCK_SHINGLES))).cast("int"))
     rest = rest.withColumn("block", F.pmod(F.xxhash64("cid", "key"), F.col("blocks")).cast("int"))
-    rest = rest.select("key", "band", "cid", "comp", "status", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rest = rest.select("key", "band", "cid", "comp", "status", "n", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
-    rest = rest.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("part"), "band", "cid", "comp", "status", side.alias("side"))
-    rest = rest.join(texts.select(F.col("id").alias("cid"), "sig", "packed"), "cid")
-    groups = int(spark.conf.get("spark.sql.shuffle.partitions")) * 4
-    more = rest.withColumn("g", F.pmod(F.xxhash64("part"), F.lit(groups))).groupBy("g").applyInArrow(lambda t: _residual(t, bands, share, words), "a long, r long").checkpoint()
+    rest = rest.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("part"), "band", "cid", "comp", "status", "n", side.alias("side")).checkpoint()
+    size = rest.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size["rows"] // _GROUP), -(-size["n"] // _GROUP_SHINGLES))
+    full = rest.drop("n").join(texts.select(F.col("id").alias("cid"), "sig", "packed"), "cid")
+    more = full.withColumn("g", F.pmod(F.xxhash64("part"), F.lit(groups))).groupBy("g").applyInArrow(lambda t: _residual(t, bands, share, words), "a long, r long").checkpoint()
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("r")).union(more), "a", "r")
 
