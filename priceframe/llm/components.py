@@ -1,7 +1,9 @@
 """Connected components by alternating large-star and small-star rounds over an edge table.
 
 Each round takes every vertex's smallest neighbour as a partial minimum and joins it back to the edges, so no task ever holds
-the neighbours of a vertex together; rounds end when the edges no longer change. Lineage is cut by checkpoint() each round.
+the neighbours of a vertex together. The edges of a vertex are dealt over as many keys as there are shuffle partitions, so a
+vertex with very many edges is no single task either. Rounds end when the edges no longer change.
+Lineage is cut by checkpoint() each round.
 """
 
 from __future__ import annotations
@@ -12,6 +14,17 @@ from pyspark.sql import functions as F
 from . import textkit as tk
 
 
+
+def _with_least(edges: DataFrame, salts: int, itself: bool) -> DataFrame:
+    """edges (u, v) with m, the smallest v of each u (and u, if itself). Edges are dealt by u and a salt of v, minima taken for
+    each of these and then for u, and handed back the same way: a vertex with very many edges is many keys."""
+    dealt = edges.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salts)).cast("int"))
+    partial = dealt.groupBy("u", "salt").agg(F.min("v").alias("p"))
+    least = partial.groupBy("u").agg(F.min("p").alias("m"))
+    at = partial.join(least, "u").select("u", "salt", (F.least("u", "m") if itself else F.col("m")).alias("m"))
+    return dealt.join(at, ["u", "salt"]).select("u", "v", "m")
+
+
 def components(edges: DataFrame, left: str, right: str, loops: bool = False) -> DataFrame:
     """edges (left, right: long) -> (node, root): every vertex of an edge with the smallest vertex it is connected to.
 
@@ -21,6 +34,7 @@ def components(edges: DataFrame, left: str, right: str, loops: bool = False) ->
     tk.ensure_checkpoint_dir(edges.sparkSession)
     pairs = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where(F.col(left).isNotNull() & F.col(right).isNotNull())
     state = pairs.where("u != v").distinct().checkpoint()
+    salts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     seen = None
     while True:
         mark = state.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -28,10 +42,8 @@ def components(edges: DataFrame, left: str, right: str, loops: bool = False) ->
             break
         seen = mark
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
+        large = _with_least(both, salts, True).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        small = _with_least(large, salts, False).select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e")).select(F.col("e.v").alias("u"), F.col("e.m").alias("v"))
         state = small.where("u != v").distinct().checkpoint()
     roots = state.select(F.col("u").alias("node"), F.col("v").alias("root"))
     out = roots.union(roots.select("root").distinct().select(F.col("root").alias("node"), "root"))

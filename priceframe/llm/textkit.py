@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from priceframe.sources import shared
+
 U64 = np.uint64
 #: Bytes of text handled at once; keeps the numpy temporaries of a task small whatever the batch.
 SLICE_BYTES = 1 << 20
@@ -32,22 +34,15 @@ def fresh(name: str, columns: list[str]) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share; a local default where it is unset."""
+    """A new folder below spark.checkpoint.dir, which driver and executors share."""
     ensure_checkpoint_dir(spark)
-    return f"{spark.conf.get('spark.checkpoint.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{shared.checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give DataFrame.checkpoint() a folder: the session's spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """Give DataFrame.checkpoint() its folder, and Arrow small batches."""
     small_batches(spark)
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if where is None:
-        import tempfile
-
-        where = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(where)
+    shared.checkpoint_dir(spark)
 
 
 def small_batches(spark: SparkSession) -> None:
