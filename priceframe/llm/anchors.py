@@ -65,6 +65,12 @@ def _split(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> tk.U64(32)) % tk.U64(buckets) << tk.U64(32)) | (hashes & tk.U64(0xFFFFFFFF))
 
 
+def cuts(buckets: np.ndarray) -> tuple[list[int], list[slice]]:
+    """The buckets that occur in an ascending list, and where: work grows with the hashes a chunk has, not with all buckets."""
+    own, first = np.unique(buckets, return_index=True)
+    return own.tolist(), [slice(a, b) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(buckets)], strict=True)] if len(own) else []
+
+
 def messages(chunk: int, hashes: np.ndarray, anchor: np.ndarray, buckets: int) -> pa.Table:
     """A message for each bucket: the distinct hashes, whether the chunk has them twice, and whether one is an anchor."""
     keys = (_split(hashes, buckets) << tk.U64(1)) | (~anchor).astype(tk.U64)
@@ -74,10 +80,8 @@ def messages(chunk: int, hashes: np.ndarray, anchor: np.ndarray, buckets: int) -
     twice = np.diff(np.append(first, len(key))) > 1
     has_anchor = (keys[first] & tk.U64(1)) == 0
     key = key[first]
-    bounds = np.searchsorted(key, np.arange(buckets + 1, dtype=tk.U64) << tk.U64(32))
     tags = (key & tk.U64(0xFFFFFFFF)).astype(np.uint32)
-    own = [b for b in range(buckets) if bounds[b] < bounds[b + 1]]
-    cut = [slice(bounds[b], bounds[b + 1]) for b in own]
+    own, cut = cuts(key >> tk.U64(32))
     return pa.table([pa.array(own, pa.int32()), pa.array([chunk] * len(own), pa.int32()), pa.array([_pack(tags[c], twice[c], has_anchor[c]) for c in cut], pa.binary())], schema=_MESSAGE)
 
 

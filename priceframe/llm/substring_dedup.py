@@ -55,10 +55,10 @@ def _near(hits: np.ndarray, starts: np.ndarray, window: int, block: int, n: int)
     return starts[np.cumsum(change[:-1])[starts] > 0]
 
 
-def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, finish, schema: str | StructType) -> DataFrame:
+def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, chunk_bytes: int, finish, schema: str | StructType) -> DataFrame:
     """finish(table, words, flags of removed words) makes the rows of each chunk."""
     block = (window + 1) // 2
-    dealt = anchors.deal(docs, id_cols, text_col)
+    dealt = anchors.deal(docs, id_cols, text_col, chunk_bytes)
     name, buckets = dealt.chunk, dealt.buckets
 
     def hashes_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -99,9 +99,8 @@ def _windows_table(chunk: int, one: np.ndarray, two: np.ndarray, buckets: int) -
     first = np.flatnonzero(np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))) if len(one) else np.empty(0, np.int64)
     twice = np.diff(np.append(first, len(one))) > 1
     one, two = one[first], two[first]
-    bounds = np.searchsorted(one % tk.U64(buckets), np.arange(buckets + 1, dtype=tk.U64))
-    own = [b for b in range(buckets) if bounds[b] < bounds[b + 1]]
-    payloads = [one[c].tobytes() + two[c].tobytes() + twice[c].tobytes() for c in (slice(bounds[b], bounds[b + 1]) for b in own)]
+    own, cut = anchors.cuts(one % tk.U64(buckets))
+    payloads = [one[c].tobytes() + two[c].tobytes() + twice[c].tobytes() for c in cut]
     return pa.table([pa.array(own, pa.int32()), pa.array([chunk] * len(own), pa.int32()), pa.array(payloads, pa.binary())], schema=anchors._MESSAGE)
 
 
@@ -134,7 +133,7 @@ def _kept(words: _Words, flags: np.ndarray, d: int) -> bytes:
     return b" ".join(parts)
 
 
-def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
+def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35, chunk_bytes: int = 8 << 20) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256."""
     kind = dict(docs.dtypes)[id_col]
 
@@ -144,10 +143,10 @@ def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
         return pa.table({id_col: table.column(id_col), "n_words": pa.array(np.diff(words.ptr), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(shas, pa.string())})
 
     docs = docs.select(id_col, text_col)
-    return _mark(docs, [id_col], text_col, window, finish, f"`{id_col}` {kind}, n_words long, n_removed long, kept_sha256 string")
+    return _mark(docs, [id_col], text_col, window, chunk_bytes, finish, f"`{id_col}` {kind}, n_words long, n_removed long, kept_sha256 string")
 
 
-def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35) -> DataFrame:
+def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 35, chunk_bytes: int = 8 << 20) -> DataFrame:
     """docs with repeats removed from the texts: the kept words joined by a space; untouched texts stay as they are."""
     columns = docs.columns
 
@@ -158,4 +157,4 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
         at = table.schema.get_field_index(text_col)
         return table.set_column(at, text_col, pa.array(new, pa.string())).select(columns)
 
-    return _mark(docs, [id_col], text_col, window, finish, docs.schema)
+    return _mark(docs, [id_col], text_col, window, chunk_bytes, finish, docs.schema)

@@ -6,12 +6,18 @@ cannot be built in bounded tasks, so the corpus is first cut along its content:
 1. Of the grams of ``gram`` bytes in each window, the one with the smallest hash (the leftmost of equal ones) is the window's
    anchor. Equal windows have equal anchors, and the windows of an anchor are neighbours, so an anchor with its windows is one
    segment, and every window belongs to exactly one. Anchors that occur once in the corpus are dropped (see anchors).
-2. Segments go to buckets by their anchor's hash, each distinct one once from a chunk, so copies cost nothing more.
-3. A bucket concatenates its distinct segments and builds the run-compressed Burrows-Wheeler transform. Where a run starts or
-   ends, the length of the match with the suffix before or after is measured; these samples give all other matching
-   statistics in text order, since inside a run a match is one shorter than that of the position before. Windows whose match
-   is ``window`` or longer, and those of segments that come from several places, are repeats.
-4. Chunks get the marked ranges by the segments' digests and remove their bytes.
+2. An anchor with ``hot`` (64) or more different segments, such as boilerplate shorter than a window, is hot. Chunks send the 64
+   smallest digests of each repeated anchor, so that is known without gathering an anchor's segments.
+3. Segments of the other anchors go to buckets by the anchor's hash, each distinct one once from a chunk, so copies cost nothing
+   more, and no anchor has more than 64 of them. A bucket lays its segments end to end in slices of about a megabyte and builds
+   the run-length Burrows-Wheeler index of each, with the text positions at both ends of every run and their neighbours. Matching
+   statistics are streamed from these samples: within a run a match is one shorter than that of the position before it, so only
+   sampled positions are measured. Windows whose match is ``window`` or longer,
+   and those of segments that come from several places, are repeats.
+4. The windows of hot anchors, each distinct one once from a chunk, are counted by hashes of 96 bits that also choose the
+   bucket, so that no bucket depends on an anchor.
+5. Chunks get the marked ranges by the segments' digests (64 bits beside the bucket) and the hot windows' hashes, and remove
+   their bytes.
 
 Defined cases: null is the empty text; documents shorter than the window lose nothing; matches never cross documents, and
 repeats within one document, overlapping too, count; repeated rows are copies of each other. Other columns pass through.
@@ -23,15 +29,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from . import anchors
 from . import textkit as tk
+from .substring_dedup import _repeated_windows, _windows_table
 
 _PLACE_BITS = 30
 #: Bytes of segments in one index.
 _INDEX_BYTES = 1 << 20
+#: Different segments from which on an anchor's windows are counted one by one.
+_HOT = 64
 
 
 class _Segments:
@@ -122,30 +132,42 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarra
     return order, packed
 
 
-def matching_statistics(symbols: np.ndarray, heads: np.ndarray, most: int) -> tuple[np.ndarray, int]:
-    """For each position, the longest match with another suffix; exact where it is below most. heads: positions at which the
-    stream starts anew. Also the number of runs of the Burrows-Wheeler transform."""
-    n = len(symbols)
-    order, packed = suffix_order(symbols, most)
-    before = np.where(order > 0, symbols[order - 1].astype(np.int32), -1)
-    edge = np.concatenate(([True], before[1:] != before[:-1], [True]))
-    best = np.zeros(n, np.int64)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    for side, sampled in ((-1, edge[:-1]), (1, edge[1:])):
-        sample = np.zeros(n, bool)
-        sample[order[sampled]] = True
-        sample[heads] = True
-        q = np.flatnonzero(sample)
-        other = place[q] + side
-        inside = (other >= 0) & (other < n)
-        value = np.zeros(len(q), np.int64)
-        value[inside] = _match(symbols, packed, q[inside], order[other[inside]], most)
-        last = np.cumsum(sample) - 1
-        known = last >= 0
-        stream = np.where(known, value[last] - (np.arange(n) - q[last]), 0)
-        best = np.maximum(best, stream)
-    return best, int(edge[:-1].sum())
+class RunIndex:
+    """The run-length Burrows-Wheeler transform of a text, with the text positions sampled at both ends of every run and at
+    the heads of its segments, and for each sample its neighbour in suffix order. The suffix order itself is not kept."""
+
+    def __init__(self, symbols: np.ndarray, heads: np.ndarray, depth: int):
+        n = len(symbols)
+        order, self.packed = suffix_order(symbols, depth)
+        before = np.where(order > 0, symbols[order - 1].astype(np.int32), -1)
+        starts = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
+        stops = np.append(starts[1:], n) - 1
+        self.symbols, self.run_heads, self.run_lengths = symbols, before[starts], stops - starts + 1
+        is_head = np.zeros(n, bool)
+        is_head[heads] = True
+        placed = np.flatnonzero(is_head[order])
+        self.above, self.below = (self._sample(order, np.union1d(ends, placed), side) for ends, side in ((starts, -1), (stops, 1)))
+
+    @staticmethod
+    def _sample(order: np.ndarray, ranks: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
+        """Text positions of the ranks and of their neighbours on one side, -1 where there is none."""
+        other = ranks + side
+        return order[ranks], np.where((other >= 0) & (other < len(order)), order[np.clip(other, 0, len(order) - 1)], -1)
+
+    def statistics(self, most: int) -> np.ndarray:
+        """For each text position the longest match with another suffix, exact where it is below most: samples are measured,
+        and streamed on in text order, one less a step, until the next sample."""
+        n = len(self.symbols)
+        best = np.zeros(n, np.int64)
+        for at, other in (self.above, self.below):
+            known = other >= 0
+            held, sampled = np.zeros(n, np.int64), np.zeros(n, bool)
+            held[at[known]] = _match(self.symbols, self.packed, at[known], other[known], most)
+            sampled[at] = True
+            places = np.flatnonzero(sampled)
+            last = np.cumsum(sampled) - 1
+            best = np.maximum(best, np.where(last >= 0, held[places][last] - (np.arange(n) - places[last]), 0))
+        return best
 
 
 def _match(symbols: np.ndarray, packed: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -190,6 +212,8 @@ def _unpack(payload: bytes):
 
 def _index(table: pa.Table, window: int) -> pa.Table:
     """For one bucket: each chunk's segments that hold repeats, by digest, with the ranges of repeated window starts."""
+    if table.column("bucket")[0].as_py() < 0:
+        return _repeated_windows(table)
     distinct: dict[tuple[int, bytes], list] = {}
     for chunk, payload in zip(table.column("chunk").to_pylist(), table.column("payload").to_pylist(), strict=True):
         for anchor, digest, twice, raw in _unpack(payload):
@@ -209,7 +233,7 @@ def _index(table: pa.Table, window: int) -> pa.Table:
         heads = np.concatenate(([0], np.cumsum(lengths + 1)[:-1]))
         symbols = np.frombuffer(b"\0".join(k[1] for k in own) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
         symbols[heads + lengths] = 0
-        long, _ = matching_statistics(symbols, heads, int(lengths.max()) + 1)
+        long = RunIndex(symbols, heads, int(lengths.max()) + 1).statistics(int(lengths.max()) + 1)
         for k, head, length in zip(own, heads.tolist(), lengths.tolist(), strict=True):
             digest, times, chunks = distinct[k]
             starts = length - window + 1
@@ -223,9 +247,35 @@ def _index(table: pa.Table, window: int) -> pa.Table:
     return pa.table([pa.array(out, pa.int32()), pa.array([bucket] * len(out), pa.int32()), pa.array([np.array(answers[c], "<u8").tobytes() for c in out], pa.binary())], schema=anchors._ANSWER)
 
 
-def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram: int, finish, schema: str | StructType) -> DataFrame:
+def _numbers(answers: pa.Table) -> np.ndarray:
+    return np.concatenate([np.empty(0, "<u8"), *(np.frombuffer(p, "<u8") for p in answers.column("payload").to_pylist())])
+
+
+def _smallest(pairs: np.ndarray, most: int) -> np.ndarray:
+    """Of distinct (anchor, digest), the ``most`` smallest digests of each anchor."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    if not len(pairs):
+        return pairs
+    pairs = pairs[np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))]
+    first = np.flatnonzero(np.concatenate(([True], pairs[1:, 0] != pairs[:-1, 0])))
+    size = np.diff(np.append(first, len(pairs)))
+    return pairs[np.arange(len(pairs)) - np.repeat(first, size) < most]
+
+
+def _pairs_table(chunk: int, pairs: np.ndarray, buckets: int, schema: pa.Schema) -> pa.Table:
+    """A message for each bucket, by the anchor."""
+    at = pairs[:, 0] % tk.U64(buckets)
+    order = np.argsort(at, kind="stable")
+    own, first = np.unique(at[order], return_index=True)
+    cut = zip(first.tolist(), [*first[1:].tolist(), len(order)], strict=True) if len(order) else []
+    payloads = [pairs[order[a:b]].astype("<u8").tobytes() for a, b in cut]
+    return pa.table([pa.array(own.tolist(), pa.int32()), pa.array([chunk] * len(own), pa.int32()), pa.array(payloads, pa.binary())], schema=schema)
+
+
+def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram: int, hot: int, bucket_bytes: int, chunk_bytes: int, finish, schema: str | StructType) -> DataFrame:
     """finish(table, bytes, bounds, flags of removed bytes) makes the rows of each chunk."""
-    dealt = anchors.deal(docs, id_cols, text_col, bucket_bytes=8 << 20)
+    dealt = anchors.deal(docs, id_cols, text_col, chunk_bytes, bucket_bytes)
     name, buckets = dealt.chunk, dealt.buckets
 
     def hashes_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -233,28 +283,61 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram:
         hashes = np.concatenate(own)
         return hashes, np.ones(len(hashes), bool)
 
+    def sketch(table: pa.Table, answers: pa.Table) -> pa.Table:
+        """The smallest digests of each repeated anchor, to the anchor's bucket."""
+        chunk = anchors.chunk_of(table, answers, name)
+        if not answers.num_rows or not table.num_rows:
+            return _pairs_table(chunk, np.empty((0, 2), tk.U64), buckets, anchors._MESSAGE)
+        own = [np.empty((0, 2), tk.U64)]
+        for _, _, _, s in _slices(table.column(text_col), window, gram):
+            own.append(np.column_stack([s.anchor, s.digest])[anchors.repeated(s.anchor, answers, buckets)])
+        return _pairs_table(chunk, _smallest(np.concatenate(own), hot), buckets, anchors._MESSAGE)
+
+    def find_hot(table: pa.Table) -> pa.Table:
+        """To each chunk of a bucket: those of its anchors that have too many different segments."""
+        bucket, chunks = table.column("bucket")[0].as_py(), table.column("chunk").to_pylist()
+        parts = [np.frombuffer(p, "<u8").reshape(-1, 2) for p in table.column("payload").to_pylist()]
+        anchor, times = np.unique(_smallest(np.concatenate(parts), hot)[:, 0], return_counts=True)
+        many = anchor[times >= hot]
+        out = [(c, np.unique(own[anchors._member(own[:, 0], many)][:, 0])) for c, own in zip(chunks, parts, strict=True)]
+        out = [(c, own.astype("<u8").tobytes()) for c, own in out if len(own)]
+        return pa.table([pa.array([c for c, _ in out], pa.int32()), pa.array([-1 - bucket] * len(out), pa.int32()), pa.array([p for _, p in out], pa.binary())], schema=anchors._ANSWER)
+
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
+        """Segments of the other anchors to the anchors' buckets; windows of the hot ones to the windows' buckets, below zero."""
         chunk = anchors.chunk_of(table, answers, name)
         found: dict[int, dict] = {}
+        one, two = [np.empty(0, tk.U64)], [np.empty(0, np.uint32)]
         if answers.num_rows and table.num_rows:
+            often = answers.filter(pa.compute.greater_equal(answers.column("bucket"), 0))
+            many = np.sort(_numbers(answers.filter(pa.compute.less(answers.column("bucket"), 0))))
             for buf, _, _, s in _slices(table.column(text_col), window, gram):
                 raw = buf.tobytes()
-                for k in np.flatnonzero(anchors.repeated(s.anchor, answers, buckets)).tolist():
+                is_hot = anchors._member(s.anchor, many)
+                if is_hot.any():
+                    starts = np.concatenate([np.arange(a, b) for a, b in zip(s.first[is_hot].tolist(), (s.end[is_hot] - window + 1).tolist(), strict=True)])
+                    sums = tk.byte_sums(buf)
+                    one.append(tk.range_hash(sums, starts, starts + window, 21))
+                    two.append(tk.range_hash(tk.prefix_sums(tk.mix(buf.astype(tk.U64), 22)), starts, starts + window, 23).astype(np.uint32))
+                for k in np.flatnonzero(~is_hot & anchors.repeated(s.anchor, often, buckets)).tolist():
                     anchor, digest = int(s.anchor[k]), int(s.digest[k])
                     own = found.setdefault(anchor % buckets, {})
                     if (anchor, digest) in own:
                         own[anchor, digest][2] = 1
                     else:
                         own[anchor, digest] = [anchor, digest, 0, raw[s.first[k] : s.end[k]]]
-        return _pack(chunk, {b: list(own.values()) for b, own in found.items()}, buckets)
+        windows = _windows_table(chunk, np.concatenate(one), np.concatenate(two), buckets)
+        below = pa.compute.subtract(pa.scalar(-1, pa.int32()), windows.column("bucket"))
+        return pa.concat_tables([_pack(chunk, {b: list(own.values()) for b, own in found.items()}, buckets), windows.set_column(0, anchors._MESSAGE.field("bucket"), below)])
 
     def apply(table: pa.Table, answers: pa.Table) -> pa.Table:
         buf, off = tk.utf8(table.column(text_col))
         flags = np.zeros(len(buf), bool)
         if answers.num_rows and table.num_rows:
-            marked = np.concatenate([np.frombuffer(p, "<u8").reshape(-1, 3) for p in answers.column("payload").to_pylist()])
+            marked = _numbers(answers.filter(pa.compute.greater_equal(answers.column("bucket"), 0))).reshape(-1, 3)
             marked = marked[np.argsort(marked[:, 0], kind="stable")]
-            for own, _, at, s in _slices(table.column(text_col), window, gram):
+            windows = np.sort(_numbers(answers.filter(pa.compute.less(answers.column("bucket"), 0))))
+            for own, bounds, at, s in _slices(table.column(text_col), window, gram):
                 low, high = np.searchsorted(marked[:, 0], s.digest, "left"), np.searchsorted(marked[:, 0], s.digest, "right")
                 change = np.zeros(len(own) + 1, np.int32)
                 which = np.flatnonzero(high > low)
@@ -263,16 +346,23 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram:
                 first = np.repeat(s.first[which], times)
                 np.add.at(change, first + marked[rows, 1].astype(np.int64), 1)
                 np.add.at(change, first + marked[rows, 2].astype(np.int64) + window - 1, -1)
+                if len(windows) and len(own) >= window:
+                    starts = np.concatenate([np.arange(a, b - window + 1) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
+                    starts = starts[anchors._member(tk.range_hash(tk.byte_sums(own), starts, starts + window, 21), windows)]
+                    np.add.at(change, starts, 1)
+                    np.add.at(change, starts + window, -1)
                 flags[at : at + len(own)] = np.cumsum(change[:-1]) > 0
         return finish(table, buf, off, flags)
 
     repeats = anchors.find_repeats(dealt, hashes_of)
-    segments = dealt.docs.groupBy(name).cogroup(repeats.groupBy("chunk")).applyInArrow(send, anchors.MESSAGE)
+    sketches = dealt.docs.groupBy(name).cogroup(repeats.groupBy("chunk")).applyInArrow(sketch, anchors.MESSAGE)
+    known = repeats.unionByName(sketches.groupBy("bucket").applyInArrow(find_hot, anchors.ANSWER))
+    segments = dealt.docs.groupBy(name).cogroup(known.groupBy("chunk")).applyInArrow(send, anchors.MESSAGE)
     marks = segments.groupBy("bucket").applyInArrow(lambda t: _index(t, window), anchors.ANSWER)
     return dealt.docs.groupBy(name).cogroup(marks.groupBy("chunk")).applyInArrow(apply, schema)
 
 
-def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 400, gram: int = 64) -> DataFrame:
+def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 400, gram: int = 64, hot: int = _HOT, bucket_bytes: int = 8 << 20, chunk_bytes: int = 8 << 20) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256."""
     kind = dict(docs.dtypes)[id_col]
 
@@ -287,10 +377,10 @@ def digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
             shas.append(hashlib.sha256(own[~flags[off[d] : off[d + 1]]] if removed[d] else own).hexdigest())
         return pa.table({id_col: table.column(id_col), "n_bytes": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(shas, pa.string())})
 
-    return _mark(docs.select(id_col, text_col), [id_col], text_col, window, gram, finish, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _mark(docs.select(id_col, text_col), [id_col], text_col, window, gram, hot, bucket_bytes, chunk_bytes, finish, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 400, gram: int = 64) -> DataFrame:
+def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 400, gram: int = 64, hot: int = _HOT, bucket_bytes: int = 8 << 20, chunk_bytes: int = 8 << 20) -> DataFrame:
     """docs with the repeats' bytes removed from the texts, same columns. A cut within a character drops what is left of it."""
     columns = docs.columns
 
@@ -302,4 +392,4 @@ def remove(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", w
         at = table.schema.get_field_index(text_col)
         return table.set_column(at, text_col, pa.array(new, pa.string())).select(columns)
 
-    return _mark(docs, [id_col], text_col, window, gram, finish, docs.schema)
+    return _mark(docs, [id_col], text_col, window, gram, hot, bucket_bytes, chunk_bytes, finish, docs.schema)

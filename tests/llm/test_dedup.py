@@ -37,6 +37,63 @@ def test_suffix_small_windows(spark):
     same(suffix_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string"), window=20, gram=6), brute.substring_bytes(rows, 20))
 
 
+def test_suffix_hot_anchors_and_many_buckets(spark):
+    """Boilerplate with different surroundings, more than a window long in some: hot anchors, several chunks, buckets, slices."""
+    draw = random.Random(7)
+    make = lambda n: "".join(draw.choice("abcdé ") for _ in range(n))
+    core = make(30)
+    rows = [(k, make(draw.randint(0, 60)) + core + make(draw.randint(0, 60))) for k in range(150)]
+    rows += [(1000 + k, rows[k][1][: draw.randint(20, 90)] + rows[k + 1][1]) for k in range(60)] + [(2000, rows[3][1]), (2001, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = brute.substring_bytes(rows, 40)
+    assert sum(r[2] for r in expected) > 1000
+    for hot in (1, 4, 64):
+        same(suffix_dedup.digest(df, window=40, gram=8, hot=hot, bucket_bytes=1000, chunk_bytes=1500), expected)
+
+
+def test_run_index_gives_matching_statistics():
+    import numpy as np
+
+    draw = random.Random(3)
+    parts = ["".join(draw.choice("ab") for _ in range(draw.randint(5, 60))) for _ in range(12)]
+    heads = np.cumsum([0, *(len(x) + 1 for x in parts[:-1])])
+    text = "\0".join(parts) + "\0"
+    symbols = np.frombuffer(text.encode(), np.uint8).astype(np.uint16)
+    index = suffix_dedup.RunIndex(symbols, heads, 100)
+    assert index.run_lengths.sum() == len(text) and (index.run_heads[1:] != index.run_heads[:-1]).all() and len(index.run_heads) < len(text)
+    got = index.statistics(100)
+    for head, part in zip(heads.tolist(), parts, strict=True):
+        for i in range(head, head + len(part)):
+            end = head + len(part)
+            longest = next(n for n in range(end - i, -1, -1) if any(text[j : j + n] == text[i : i + n] for j in range(len(text) - n + 1) if j != i))
+            assert min(got[i], end - i) == longest
+
+
+def test_near_duplicates_in_blocks(spark, monkeypatch):
+    """Buckets of more than one block, with members between half similar and linked."""
+    draw = random.Random(4)
+    monkeypatch.setattr(minhash_dedup, "_BLOCK", 3)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for k in range(70):
+        own = list(base)
+        for at in draw.sample(range(80), draw.randint(1, 4)):
+            own[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(own)))
+    same(minhash_dedup.cluster(spark.createDataFrame(rows, "doc_id long, text string")), brute.near_duplicates(rows))
+
+
+def test_dense_vectors_in_blocks(spark):
+    """One dense cell of unequal vectors, repeated ids, other columns; lengths with and without pivots."""
+    draw = random.Random(8)
+    base = [draw.gauss(0, 1) for _ in range(6)]
+    rows = [(k, [x + draw.gauss(0, 0.15) for x in base], 1) for k in range(90)] + [(200 + k, [draw.gauss(0, 1) for _ in range(3)], 1) for k in range(30)]
+    df = spark.createDataFrame([(*r, "a", 1) for r in rows], "vec_id long, embedding array<double>, label int, cell string, query int")
+    same(embedding_dedup.cluster(df, cell_rows=40, part_rows=7), brute.vector_links(rows))
+    twice = embedding_dedup.cluster(df.unionByName(df.limit(1)), cell_rows=40, part_rows=7)
+    assert twice.count() == len(rows) + 1
+
+
 def test_near_duplicates(docs, rows, none):
     own = [r for r in pairs(rows) if r[0] is not None]
     expected = brute.near_duplicates(own) + [(3, *next(r for r in brute.near_duplicates(own) if r[0] == 3)[1:])] * 2
