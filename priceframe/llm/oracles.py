@@ -53,11 +53,37 @@ n AS (SELECT x AS vec_id, count(*) AS n FROM sym GROUP BY x)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM root LEFT JOIN n USING (vec_id)
 """
 
+BYTES = """
+WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS MATERIALIZED (SELECT doc_id, i, hash(win) AS a, hash(win || 'x') AS b FROM (SELECT doc_id, i, substr(h, 2 * i + 1, 800) AS win FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d WHERE len(h) >= 800))),
+twice AS (SELECT a, b FROM w GROUP BY a, b HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, lag(i) OVER p AS before FROM w SEMI JOIN twice USING (a, b) WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+marked AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM hit),
+spans AS MATERIALIZED (SELECT doc_id, span, min(i) AS s, max(i) + 400 AS e FROM marked GROUP BY doc_id, span),
+pieces AS (SELECT doc_id, span, substr(h, 2 * coalesce(lag(e) OVER p, 0) + 1, 2 * (s - coalesce(lag(e) OVER p, 0))) AS piece FROM spans JOIN d USING (doc_id) WINDOW p AS (PARTITION BY doc_id ORDER BY span)),
+sums AS (SELECT doc_id, count(*) AS n_spans, sum(e - s) AS n, max(e) AS last FROM spans GROUP BY doc_id),
+heads AS (SELECT doc_id, string_agg(piece, '' ORDER BY span) AS head FROM pieces GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN heads USING (doc_id)
+"""
+
+#: A payload's digest: 160 bits, five to a letter.
+_BITS = "list_aggregate(list_transform(string_split(sha1(encode(coalesce(html, ''))), ''), lambda c: right(bin(('0x' || c)::INT + 16), 4)), 'string_agg', '')"
+PAGES = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, {_BITS} AS bits FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ('0b' || substr(bits, 5 * k + 1, 5))::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f
+"""
+
 ORACLE_SQL = {
     "op3_substring_dedup": SUBSTRING,
     "op4_line_dedup": line_dedup.ORACLE_SQL,
     "op5_embedding_dedup": VECTORS,
+    "op6_warc": PAGES,
     "op7_minhash_dedup": NEAR,
     "op8_mixing": mixing.ORACLE_SQL,
+    "op9_suffix_dedup": BYTES,
     "op10_decontaminate": CONTAMINATION,
 }

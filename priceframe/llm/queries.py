@@ -33,7 +33,7 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), path)
-    return warc.digest(warc.read(spark, path))
+    return warc.digest(spark, path)
 
 
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

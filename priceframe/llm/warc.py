@@ -1,17 +1,22 @@
 """WARC archives as a Spark data source: ``spark.read.format("warc")`` and ``df.write.format("warc")``.
 
-Writing: every task writes gzip archives (a member for each record, so records can be skipped without decoding) of about
-``rollBytes`` under names of its own attempt; when the job commits, the driver writes the list of committed files, so files
-of lost or repeated attempts are never read.
+Writing: every task writes gzip archives of about ``rollBytes`` under names of its own attempt, a member for each record, whose
+gzip extra field "SL" records the member's length; when the job commits, the driver writes the list of committed files, so
+files of lost or repeated attempts are never read.
 
 Reading: the driver plans file partitions: ranges of whole archives of about ``splitBytes``. Predicates on ``warc_type`` and on
-the header columns are pushed down: of each record only the headers are decoded first, and the payload of a record that fails
-them, or of any record when the payload column is not asked for (``payload`` option false), is never decoded.
+the header columns are pushed down. Of each record the headers are inflated first, a few hundred bytes; where the record fails
+a predicate, or its payload is not wanted (``payload`` option false), the reader goes on at the next member by the recorded
+length and inflates no more of it. Archives of other writers have no lengths; their members are inflated through.
 
 Paths are opened through Arrow's file systems, so they may be local, shared or remote (``file://``, ``hdfs://``, ``s3://``).
 
 Defined cases: a null payload is written as the empty payload; an empty table makes an archive folder with an empty list;
-null header values leave the header out and are read back as null; records are independent, so repeated ones stay.
+null header values leave the header out and are read back as null; records are independent, so repeated ones stay, and rows
+that repeat a page id and its payload have the same smallest id: all of them are responses. Header names are matched in any
+case, text that is no UTF-8 is read with replacement marks, a number that is none is null. An archive is read up to its first
+damaged place: a record that ends before its stated length is left out, with what follows it in that file. Only the three
+named columns of a table are read, whatever the names of others.
 """
 
 from __future__ import annotations
@@ -66,6 +71,22 @@ def _clean(value) -> str:
     return str(value).replace("\r", "%0D").replace("\n", "%0A")
 
 
+#: A gzip header with a modification time of zero and an extra field of 12 bytes: subfield SL, 8 bytes long.
+_GZIP = b"\x1f\x8b\x08\x04" + bytes(4) + b"\x00\xff" + (12).to_bytes(2, "little") + b"SL" + (8).to_bytes(2, "little")
+
+
+def _member(raw: bytes, level: int) -> bytes:
+    """A gzip member that records its own length."""
+    pack = zlib.compressobj(level, wbits=-15)
+    body = pack.compress(raw) + pack.flush()
+    return _GZIP + (len(_GZIP) + 16 + len(body)).to_bytes(8, "little") + body + zlib.crc32(raw).to_bytes(4, "little") + (len(raw) & 0xFFFFFFFF).to_bytes(4, "little")
+
+
+def _length(head: bytes) -> int | None:
+    """The recorded length of the member that starts here, null for members of other writers."""
+    return int.from_bytes(head[len(_GZIP) : len(_GZIP) + 8], "little") if head.startswith(_GZIP) and len(head) >= len(_GZIP) + 8 else None
+
+
 @dataclass
 class _Commit(WriterCommitMessage):
     files: list[tuple[str, int]]
@@ -85,8 +106,7 @@ class WarcWriter(DataSourceArrowWriter):
                     if out is None:
                         name, size = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = store.open_output_stream(f"{top}/{name}", compression=None)
-                    pack = zlib.compressobj(self.level, wbits=31)
-                    member = pack.compress(_record(values)) + pack.flush()
+                    member = _member(_record(values), self.level)
                     out.write(member)
                     size += len(member)
                     if size >= self.roll:
@@ -149,8 +169,8 @@ class WarcReader(DataSourceReader):
         rows: list[dict] = []
         held = 0
         for name in partition.names:
-            with store.open_input_stream(f"{top}/{name}", compression=None) as stream:
-                for row in _records(stream, name.endswith(".gz"), self._wanted, self.payload):
+            with store.open_input_file(f"{top}/{name}") as file:
+                for row in _records(file, name.endswith(".gz"), self._wanted, self.payload):
                     rows.append(row)
                     held += len(row["payload"] or b"")
                     if len(rows) >= 4096 or held >= 16 << 20:
@@ -169,18 +189,31 @@ class WarcReader(DataSourceReader):
         return True
 
 
+class _Window:
+    """Any range of a file through one buffer; ranges that lie beyond it are sought, not read through."""
+
+    def __init__(self, file):
+        self.file, self.start, self.held = file, 0, b""
+
+    def get(self, at: int, n: int) -> bytes:
+        if not (self.start <= at and at + n <= self.start + len(self.held)):
+            self.file.seek(at)
+            self.start, self.held = at, self.file.read(max(n, _READ))
+        return self.held[at - self.start : at - self.start + n]
+
+
 class _Source:
-    """Bytes of a stream, inflated member by member as far as they are asked for."""
+    """Bytes of a file from some place on, inflated member by member as far as they are asked for."""
 
-    def __init__(self, stream, packed: bool):
-        self.stream, self.packed = stream, packed
+    def __init__(self, file, packed: bool):
+        self.file, self.packed = file, packed
         self.raw, self.clear = b"", b""
         self.member = None
 
     def more(self) -> bool:
         while True:
             if not self.raw:
-                self.raw = self.stream.read(_READ)
+                self.raw = self.file.read(_READ)
                 if not self.raw:
                     return False
             if not self.packed:
@@ -188,7 +221,10 @@ class _Source:
                 return True
             if self.member is None:
                 self.member = zlib.decompressobj(wbits=31)
-            got = self.member.decompress(self.raw, 1 << 18)
+            try:
+                got = self.member.decompress(self.raw, 1 << 18)
+            except zlib.error:
+                return False
             self.raw = self.member.unused_data if self.member.eof else self.member.unconsumed_tail
             if self.member.eof:
                 self.member = None
@@ -205,12 +241,12 @@ class _Source:
         out, self.clear = self.clear[:at], self.clear[at + len(mark) :]
         return out
 
-    def take(self, n: int, keep: bool) -> bytes:
-        """The next n bytes; without keep they are dropped piece by piece."""
+    def take(self, n: int, keep: bool) -> bytes | None:
+        """The next n bytes, null where fewer are left; without keep they are dropped piece by piece."""
         parts = []
         while n:
             if not self.clear and not self.more():
-                break
+                return None
             piece, self.clear = self.clear[:n], self.clear[n:]
             n -= len(piece)
             if keep:
@@ -218,22 +254,59 @@ class _Source:
         return b"".join(parts)
 
 
-def _records(stream, packed: bool, wanted, payload: bool) -> Iterator[dict]:
-    source = _Source(stream, packed)
+def _parsed(head: bytes) -> tuple[dict, int]:
+    """A record's columns and the length of its body, from its headers."""
+    lines = head.strip(b"\r\n").decode("utf-8", "replace").split("\r\n")
+    pairs = (line.partition(":") for line in lines[1:])
+    named = {k.strip().lower(): v.strip() for k, colon, v in pairs if colon}
+    number = lambda x: int(x) if x is not None and x.isascii() and x.isdigit() else None
+    row: dict = {c: named.get(h.lower()) for c, h in _HEADERS.items()}
+    row |= {c: number(row[c]) for c in _NUMBERS}
+    if row["payload_digest"]:
+        row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
+    return row, number(named.get("content-length")) or 0
+
+
+def _records(file, packed: bool, wanted, payload: bool, seen: dict | None = None) -> Iterator[dict]:
+    """The wanted records of one archive. seen counts inflated bytes."""
+    window, at = _Window(file), 0
+    seen = seen if seen is not None else {}
+    has_body = lambda row: payload and row["warc_type"] != "revisit"
+    while packed and (length := _length(window.get(at, len(_GZIP) + 8))) is not None:
+        inflate, clear, fed = zlib.decompressobj(wbits=31), b"", 0
+        try:
+            while b"\r\n\r\n" not in clear and not inflate.eof:
+                piece = inflate.unconsumed_tail or window.get(at + fed, min(512, length - fed))
+                fed += 0 if inflate.unconsumed_tail else len(piece)
+                if not piece:
+                    return
+                clear += inflate.decompress(piece, 1024)
+            head, found, body = clear.partition(b"\r\n\r\n")
+            if not found:
+                return
+            row, size = _parsed(head)
+            keep = wanted(row)
+            if keep and has_body(row):
+                body += inflate.decompress(inflate.unconsumed_tail + window.get(at + fed, length - fed))
+                if len(body) < size or not inflate.eof:
+                    return
+        except zlib.error:
+            return
+        seen["inflated"] = seen.get("inflated", 0) + len(head) + len(body)
+        if keep:
+            yield {**row, "payload": body[:size] if has_body(row) else None}
+        at += length
+    file.seek(at)
+    source = _Source(file, packed)
     while (head := source.until(b"\r\n\r\n")) is not None:
-        lines = head.strip(b"\r\n").decode().split("\r\n")
-        named = dict(line.split(": ", 1) for line in lines[1:] if ": " in line)
-        row: dict = {c: named.get(h) for c, h in _HEADERS.items()}
-        for c in _NUMBERS:
-            row[c] = int(row[c]) if row[c] is not None else None
-        if row["payload_digest"]:
-            row["payload_digest"] = row["payload_digest"].removeprefix("sha1:")
-        size = int(named.get("Content-Length", 0))
+        row, size = _parsed(head)
         keep = wanted(row)
-        body = source.take(size, keep and payload)
+        body = source.take(size, keep and has_body(row))
+        if body is None:
+            return
         source.take(4, False)
         if keep:
-            yield {**row, "payload": body if payload and row["warc_type"] != "revisit" else None}
+            yield {**row, "payload": body if has_body(row) else None}
 
 
 class WarcSource(DataSource):
@@ -296,14 +369,10 @@ def digest_of(payloads: pa.Array) -> pa.Array:
     return pa.array([None if p is None else payload_digest(p) for p in payloads.to_pylist()], pa.string())
 
 
-def digest(archive: DataFrame) -> DataFrame:
-    """One row per record read back: size and digest of the full payload, counted on what was decoded where the record has it
-    and taken from the headers of revisits, which carry none."""
-    own = F.col("warc_type") != "revisit"
-    return archive.select(
-        "page_id",
-        F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.coalesce(digest_of("payload"), F.col("payload_digest")).alias("payload_digest"),
-        F.col("warc_type").alias("record_type"),
-        "refers_to",
-    )
+def digest(spark: SparkSession, path: str) -> DataFrame:
+    """One row per record of an archive folder. Responses are read with their payloads, whose size and digest are counted on
+    what was decoded; revisits, which carry none, by a pushed predicate and from their headers."""
+    full = read(spark, path).where("warc_type = 'response'")
+    full = full.select("page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), digest_of("payload").alias("payload_digest"), F.col("warc_type").alias("record_type"), "refers_to")
+    bare = read(spark, path, payload=False).where("warc_type = 'revisit'")
+    return full.unionByName(bare.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to"))

@@ -72,7 +72,7 @@ def test_warc_round_trip(spark, tmp_path):
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
     warc.write(df, f"file://{tmp_path}/a", min_bytes=9)
     back = warc.read(spark, f"file://{tmp_path}/a")
-    same(warc.digest(back), brute.warc([(p, h) for p, _, h in pages], 9))
+    same(warc.digest(spark, f"file://{tmp_path}/a"), brute.warc([(p, h) for p, _, h in pages], 9))
     some = back.where("warc_type = 'response' and payload_bytes = 9").select("page_id", "payload").collect()
     assert [(r.page_id, bytes(r.payload).decode()) for r in some] == [(1, "<p>é</p>")]
     assert back.where("warc_type = 'revisit'").where("payload is not null").count() == 0
@@ -81,6 +81,41 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read(spark, f"file://{tmp_path}/b").count() == 0
 
 
+def test_warc_all_sizes_repeated_ids_and_clashing_names(spark, tmp_path):
+    pages = [(1, "u", "aa", "w"), (2, "u", "aa", "w"), (0, None, "", "w"), (3, "u", None, "w"), (2, "u", "aa", "w"), (4, "u", "é", None)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, payload string")
+    warc.write(df, f"file://{tmp_path}/a")
+    same(warc.digest(spark, f"file://{tmp_path}/a"), brute.warc([(r[0], r[2]) for r in pages]))
+
+
+def test_warc_skips_payloads_by_length(spark, tmp_path):
+    import os
+
+    noise = [os.urandom(40_000).hex() for _ in range(6)]
+    df = spark.createDataFrame([(k, "u", x) for k, x in enumerate([*noise, noise[0]])], "page_id long, url string, html string").coalesce(1)
+    warc.write(df, f"file://{tmp_path}/a")
+    plan = warc.read(spark, f"file://{tmp_path}/a").where("warc_type = 'revisit'")
+    assert [r.page_id for r in plan.collect()] == [6] and "Filter (" not in plan._jdf.queryExecution().executedPlan().toString()
+    (path,) = (tmp_path / "a").glob("*.warc.gz")
+    for wanted, payload, most, n in ((lambda r: r["warc_type"] == "revisit", True, 12_000, 1), (lambda r: True, False, 12_000, 7), (lambda r: True, True, 10**6, 7)):
+        seen = {}
+        with path.open("rb") as f:
+            assert len(list(warc._records(f, True, wanted, payload, seen))) == n
+        assert seen["inflated"] < most
+    whole = path.read_bytes()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "cut.warc.gz").write_bytes(whole[: len(whole) - 9000])
+    assert 4 <= warc.read(spark, f"file://{tmp_path}/b").count() < 7
+    import gzip
+
+    foreign = b"WARC/1.0\r\nwarc-type: response\r\nX-PAGE-ID: x7\r\nWARC-Target-URI: \xff\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "one.warc.gz").write_bytes(gzip.compress(foreign) + gzip.compress(foreign[:-9]))
+    (tmp_path / "c" / "two.warc").write_bytes(foreign * 2)
+    rows = warc.read(spark, f"file://{tmp_path}/c").collect()
+    assert [(bytes(r.payload), r.page_id, r.target_uri) for r in rows] == [(b"abc", None, "\ufffd")] * 3
+
+
 def test_warc_pushdown(spark, tmp_path):
     warc.register(spark)
     reader = warc.WarcReader(str(tmp_path), 1, True)
