@@ -26,6 +26,7 @@ repeats within one document, overlapping too, count; repeated rows are copies of
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -222,6 +223,15 @@ def _index(table: pa.Table, window: int) -> pa.Table:
             entry[2].append(chunk)
     answers: dict[int, list[tuple[int, int, int]]] = {}
     keys = sorted(distinct, key=lambda k: k[0])
+    each = Counter(k[0] for k in keys)
+    # Equal windows have their anchor at the same place in them, so no window repeats within one segment, and an anchor's only
+    # segment is repeated as a whole or not at all.
+    for k in [k for k in keys if each[k[0]] == 1]:
+        digest, times, chunks = distinct[k]
+        if times > 1:
+            for chunk in dict.fromkeys(chunks):
+                answers.setdefault(chunk, []).append((digest, 0, len(k[1]) - window + 1))
+    keys = [k for k in keys if each[k[0]] > 1]
     start = 0
     while start < len(keys):
         stop, size = start, 0
