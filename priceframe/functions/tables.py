@@ -192,3 +192,17 @@ SPONSOR = r"_(?:our_)?sponsor(?:ed)?$"
 SPONSORED = r"_sponsored$"
 FORM_FACTOR = r"\s*(pcie|sxm\d?|nvlink|hgx)\s*\d*\s*g?b?$"
 SIZE_WITH_UNIT = r"(?i)(\d+(?:\.\d+)?)\s*(?:Gi?B|GB)\b"
+
+# How pages name GPUs before and after a price.
+MENTIONS_BEFORE_PRICE = r"(?:NVIDIA\s+)?(?:H100|H200|A100|B200|GB200|L40S?|L4|A40|A10G?|V100|T4|RTX\s*[\w ]+|MI300X?|K80|P100)"
+MENTIONS_AFTER_PRICE = r"(?:NVIDIA\s+)?(?:H100|H200|A100|B200|L40S?|L4|A40|V100|T4|RTX\s*[\w]+|MI300X?)"
+
+# Fixed values of bulk price files: the columns that identify an offer, and classes of price descriptions, first hit wins.
+BULK_KEY = ["Region Code", "Location", "Instance Type", "TermType", "Operating System", "Tenancy", "Pre Installed S/W", "LeaseContractLength", "PurchaseOption", "OfferingClass", "CapacityStatus"]
+BULK_CLASSES = [  # words of the description, capacity status, class
+    ("capacity block", None, "capacity_block"),
+    ("unused reservation", "unusedcapacityreservation", "capacity_reservation"),
+    ("reservation", "allocatedcapacityreservation", "capacity_reservation"),
+    ("dedicated", None, "dedicated"),
+    ("on demand", None, "on_demand"),
+]

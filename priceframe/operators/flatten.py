@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from priceframe.functions import conform as c
+from priceframe.functions import tables as t
 
 col = F.col
 
@@ -43,6 +44,13 @@ def first_positive(values: Column) -> Column:
     return F.get(F.filter(values, lambda x: x > 0), 0)
 
 
+def first_price_in(localizations: Column, currency: str) -> Column:
+    """The first positive price of the first localization in a currency, with its model.
+    localizations: array<struct<currencyCode, prices: array<struct<model, value>>>>."""
+    own = F.get(F.filter(localizations, lambda x: x["currencyCode"] == currency), 0)
+    return F.get(F.filter(own["prices"], lambda p: p["value"] > 0), 0)
+
+
 def flatten_two_level(rows: DataFrame, outer: str, inner: str) -> DataFrame:
     """A row for each inner element of each outer element (struct with an array field inner)."""
     keys = [x for x in rows.columns if x != outer]
@@ -51,11 +59,26 @@ def flatten_two_level(rows: DataFrame, outer: str, inner: str) -> DataFrame:
     return out.select(*keys, *rest, F.inline(inner))
 
 
+def flatten_shapes(rows: DataFrame, shapes: list[tuple[str, str]]) -> DataFrame:
+    """Inner elements of several payload shapes (outer, inner) in one table; a row has the shapes whose outer array it fills."""
+    outers = [outer for outer, _ in shapes]
+    parts = [flatten_two_level(rows.drop(*[o for o in outers if o != outer]), outer, inner) for outer, inner in shapes]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def metric_fallback(metrics: list[Column]) -> Column:
     """The first metric above zero."""
     return F.coalesce(*[F.when(m > 0, m) for m in metrics])
 
 
+def metric_summary(metrics: dict[str, Column]) -> Column:
+    """price and name of the first metric above zero (0 and blank if none is), and all that are present, as JSON, in their order."""
+    parts = [F.when(m.isNotNull(), F.struct(F.lit(k).alias("key"), F.round(m, 6).alias("value"))) for k, m in metrics.items()]
+    given = F.filter(F.array(*parts), lambda x: x.isNotNull())
+    best = F.get(F.filter(given, lambda x: x["value"] > 0), 0)
+    return F.struct(F.coalesce(best["value"], F.lit(0.0)).alias("price"), F.coalesce(best["key"], F.lit("")).alias("metric"), F.to_json(F.map_from_entries(given)).alias("summary"))
+
+
 def alias_fallback(names: list[Column]) -> Column:
     """The first of several names of a field that is filled."""
     return F.coalesce(*[c.blank_to_null(c.strip(n)) for n in names], F.lit(""))
@@ -81,6 +104,12 @@ def classify(text: Column, rules: list[tuple[str, str]], otherwise: str) -> Colu
     return out
 
 
+def classify_offer(text: Column, types: list[tuple[str, str]], terms: list[tuple[str, str]], models: list[tuple[str, str]], count: str = r"(?i)\b(\d+)\s*x\b") -> Column:
+    """Pricing type, term, GPU model and count of an offer's free text, each by its own ordered rules; one GPU if no count is told."""
+    n = F.regexp_extract(text, count, 1).try_cast("int")
+    return F.struct(classify(text, types, "on_demand").alias("pricing_type"), classify(text, terms, "").alias("commitment_period"), classify(text, models, "").alias("gpu_name"), F.coalesce(n, F.lit(1)).alias("gpu_count"))
+
+
 def token_offers(models: DataFrame, prompt: str = "prompt", completion: str = "completion") -> DataFrame:
     """Per-token offers: no hourly price, unit token, prices in the JSON tail; free models are skipped."""
     paid = models.where((col(prompt) > 0) | (col(completion) > 0))
@@ -107,6 +136,16 @@ def location_parts(place: Column) -> dict[str, Column]:
     return {"country": F.try_element_at(parts, F.lit(-1)), "city": F.when(F.size(parts) > 1, F.get(parts, 0)).otherwise("")}
 
 
+def location_text(parts: list[Column]) -> Column:
+    """City, state and country, those that are filled, in one text."""
+    return F.concat_ws(", ", *[c.blank_to_null(c.strip(p)) for p in parts])
+
+
+def collapse_repeats(text: Column) -> Column:
+    """A label in which a phrase follows itself, with the phrase once."""
+    return F.regexp_replace(text, r"\b(\w.*?)(?:\s+\1\b)+", "$1")
+
+
 def size_gb(text: Column) -> Column:
     """GB from a size with a unit, or from a bare number of MB when it is large; one decimal."""
     n = F.regexp_extract(text, r"(\d+(?:\.\d+)?)", 1).try_cast("double")
@@ -115,10 +154,9 @@ def size_gb(text: Column) -> Column:
 
 
 def first_gpu_cell(cells: Column, preferred: Column) -> Column:
-    """The first cell, the preferred one first, that names a GPU and is no number."""
-    ordered = F.concat(F.array(F.get(cells, preferred)), cells)
-    named = F.transform(ordered, lambda x: c.strip(x))
-    return F.coalesce(F.get(F.filter(named, lambda x: x.rlike(r"(?i)\b(rtx|gtx|[ahlbvtp]\d{2,3}[a-z]?|mi\d{3}x?)\b") & ~x.rlike(r"^\d+(\.\d+)?$")), 0), F.lit(""))
+    """The first cell, the preferred one first, whose canonical GPU name is neither blank nor a number; that name."""
+    named = F.transform(F.concat(F.array(F.get(cells, preferred)), cells), c.norm_gpu_name)
+    return F.coalesce(F.get(F.filter(named, lambda x: (x != "") & ~x.rlike(r"^\d+(\.\d+)?$")), 0), F.lit(""))
 
 
 def lookup_with_rules(key: Column, text: Column, known: dict[str, str], rules: list[tuple[str, str]]) -> Column:
@@ -128,13 +166,40 @@ def lookup_with_rules(key: Column, text: Column, known: dict[str, str], rules: l
 
 
 def longest_prefix(rows: DataFrame, key: str, prefixes: DataFrame, prefix: str, value: str, into: str) -> DataFrame:
-    """The value of the longest prefix of each key. Keys meet prefixes by equality: one row for each prefix length in use."""
-    lengths = [r[0] for r in prefixes.select(F.length(prefix)).distinct().limit(1000).collect()]
-    keys = rows.select(key).distinct().withColumn("_n", F.explode(F.array(*[F.lit(n) for n in lengths]))).withColumn("_p", F.substring(col(key), F.lit(1), col("_n")))
-    best = keys.where(F.length("_p") == col("_n")).join(prefixes.select(col(prefix).alias("_p"), col(value).alias("_v")), "_p").groupBy(key).agg(F.max_by("_v", "_n").alias(into))
+    """The value of the longest prefix of each key, null where none fits. Every distinct key meets the prefixes by equality,
+    with each of its own beginnings."""
+    keys = rows.select(key).where(F.length(key) > 0).distinct()
+    beginnings = keys.withColumn("_n", F.explode(F.sequence(F.lit(1), F.length(key)))).withColumn("_p", F.substring(col(key), F.lit(1), col("_n")))
+    best = beginnings.join(prefixes.select(col(prefix).alias("_p"), col(value).alias("_v")), "_p").groupBy(key).agg(F.max_by("_v", "_n").alias(into))
     return rows.join(best, key, "left")
 
 
+def bulk_offers(lines: DataFrame, families: list[str], preamble: int = 5, width: int = 128) -> DataFrame:
+    """Offers of bulk price files: CSV lines (file, line from 0, text) with a preamble and then a header.
+
+    Only lines that name a family are parsed. A component counts if it is a compute instance of a family, priced by the hour or
+    upfront and not negative; components are summed over the full key and the class of their description, descriptive columns
+    come from the first."""
+    from priceframe.operators.stats import rollup_components
+
+    schema = ", ".join(f"c{k} string" for k in range(width))
+    cells = lambda text: F.array(*[F.from_csv(text, schema)[f"c{k}"] for k in range(width)])
+    heads = lines.where(col("line") == preamble).select("file", F.transform(cells(col("text")), c.strip).alias("_head"))
+    named = reduce(lambda a, b: a | b, [col("text").contains(f) for f in families])
+    data = lines.where((col("line") > preamble) & named).select("file", "line", cells(col("text")).alias("_cells")).join(heads, "file")
+    field = lambda name: F.when(F.array_position("_head", name) > 0, F.coalesce(F.get("_cells", F.array_position("_head", name).cast("int") - 1), F.lit(""))).otherwise("")
+    more = {"price": "PricePerUnit", "unit": "Unit", "_family": "Product Family", "_text": "PriceDescription", "effective_date": "EffectiveDate", "vcpus": "vCPU", "memory": "Memory", "storage": "Storage", "network": "Network Performance", "gpu": "GPU"}
+    out = data.select(F.struct("file", "line").alias("row_seq"), *[field(k).alias(k) for k in t.BULK_KEY], *[field(v).alias(k) for k, v in more.items()])
+    family: Column = F.lit("")
+    for f in sorted(families, key=len):
+        family = F.when(col("Instance Type").startswith(f), f).otherwise(family)
+    text, status, billing = F.lower("_text"), F.lower("CapacityStatus"), F.lit("other")
+    for words, state, name in reversed(t.BULK_CLASSES):
+        billing = F.when(text.contains(words) | (status == (state or "\0")), name).otherwise(billing)
+    good = out.withColumns({"family": family, "billing_model": billing}).where("`Instance Type` != '' and family != '' and _family like '%Compute Instance%' and unit in ('Hrs', 'Quantity')")
+    return rollup_components(good, [*t.BULK_KEY, "billing_model"], describe=["family", "effective_date", "vcpus", "memory", "storage", "network", "gpu"])
+
+
 def spec_lookup(rows: DataFrame, key: str, specs: DataFrame) -> DataFrame:
     """rows with the columns of specs (one row a key), null where it has none; Spark broadcasts a small enough side itself."""
     return rows.join(specs, key, "left")

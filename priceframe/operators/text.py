@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from priceframe.functions import conform as c
+from priceframe.functions import tables as t
+
 col = F.col
 # The entities that are decoded, the ampersand last.
 _ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&euro;", "€"), ("&amp;", "&")]
@@ -41,22 +46,52 @@ def html_tables(pages: DataFrame, roles: dict[str, str], html: str = "html") ->
     return rows.select(*keys, "table", "row", *[F.when(at(p) >= 0, F.get("_cells", at(p))).alias(name) for name, p in roles.items()])
 
 
-def gpu_price_pairs(texts: DataFrame, text: str, gpu: str = r"(?:RTX|GTX|[HAL])\s*\d{2,4}[A-Z]?", low: float = 0, high: float = 500) -> DataFrame:
-    """Distinct (gpu, price) where a price follows a GPU's name, or the other way round, within 40 characters of a line."""
+def gpu_price_pairs(texts: DataFrame, text: str, low: float = 0, high: float = 500) -> DataFrame:
+    """Distinct (canonical gpu, price) where a price follows a GPU's name within 300 characters, or the name a price within 200;
+    case and line ends do not matter, tags (and after a name other prices) end the search."""
     keys = [x for x in texts.columns if x != text]
-    pair = lambda pattern, g, p: F.arrays_zip(F.regexp_extract_all(col(text), F.lit(pattern), g).alias("gpu"), F.regexp_extract_all(col(text), F.lit(pattern), p).alias("price"))
-    money = r"\$(\d+(?:\.\d+)?)"
-    ahead, behind = rf"({gpu})[^$\n]{{0,40}}?{money}", rf"{money}[^$\n]{{0,40}}?({gpu})"
-    found = texts.select(*keys, F.explode(F.concat(*[F.transform(pair(a, g, p), lambda x: F.struct(F.regexp_replace(x["gpu"], r"\s+", " ").alias("gpu"), x["price"].cast("double").alias("price"))) for a, g, p in ((ahead, 1, 2), (behind, 2, 1))])).alias("_x"))
-    return found.select(*keys, "_x.gpu", "_x.price").where((col("price") > low) & (col("price") <= high)).distinct()
+    money = r"\$([\d.]+)"
+    ahead, behind = rf"(?is)({t.MENTIONS_BEFORE_PRICE})[^$<]{{0,300}}{money}", rf"(?is){money}\s*(?:/\s*(?:GPU[- ]?hr|hr|hour))?[^<]{{0,200}}({t.MENTIONS_AFTER_PRICE})"
+    pairs = lambda pattern, g, p: F.arrays_zip(F.regexp_extract_all(col(text), F.lit(pattern), g).alias("gpu"), F.regexp_extract_all(col(text), F.lit(pattern), p).alias("price"))
+    found = texts.select(*keys, F.explode(F.concat(pairs(ahead, 1, 2), pairs(behind, 2, 1))).alias("_x")).select(*keys, col("_x.gpu").alias("_raw"), c.number(col("_x.price")).alias("price"))
+    found = found.where((col("price") > low) & (col("price") <= high)).distinct()
+    return found.select(*keys, c.norm_gpu_name(col("_raw")).alias("gpu"), "price").distinct()
+
+
+def embedded_json(pages: DataFrame, html: str, pattern: str) -> DataFrame:
+    """A row for each JSON value that a pattern's group captures in a page, as the variant ``json``; text that is no JSON is skipped."""
+    keys = [x for x in pages.columns if x != html]
+    blocks = pages.select(*keys, F.explode(F.regexp_extract_all(col(html), F.lit(pattern), 1)).alias("_b"))
+    return blocks.select(*keys, F.try_parse_json("_b").alias("json")).where("json is not null")
+
+
+def _elements(json: Column) -> Column:
+    """The elements of an array or the values of an object; null for others."""
+    return F.coalesce(F.try_variant_get(json, "$", "array<variant>"), F.map_values(F.try_variant_get(json, "$", "map<string,variant>")))
+
+
+def search_json(rows: DataFrame, wanted: list[str], depth: int = 6, json: str = "json") -> DataFrame:
+    """The objects, at most ``depth`` levels down, that have all the wanted keys."""
+    keys = [x for x in rows.columns if x != json]
+    level, found = rows, []
+    for k in range(depth + 1):
+        members = F.map_keys(F.try_variant_get(json, "$", "map<string,variant>"))
+        found.append(level.where(F.size(F.array_intersect(members, F.array(*map(F.lit, wanted)))) == len(wanted)))
+        if k < depth:
+            level = level.select(*keys, F.explode(_elements(col(json))).alias(json))
+    return reduce(DataFrame.unionByName, found)
 
 
 def jsonld_products(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Products of the pages' JSON-LD blocks: name, price, currency of the first offer."""
+    """Products of the pages' JSON-LD blocks (an object or a list of them): name, price and currency of the first offer, which
+    may be an object or a list and its price a number or text; products without a positive price are skipped."""
     keys = [x for x in pages.columns if x != html]
-    blocks = pages.select(*keys, F.explode(F.regexp_extract_all(col(html), F.lit(r"(?is)<script type=.application/ld\+json.>(.*?)</script>"), 1)).alias("_b"))
-    item = F.from_json("_b", "struct<`@type`:string,name:string,offers:array<struct<price:double,priceCurrency:string>>>")
-    return blocks.withColumn("_p", item).where("_p.`@type` = 'Product'").select(*keys, col("_p.name").alias("name"), F.get("_p.offers", 0)["price"].alias("price"), F.get("_p.offers", 0)["priceCurrency"].alias("currency"))
+    blocks = embedded_json(pages, html, r"(?is)<script[^>]*type=[\"']application/ld\+json[\"'][^>]*>(.*?)</script>")
+    item = F.coalesce(F.try_variant_get("json", "$", "array<variant>"), F.array("json"))
+    items = blocks.select(*keys, F.explode(item).alias("_i"))
+    get = lambda path: F.coalesce(F.try_variant_get("_i", f"$.offers{path}", "string"), F.try_variant_get("_i", f"$.offers[0]{path}", "string"))
+    out = items.where(F.try_variant_get("_i", "$['@type']", "string") == "Product")
+    return out.select(*keys, F.coalesce(F.try_variant_get("_i", "$.name", "string"), F.lit("")).alias("name"), c.number(get(".price")).alias("price"), F.coalesce(get(".priceCurrency"), F.lit("USD")).alias("currency")).where("price > 0")
 
 
 def section_carry(lines: DataFrame, page: list[str], heading: Column, stop: Column | None = None, line: str = "line", into: str = "section") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from priceframe.operators import flatten, text
 from priceframe.plans.oracles import ORACLE_SQL
 from priceframe.plans.queries import QUERIES, Query
+from priceframe.sources import adapters
 
 col = F.col
 
@@ -54,22 +55,32 @@ def unpivot_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten.unpivot_prices(items(spark, sf_dir), _IDS, {"l_extendedprice": ("on_demand", ""), "l_discount": ("spot", ""), "l_tax": ("reserved", "1yr")})
 
 
-@query(f"SELECT {_ID}, CASE WHEN l_tax > 0 THEN l_tax WHEN l_discount > 0 THEN l_discount ELSE l_quantity END AS price FROM lineitem")
+@query(f"SELECT {_ID}, CASE WHEN l_tax > 0 THEN l_tax WHEN l_discount > 0 THEN l_discount ELSE l_quantity END AS price, CASE WHEN l_tax > 0 THEN 'tax' WHEN l_discount > 0 THEN 'off' ELSE 'n' END AS model FROM lineitem")
 def first_positive_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(spark, sf_dir).select(*_IDS, flatten.first_positive(F.array(F.lit(-1.0), "l_tax", "l_discount", "l_quantity")).alias("price"))
+    """Prices in two currencies, of which one is chosen."""
+    price = lambda m, v: F.struct(F.lit(m).alias("model"), v.alias("value"))
+    local = lambda code, *prices: F.struct(F.lit(code).alias("currencyCode"), F.array(*prices).alias("prices"))
+    places = F.array(local("EUR", price("eur", F.lit(9.0))), local("USD", price("x", F.lit(-1.0)), price("tax", col("l_tax")), price("off", col("l_discount")), price("n", col("l_quantity"))))
+    return items(spark, sf_dir).select(*_IDS, flatten.first_price_in(places, "USD").alias("p")).select(*_IDS, col("p.value").alias("price"), "p.model")
 
 
-@query("SELECT l_orderkey, l_suppkey % 3 AS place, l_partkey, l_quantity FROM lineitem")
+@query("SELECT l_orderkey, l_suppkey % 3 AS place, NULL::BIGINT AS node, l_partkey, l_quantity FROM lineitem UNION ALL SELECT l_orderkey, NULL, l_suppkey % 2, l_partkey, l_quantity FROM lineitem WHERE l_orderkey % 2 = 0")
 def flatten_two_level(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with places, places with parts."""
-    places = items(spark, sf_dir).groupBy("l_orderkey", (col("l_suppkey") % 3).alias("place")).agg(F.collect_list(F.struct("l_partkey", "l_quantity")).alias("parts"))
-    nested = places.groupBy("l_orderkey").agg(F.collect_list(F.struct("place", "parts")).alias("places"))
-    return flatten.flatten_two_level(nested, "places", "parts")
+    """Orders with places and, every other one, with nodes; both hold parts."""
 
+    def nested(outer: str, inner: str, key) -> DataFrame:
+        one = items(spark, sf_dir).groupBy("l_orderkey", key.alias(inner)).agg(F.collect_list(F.struct("l_partkey", "l_quantity")).alias("parts"))
+        return one.groupBy("l_orderkey").agg(F.collect_list(F.struct(inner, "parts")).alias(outer))
 
-@query(f"SELECT {_ID}, CASE WHEN l_tax > 0.04 THEN l_tax WHEN l_discount > 0 THEN l_discount ELSE l_quantity END AS price FROM lineitem")
+    both = nested("places", "place", col("l_suppkey") % 3).join(nested("nodes", "node", col("l_suppkey") % 2).where("l_orderkey % 2 = 0"), "l_orderkey", "left")
+    return flatten.flatten_shapes(both, [("places", "parts"), ("nodes", "parts")])
+
+
+@query(f"""SELECT {_ID}, CASE WHEN l_tax > 0.04 THEN l_tax WHEN l_discount > 0 THEN l_discount ELSE l_quantity END AS price, CASE WHEN l_tax > 0.04 THEN 'weightedAverage' WHEN l_discount > 0 THEN 'avg' ELSE 'med' END AS metric,
+  '{{' || CASE WHEN l_tax > 0.04 THEN '"weightedAverage":' || l_tax || ',' ELSE '' END || '"avg":' || l_discount || ',"med":' || l_quantity || '}}' AS summary FROM lineitem""")
 def metric_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(spark, sf_dir).select(*_IDS, flatten.metric_fallback([F.when(col("l_tax") > 0.04, col("l_tax")), col("l_discount"), col("l_quantity")]).alias("price"))
+    best = flatten.metric_summary({"weightedAverage": F.when(col("l_tax") > 0.04, col("l_tax")), "avg": col("l_discount"), "med": col("l_quantity")})
+    return items(spark, sf_dir).select(*_IDS, best.alias("b")).select(*_IDS, "b.*")
 
 
 @query(f"SELECT {_ID}, CASE WHEN l_linenumber = 1 THEN l_returnflag WHEN l_linenumber = 2 THEN l_linestatus ELSE '' END AS name FROM lineitem")
@@ -86,13 +97,19 @@ def unit_to_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items(spark, sf_dir).select(*_IDS, flatten.unit_to_hourly(col("l_extendedprice"), unit).alias("price"), F.round(flatten.last_tier_price(tiers), 6).alias("tier"))
 
 
-_RULES = [("spot|preempt", "spot"), ("reserved|1yr|3yr", "reserved"), ("a100.*80", "a100-80"), ("a100", "a100"), ("h100", "h100")]
 _LABEL = "CASE l_partkey % 7 WHEN 0 THEN 'Spot A100' WHEN 1 THEN 'A100 80GB' WHEN 2 THEN 'a100' WHEN 3 THEN 'H100 3yr' WHEN 4 THEN 'h100 plain' WHEN 5 THEN '$2.50 per hour' ELSE '€ per month' END"
 
 
-@query(f"SELECT {_ID}, CASE l_partkey % 7 WHEN 0 THEN 'spot' WHEN 1 THEN 'a100-80' WHEN 2 THEN 'a100' WHEN 3 THEN 'reserved' WHEN 4 THEN 'h100' ELSE 'other' END AS class FROM lineitem")
+_TYPES = [("spot|preempt", "spot"), ("reserved|1yr|3yr", "reserved")]
+_TERMS = [("3yr", "3yr"), ("1yr", "1yr")]
+_MODELS = [("a100.*80", "A100 80GB"), ("a100", "A100"), ("h100", "H100")]
+
+
+@query(f"""SELECT {_ID}, CASE l_partkey % 7 WHEN 0 THEN 'spot' WHEN 3 THEN 'reserved' ELSE 'on_demand' END AS pricing_type, CASE l_partkey % 7 WHEN 3 THEN '3yr' ELSE '' END AS commitment_period,
+  CASE l_partkey % 7 WHEN 0 THEN 'A100' WHEN 1 THEN 'A100 80GB' WHEN 2 THEN 'A100' WHEN 3 THEN 'H100' WHEN 4 THEN 'H100' ELSE '' END AS gpu_name, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber ELSE 1 END AS gpu_count FROM lineitem""")
 def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return items(spark, sf_dir).select(*_IDS, flatten.classify(F.expr(_LABEL), _RULES, "other").alias("class"))
+    label = F.when(col("l_linenumber") % 2 == 0, F.concat(col("l_linenumber").cast("string"), F.lit(" x "), F.expr(_LABEL))).otherwise(F.expr(_LABEL))
+    return items(spark, sf_dir).select(*_IDS, flatten.classify_offer(label, _TYPES, _TERMS, _MODELS).alias("c")).select(*_IDS, "c.*")
 
 
 @query(f"SELECT {_ID}, CASE l_partkey % 7 WHEN 5 THEN 'USD' WHEN 6 THEN 'EUR' ELSE '' END AS currency, CASE l_partkey % 7 WHEN 5 THEN 'hour' WHEN 6 THEN 'month' ELSE '' END AS unit FROM lineitem")
@@ -113,10 +130,12 @@ def availability_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items(spark, sf_dir).select(*_IDS, flatten.availability(count, stock, col("l_suppkey") % 2 != 0).alias("available"))
 
 
-@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'DE' ELSE 'N' || s_nationkey END AS country, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'City ' || s_suppkey END AS city FROM supplier")
+@query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'DE' ELSE 'N' || s_nationkey END AS country, CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE 'City ' || s_suppkey END AS city, CASE WHEN s_suppkey % 3 = 0 THEN 'DE' ELSE 'City ' || s_suppkey || ', N' || s_nationkey END AS place FROM supplier")
 def location_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places taken apart, and put together again without the state."""
     place = F.when(col("s_suppkey") % 3 == 0, "DE").otherwise(F.concat(F.lit(" City "), col("s_suppkey").cast("string"), F.lit(", State,  N"), col("s_nationkey").cast("string")))
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", *[v.alias(k) for k, v in flatten.location_parts(place).items()])
+    parts = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey", *[v.alias(k) for k, v in flatten.location_parts(place).items()])
+    return parts.withColumn("place", flatten.location_text([col("city"), F.lit(" "), col("country")]))
 
 
 @query("SELECT p_partkey, round(CASE p_partkey % 4 WHEN 0 THEN p_size * 1.0 WHEN 1 THEN p_size * 1024.0 WHEN 2 THEN (p_size * 100) / 1024.0 ELSE (p_size + 4096) / 1024.0 END, 1)::DOUBLE AS gb FROM part")
@@ -126,9 +145,9 @@ def size_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", flatten.size_gb(label).alias("gb"))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'H100' WHEN 1 THEN 'RTX 4090' ELSE '' END AS gpu FROM part")
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'H100' WHEN 1 THEN 'RTX 4090' ELSE 'MI300X' END AS gpu FROM part")
 def row_gpu_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = F.when(col("p_partkey") % 3 == 0, F.array(F.lit("8"), F.lit("RTX 4090"), F.lit(" H100 "))).when(col("p_partkey") % 3 == 1, F.array(F.lit("9"), F.lit("RTX 4090"), F.lit("12"))).otherwise(F.array(F.lit("1"), F.lit("x"), F.lit("")))
+    cells = F.when(col("p_partkey") % 3 == 0, F.array(F.lit("8"), F.lit("RTX 4090"), F.lit(" H100 "))).when(col("p_partkey") % 3 == 1, F.array(F.lit("9"), F.lit("GeForce RTX 4090"), F.lit("12"))).otherwise(F.array(F.lit("CPU"), F.lit("amd mi300x"), F.lit("")))
     return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", flatten.first_gpu_cell(cells, F.lit(2)).alias("gpu"))
 
 
@@ -160,21 +179,68 @@ def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.html_tables(pages, {"number": "line", "part": "part", "quantity": "qty"}).drop("table", "row")
 
 
-@query("SELECT p_partkey, 'H100' AS gpu, p_size + 0.5 AS price FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'RTX 4090', p_size + 0.5 FROM part WHERE p_partkey % 2 = 1")
+@query("SELECT p_partkey, 'MI300X' AS gpu, (p_size + 0.5)::DOUBLE AS price FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'RTX 4090', (p_size + 0.5)::DOUBLE FROM part WHERE p_partkey % 2 = 1")
 def gpu_price_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.concat(F.lit("$"), col("p_size").cast("string"), F.lit(".5"))
-    line = F.when(col("p_partkey") % 2 == 0, F.concat(F.lit("H100 from "), price, F.lit(" today; H100 at "), price)).otherwise(F.concat(price, F.lit(" for a RTX  4090")))
+    line = F.when(col("p_partkey") % 2 == 0, F.concat(F.lit("<p>mi300x from\n one place,\n "), price, F.lit("/hr</p><p>NVIDIA H100 at $9999 a year</p>"))).otherwise(F.concat(price, F.lit(" / GPU-hr for\n a RTX  4090</b>")))
     return text.gpu_price_pairs(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", line.alias("text")), "text")
 
 
-@query("SELECT p_partkey, p_name AS name, p_size + 0.25 AS price, 'USD' AS currency FROM part WHERE p_partkey % 3 <> 0")
+@query("SELECT p_partkey, p_name AS name, (p_size + 0.25)::DOUBLE AS price, CASE WHEN p_partkey % 3 = 1 THEN 'EUR' ELSE 'USD' END AS currency FROM part WHERE p_partkey % 3 <> 0")
 def jsonld_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.when(col("p_partkey") % 3 == 0, "Thing").otherwise("Product")
-    body = F.to_json(F.struct(kind.alias("@type"), col("p_name").alias("name"), F.array(F.struct((col("p_size") + 0.25).alias("price"), F.lit("USD").alias("priceCurrency"))).alias("offers")))
-    html = F.concat(F.lit("<html><script type='application/ld+json'>"), body, F.lit("</script></html>"))
+    """Products with one offer as an object and its price as text, or in a list of things with a list of offers."""
+    offer = F.struct((col("p_size") + 0.25).cast("string").alias("price"), F.lit("EUR").alias("priceCurrency"))
+    one = F.to_json(F.struct(F.lit("Product").alias("@type"), col("p_name").alias("name"), offer.alias("offers")))
+    thing = F.to_json(F.struct(F.lit("Thing").alias("@type"), col("p_name").alias("name"), offer.alias("offers")))
+    many = F.to_json(F.struct(F.lit("Product").alias("@type"), col("p_name").alias("name"), F.array(F.struct((col("p_size") + 0.25).alias("price")), F.struct(F.lit(1.0).alias("price"))).alias("offers")))
+    body = F.when(col("p_partkey") % 3 == 0, thing).when(col("p_partkey") % 3 == 1, one).otherwise(F.concat(F.lit("["), thing, F.lit(","), many, F.lit("]")))
+    html = F.concat(F.lit("<html><script id='a' type='application/ld+json' defer>"), body, F.lit("</script><script type='application/ld+json'>{broken</script></html>"))
     return text.jsonld_products(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", html.alias("html")))
 
 
+@query("SELECT p_partkey, p_name AS name, (p_size + 0.25)::DOUBLE AS price FROM part UNION ALL SELECT p_partkey, 'deep', 7.0::DOUBLE FROM part WHERE p_partkey % 2 = 0")
+def page_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices somewhere in a page's state object."""
+    plan = lambda name, price: F.struct(name.alias("name"), price.alias("price"))
+    deep = F.when(col("p_partkey") % 2 == 0, F.struct(F.array(F.struct(plan(F.lit("deep"), F.lit(7.0)).alias("plan"))).alias("plans")))
+    state = F.to_json(F.struct(F.struct(F.array(plan(col("p_name"), col("p_size") + 0.25)).alias("list"), deep.alias("more")).alias("props"), F.lit("x").alias("name")))
+    html = F.concat(F.lit("<script id='state'>"), state, F.lit("</script>"))
+    found = text.embedded_json(spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", html.alias("html")), "html", "(?is)<script id='state'>(.*?)</script>")
+    get = lambda k, kind: F.try_variant_get("json", f"$.{k}", kind).alias(k)
+    return text.search_json(found, ["name", "price"]).select("p_partkey", get("name", "string"), get("price", "double"))
+
+
+_BULK = """SELECT o_orderkey, CASE l_linenumber % 3 WHEN 0 THEN 'Hrs' WHEN 1 THEN 'Quantity' ELSE 'GB' END AS unit, l_extendedprice AS price, CASE l_suppkey % 4 WHEN 0 THEN 'on_demand' WHEN 1 THEN 'capacity_block' WHEN 2 THEN 'capacity_reservation' ELSE 'other' END AS class,
+  CASE l_partkey % 3 WHEN 0 THEN 'p5' WHEN 1 THEN 'p5en' ELSE '' END AS family, l_linenumber FROM orders JOIN lineitem ON o_orderkey = l_orderkey"""
+
+
+@query(f"""WITH b AS ({_BULK}), g AS (SELECT o_orderkey, family, class, round(coalesce(sum(price) FILTER (WHERE unit = 'Hrs'), 0.0), 2) AS price_per_hour, round(coalesce(sum(price) FILTER (WHERE unit = 'Quantity'), 0.0), 2) AS upfront_price, min(l_linenumber) FILTER (WHERE unit <> 'GB') AS vcpus
+  FROM b WHERE family <> '' AND unit <> 'GB' GROUP BY o_orderkey, family, class) SELECT 'r' || o_orderkey AS region, family, class AS billing_model, price_per_hour, upfront_price, vcpus::VARCHAR AS vcpus FROM g WHERE price_per_hour > 0 OR upfront_price > 0""")
+def bulk_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bulk price file for each order: five lines, a header, and a quoted line for each item."""
+    head = '"SKU","Product Family","PriceDescription","Unit","PricePerUnit","Region Code","Instance Type","CapacityStatus","vCPU"'
+    pick = lambda key, *values: F.element_at(F.array(*map(F.lit, values)), (key + 1).cast("int"))
+    cells = [
+        F.lit("k"), F.lit("Compute Instance (bare, metal)"), pick(col("l_suppkey") % 4, "$1 per On Demand p5", "Capacity Block, 1", "x", "plain"), pick(col("l_linenumber") % 3, "Hrs", "Quantity", "GB"), col("l_extendedprice").cast("string"),
+        F.concat(F.lit("r"), col("l_orderkey").cast("string")), pick(col("l_partkey") % 3, "p5.48xlarge", "p5en.48xlarge", "m5.large"), pick(col("l_suppkey") % 4, "Used", "Used", "AllocatedCapacityReservation", "Used"), col("l_linenumber").cast("string"),
+    ]
+    line = F.concat(F.lit('"'), F.concat_ws('","', *cells), F.lit('"'))
+    lines = items(spark, sf_dir).select(col("l_orderkey").alias("file"), (col("l_linenumber") + 5).alias("line"), line.alias("text"))
+    tops = items(spark, sf_dir).select(col("l_orderkey").alias("file")).distinct().select("file", F.posexplode(F.array(*[F.lit("FormatVersion,v1")] * 5, F.lit(head))).alias("line", "text"))
+    out = flatten.bulk_offers(lines.unionByName(tops), ["p5", "p5en"])
+    return out.select(col("Region Code").alias("region"), "family", "billing_model", F.round("price_per_hour", 2).alias("price_per_hour"), F.round("upfront_price", 2).alias("upfront_price"), "vcpus")
+
+
+@query("""SELECT 'shop' AS source, 'gcp' AS provider, 'i' || l_linenumber AS instance_type, 'H100' AS gpu_name, '80' AS gpu_memory_gb, '2' AS gpu_count, 'spot' AS pricing_type, 'US East' AS geo_group, l_quantity::BIGINT::VARCHAR AS price_per_hour,
+  regexp_replace(regexp_replace(printf('%.6f', l_quantity / 2), '0+$', ''), '\\.$', '') AS price_per_gpu_hour FROM lineitem WHERE l_partkey % 3 <> 0""")
+def collect_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API answers, one for each order, through their adapter to offer rows; items without a GPU are not worth storing."""
+    item = F.struct(F.lit("Google Cloud").alias("provider"), F.concat(F.lit("i"), col("l_linenumber").cast("string")).alias("name"), F.when(col("l_partkey") % 3 == 0, "cpu").otherwise("h100-sxm5-80gb").alias("gpu"), F.lit("2").alias("count"), F.lit("us_east-1").alias("region"), F.lit("Preemptible").alias("type"), col("l_quantity").cast("long").cast("string").alias("price"))
+    payloads = items(spark, sf_dir).groupBy("l_orderkey").agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("body"))
+    offers = adapters.collect(payloads.select(F.lit("shop").alias("source"), F.lit("f").alias("file"), "body"), "json_items")
+    return offers.select("source", "provider", "instance_type", "gpu_name", "gpu_memory_gb", "gpu_count", "pricing_type", "geo_group", "price_per_hour", "price_per_gpu_hour")
+
+
 _LINES = """t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', '', 'g'), '(?i)<br\\s*/?>|</?(p|div|li|ul|ol|tr|table|h[1-6]|section|article|nav|header|footer|title)\\b[^>]*>', chr(10), 'g'), '<[^>]*>', '', 'g') AS x FROM pages),
 u AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(x, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&euro;', '€'), '&amp;', '&') AS x FROM t),
 v AS (SELECT page_id, list_filter(list_transform(string_split(x, chr(10)), lambda y: trim(regexp_replace(y, '\\s+', ' ', 'g'))), lambda y: y <> '') AS ls FROM u),
