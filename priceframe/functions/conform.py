@@ -59,7 +59,8 @@ def format_float(c: Column) -> Column:
 
 def number_text(c: Column) -> Column:
     """A number as text, whole ones without a decimal point."""
-    return F.when(c == F.floor(c), c.cast("decimal(38,0)").cast("string")).otherwise(c.cast("string"))
+    whole = F.when(F.abs(c) < 1e15, F.floor(c).cast("string")).otherwise(c.cast("decimal(38,0)").cast("string"))
+    return F.when(c == F.floor(c), whole).otherwise(c.cast("string"))
 
 
 def provider_key(c: Column) -> Column:
@@ -137,13 +138,17 @@ def memory_spec(own: Column) -> Column:
     return F.from_json(F.when(own.rlike(r"^[{\[]"), plain), _SPEC, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
 
 
-def spec_memory(spec: Column, count: Column) -> Column:
-    """GB per GPU from a specification."""
+def spec_numbers(spec: Column, count: Column) -> dict[str, Column]:
+    """The numbers of a specification by which GB per GPU are found; all null where there is none."""
     first = F.get(spec["Gpus"], 0)
-    mib, gib, total = number(first["MemoryInfo"]["SizeInMiB"]), number(first["MemoryInfo"]["SizeInGiB"]), number(spec["TotalGpuMemoryInMiB"])
-    given = F.coalesce(F.nullif(number(count), F.lit(0.0)), F.nullif(number(first["Count"]), F.lit(0.0)), F.lit(1.0))
-    divisor = F.when(given > 0, given).otherwise(1.0)
-    return F.when(spec.isNotNull(), F.when(mib > 0, F.round(mib / 1024, 6)).when(gib > 0, F.round(gib, 6)).when(total > 0, F.round(total / divisor / 1024, 6)))
+    raw = {"mib": first["MemoryInfo"]["SizeInMiB"], "gib": first["MemoryInfo"]["SizeInGiB"], "total": spec["TotalGpuMemoryInMiB"], "cards": first["Count"], "count": count}
+    return {k: F.when(spec.isNotNull(), number(v)) for k, v in raw.items()}
+
+
+def spec_memory(mib: Column, gib: Column, total: Column, cards: Column, count: Column) -> Column:
+    """GB per GPU from the numbers of a specification."""
+    given = F.when(count != 0, count).when(cards != 0, cards).otherwise(1.0)
+    return F.when(mib > 0, F.round(mib / 1024, 6)).when(gib > 0, F.round(gib, 6)).when(total > 0, F.round(total / F.when(given > 0, given).otherwise(1.0) / 1024, 6))
 
 
 def model_memory(own: Column, gpu: Column, name: Column, variant: Column) -> Column:
@@ -157,17 +162,16 @@ def model_memory(own: Column, gpu: Column, name: Column, variant: Column) -> Col
     )
 
 
-def memory_text(own: Column, known: Column, model: Column) -> Column:
-    """Memory as text: the known number, else a size with a unit, else what the model implies."""
-    sized = F.nullif(F.regexp_extract(own, t.SIZE_WITH_UNIT, 1), F.lit(""))
-    return F.coalesce(known, sized.try_cast("double"), model)
+def sized_memory(own: Column) -> Column:
+    """The number of a size with a unit, null where the text has none."""
+    return F.regexp_extract(own, t.SIZE_WITH_UNIT, 1).try_cast("double")
 
 
 def norm_gpu_memory(raw: Column, gpu_name: Column, count: Column, variant: Column) -> Column:
     """GB per GPU as text: a number as it is, a specification, a size with a unit, or what the model implies."""
     own = strip(raw)
-    known = F.coalesce(number(raw), spec_memory(memory_spec(own), count))
-    return text(number_text(memory_text(own, known, model_memory(own, norm_gpu_name(gpu_name), gpu_name, variant))))
+    given = spec_memory(**spec_numbers(memory_spec(own), count))
+    return text(number_text(F.coalesce(number(raw), given, sized_memory(own), model_memory(own, norm_gpu_name(gpu_name), gpu_name, variant))))
 
 
 def first_location(raw_extra: Column) -> Column:
@@ -190,16 +194,21 @@ def geo_key(region: Column) -> Column:
     return F.replace(F.translate(F.lower(strip(region)), "_", "-"), F.lit(" "), F.lit(""))
 
 
-def group_of(own: Column, land: Column, key: Column) -> Column:
-    """The display bucket of a region (stripped, and its key) or a country (upper case)."""
+def group_by_place(own: Column, land: Column) -> Column:
+    """The display bucket of a region or country (upper case) that is a known country, null for others."""
+    return F.coalesce(lookup(t.COUNTRY_GROUPS, F.upper(own)), lookup(t.COUNTRY_GROUPS, land))
+
+
+def group_by_prefix(key: Column) -> Column:
+    """The display bucket by the first prefix that a region's key has."""
     chain_: Column = F.lit("Unknown")
     for group, prefixes in reversed(t.REGION_GROUPS):
         chain_ = F.when(key.rlike(f"^(?:{'|'.join(prefixes)})"), group).otherwise(chain_)
-    return F.coalesce(lookup(t.COUNTRY_GROUPS, F.upper(own)), lookup(t.COUNTRY_GROUPS, land), F.when(own == "", "Unknown").otherwise(chain_))
+    return F.when(key == "", "Unknown").otherwise(chain_)
 
 
 def geo_group(region: Column, country: Column) -> Column:
-    return group_of(strip(region), F.upper(strip(country)), geo_key(region))
+    return F.coalesce(group_by_place(strip(region), F.upper(strip(country))), group_by_prefix(geo_key(region)))
 
 
 def per_gpu_price(amount: Column, count: Column) -> Column:

@@ -42,9 +42,15 @@ def gpu_steps(raw: str, into: str) -> Steps:
 def memory_steps(raw: str, gpu: str, into: str) -> Steps:
     """gpu is canonical; the variant is the raw one."""
     col = F.col
-    known = F.coalesce(c.number(col("_m_own")), c.spec_memory(col("_m_spec"), col("gpu_count")))
-    model = c.model_memory(col("_m_own"), col(gpu), col(gpu), col("gpu_variant"))
-    return [{"_m_own": c.strip(col(raw))}, {"_m_spec": c.memory_spec(col("_m_own"))}, {"_m_known": known}, {"_m_value": c.memory_text(col("_m_own"), col("_m_known"), model)}, {into: c.text(c.number_text(col("_m_value")))}]
+    given = c.spec_numbers(col("_m_spec"), col("gpu_count"))
+    return [
+        {"_m_own": c.strip(col(raw))},
+        {"_m_spec": c.memory_spec(col("_m_own")), "_m_number": c.number(col("_m_own")), "_m_sized": c.sized_memory(col("_m_own"))},
+        {f"_m_{k}": v for k, v in given.items()} | {"_m_model": c.model_memory(col("_m_own"), col(gpu), col(gpu), col("gpu_variant"))},
+        {"_m_given": c.spec_memory(**{k: col(f"_m_{k}") for k in given})},
+        {"_m_value": F.coalesce("_m_number", "_m_given", "_m_sized", "_m_model")},
+        {into: c.text(c.number_text(col("_m_value")))},
+    ]
 
 
 def region_steps(region: str, provider: str, into: str) -> Steps:
@@ -61,7 +67,8 @@ def group_steps(region: str, into: str) -> Steps:
     col = F.col
     return [
         {"_a_own": c.strip(col(region)), "_a_land": F.upper(c.strip(col("country"))), "_a_key": c.geo_key(col(region))},
-        {into: c.group_of(col("_a_own"), col("_a_land"), col("_a_key"))},
+        {"_a_place": c.group_by_place(col("_a_own"), col("_a_land"))},
+        {into: F.coalesce(col("_a_place"), c.group_by_prefix(col("_a_key")))},
     ]
 
 
