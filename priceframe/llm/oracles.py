@@ -77,6 +77,41 @@ SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f
 """
 
+PHRASES = rf"""
+WITH p AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k)),
+c AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS ws FROM c WHERE k > 1 AND f >= 30),
+cuts AS (SELECT lang, phrase, a, cut, array_to_string(ws[1 : cut], ' ') AS head, array_to_string(ws[cut + 1 :], ' ') AS tail FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)),
+scored AS (SELECT cuts.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f::HUGEINT + y.f))::BIGINT AS score FROM cuts JOIN c x ON x.lang = cuts.lang AND x.phrase = head JOIN c y ON y.lang = cuts.lang AND y.phrase = tail),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_ AS (SELECT lang, array_to_string(ws[i : i + s - 1], ' ') AS phrase, a FROM (SELECT lang, ws, a, s, unnest(range(1, k - s + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS s FROM cand))),
+cover AS (SELECT lang, phrase, max(a) AS longer FROM inner_ GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN cover USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+FILTERS = rf"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x, {_WORDS} AS ws FROM documents),
+d AS (SELECT doc_id, part, len(ws) < 100 AS a, 100 * len(list_distinct(ws)) < 80 * len(ws) AS b, 100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * length(x) AS c,
+  regexp_matches(x, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY x), false) AS e FROM t),
+l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS MATERIALIZED (SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+  count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d LEFT JOIN l USING (doc_id) GROUP BY ALL),
+s AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM s p, s q, s r, s, s t WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+m AS (SELECT f.*, filter_order, list_min(list_transform(string_split(fails, ''), lambda z: instr(filter_order, z))) AS first_fail FROM f, o),
+k AS (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM m),
+z AS (SELECT part, filter_order, step, sum(CASE WHEN fails = '' OR first_fail > step THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN fails <> '' AND first_fail = step THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN first_fail < step AND contains(fails, substr(filter_order, step, 1)) AND fails <> '' THEN n ELSE 0 END)::BIGINT AS redundant,
+  sum(CASE WHEN fails = substr(filter_order, step, 1) THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN fails <> '' AND first_fail = step THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN fails <> '' AND first_fail = step THEN toxic ELSE 0 END)::BIGINT AS toxic_lost FROM k GROUP BY ALL)
+SELECT *, sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1))::BIGINT AS shapley FROM z
+"""
+
 ORACLE_SQL = {
     "op3_substring_dedup": SUBSTRING,
     "op4_line_dedup": line_dedup.ORACLE_SQL,
@@ -86,4 +121,6 @@ ORACLE_SQL = {
     "op8_mixing": mixing.ORACLE_SQL,
     "op9_suffix_dedup": BYTES,
     "op10_decontaminate": CONTAMINATION,
+    "op11_collocations": PHRASES,
+    "op12_filter_audit": FILTERS,
 }

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, line_dedup, minhash_dedup, mixing, oracles, pii, quality, substring_dedup, suffix_dedup, warc
+from . import collocations, decontaminate, embedding_dedup, filter_audit, line_dedup, minhash_dedup, mixing, oracles, packing, pii, quality, substring_dedup, suffix_dedup, warc
 from .textkit import read, shared_dir
 
+#: Where the public vocabularies are, on the driver and on every executor.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,6 +60,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op4_line_dedup, op5_embedding_dedup, op6_warc, op7_minhash_dedup, op8_mixing, op9_suffix_dedup, op10_decontaminate)}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, read(spark, sf_dir, "labels"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.place(docs, vocabulary or f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_pii, op3_substring_dedup, op4_line_dedup, op5_embedding_dedup, op6_warc, op7_minhash_dedup, op8_mixing, op9_suffix_dedup, op10_decontaminate, op11_collocations, op12_filter_audit, op13_packing)}
 
 ORACLE_SQL = oracles.ORACLE_SQL
