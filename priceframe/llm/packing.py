@@ -9,8 +9,8 @@ Pieces are dealt into groups of about ``group`` pieces by a key made with them,
 grows with the corpus, and a group's border costs about one sequence. Pieces are written once to the shared folder, so a
 lost executor repeats the packing of its groups, not the tokenizing, and gets the same sequences.
 
-A worker encodes each distinct blank-separated part of some megabytes of text once: the tokenizer never joins what white space
-separates, so the ids are those of the whole text.
+A worker encodes each distinct part of its texts once and remembers a bounded number of them: parts end where the tokenizer's
+pattern ends a match whatever stands around, so the ids are those of the whole text (a test compares them).
 
 Defined cases: null and empty texts are the end id alone; rows with a null id and repeated rows are documents of their own; no
 documents, no rows; a very long text gives many pieces; other columns are ignored.
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -33,8 +34,12 @@ from priceframe.sources.shared import written
 from . import textkit as tk
 
 LENGTH, END_ID, GROUP = 2048, 0, 32768
-#: Bytes of text whose distinct parts are encoded together.
-_SLICE = 4 << 20
+#: Bytes of text whose distinct parts are encoded together, and parts whose ids a worker remembers.
+_SLICE, _KNOWN = 4 << 20, 1 << 20
+#: Parts also end between an ASCII letter and another ASCII character, where the tokenizer's pattern ends a match in any case;
+#: not behind an apostrophe, which may start a contraction, and not at a bar, which belongs to the special tokens.
+_LETTER = tk.table((0x41, 0x5A), (0x61, 0x7A))
+_SIGN = tk.table((0x00, 0x7F)) & ~_LETTER & ~tk.table((0x7C, 0x7C), (0x09, 0x0D), (0x20, 0x20))
 
 
 @lru_cache(maxsize=2)
@@ -52,22 +57,58 @@ def gather(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(buf[at]))])
 
 
+class _Codes:
+    """Ids of the parts a worker has met, at most about _KNOWN parts; more than that, and it starts anew."""
+
+    def __init__(self, path: str):
+        self.path = path
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.bounds = array("I"), array("q", [0])
+
+    def of(self, parts: list[str]) -> np.ndarray:
+        if len(self.index) > _KNOWN:
+            self.clear()
+        new = [x for x in parts if x not in self.index]
+        for x, coded in zip(new, _tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False), strict=True):
+            self.index[x] = len(self.index)
+            self.flat.extend(coded.ids)
+            self.bounds.append(len(self.flat))
+        return np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+
+
+_codes = lru_cache(maxsize=2)(_Codes)
+
+
+def _parts(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of parts that are encoded alike alone and in the text, and each document's first part."""
+    starts, ends, _ = tk.words(buf, off, tk.NOT_SPACE)
+    before, after = buf[:-1], buf[1:]
+    cut = np.flatnonzero((_LETTER[before] & _SIGN[after]) | (_SIGN[before] & (before != ord("'")) & _LETTER[after])) + 1
+    inside = tk.NOT_SPACE[buf[cut - 1]] & ~np.isin(cut, off)
+    cut = cut[inside]
+    starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+    return starts, ends, np.searchsorted(starts, off)
+
+
 def encode(texts: pa.Array, path: str, end_id: int = END_ID):
     """For each slice of texts: the first text's index, all ids with the end ids, and the bounds of each text's ids."""
     buf, off = tk.utf8(texts)
+    codes = _codes(path)
     for a, b in tk.slices(off, _SLICE):
         own = buf[off[a] : off[b]]
-        starts, ends, ptr = tk.words(own, off[a : b + 1] - off[a], tk.NOT_SPACE)
+        starts, ends, ptr = _parts(own, off[a : b + 1] - off[a])
         parts = gather(own, starts, ends).dictionary_encode()
-        which = parts.indices.to_numpy()
-        # the last entry is the end id, put behind each text's parts
-        codes = [e.ids for e in _tokenizer(path).encode_batch(parts.dictionary.to_pylist(), add_special_tokens=False)] + [[end_id]]
-        which = np.insert(which.astype(np.int64), ptr[1:], len(codes) - 1)
-        size = np.array([len(c) for c in codes], np.int64)
-        flat = np.array([x for c in codes for x in c], np.uint32)
-        first = np.cumsum(size) - size
-        total = np.concatenate(([0], np.cumsum(size[which])))
-        ids = flat[np.arange(total[-1]) + np.repeat(first[which] - total[:-1], size[which])]
+        which = codes.of(parts.dictionary.to_pylist())[parts.indices.to_numpy()]
+        bounds = np.array(codes.bounds, np.int64)
+        flat = np.append(np.frombuffer(codes.flat, np.uint32), np.uint32(end_id))
+        # behind each text's parts stands the end id, kept as the last of flat
+        first = np.insert(bounds[which], ptr[1:], len(flat) - 1)
+        size = np.insert(bounds[which + 1] - bounds[which], ptr[1:], 1)
+        total = np.concatenate(([0], np.cumsum(size)))
+        ids = flat[np.arange(total[-1]) + np.repeat(first - total[:-1], size)]
         yield a, ids, total[ptr + np.arange(len(ptr))]
 
 
@@ -101,7 +142,11 @@ def pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str
 
 
 def two_fit(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Bins of indexes into sizes (1 to capacity each), packed best-two-fit."""
+    """Bins of indexes into sizes (1 to capacity each), packed best-two-fit; packed greedily only, where that takes fewer."""
+    return min((_fill(sizes, capacity, swap) for swap in (True, False)), key=len)
+
+
+def _fill(sizes: list[int], capacity: int, swap: bool) -> list[list[int]]:
     stacks: dict[int, list[int]] = {}
     for k, s in enumerate(sizes):
         stacks.setdefault(s, []).append(k)
@@ -144,7 +189,7 @@ def two_fit(sizes: list[int], capacity: int) -> list[list[int]]:
         while size := largest(gap):
             own.append(take(size))
             gap -= size
-        if gap and len(own) > 1 and there:
+        if swap and gap and len(own) > 1 and there:
             small = sizes[own[-1]]
             if two := tightest(gap + small, small):
                 out = own.pop()

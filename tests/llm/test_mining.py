@@ -164,8 +164,8 @@ def test_parts_encode_like_whole_texts():
 
     draw, whole = random.Random(9), Tokenizer.from_file(VOCABULARY)
     spaces = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()]
-    letters = ["a", "Zo", "'s", "é", "é", "́", "̧", "1", "½", "ς", "Σ", "ß", "ﬁ", "한", "ᄒ", "ᅡ", "<|endoftext|>", "<|", "|>", "!", "‍", "\x00", "İ"]
-    texts = ["".join(draw.choice(letters if draw.random() < 0.7 else spaces) for _ in range(draw.randint(0, 30))) for _ in range(1500)]
+    letters = ["a", "b", "H", "\u0331", "\u0338", "<", "'", ",", "(", "|",  "Zo", "'s", "é", "é", "́", "̧", "1", "½", "ς", "Σ", "ß", "ﬁ", "한", "ᄒ", "ᅡ", "<|endoftext|>", "<|", "|>", "!", "‍", "\x00", "İ"]
+    texts = ["".join(draw.choice(letters if draw.random() < 0.8 else spaces) for _ in range(draw.randint(0, 30))) for _ in range(4000)]
     for a, ids, bounds in packing.encode(pa.array(texts), VOCABULARY):
         for k in range(len(bounds) - 1):
             assert ids[bounds[k] : bounds[k + 1]].tolist() == whole.encode(texts[a + k], add_special_tokens=False).ids + [0], texts[a + k]
@@ -173,11 +173,13 @@ def test_parts_encode_like_whole_texts():
 
 def test_best_two_fit():
     assert packing.two_fit([], 10) == []
-    # greedy: 7, then 2; the two 1 replace nothing tighter, but 7 + 3 is found once 2 makes room for 1 + 2
-    assert sorted(sorted(x) for x in packing.two_fit([6, 3, 2, 2], 10)) == [[0, 2, 3], [1]]
+    # greedy is 6 + 3, 2 + 2; the two 2 fit the gap of 4 behind 6 better than 3
+    assert sorted(sorted(x) for x in packing._fill([6, 3, 2, 2], 10, True)) == [[0, 2, 3], [1]]
+    assert sorted(sorted(x) for x in packing._fill([6, 3, 2, 2], 10, False)) == [[0, 1], [2, 3]]
     draw = random.Random(2)
     for _ in range(40):
-        sizes = [draw.randint(1, 50) for _ in range(300)]
+        top = draw.choice([20, 30, 50])
+        sizes = [draw.randint(1, top) for _ in range(300)]
         bins = packing.two_fit(sizes, 50)
         assert sorted(k for b in bins for k in b) == list(range(300)) and all(sum(sizes[k] for k in b) <= 50 for b in bins)
-        assert len(bins) <= -(-sum(sizes) // 50) + 6
+        assert len(bins) == min(len(packing._fill(sizes, 50, s)) for s in (True, False)) <= -(-sum(sizes) // 50) * 1.1
