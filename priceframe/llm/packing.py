@@ -22,6 +22,7 @@ import os
 import zlib
 from array import array
 from functools import lru_cache
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from . import textkit as tk
 
 LENGTH, END_ID, GROUP = 2048, 0, 32768
 #: Bytes of text whose distinct parts are encoded together, and parts whose ids a worker remembers.
-_SLICE, _KNOWN = 4 << 20, 1 << 20
+_SLICE, _KNOWN = 8 << 20, 1 << 20
 #: Parts also end between an ASCII letter and another ASCII character, where the tokenizer's pattern ends a match in any case;
 #: not behind an apostrophe, which may start a contraction, and not at a bar, which belongs to the special tokens.
 _LETTER = tk.table((0x41, 0x5A), (0x61, 0x7A))
@@ -71,12 +72,16 @@ class _Codes:
     def of(self, parts: list[str]) -> np.ndarray:
         if len(self.index) > _KNOWN:
             self.clear()
-        new = [x for x in parts if x not in self.index]
-        for x, coded in zip(new, _tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.index[x] = len(self.index)
-            self.flat.extend(coded.ids)
-            self.bounds.append(len(self.flat))
-        return np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+        known = np.fromiter(map(self.index.get, parts, repeat(-1)), np.int64, len(parts))
+        absent = np.flatnonzero(known < 0)
+        if len(absent):
+            new = [parts[k] for k in absent.tolist()]
+            ids = [coded.ids for coded in _tokenizer(self.path).encode_batch_fast(new, add_special_tokens=False)]
+            known[absent] = np.arange(len(self.index), len(self.index) + len(new))
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
+            self.bounds.extend(accumulate(map(len, ids), initial=self.bounds.pop()))
+            self.flat.extend(chain.from_iterable(ids))
+        return known
 
 
 _codes = lru_cache(maxsize=2)(_Codes)
@@ -100,6 +105,13 @@ def encode(texts: pa.Array, path: str, end_id: int = END_ID):
     for a, b in tk.slices(off, _SLICE):
         own = buf[off[a] : off[b]]
         starts, ends, ptr = _parts(own, off[a : b + 1] - off[a])
+        # parts of ASCII letters alone are met in one case only
+        other = np.concatenate(([0], np.cumsum(~_LETTER[own], dtype=np.int64)))
+        plain = other[ends] == other[starts]
+        change = np.zeros(len(own) + 1, np.int8)
+        change[starts[plain]] += 1
+        change[ends[plain]] -= 1
+        own = np.where(np.cumsum(change[:-1], dtype=np.int8).view(bool), tk.LOWER[own], own)
         parts = gather(own, starts, ends).dictionary_encode()
         which = codes.of(parts.dictionary.to_pylist())[parts.indices.to_numpy()]
         bounds = np.array(codes.bounds, np.int64)
