@@ -13,8 +13,8 @@ in which the budget ends, and only that range is sorted.
 Tokens are runs of characters other than space and U+0009 to U+000D.
 
 Defined cases: null texts count no tokens; null domain, language or source is the child '' of its parent; children without a
-weight get ``default``; leaves without tokens give nothing; budgets round down to whole tokens; equal rows are alike, any of
-them may fill the prefix; the digest breaks all other ties. Other columns pass through whatever their names.
+weight get ``default``; leaves without tokens give nothing; budgets round down to whole tokens; equal rows are alike, as many of
+them as fit fill the prefix; the digest breaks all other ties. Other columns pass through whatever their names.
 """
 
 from __future__ import annotations
@@ -90,11 +90,21 @@ def mix(docs: DataFrame, domain: Column, *, weights: dict[str, dict[str, int]],
     ends = sums.withColumn("upto", F.sum("in_range").over(until)).where("upto > rest").groupBy(*LEVELS).agg(F.min_by(F.struct("range", (F.col("upto") - F.col("in_range")).alias("before")), "range").alias("end"))
     ends = ends.select(*LEVELS, F.col("end.range").alias("end_range"), F.col("end.before").alias("before")).checkpoint()
     cutting = placed.join(hint(ends), list(LEVELS)).where("range = end_range")
-    running = Window.partitionBy(*LEVELS).orderBy("order", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = cutting.select(*LEVELS, "order", "n_tokens", "before", "rest", "id").withColumn("sum", F.col("before") + F.sum("n_tokens").over(running)).where("sum <= rest")
-    last = last.groupBy(*LEVELS).agg(F.max("order").alias("last_order"))
+    # rows with one digest are alike: how many of them fit is told by number, and they are numbered at the prefix's end alone
+    alike = cutting.groupBy(*LEVELS, "order").agg(F.count(F.lit(1)).alias("copies"), F.first("n_tokens").alias("n_tokens"), F.first("before").alias("before"), F.first("rest").alias("rest"))
+    running = Window.partitionBy(*LEVELS).orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    begun = alike.withColumn("taken", F.col("before") + F.coalesce(F.sum(F.col("n_tokens") * F.col("copies")).over(running), F.lit(0))).where("taken <= rest")
+    fit = F.when(F.col("n_tokens") > 0, F.least("copies", F.floor((F.col("rest") - F.col("taken")) / F.col("n_tokens")))).otherwise(F.col("copies")).cast("long")
+    last = begun.withColumn("fit", fit).where("fit > 0").groupBy(*LEVELS).agg(F.max_by(F.struct("order", "fit", "copies"), "order").alias("last"))
+    last = last.select(*LEVELS, F.col("last.order").alias("last_order"), "last.fit", (F.col("last.fit") < F.col("last.copies")).alias("split")).checkpoint()
     out = placed.join(hint(ends), list(LEVELS), "left").join(hint(last), list(LEVELS), "left")
-    extra = (F.col("rest") > 0) & (F.col("end_range").isNull() | (F.col("range") < F.col("end_range")) | ((F.col("range") == F.col("end_range")) & (F.col("order") <= F.col("last_order"))))
+    at_end = F.coalesce((F.col("range") == F.col("end_range")) & (F.col("order") == F.col("last_order")) & F.col("split"), F.lit(False))
+    number: Column = F.lit(0)
+    if not last.where("split").isEmpty():
+        numbered = out.where(at_end).withColumn("number", F.row_number().over(Window.partitionBy(*LEVELS).orderBy("order")))
+        out, number = out.where(~at_end).withColumn("number", F.lit(0)).unionByName(numbered), F.col("number")
+    inside = F.when(at_end, number <= F.col("fit")).otherwise(F.col("order") <= F.col("last_order"))
+    extra = (F.col("rest") > 0) & (F.col("end_range").isNull() | (F.col("range") < F.col("end_range")) | ((F.col("range") == F.col("end_range")) & inside))
     times = F.col("rounds") + F.coalesce(extra, F.lit(False)).cast("int")
     return out.where(times > 0).select("row", "domain", "n_tokens", F.explode(F.sequence(F.lit(0), times - 1)).alias("epoch"))
 

@@ -151,3 +151,25 @@ def test_mixing(spark, docs, none):
     same(out.select("row.doc_id", "epoch"), [tuple(r) for r in mixing.mix(big.repartition(7), mixing.domain_of(F.col("source")), weights={"domain": {"web": 1, "reference": 1, "forum": 2}}, percent=50, epochs=3).select("row.doc_id", "epoch").collect()])
     assert mixing.mix(docs, F.lit(None), weights={}).count() > 0
     assert mixing.mix(none, F.lit(None), weights={}).count() == 0
+
+
+def test_mixing_equal_rows_keep_the_budget(spark):
+    """Copies of one row around the end of a prefix: as many as fit are taken, and the rows equal those of the SQL."""
+    import duckdb
+
+    weights = {"domain": {}, "lang": {}, "source": {}}
+    two = spark.createDataFrame([(1, "w " * 10, "en", "src0")] * 2, "doc_id long, text string, lang string, source string")
+    taken = mixing.mix(two, F.lit("web"), weights=weights, percent=50, epochs=1)
+    assert taken.agg(F.sum("n_tokens")).first()[0] == 10
+    draw = random.Random(8)
+    rows = []
+    for k in range(60):
+        row = (k, " ".join("w" for _ in range(draw.choice([0, 1, 3, 40]))), draw.choice(["en", None, ""]), draw.choice(["src0", "src1", None]))
+        rows += [row] * draw.choice([1, 1, 7])
+    rows += [(None, "a b c", "en", "src0")] * 9 + [(None, None, None, None)] * 3
+    docs = spark.createDataFrame([(*r, "x", 0) for r in rows], "doc_id long, text string, lang string, source string, order string, number int").repartition(3)
+    got = mixing.mix(docs, mixing.domain_of(F.col("source")), **mixing.PRODUCTION).select("row.doc_id", "domain", "row.lang", "row.source", "n_tokens", F.col("epoch").cast("int").alias("epoch"))
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar, lang varchar, source varchar)")
+    con.executemany("insert into documents values (?, ?, ?, ?)", rows)
+    same(got, con.execute(mixing.ORACLE_SQL).fetchall())
