@@ -59,7 +59,7 @@ class _Shard:
             room = np.ones(len(starts), np.int8)
             for _ in range(longest - 1):
                 room[:-1] = np.where(last[:-1], 1, np.minimum(room[1:] + 1, longest))
-            values = tk.range_hash(tk.byte_sums(low), starts, ends)
+            values = tk.word_hashes(low, starts, ends)
             self.parts.append((low, starts, ends, room, values, np.repeat(of[a:b], np.diff(ptr))))
 
     def hashes(self, longest: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
@@ -133,15 +133,12 @@ def _count(table: pa.Table, answers: pa.Table, longest: int, buckets: int) -> pa
     found: dict[tuple[int, int], list[pa.Array]] = {}
     shard = _Shard(table, longest) if table.num_rows else None
     for (low, starts, ends, _, _, lang), hashes in zip(shard.parts, shard.hashes(longest), strict=True) if shard else ():
-        size = ends - starts
-        at_new = np.cumsum(size + 1) - size - 1
-        clean = np.full(int((size + 1).sum()), 0x20, np.uint8)
-        clean[np.arange(int(size.sum())) + np.repeat(at_new - np.cumsum(size) + size, size)] = low[np.arange(int(size.sum())) + np.repeat(starts - np.cumsum(size) + size, size)]
+        clean, first, last = tk.clean_words(low, starts, ends)
         places = [(1, np.arange(len(starts))), *((k, at[anchors.repeated(h, answers, buckets)]) for k, (at, h) in enumerate(hashes, 2))]
         for k, at in places:
             for which in np.unique(lang[at]).tolist():
                 own = at[lang[at] == which]
-                found.setdefault((which, k), []).append(gather(clean, at_new[own], at_new[own + k - 1] + size[own + k - 1]).value_counts())
+                found.setdefault((which, k), []).append(gather(clean, first[own], last[own + k - 1]).value_counts())
     out = []
     for (which, k), parts in found.items():
         counts = pa.concat_arrays(parts)

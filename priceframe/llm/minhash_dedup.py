@@ -3,7 +3,7 @@
 A document's set is its distinct shingles of ``words`` words, A-Z lower-cased. Documents are linked when the sets' similarity
 (intersection over union) is at least ``share`` hundredths.
 
-1. Documents with equal sets (a 128-bit digest) form a class; its smallest id stands for it. Only classes go on.
+1. Documents with equal sets (a 128-bit digest, half of it from other hashes of the words) form a class; its smallest id stands for it. Only classes go on.
 2. ``bands`` bands of ``rows`` minima give bucket keys. A pair at the threshold misses all of 45 bands of 5 with a chance of
    5e-6. Each bucket's smallest class is its leader (a partial minimum, no bucket is gathered).
 3. Every member is compared with its leaders only: first by signatures, then by the full sets. That makes links, and tells how
@@ -46,11 +46,11 @@ def _hashers(count: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     return draw.integers(0, 2**63, count, dtype=np.int64).astype(tk.U64) * tk.U64(2) + tk.U64(1), draw.integers(0, 2**63, count, dtype=np.int64).astype(tk.U64)
 
 
-def shingles(buf: np.ndarray, off: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each document's distinct shingles, in document order, and their bounds."""
+def shingles(buf: np.ndarray, off: np.ndarray, words: int = WORDS, other: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each document's distinct shingles, in document order, and their bounds; the other hashes are independent ones."""
     low = tk.LOWER[buf]
     starts, ends, ptr = tk.words(low, off, tk.NOT_SPACE)
-    values = tk.range_hash(tk.byte_sums(low), starts, ends)
+    values = tk.word_hashes(low, starts, ends, other)
     at, hashes = tk.rolling(values, ptr, words, words)
     count = np.diff(ptr)
     short = np.flatnonzero((count > 0) & (count < words))
@@ -87,14 +87,14 @@ def _facts(texts: pa.Array, bands: int, rows: int, words: int) -> pa.Array:
     for a, b in tk.slices(off):
         hashes, ptr = shingles(buf[off[a] : off[b]], off[a : b + 1] - off[a], words)
         n = np.diff(ptr)
-        total = lambda salt: np.diff(np.concatenate(([tk.U64(0)], np.cumsum(tk.mix(hashes, salt), dtype=tk.U64)))[ptr])  # noqa: E731, B023
+        total = lambda h, p, salt: np.diff(np.concatenate(([tk.U64(0)], np.cumsum(tk.mix(h, salt), dtype=tk.U64)))[p])
         minima = _minima(hashes, ptr, bands * rows).astype(tk.U64).reshape(-1, bands, rows)
         key = np.broadcast_to(np.arange(bands, dtype=tk.U64), minima.shape[:2])
         for r in range(rows):
             key = tk.mix(key * tk.U64(0x10001) + minima[:, :, r], r + 1)
         ns.append(n)
-        h1.append(total(5))
-        h2.append(total(6))
+        h1.append(total(hashes, ptr, 5))
+        h2.append(total(*shingles(buf[off[a] : off[b]], off[a : b + 1] - off[a], words, other=True), 6))
         keys.append(key)
     join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
     flat = join([k.ravel() for k in keys], tk.U64).view(np.int64)

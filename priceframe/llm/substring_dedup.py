@@ -3,8 +3,9 @@
 A repeat is a run of ``window`` words that also starts somewhere else in the corpus. Every document is cut into
 non-overlapping reference blocks of ``(window + 1) // 2`` words; any window holds a whole block of its document, so if it
 repeats, the block's words occur at the other place too and a rolling window of block length finds them there. Blocks and
-probes meet in packed buckets of hash space (see anchors). Around every hit the windows that hold it are compared by hashes of
-96 bits and the bucket, taken over all their words; windows that occur twice are marked and their union is the maximal repeat.
+probes meet in packed buckets of hash space (see anchors). Around every hit the windows that hold it are compared by a 64-bit
+polynomial over their words' hashes and 64 bits of BLAKE2b over the words themselves, joined by spaces; windows that occur twice
+are marked and their union is the maximal repeat. The polynomial alone removes nothing.
 
 Defined cases: null or empty texts have no words; documents shorter than the window lose nothing; a repeat within one
 document counts, overlapping ones too; repeated rows are copies of each other and lose what they share; words are compared
@@ -14,6 +15,7 @@ byte by byte, unchanged. Other columns are passed through, and helper columns ta
 from __future__ import annotations
 
 import hashlib
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,9 @@ from pyspark.sql.types import StructType
 from . import anchors
 from . import textkit as tk
 
+#: A window's polynomial and digest.
+_PAIR = np.dtype([("one", "<u8"), ("two", "<u8")])
+
 
 class _Words:
     """Words of a chunk's texts: hashes of the words and the documents' bounds."""
@@ -33,7 +38,7 @@ class _Words:
         for a, b in tk.slices(self.off):
             buf = self.buf[self.off[a] : self.off[b]]
             s, e, p = tk.words(buf, self.off[a : b + 1] - self.off[a], tk.NOT_SPACE)
-            values.append(tk.range_hash(tk.byte_sums(buf), s, e))
+            values.append(tk.word_hashes(buf, s, e))
             starts.append(s + self.off[a])
             ends.append(e + self.off[a])
             ptr.append(p[1:] + ptr[-1][-1])
@@ -46,6 +51,13 @@ class _Words:
         first = np.repeat(self.ptr[:-1], np.diff(self.ptr))
         return at, hashes, (at - first[at]) % block == 0
 
+    def digests(self, at: np.ndarray, window: int) -> np.ndarray:
+        """64 bits of a digest of the words of each window, joined by spaces."""
+        text, starts, ends = tk.clean_words(self.buf, self.starts, self.ends)
+        view = memoryview(text)
+        own = (blake2b(view[a:b], digest_size=8).digest() for a, b in zip(starts[at].tolist(), ends[at + window - 1].tolist(), strict=True))
+        return np.frombuffer(b"".join(own), tk.U64)
+
 
 def _near(hits: np.ndarray, starts: np.ndarray, window: int, block: int, n: int) -> np.ndarray:
     """Those window starts whose window holds a hit block."""
@@ -65,25 +77,27 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, chunk
         return _Words(table.column(text_col)).probes(block)[1:]
 
     def extend(table: pa.Table, answers: pa.Table) -> pa.Table:
-        """Hashes of the windows around hits: 64 bits that choose the bucket, and 32 more from other word values."""
+        """Hashes of the windows around hits: 64 bits that choose the bucket, and 64 of a digest of the words."""
         chunk = anchors.chunk_of(table, answers, name)
         if not answers.num_rows or not table.num_rows:
-            return _windows_table(chunk, np.empty(0, tk.U64), np.empty(0, np.uint32), buckets)
+            return _windows_table(chunk, np.empty(0, tk.U64), np.empty(0, tk.U64), buckets)
         words = _Words(table.column(text_col))
         at, hashes, _ = words.probes(block)
         hits = at[anchors.repeated(hashes, answers, buckets)]
         starts = _near(hits, tk.rolling(words.values, words.ptr, window)[0], window, block, len(words.values))
         one = tk.range_hash(tk.prefix_sums(words.values), starts, starts + window, 1)
-        two = tk.range_hash(tk.prefix_sums(tk.mix(words.values, 2)), starts, starts + window, 2)
-        return _windows_table(chunk, one, two.astype(np.uint32), buckets)
+        return _windows_table(chunk, one, words.digests(starts, window), buckets)
 
     def apply(table: pa.Table, answers: pa.Table) -> pa.Table:
         words = _Words(table.column(text_col))
         flags = np.zeros(len(words.values), bool)
         if answers.num_rows and table.num_rows:
-            hot = np.sort(np.concatenate([np.frombuffer(p, "<u8") for p in answers.column("payload").to_pylist()]))
+            hot = np.sort(np.concatenate([np.frombuffer(p, _PAIR) for p in answers.column("payload").to_pylist()]))
             at, hashes = tk.rolling(words.values, words.ptr, window, 1)
-            flags = tk.covered(at[anchors._member(hashes, hot)], window, len(flags))
+            maybe = anchors._member(hashes, hot["one"])
+            own = np.empty(int(maybe.sum()), _PAIR)
+            own["one"], own["two"] = hashes[maybe], words.digests(at[maybe], window)
+            flags = tk.covered(at[maybe][np.isin(own, hot)], window, len(flags))
         return finish(table, words, flags)
 
     hits = anchors.find_repeats(dealt, hashes_of)
@@ -93,7 +107,7 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, chunk
 
 
 def _windows_table(chunk: int, one: np.ndarray, two: np.ndarray, buckets: int) -> pa.Table:
-    """A message for each bucket: distinct (64, 32)-bit hashes and a flag of those that the chunk has twice."""
+    """A message for each bucket: distinct pairs of hashes and a flag of those that the chunk has twice."""
     order = np.lexsort((two, one, one % tk.U64(buckets)))
     one, two = one[order], two[order]
     first = np.flatnonzero(np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))) if len(one) else np.empty(0, np.int64)
@@ -107,8 +121,8 @@ def _windows_table(chunk: int, one: np.ndarray, two: np.ndarray, buckets: int) -
 def _repeated_windows(table: pa.Table) -> pa.Table:
     parts = []
     for k, payload in enumerate(table.column("payload").to_pylist()):
-        n = len(payload) // 13
-        parts.append((np.frombuffer(payload, "<u8", n), np.frombuffer(payload, "<u4", n, 8 * n), np.frombuffer(payload, bool, n, 12 * n), np.full(n, k)))
+        n = len(payload) // 17
+        parts.append((np.frombuffer(payload, "<u8", n), np.frombuffer(payload, "<u8", n, 8 * n), np.frombuffer(payload, bool, n, 16 * n), np.full(n, k)))
     one, two, twice, of = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((two, one))
     a, b = one[order], two[order]
@@ -119,7 +133,9 @@ def _repeated_windows(table: pa.Table) -> pa.Table:
     kept = kept[np.argsort(of[kept], kind="stable")]
     bounds = np.searchsorted(of[kept], np.arange(len(parts) + 1))
     chunks, bucket = table.column("chunk").to_pylist(), table.column("bucket")[0].as_py()
-    out = [(c, one[kept[bounds[k] : bounds[k + 1]]].tobytes()) for k, c in enumerate(chunks) if bounds[k] < bounds[k + 1]]
+    pairs = np.empty(len(kept), _PAIR)
+    pairs["one"], pairs["two"] = one[kept], two[kept]
+    out = [(c, pairs[bounds[k] : bounds[k + 1]].tobytes()) for k, c in enumerate(chunks) if bounds[k] < bounds[k + 1]]
     return pa.table([pa.array([c for c, _ in out], pa.int32()), pa.array([bucket] * len(out), pa.int32()), pa.array([p for _, p in out], pa.binary())], schema=anchors._ANSWER)
 
 

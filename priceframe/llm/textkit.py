@@ -10,6 +10,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from priceframe.sources import shared
@@ -102,6 +103,10 @@ def mix(h: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 _BYTE_VALUES = mix(np.arange(1, 257, dtype=U64))
+_OTHER_VALUES = mix(np.arange(1, 257, dtype=U64), 77)
+#: Bytes up to which a word's polynomial is its hash. Modulo 2**64 structured texts of some hundred bytes and more can have
+#: equal polynomials whatever the base; longer words are hashed by XXH3.
+_LONG_WORD = 64
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
@@ -115,8 +120,27 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int =
     return mix((sums[end] - sums[start]) * powers(len(sums))[1][start], salt)
 
 
-def byte_sums(buf: np.ndarray) -> np.ndarray:
-    return prefix_sums(_BYTE_VALUES[buf])
+def byte_sums(buf: np.ndarray, other: bool = False) -> np.ndarray:
+    return prefix_sums((_OTHER_VALUES if other else _BYTE_VALUES)[buf])
+
+
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: bool = False) -> np.ndarray:
+    """Hashes of words (byte ranges); the other ones are independent of the first."""
+    out = range_hash(byte_sums(buf, other), starts, ends)
+    for k in np.flatnonzero(ends - starts > _LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(buf[starts[k] : ends[k]].tobytes(), seed=11 if other else 7)
+    return out
+
+
+def clean_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with one space behind each, and their new starts and ends: words i to j are the bytes from start i to end j."""
+    size = ends - starts
+    at = np.cumsum(size + 1) - size - 1
+    out = np.full(int((size + 1).sum()), 0x20, np.uint8)
+    n = np.arange(int(size.sum()))
+    before = np.cumsum(size) - size
+    out[n + np.repeat(at - before, size)] = buf[n + np.repeat(starts - before, size)]
+    return out, at, at + size
 
 
 def words(buf: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -3,6 +3,7 @@
 import random
 
 import brute
+import pytest
 from conftest import SCHEMA, same
 
 from priceframe.llm import components, embedding_dedup, line_dedup, minhash_dedup, substring_dedup, suffix_dedup
@@ -165,3 +166,23 @@ def test_components(spark):
 
 def test_schema_has_clashing_names():
     assert {"chunk", "digest", "found", "state", "row"} <= set(x.split()[0] for x in SCHEMA.split(", "))
+
+
+def _structured(n: int) -> tuple[str, str]:
+    """Two words whose polynomials modulo 2**64 are equal for every odd base: a Thue-Morse word and its complement."""
+    bits = [k.bit_count() % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [64, 512, 1024, 2048])
+def test_structured_words_are_told_apart(spark, n):
+    x, y = _structured(n)
+    tail = " ".join(f"w{k}" for k in range(34))
+    rows = [(1, f"{x} {tail}"), (2, f"{y} {tail}"), (3, x), (4, y), (5, f"a {x} b {y} c d"), (6, f"a {y} b {x} c d"), (7, f"q\t{x} {tail}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    same(substring_dedup.digest(df), brute.substring_words(rows))
+    same(minhash_dedup.cluster(df), brute.near_duplicates(rows))
+
+
+def test_repeats_in_several_chunks_and_buckets(spark, docs, rows):
+    same(substring_dedup.digest(docs, chunk_bytes=3000), brute.substring_words([(r[0], r[1]) for r in rows]))
