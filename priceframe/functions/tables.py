@@ -206,3 +206,21 @@ BULK_CLASSES = [  # words of the description, capacity status, class
     ("dedicated", None, "dedicated"),
     ("on demand", None, "on_demand"),
 ]
+
+# Fixed values of bulk price files: the accelerator of each instance family, its GB and variant, and devices by instance type.
+BULK_FAMILIES = {
+    "g3": ("Tesla M60", 8, ""), "g3s": ("Tesla M60", 8, ""), "g4dn": ("T4", 16, ""), "g4ad": ("Radeon Pro V520", 8, ""), "g5": ("A10G", 24, ""), "g5g": ("T4G", 16, ""),
+    "g6": ("L4", 24, ""), "g6e": ("L40S", 48, ""), "g6i": ("L40S", 48, ""), "p2": ("K80", 12, ""), "p3": ("V100", 16, "SXM2"), "p3dn": ("V100", 32, "SXM2"),
+    "p4d": ("A100", 40, "SXM4"), "p4de": ("A100", 80, "SXM4"), "p5": ("H100", 80, "SXM5"), "p5e": ("H200", 141, "SXM"), "p5en": ("H200", 141, "SXM"),
+    "p6-b200": ("B200", 192, ""), "p6-b300": ("B300", 288, ""), "p6e-gb200": ("GB200", 192, ""), "trn1": ("Trainium", 32, ""), "trn1n": ("Trainium", 32, ""),
+    "trn2": ("Trainium2", 96, ""), "trn2u": ("Trainium2", 96, ""), "inf1": ("Inferentia", 8, ""), "inf2": ("Inferentia2", 32, ""), "dl1": ("Gaudi", 32, ""), "dl2q": ("Qualcomm AI100", 16, ""),
+}
+BULK_COUNTS = {
+    "p4d.24xlarge": 8, "p4de.24xlarge": 8, "p5.48xlarge": 8, "p5e.48xlarge": 8, "p5en.48xlarge": 8, "p3.2xlarge": 1, "p3.8xlarge": 4, "p3.16xlarge": 8, "p3dn.24xlarge": 8,
+    "p2.xlarge": 1, "p2.8xlarge": 8, "p2.16xlarge": 16, "g4dn.xlarge": 1, "g4dn.2xlarge": 1, "g4dn.4xlarge": 1, "g4dn.8xlarge": 1, "g4dn.12xlarge": 4, "g4dn.16xlarge": 1, "g4dn.metal": 8,
+    "g5.xlarge": 1, "g5.2xlarge": 1, "g5.4xlarge": 1, "g5.8xlarge": 1, "g5.12xlarge": 4, "g5.16xlarge": 1, "g5.24xlarge": 4, "g5.48xlarge": 8,
+    "g6.xlarge": 1, "g6.2xlarge": 1, "g6.4xlarge": 1, "g6.8xlarge": 1, "g6.12xlarge": 4, "g6.16xlarge": 1, "g6.24xlarge": 4, "g6.48xlarge": 8,
+    "g6e.xlarge": 1, "g6e.2xlarge": 1, "g6e.4xlarge": 1, "g6e.8xlarge": 1, "g6e.12xlarge": 4, "g6e.16xlarge": 1, "g6e.24xlarge": 4, "g6e.48xlarge": 8,
+    "trn1.2xlarge": 1, "trn1.32xlarge": 16, "trn1n.32xlarge": 16, "trn2.48xlarge": 16, "trn2u.48xlarge": 16, "inf1.xlarge": 1, "inf1.2xlarge": 1, "inf1.6xlarge": 4, "inf1.24xlarge": 16,
+    "inf2.xlarge": 1, "inf2.8xlarge": 1, "inf2.24xlarge": 6, "inf2.48xlarge": 12, "dl1.24xlarge": 8,
+}

@@ -174,30 +174,67 @@ def longest_prefix(rows: DataFrame, key: str, prefixes: DataFrame, prefix: str,
     return rows.join(best, key, "left")
 
 
-def bulk_offers(lines: DataFrame, families: list[str], preamble: int = 5, width: int = 128) -> DataFrame:
-    """Offers of bulk price files: CSV lines (file, line from 0, text) with a preamble and then a header.
+#: Columns of a bulk price file that an offer is made from, by the name they get here.
+BULK_COLUMNS = {
+    "price": "PricePerUnit", "unit": "Unit", "product_family": "Product Family", "description": "PriceDescription", "effective_date": "EffectiveDate",
+    "vcpus": "vCPU", "memory": "Memory", "storage": "Storage", "network": "Network Performance", "gpu": "GPU",
+}
 
-    Only lines that name a family are parsed. A component counts if it is a compute instance of a family, priced by the hour or
-    upfront and not negative; components are summed over the full key and the class of their description, descriptive columns
-    come from the first."""
+
+def bulk_records(lines: DataFrame, preamble: int = 5) -> DataFrame:
+    """Records of bulk price files given as lines (file, line from 0, text): file, at and the columns of t.BULK_KEY and
+    BULK_COLUMNS, each line parsed once under its file's header."""
+    from priceframe.sources.bulk import parse_line
+
+    parsed = lines.where(col("line") >= preamble).select("file", "line", parse_line(col("text")).alias("_cells"))
+    heads = parsed.where(col("line") == preamble).select("file", F.transform("_cells", c.strip).alias("_head"))
+    place = lambda name: F.array_position("_head", name).cast("int")
+    field = lambda name: F.when(place(name) > 0, F.coalesce(F.get("_cells", place(name) - 1), F.lit("")))
+    return parsed.where(col("line") > preamble).join(heads, "file").select("file", col("line").alias("at"), *[field(x).alias(x) for x in [*t.BULK_KEY, *BULK_COLUMNS.values()]])
+
+
+def bulk_components(records: DataFrame, families: list[str] | None = None) -> DataFrame:
+    """Offers summed up from the records of bulk price files (file, at and the files' columns): a record counts if it is a
+    compute instance of a family, priced by the hour or upfront and not negative; records are summed over the full key and the
+    class of their description, descriptive columns come from the first."""
     from priceframe.operators.stats import rollup_components
 
-    schema = ", ".join(f"c{k} string" for k in range(width))
-    cells = lambda text: F.array(*[F.from_csv(text, schema)[f"c{k}"] for k in range(width)])
-    heads = lines.where(col("line") == preamble).select("file", F.transform(cells(col("text")), c.strip).alias("_head"))
-    named = reduce(lambda a, b: a | b, [col("text").contains(f) for f in families])
-    data = lines.where((col("line") > preamble) & named).select("file", "line", cells(col("text")).alias("_cells")).join(heads, "file")
-    field = lambda name: F.when(F.array_position("_head", name) > 0, F.coalesce(F.get("_cells", F.array_position("_head", name).cast("int") - 1), F.lit(""))).otherwise("")
-    more = {"price": "PricePerUnit", "unit": "Unit", "_family": "Product Family", "_text": "PriceDescription", "effective_date": "EffectiveDate", "vcpus": "vCPU", "memory": "Memory", "storage": "Storage", "network": "Network Performance", "gpu": "GPU"}
-    out = data.select(F.struct("file", "line").alias("row_seq"), *[field(k).alias(k) for k in t.BULK_KEY], *[field(v).alias(k) for k, v in more.items()])
+    blank = lambda name: F.coalesce(col(f"`{name}`"), F.lit(""))
+    out = records.select(F.struct("file", "at").alias("row_seq"), *[blank(k).alias(k) for k in t.BULK_KEY], *[blank(v).alias(k) for k, v in BULK_COLUMNS.items()])
     family: Column = F.lit("")
-    for f in sorted(families, key=len):
+    for f in sorted(families or t.BULK_FAMILIES, key=len):
         family = F.when(col("Instance Type").startswith(f), f).otherwise(family)
-    text, status, billing = F.lower("_text"), F.lower("CapacityStatus"), F.lit("other")
+    text, status, billing = F.lower("description"), F.lower("CapacityStatus"), F.lit("other")
     for words, state, name in reversed(t.BULK_CLASSES):
         billing = F.when(text.contains(words) | (status == (state or "\0")), name).otherwise(billing)
-    good = out.withColumns({"family": family, "billing_model": billing}).where("`Instance Type` != '' and family != '' and _family like '%Compute Instance%' and unit in ('Hrs', 'Quantity')")
-    return rollup_components(good, [*t.BULK_KEY, "billing_model"], describe=["family", "effective_date", "vcpus", "memory", "storage", "network", "gpu"])
+    good = out.withColumns({"family": family, "billing_model": billing}).where("family != '' and product_family like '%Compute Instance%' and unit in ('Hrs', 'Quantity')")
+    return rollup_components(good, [*t.BULK_KEY, "billing_model"], describe=["row_seq", "family", "effective_date", "vcpus", "memory", "storage", "network", "gpu"])
+
+
+def bulk_fields(components: DataFrame, provider: str, families: dict[str, tuple[str, float, str]] | None = None, counts: dict[str, int] | None = None) -> DataFrame:
+    """Offer fields of bulk_components: the device by family, their number from the file or else by instance type, reserved
+    terms and capacity classes as commitments, prices in all and for each device, the rest in the JSON tail."""
+    families, counts = families or t.BULK_FAMILIES, counts or t.BULK_COUNTS
+    device = lambda k: c.lookup({f: str(v[k]) for f, v in families.items()}, col("family"))
+    count = F.coalesce(c.strip(col("gpu")).try_cast("int"), c.lookup({k: str(v) for k, v in counts.items()}, col("Instance Type")).cast("int"), F.lit(0))
+    capacity = col("billing_model").isin("capacity_block", "capacity_reservation")
+    reserved = (col("TermType") == "Reserved") | capacity
+    lease, option = c.blank_to_null(col("LeaseContractLength")), c.blank_to_null(col("PurchaseOption"))
+    term = F.when(col("billing_model") == "capacity_block", "capacity_block").otherwise("capacity_reservation")
+    each = lambda total: F.round(F.when(col("_n") > 0, col(total) / col("_n")).otherwise(col(total)), 6)
+    region = F.coalesce(c.blank_to_null(col("Region Code")), F.regexp_extract("row_seq.file", r"([^/]*?)(\.csv)?(\.gz)?$", 1))
+    tail = F.struct(
+        col("CapacityStatus").alias("capacity_status"), "billing_model", "effective_date", col("Location").alias("location"),
+        F.coalesce(option, F.when(capacity, col("billing_model")), F.lit("")).alias("purchase_option"), col("OfferingClass").alias("offering_class"),
+    )
+    return components.withColumn("_n", count).select(
+        F.lit(provider).alias("source"), F.lit(provider).alias("provider"), col("Instance Type").alias("instance_type"), col("family").alias("instance_family"),
+        F.coalesce(device(0), F.lit("Unknown")).alias("gpu_name"), F.coalesce(device(2), F.lit("")).alias("gpu_variant"), F.coalesce(device(1), F.lit("")).alias("gpu_memory_gb"), col("_n").cast("string").alias("gpu_count"),
+        "vcpus", c.number_text(c.number(F.replace(F.replace("memory", F.lit(" GiB"), F.lit("")), F.lit(","), F.lit("")))).alias("ram_gb"), col("storage").alias("storage_desc"), col("network").alias("network_desc"),
+        region.alias("region"), F.when(reserved, "reserved").otherwise("on_demand").alias("pricing_type"), F.coalesce(lease, F.when(reserved, term), F.lit("")).alias("commitment_period"),
+        *[c.number_text(col(x)).alias(x) for x in ("price_per_hour", "upfront_price")], c.number_text(each("price_per_hour")).alias("price_per_gpu_hour"), c.number_text(each("upfront_price")).alias("upfront_price_per_gpu"),
+        col("Operating System").alias("os"), col("Tenancy").alias("tenancy"), col("Pre Installed S/W").alias("pre_installed_sw"), F.lit("true").alias("available"), F.to_json(tail).alias("raw_extra"),
+    )
 
 
 def spec_lookup(rows: DataFrame, key: str, specs: DataFrame) -> DataFrame:

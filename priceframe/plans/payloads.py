@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from priceframe.functions import conform as c
 from priceframe.operators import flatten, text
 from priceframe.plans.oracles import ORACLE_SQL
 from priceframe.plans.queries import QUERIES, Query
 from priceframe.sources import adapters
+from priceframe.sources.shared import checkpoint_dir
 
 col = F.col
 
@@ -227,10 +231,46 @@ def bulk_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(F.lit('"'), F.concat_ws('","', *cells), F.lit('"'))
     lines = items(spark, sf_dir).select(col("l_orderkey").alias("file"), (col("l_linenumber") + 5).alias("line"), line.alias("text"))
     tops = items(spark, sf_dir).select(col("l_orderkey").alias("file")).distinct().select("file", F.posexplode(F.array(*[F.lit("FormatVersion,v1")] * 5, F.lit(head))).alias("line", "text"))
-    out = flatten.bulk_offers(lines.unionByName(tops), ["p5", "p5en"])
+    out = flatten.bulk_components(flatten.bulk_records(lines.unionByName(tops)), ["p5", "p5en"])
     return out.select(col("Region Code").alias("region"), "family", "billing_model", F.round("price_per_hour", 2).alias("price_per_hour"), F.round("upfront_price", 2).alias("upfront_price"), "vcpus")
 
 
+_BULK_FILES = """WITH l AS (SELECT l_orderkey, l_linenumber AS n, l_suppkey % 4 AS cls, l_partkey % 4 AS fam, l_suppkey % 3 AS term, l_extendedprice AS price, l_linenumber % 3 AS u, l_quantity > 25 AS told FROM lineitem),
+p AS (SELECT l_orderkey, n, price, u, told, CASE fam WHEN 0 THEN 'p5' WHEN 1 THEN 'p5en' WHEN 2 THEN 'g6e' END AS family, CASE fam WHEN 0 THEN 'p5.48xlarge' WHEN 1 THEN 'p5en.48xlarge' WHEN 2 THEN 'g6e.12xlarge' END AS instance_type,
+  CASE cls WHEN 0 THEN 'on_demand' WHEN 1 THEN 'capacity_block' WHEN 2 THEN 'capacity_reservation' ELSE 'other' END AS billing, CASE term WHEN 0 THEN 'Reserved' ELSE 'OnDemand' END AS term FROM l WHERE u < 2 AND fam < 3),
+g AS (SELECT l_orderkey, family, instance_type, billing, term, arg_min(told, n) AS told, round(coalesce(sum(price) FILTER (WHERE u = 0), 0.0), 6) AS hourly, round(coalesce(sum(price) FILTER (WHERE u = 1), 0.0), 6) AS upfront FROM p GROUP BY ALL),
+d AS (SELECT *, CASE family WHEN 'g6e' THEN 4 ELSE 8 END AS known, CASE WHEN told THEN 2 ELSE known END AS devices, term = 'Reserved' OR billing LIKE 'capacity%' AS reserved FROM g WHERE hourly > 0 OR upfront > 0)
+SELECT l_orderkey, instance_type, family AS instance_family, CASE family WHEN 'p5' THEN 'H100' WHEN 'p5en' THEN 'H200' ELSE 'L40S' END AS gpu_name, CASE family WHEN 'p5' THEN '80' WHEN 'p5en' THEN '141' ELSE '48' END AS gpu_memory_gb, devices::VARCHAR AS gpu_count, '2048' AS ram_gb,
+  CASE WHEN reserved THEN 'reserved' ELSE 'on_demand' END AS pricing_type, CASE WHEN term = 'Reserved' THEN '1yr' WHEN billing = 'capacity_block' THEN billing WHEN reserved THEN 'capacity_reservation' ELSE '' END AS commitment_period,
+  round(hourly, 2) AS price_per_hour, round(upfront, 2) AS upfront_price, round(hourly / devices, 6) AS price_per_gpu_hour, billing AS billing_model FROM d"""
+
+
+@query(_BULK_FILES)
+def bulk_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk price files from landing to offers: files of some orders each are written, with cells over two lines, 150 columns and
+    headers in two orders, and read back in small splits."""
+    pick = lambda key, *values: F.element_at(F.array(*map(F.lit, values)), (key + 1).cast("int"))
+    cells = {
+        "SKU": F.lit("k"), "Product Family": F.lit("Compute Instance (bare, metal)"), "PriceDescription": pick(col("l_suppkey") % 4, '$1 per ""On Demand""\nhour', "Capacity Block,\n1", "x", "plain"), "Unit": pick(col("l_linenumber") % 3, "Hrs", "Quantity", "GB"),
+        "PricePerUnit": col("l_extendedprice").cast("string"), "Region Code": F.lit("us-east-1"), "Location": col("l_orderkey").cast("string"), "Instance Type": pick(col("l_partkey") % 4, "p5.48xlarge", "p5en.48xlarge", "g6e.12xlarge", "m5.large"),
+        "TermType": pick(col("l_suppkey") % 3, "Reserved", "OnDemand", "OnDemand"), "LeaseContractLength": pick(col("l_suppkey") % 3, "1yr", "", ""), "CapacityStatus": pick(col("l_suppkey") % 4, "Used", "Used", "AllocatedCapacityReservation", "Used"),
+        "vCPU": col("l_linenumber").cast("string"), "Memory": F.lit("2,048 GiB"), "GPU": F.when(col("l_quantity") > 25, "2").otherwise("NA"), **{f"Note {k}": F.lit("") for k in range(136)},
+    }
+    own = items(spark, sf_dir).withColumn("file", F.floor(col("l_orderkey") / 4000))
+    line = lambda names: F.concat(F.lit('"'), F.concat_ws('","', *[cells[x] for x in names]), F.lit('"'))
+    forth, back = list(cells), list(reversed(cells))
+    even = col("file") % 2 == 0
+    lines = own.select("file", col("l_orderkey").alias("a"), (col("l_linenumber") + 6).alias("b"), F.when(even, line(forth)).otherwise(line(back)).alias("text"))
+    tops = F.array(*[F.lit(f'"FormatVersion","v{k}"') for k in range(5)], F.when(even, ",".join(forth)).otherwise(",".join(back)))
+    tops = own.select("file").distinct().select("file", F.lit(-1).cast("long").alias("a"), F.posexplode(tops).alias("b", "text"))
+    path = f"{checkpoint_dir(spark)}/bulk-{uuid.uuid4().hex}"
+    lines.unionByName(tops).repartition("file").sortWithinPartitions("file", "a", "b").select("file", "text").write.partitionBy("file").text(path)
+    offers = adapters.collect(adapters.bulk_files(spark, path, split_bytes=1 << 20), "bulk_prices")
+    money = [F.round(c.number(col(x)), k).alias(x) for x, k in (("price_per_hour", 2), ("upfront_price", 2), ("price_per_gpu_hour", 6))]
+    tail = lambda key: c.json_get(col("raw_extra"), key)
+    return offers.select(tail("location").cast("long").alias("l_orderkey"), "instance_type", "instance_family", "gpu_name", "gpu_memory_gb", "gpu_count", "ram_gb", "pricing_type", "commitment_period", *money, tail("billing_model").alias("billing_model"))
+
+
 @query("""SELECT 'shop' AS source, 'gcp' AS provider, 'i' || l_linenumber AS instance_type, 'H100' AS gpu_name, '80' AS gpu_memory_gb, '2' AS gpu_count, 'spot' AS pricing_type, 'US East' AS geo_group, l_quantity::BIGINT::VARCHAR AS price_per_hour,
   regexp_replace(regexp_replace(printf('%.6f', l_quantity / 2), '0+$', ''), '\\.$', '') AS price_per_gpu_hour FROM lineitem WHERE l_partkey % 3 <> 0""")
 def collect_items(spark: SparkSession, sf_dir: str) -> DataFrame:

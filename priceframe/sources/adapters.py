@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from priceframe.functions import conform as c
+from priceframe.functions import tables as t
 from priceframe.operators import conform, flatten, quality, text
+from priceframe.sources import bulk
 
 Fields = Callable[[DataFrame], DataFrame]
 
@@ -79,3 +81,14 @@ def page_pairs(payloads: DataFrame) -> DataFrame:
     """GPU names and prices that stand near each other on a page."""
     found = text.gpu_price_pairs(payloads.select("source", "body"), "body")
     return found.select("source", F.col("source").alias("provider"), F.col("gpu").alias("instance_type"), F.col("gpu").alias("gpu_name"), F.lit("1").alias("gpu_count"), F.col("price").cast("string").alias("price_per_hour"))
+
+
+def bulk_files(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Records of the bulk price files under path that name an accelerator family, as payloads of bulk_prices."""
+    return bulk.read(spark, path, [*t.BULK_KEY, *flatten.BULK_COLUMNS.values()], naming=[f"{f}." for f in t.BULK_FAMILIES], **options)
+
+
+@adapter("bulk_prices", "bulk")
+def bulk_prices(records: DataFrame) -> DataFrame:
+    """Offers of bulk price files, given by bulk_files()."""
+    return flatten.bulk_fields(flatten.bulk_components(records), "aws")
