@@ -63,8 +63,9 @@ def baseline_metrics(offers: DataFrame) -> DataFrame:
 
 
 def health_gate(offers: DataFrame, min_sources: int = 20, min_rows: int = 1_000_000, min_days: int = 75) -> DataFrame:
-    """One row: sources, rows, span, and the first floor that is missed (ok if none is)."""
-    own = offers.agg(F.countDistinct("source").alias("sources"), _count().alias("n_rows"), F.coalesce(_span(), F.lit(0)).alias("span_days"))
+    """One row: sources, rows, span, and the first floor that is missed (ok if none is); of offers, or of counts of them (n_rows)."""
+    rows = F.coalesce(F.sum("n_rows"), F.lit(0)) if "n_rows" in offers.columns else _count()
+    own = offers.agg(F.countDistinct("source").alias("sources"), rows.alias("n_rows"), F.coalesce(_span(), F.lit(0)).alias("span_days"))
     status = F.when(col("sources") < min_sources, "too few sources").when(col("n_rows") < min_rows, "too few rows").when(col("span_days") < min_days, "span too short").otherwise("ok")
     return own.withColumn("status", status)
 

@@ -291,6 +291,9 @@ ORACLE_SQL: dict[str, str] = {
     "master_sorted": f"WITH {STORED} SELECT {', '.join(COLUMNS)} FROM s WHERE lower(pricing_type) <> 'inference'",
     "inference_sorted": f"WITH {STORED} SELECT {', '.join(COLUMNS)} FROM s WHERE lower(pricing_type) = 'inference'",
     "schema_migrate": f"WITH {OFFERS} SELECT row_seq, source, CASE WHEN right(row_seq, 1) IN ('0', '2', '4', '6', '8') THEN '7' ELSE '' END AS upfront_price, raw_extra FROM o",
+    "incremental_state": f"""WITH {STORED}, h AS (SELECT DISTINCT {', '.join(COLUMNS)} FROM s WHERE snapshot_date >= '{CUTOFF}' AND {KEEP}), e AS (SELECT DISTINCT {', '.join(COLUMNS)} FROM s WHERE snapshot_date < '{CUTOFF}')
+      SELECT 'baseline' AS kind, source, snapshot_date AS part, count(*) AS n_rows FROM h GROUP BY ALL UNION ALL SELECT 'archive', '', substr(snapshot_date, 1, 7), count(*) FROM e GROUP BY ALL
+      UNION ALL SELECT DISTINCT CASE WHEN lower(pricing_type) = 'inference' THEN 'inference' ELSE 'master' END, '', snapshot_date, 1 FROM h WHERE {strip('provider')} <> ''""",
     "incremental_finalize": f"""WITH RECURSIVE {STORED}, fresh AS (SELECT * FROM s WHERE source = 'akash' AND snapshot_date LIKE '%-03-01'), kept_old AS (SELECT * FROM s WHERE source <> 'akash'),
       d AS (SELECT snapshot_date FROM fresh WHERE snapshot_date >= '{CUTOFF}' UNION SELECT snapshot_date FROM kept_old WHERE snapshot_date >= '{CUTOFF}' AND NOT {KEEP}),
       part AS (SELECT {', '.join(COLUMNS)}, min(row_seq) AS row_seq FROM (SELECT * FROM fresh UNION ALL SELECT * FROM kept_old) WHERE snapshot_date IN (SELECT * FROM d) AND snapshot_date >= '{CUTOFF}' AND {KEEP} GROUP BY {', '.join(COLUMNS)}),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,10 @@ from priceframe.operators import conform, dedup, quality, repair, resolve, stats
 from priceframe.plans.bridge import SOURCES, offers
 from priceframe.plans.oracles import CUTOFF
 from priceframe.sources import offers as sinks
-from priceframe.sources.shared import written
-from priceframe.streaming.incremental import rebuild
-from priceframe.schema import BACKFILL, COLUMNS
+from priceframe.schema import BACKFILL, COLUMNS, RAW_SCHEMA
+from priceframe.sources.shared import checkpoint_dir, written
+from priceframe.sources.store import Store
+from priceframe.streaming.incremental import baseline, rebuild, take_in
 
 col = F.col
 Query = Callable[[SparkSession, str], DataFrame]
@@ -339,3 +341,23 @@ def incremental_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = rows.where("source != 'akash'"), rows.where("source = 'akash' and snapshot_date like '%-03-01'")
     published = dedup.dedup_exact(old.withColumn("tenancy", F.lit("published")))
     return dedup.incremental_finalize(published, old, new, CUTOFF, rebuild)
+
+
+@query
+def incremental_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping batches through one store: what its baseline tells by source and date, its archives by month, and how
+    many dates its tables are published for."""
+    rows = written(stored(spark, sf_dir).select("row_seq", *COLUMNS), "stored")
+    folder = f"{checkpoint_dir(spark)}/store-{uuid.uuid4().hex}"
+    last = F.substring("row_seq", -1, 1)
+    for number, part in enumerate((last <= "6", last >= "4")):
+        take_in(spark, rows.where(part), number, folder, CUTOFF, min_sources=3, min_rows=1, min_days=30)
+    store = Store(spark, folder)
+    now = store.manifest()
+    told = baseline(store, now).where("n_rows > 0").select(F.lit("baseline").alias("kind"), "source", col("snapshot_date").alias("part"), "n_rows")
+    archived = store.read("archive", sinks.ARCHIVE, at=now, kind="csv").groupBy(col("month").alias("part")).agg(F.count(F.lit(1)).alias("n_rows"))
+    out = told.union(archived.select(F.lit("archive"), F.lit(""), "part", "n_rows"))
+    for kind in ("master", "inference"):
+        dates = store.read(kind, RAW_SCHEMA, at=now).select("snapshot_date").distinct()
+        out = out.union(dates.select(F.lit(kind), F.lit(""), "snapshot_date", F.lit(1).cast("long")))
+    return out

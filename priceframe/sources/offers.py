@@ -4,25 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from priceframe.functions import conform as c
 from priceframe.operators import dedup, quality
 from priceframe.schema import COLUMNS, RAW_SCHEMA
+from priceframe.sources import bulk
 from priceframe.sources.shared import written
+from priceframe.sources.store import Commit
 
 MASTER_ORDER = ["snapshot_date", "provider", "gpu_name", "region", "pricing_type", "instance_type"]
 INFERENCE_ORDER = ["snapshot_date", "provider", "instance_type"]
 
 
-def _csv(reader):
-    return reader.schema(RAW_SCHEMA).option("header", True).option("escape", '"').option("multiLine", False)
-
-
 def scan_sources(spark: SparkSession, folder: str, date: str | None = None) -> DataFrame:
-    """All sources' CSV files but those whose name starts with an underscore; missing cells are blank. The source of a row is
-    its own column; stem tells the file it came from, row_seq the row's order in it."""
-    rows = _csv(spark.read).csv(f"{folder}/[!_]*.csv*")
-    rows = rows.select(*[c.text(F.col(x)).alias(x) for x in COLUMNS], F.regexp_replace(F.col("_metadata.file_name"), r"\.csv(\.gz)?$", "").alias("stem"), F.format_string("%020d", F.col("_metadata.file_block_start") + F.monotonically_increasing_id() % (1 << 33)).alias("row_seq"))
+    """All sources' CSV files but those whose name starts with an underscore; cells go by their file's header, may hold line ends,
+    and are blank where missing. Large files are split. The source of a row is its own column; stem tells the file it came from,
+    row_seq the row's place in it."""
+    rows = bulk.read(spark, f"{folder}/[!_]*.csv*", COLUMNS, preamble=0)
+    rows = rows.select(*[c.text(F.col(x)).alias(x) for x in COLUMNS], F.regexp_extract("file", r"([^/]*?)\.csv(\.gz)?$", 1).alias("stem"), F.format_string("%020d", "at").alias("row_seq"))
     return rows if date is None else rows.where(F.col("snapshot_date") == date)
 
 
@@ -32,40 +32,30 @@ def append_offers(offers: DataFrame, folder: str) -> None:
 
 
 def sorted_table(offers: DataFrame, order: list[str]) -> DataFrame:
-    """The 33 columns, ranges of dates in order, sorted within each."""
-    return offers.select(*COLUMNS).repartitionByRange("snapshot_date").sortWithinPartitions(*order)
-
-
-def _dates_below(spark: SparkSession, folder: str):
-    """Hadoop's file system and the date folders of a table as (date, path)."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    top = jvm.org.apache.hadoop.fs.Path(folder)
-    store = top.getFileSystem(conf)
-    paths = [f.getPath() for f in store.listStatus(top)] if store.exists(top) else []
-    blank = "__HIVE_DEFAULT_PARTITION__"
-    return store, [(p.getName().partition("=")[2].replace(blank, ""), p) for p in paths if p.getName().startswith("snapshot_date=")]
+    """The 33 columns in order, by ranges that may cut through a date."""
+    return offers.select(*COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def drop_dates(spark: SparkSession, folder: str, gone) -> None:
-    """Remove the date folders whose date gone(date) names. Their number is that of dates, which a driver may list."""
-    store, found = _dates_below(spark, folder)
-    for date, path in found:
-        if gone(date):
-            store.delete(path, True)
+def publish(commit: Commit, hourly: DataFrame, inference: DataFrame, dates: set[str]) -> None:
+    """Both tables of some dates as part of a commit; each input is evaluated once, from a written copy."""
+    for table, rows, order in (("master", hourly, MASTER_ORDER), ("inference", inference, INFERENCE_ORDER)):
+        commit.replace(table, sorted_table(written(rows.select(*COLUMNS), table), order), "snapshot_date", dates)
 
 
-def write_slice(rows: DataFrame, folder: str, order: list[str], dates: set[str], cutoff: str) -> None:
-    """Publish the rebuilt rows of some dates: those dates are replaced, with no rows left they go, expired dates go, others stay."""
-    sorted_table(rows, order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(folder)
-    spark = rows.sparkSession
-    filled = {r[0] for r in rows.select("snapshot_date").distinct().collect()}
-    drop_dates(spark, folder, lambda d: d < cutoff or d in dates - filled)
+ARCHIVE = T.StructType([*RAW_SCHEMA.fields, T.StructField("month", T.StringType())])
 
 
-def write_master(hourly: DataFrame, inference: DataFrame, folder: str, dates: set[str], cutoff: str) -> None:
-    """Publish both tables of some dates; each input is evaluated once, from a written copy."""
-    for kind, rows, order in (("master", hourly, MASTER_ORDER), ("inference", inference, INFERENCE_ORDER)):
-        write_slice(written(rows.select(*COLUMNS), kind), f"{folder}/{kind}", order, dates, cutoff)
+def merge_archives(commit: Commit, expired: DataFrame) -> dict[str, int]:
+    """Add expired rows to the archives of their months, gzip CSV, a partition for each month: only months that get rows are read
+    and written again, each with its distinct rows. Gives the rows that those months have now."""
+    new = written(expired.select(*COLUMNS).withColumn("month", dedup.archive_month(F.col("snapshot_date"))), "expired")
+    months = {r[0] for r in new.select("month").distinct().collect()}
+    if not months:
+        return {}
+    old = commit.store.read("archive", ARCHIVE, months, commit.base, kind="csv")
+    merged = written(dedup.dedup_exact(old.unionByName(new), ARCHIVE.names), "archive")
+    commit.replace("archive", merged, "month", months, kind="csv")
+    return {r["month"]: r["n"] for r in merged.groupBy("month").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
 def write_archives(expired: DataFrame, folder: str, mode: str = "append") -> None:
