@@ -224,3 +224,28 @@ BULK_COUNTS = {
     "trn1.2xlarge": 1, "trn1.32xlarge": 16, "trn1n.32xlarge": 16, "trn2.48xlarge": 16, "trn2u.48xlarge": 16, "inf1.xlarge": 1, "inf1.2xlarge": 1, "inf1.6xlarge": 4, "inf1.24xlarge": 16,
     "inf2.xlarge": 1, "inf2.8xlarge": 1, "inf2.24xlarge": 6, "inf2.48xlarge": 12, "dl1.24xlarge": 8,
 }
+
+# Ordered rules that tell the device from vendors' texts. What must occur, as field:text (for machine sizes 0 is
+# the size's name, 1 the product's, 2 the whole name; for the others 0 is the description); what must not; device, GB, number, variant.
+SIZE_RULES = [
+    (["0:h100", "0:nc40ads"], [], "H100", 94, 1, "NVL"), (["0:h100", "0:nc80adis"], [], "H100", 94, 2, "NVL"), (["0:h100", "0:nd96"], [], "H100", 80, 8, "SXM5"),
+    (["0:h200", "0:nd96"], [], "H200", 141, 8, "SXM"),
+    (["0:a100", "0:nc24ads"], [], "A100", 80, 1, "PCIe"), (["0:a100", "0:nc48ads"], [], "A100", 80, 2, "PCIe"), (["0:a100", "0:nc96ads"], [], "A100", 80, 4, "PCIe"),
+    (["0:a100", "0:nd96ams"], [], "A100", 80, 8, "SXM4"), (["0:a100", "0:nd96as"], [], "A100", 40, 8, "SXM4"),
+    (["1:h200"], [], "H200", 141, 8, "SXM"), (["1:h100"], [], "H100", 80, 8, "SXM5"),
+    (["1:a100", "1:80", "2:nd96"], [], "A100", 80, 8, ""), (["1:a100", "1:80", "2:nc96"], [], "A100", 80, 4, ""), (["1:a100", "1:80"], [], "A100", 80, 1, ""),
+    (["1:a100", "2:nd96"], [], "A100", 40, 8, ""), (["1:a100", "2:nc96"], [], "A100", 40, 4, ""), (["1:a100"], [], "A100", 40, 1, ""),
+    (["1:v100"], [], "V100", 16, 0, ""), (["1:t4"], [], "T4", 16, 0, ""), (["1:a10"], ["1:a100"], "A10", 24, 0, ""), (["1:m60"], [], "Tesla M60", 8, 0, ""), (["1:k80"], [], "K80", 12, 0, ""),
+]
+DESCRIPTION_RULES = [
+    (["0:gb200"], [], "GB200", 192, 1, ""), (["0:h200"], [], "H200", 141, 1, "SXM"), (["0:h100", "0:80gb"], [], "H100", 80, 1, "SXM5"), (["0:h100"], [], "H100", 80, 1, ""),
+    (["0:a100", "0:80gb"], [], "A100", 80, 1, "SXM4"), (["0:a100", "0:40gb"], [], "A100", 40, 1, ""), (["0:a100"], [], "A100", 40, 1, ""), (["0:v100"], [], "V100", 16, 1, ""),
+    (["0:t4"], [], "T4", 16, 1, ""), (["0:k80"], [], "K80", 12, 1, ""), (["0:p100"], [], "P100", 16, 1, ""), (["0:p4"], [], "P4", 8, 1, ""), (["0:l4"], [], "L4", 24, 1, ""), (["0:l40"], [], "L40", 48, 1, ""),
+    (["0:b200"], [], "B200", 192, 1, ""), (["0:a10g"], [], "A10G", 24, 1, ""),
+]
+# Pricing type and term: 0 is the name and meter, or the usage type.
+TERM_RULES = [
+    (["0:spot"], [], "spot", ""), (["0:low priority"], [], "spot", ""), (["0:preemptible"], [], "spot", ""), (["0:3 year"], [], "reserved", "3yr"), (["0:three year"], [], "reserved", "3yr"),
+    (["0:1 year"], [], "reserved", "1yr"), (["0:one year"], [], "reserved", "1yr"), (["0:commit1yr"], [], "reserved", "1yr"), (["0:commitmentyear1"], [], "reserved", "1yr"),
+    (["0:commit3yr"], [], "reserved", "3yr"), (["0:commitmentyear3"], [], "reserved", "3yr"),
+]

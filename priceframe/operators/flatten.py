@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from priceframe.functions import conform as c
@@ -104,6 +104,35 @@ def classify(text: Column, rules: list[tuple[str, str]], otherwise: str) -> Colu
     return out
 
 
+def rule_table(spark: SparkSession, rules: list[tuple], values: str) -> DataFrame:
+    """Ordered rules as a table: rule (its place), need and lack (field:text), and the columns that values names, from tuples
+    (need, lack, *values)."""
+    return spark.createDataFrame([(k, list(need), list(lack), *rest) for k, (need, lack, *rest) in enumerate(rules)], f"rule int, need array<string>, lack array<string>, {values}")
+
+
+def classify_by_rules(rows: DataFrame, fields: list[Column], rules: DataFrame) -> DataFrame:
+    """rows with the rule and the values of the first rule that holds; null where none does. A rule (see rule_table) holds if
+    every text it needs occurs in its field, by number from 0, and none that it lacks; case does not matter in the fields. Rules
+    need at least one text of two characters.
+
+    Each distinct combination of fields is looked at once. A rule is indexed by the rarest pair of characters of what it needs,
+    and combinations meet rules by the pairs they hold, so the work grows with likely matches, not with texts times rules."""
+    made = [f"_f{k}" for k in range(len(fields))]
+    own = rows.withColumns({m: F.lower(F.coalesce(f, F.lit(""))) for m, f in zip(made, fields, strict=True)})
+    texts = own.select(F.array(*made).alias("_t")).distinct()
+    pairs = lambda text, mark: F.when(F.length(text) > 1, F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: F.concat(mark, F.lit(":"), F.substring(text, i, F.lit(2)))))
+    grams = texts.select("_t", F.explode(F.array_distinct(F.flatten(F.array_compact(F.array(*[pairs(col("_t")[k], F.lit(str(k))) for k in range(len(fields))]))))).alias("_g"))
+    often = grams.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    needed = rules.select("rule", F.explode("need").alias("_x")).select("rule", F.explode(pairs(F.expr("substr(_x, instr(_x, ':') + 1)"), F.expr("substr(_x, 1, instr(_x, ':') - 1)"))).alias("_g"))
+    # a pair that no text has rules the rule out
+    index = needed.join(often, "_g", "left").groupBy("rule").agg(F.min_by("_g", F.struct(F.coalesce("_n", F.lit(0)), "_g")).alias("_g"))
+    inside = lambda x: "instr(_t[cast(substr({0}, 1, instr({0}, ':') - 1) as int)], substr({0}, instr({0}, ':') + 1)) > 0".format(x)
+    likely = grams.join(index, "_g").select("_t", "rule").join(rules, "rule").where(f"forall(need, x -> {inside('x')}) and not exists(lack, x -> {inside('x')})")
+    values = [x for x in rules.columns if x not in ("need", "lack")]
+    first = likely.groupBy("_t").agg(F.min(F.struct(*values)).alias("_v"))
+    return own.withColumn("_t", F.array(*made)).join(first, "_t", "left").select(*rows.columns, *[col(f"_v.{v}").alias(v) for v in values])
+
+
 def classify_offer(text: Column, types: list[tuple[str, str]], terms: list[tuple[str, str]], models: list[tuple[str, str]], count: str = r"(?i)\b(\d+)\s*x\b") -> Column:
     """Pricing type, term, GPU model and count of an offer's free text, each by its own ordered rules; one GPU if no count is told."""
     n = F.regexp_extract(text, count, 1).try_cast("int")

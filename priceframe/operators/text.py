@@ -35,13 +35,14 @@ def html_lines(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def html_tables(pages: DataFrame, roles: dict[str, str], html: str = "html") -> DataFrame:
-    """Rows of the pages' tables: header cells get roles by the first keyword pattern they match, cells go to their column's
-    role, rows with fewer cells than the header are skipped."""
+    """Rows of the pages' tables, nested ones too, with spans filled (sources/grids.py): header cells get roles by the first
+    keyword pattern they match, cells go to their column's role, rows with fewer cells than the header are skipped. table
+    numbers a page's tables as they begin."""
+    from priceframe.sources.grids import grids
+
     keys = [x for x in pages.columns if x != html]
-    cells = lambda row: F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), 1), lambda x: F.trim(decode(F.regexp_replace(x, "<[^>]*>", ""))))
-    tables = pages.select(*keys, F.posexplode(F.regexp_extract_all(col(html), F.lit(r"(?is)<table\b[^>]*>(.*?)</table>"), 1)).alias("table", "_t"))
-    rows = tables.select(*keys, "table", F.transform(F.regexp_extract_all("_t", F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), 1), cells).alias("_rows"))
-    rows = rows.select(*keys, "table", F.get("_rows", 0).alias("_head"), F.posexplode("_rows").alias("row", "_cells")).where("row > 0 and size(_cells) >= size(_head)")
+    tables = pages.select(*keys, F.explode(grids(col(html))).alias("_t")).select(*keys, col("_t.table").alias("table"), F.get("_t.rows", 0).alias("_head"), F.posexplode("_t.rows").alias("row", "_cells"))
+    rows = tables.where("row > 0 and size(_cells) >= size(_head)")
     at = lambda pattern: F.array_position(F.transform("_head", lambda h: h.rlike(f"(?i){pattern}")), True).cast("int") - 1
     return rows.select(*keys, "table", "row", *[F.when(at(p) >= 0, F.get("_cells", at(p))).alias(name) for name, p in roles.items()])
 
@@ -71,15 +72,22 @@ def _elements(json: Column) -> Column:
 
 
 def search_json(rows: DataFrame, wanted: list[str], depth: int = 6, json: str = "json") -> DataFrame:
-    """The objects, at most ``depth`` levels down, that have all the wanted keys."""
+    """The objects, at most ``depth`` levels down, that have all the wanted keys. One walk over each value: the frontier holds
+    the values of a level, and what it finds is kept as it goes on to their elements."""
     keys = [x for x in rows.columns if x != json]
-    level, found = rows, []
-    for k in range(depth + 1):
-        members = F.map_keys(F.try_variant_get(json, "$", "map<string,variant>"))
-        found.append(level.where(F.size(F.array_intersect(members, F.array(*map(F.lit, wanted)))) == len(wanted)))
-        if k < depth:
-            level = level.select(*keys, F.explode(_elements(col(json))).alias(json))
-    return reduce(DataFrame.unionByName, found)
+    needs = F.array(*map(F.lit, wanted))
+    none = F.expr("cast(array() as array<variant>)")
+
+    def has(v: Column) -> Column:
+        return F.size(F.array_intersect(F.coalesce(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), F.expr("cast(array() as array<string>)")), needs)) == len(set(wanted))
+
+    def step(at: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(at["frontier"], lambda v: F.coalesce(_elements(v), none)))
+        return F.struct(below.alias("frontier"), F.concat(at["found"], F.filter(below, has)).alias("found"))
+
+    first = F.array(json)
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.struct(first.alias("frontier"), F.filter(first, has).alias("found")), step, lambda at: at["found"]) if depth > 0 else F.filter(first, has)
+    return rows.where(F.col(json).isNotNull()).select(*keys, F.explode(walk).alias(json))
 
 
 def jsonld_products(pages: DataFrame, html: str = "html") -> DataFrame:

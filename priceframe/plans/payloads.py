@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from priceframe.functions import conform as c
+from priceframe.functions import tables as t
 from priceframe.operators import flatten, text
 from priceframe.plans.oracles import ORACLE_SQL
 from priceframe.plans.queries import QUERIES, Query
@@ -116,6 +117,33 @@ def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items(spark, sf_dir).select(*_IDS, flatten.classify_offer(label, _TYPES, _TERMS, _MODELS).alias("c")).select(*_IDS, "c.*")
 
 
+_SIZES = ["Standard_NC40ads_H100_v5", "Standard_NC80adis_H100_v5 Spot", "Standard_ND96isr_H200_v5", "Standard_NC24ads_A100_v4", "Standard_ND96ams_A100_v4 Low Priority", "Standard_ND96x", "Standard_NC96y 3 Year", "Standard_D4", "nd96as_a100 One Year"]
+_PRODUCTS = ["NCads H100 Series", "", "A100 80GB", "a100 series", "NVads A10 v5", "NCas T4", "NV M60 or K80", "v100x", "general"]
+
+
+def _chain(rules: list[tuple], fields: list[str], value: int) -> str:
+    """The first rule that holds as a chain of conditions."""
+    test = lambda x, no: f"{'NOT ' if no else ''}contains(lower({fields[int(x[0])]}), '{x[2:]}')"
+    whens = " ".join(f"WHEN {' AND '.join([*[test(x, False) for x in r[0]], *[test(x, True) for x in r[1]]])} THEN {r[value]!r}" for r in rules)
+    return f"CASE {whens} END"
+
+
+@query(f"""WITH t AS (SELECT {_ID}, {_SIZES!r}[(l_partkey % 9 + 1)::INT] AS sku, {_PRODUCTS!r}[(l_suppkey % 9 + 1)::INT] AS product FROM lineitem), u AS (SELECT *, string_split(sku, ' ')[1] AS base FROM t)
+  SELECT {_ID}, {_chain(t.SIZE_RULES, ["base", "product", "sku"], 2)} AS gpu, {_chain(t.SIZE_RULES, ["base", "product", "sku"], 3)} AS gb, {_chain(t.SIZE_RULES, ["base", "product", "sku"], 4)} AS gpus, {_chain(t.SIZE_RULES, ["base", "product", "sku"], 5)} AS variant,
+  {_chain(t.DESCRIPTION_RULES, ["product"], 2)} AS described, coalesce({_chain(t.TERM_RULES, ["sku"], 2)}, 'on_demand') AS pricing_type, {_chain(t.TERM_RULES, ["sku"], 3)} AS term FROM u""")
+def classify_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Machine sizes and products by the vendors' rule tables."""
+    pick = lambda key, values: F.element_at(F.array(*map(F.lit, values)), (key % len(values) + 1).cast("int"))
+    rows = items(spark, sf_dir).select(*_IDS, pick(col("l_partkey"), _SIZES).alias("sku"), pick(col("l_suppkey"), _PRODUCTS).alias("product"))
+    devices = flatten.rule_table(spark, t.SIZE_RULES, "gpu string, gb int, gpus int, variant string")
+    described = flatten.rule_table(spark, t.DESCRIPTION_RULES, "described string, a int, b int, c string")
+    terms = flatten.rule_table(spark, t.TERM_RULES, "pricing_type string, term string")
+    out = flatten.classify_by_rules(rows, [F.substring_index("sku", " ", 1), col("product"), col("sku")], devices).drop("rule")
+    out = flatten.classify_by_rules(out, [col("product")], described).drop("rule", "a", "b", "c")
+    out = flatten.classify_by_rules(out, [col("sku")], terms)
+    return out.select(*_IDS, "gpu", "gb", "gpus", "variant", "described", F.coalesce("pricing_type", F.lit("on_demand")).alias("pricing_type"), "term")
+
+
 @query(f"SELECT {_ID}, CASE l_partkey % 7 WHEN 5 THEN 'USD' WHEN 6 THEN 'EUR' ELSE '' END AS currency, CASE l_partkey % 7 WHEN 5 THEN 'hour' WHEN 6 THEN 'month' ELSE '' END AS unit FROM lineitem")
 def currency_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items(spark, sf_dir).select(*_IDS, flatten.currency(F.expr(_LABEL)).alias("currency"), flatten.price_unit(F.expr(_LABEL)).alias("unit"))
@@ -183,6 +211,23 @@ def html_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.html_tables(pages, {"number": "line", "part": "part", "quantity": "qty"}).drop("table", "row")
 
 
+@query("""SELECT l_orderkey, 0 AS table, 'N' || l_suppkey % 4 AS provider, 'R' || l_linenumber AS gpu, l_quantity::BIGINT::VARCHAR AS price, CASE WHEN l_linenumber % 2 = 0 THEN 'both' ELSE 'spot' END AS billing FROM lineitem
+UNION ALL SELECT l_orderkey, 1, 'inner', l_linenumber::VARCHAR, l_partkey::VARCHAR, NULL FROM lineitem""")
+def html_table_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a table whose cells span rows and columns, and one nested in its last cell with a provider for all its rows."""
+    cell = lambda x, more="": F.concat(F.lit(f"<td {more}>"), x, F.lit("</td>"))
+    number, even = col("l_linenumber").cast("string"), col("l_linenumber") % 2 == 0
+    row = F.concat(F.lit("<tr class=\"a>b\">"), cell(F.concat(F.lit("N"), (col("l_suppkey") % 4).cast("string"))), cell(F.concat(F.lit("<b>R"), number, F.lit("</b>"))), cell(col("l_quantity").cast("long").cast("string")), F.when(even, cell(F.lit("both"), "colspan=2")).otherwise(F.lit("<td>spot<td>x")), F.lit("</tr>"))
+    small = F.concat(F.lit("<tr>"), F.when(col("_first"), F.concat(F.lit("<td rowspan='"), col("_of").cast("string"), F.lit("'>inner</td>"))).otherwise(""), cell(number), cell(col("l_partkey").cast("string")), F.lit("</tr>"))
+    by = Window.partitionBy("l_orderkey")
+    own = items(spark, sf_dir).withColumns({"_first": F.row_number().over(by.orderBy("l_linenumber")) == 1, "_of": F.count(F.lit(1)).over(by)})
+    pages = own.groupBy("l_orderkey").agg(F.concat_ws("", F.collect_list(row)).alias("rows"), F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", (~col("_first")).alias("later"), small.alias("s")))), lambda x: x["s"])).alias("inner"))
+    head = F.lit("<table><tr><th>Provider<th>GPU &amp; model<th>$/GPU/h<th colspan='2'>Billing</tr>")
+    html = F.concat(head, "rows", F.lit("<tr><td>short<td><table><tr><th>provider</th><th>gpu</th><th>total/h</th></tr>"), "inner", F.lit("</table></table>"))
+    found = text.html_tables(pages.select("l_orderkey", html.alias("html")), {"provider": "provider", "gpu": "gpu(?!/h)", "price": "gpu/h|total/h", "billing": "billing"})
+    return found.drop("row")
+
+
 @query("SELECT p_partkey, 'MI300X' AS gpu, (p_size + 0.5)::DOUBLE AS price FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, 'RTX 4090', (p_size + 0.5)::DOUBLE FROM part WHERE p_partkey % 2 = 1")
 def gpu_price_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.concat(F.lit("$"), col("p_size").cast("string"), F.lit(".5"))
