@@ -1,14 +1,15 @@
 """Phrase collocations by SON partitioning: shards mined at lowered support, their union counted exactly.
 
-1. Documents are dealt into shards of about ``chunk_bytes`` (see anchors). A shard counts all its phrases of 2 to 4 words and
-   reports those that reach its local support: the global support times its share of all bytes, rounded up. Shares add up to
-   one, so a phrase that is frequent at all is reported by some shard.
-2. The union is taken in packed buckets of hash space. Reports carry their counts, cut off at the support, so a phrase is kept
-   only if the counts reported, plus what the other shards may hold unreported, reach the support. With 30 shards and more the
-   local support is one, nothing is unreported, and the union keeps little else than frequent phrases.
-3. Shards look up the candidates in their texts again and count them by their words, not by hashes; Spark adds the counts up
-   per language and phrase. Hashes only choose candidates; a collision adds one that the exact count drops.
-4. Scores, cuts and covered phrases are joins over the frequent phrases; the single words that many phrases begin or end with
+1. Documents are dealt into shards of about ``chunk_bytes`` (see anchors). A shard counts all its words and reports those that
+   reach its local support: the global support times its share of all bytes, rounded up. Shares add up to one, so a word that is
+   frequent at all is reported by some shard.
+2. The union is taken in packed buckets of hash space, by cells of it. Reports carry their counts, cut off at the support, so a
+   cell stays a candidate only if the counts reported, plus what the other shards may hold unreported, reach the support. With 30
+   shards and more the local support is one, nothing is unreported, and the union keeps little else than frequent words.
+3. The same again for pairs of candidate words, then for longer phrases whose pairs are all candidates: no other is frequent.
+4. Shards look up the candidates in their texts and count them exactly: within a shard two independent 64-bit hashes tell them
+   apart, across shards their words do. Cells only choose candidates; what shares one with a frequent phrase is dropped here.
+5. Scores, cuts and covered phrases are joins over the frequent phrases; the single words that many phrases begin or end with
    are salted. The best of each language are ranked in two steps, so no task gets all phrases of a language.
 
 A-Z are lower-cased; pieces end at ``.,;:!?`` and line ends, words at spaces and tabs. Defined cases: null and empty texts have
@@ -20,6 +21,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import pyarrow.ipc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,55 +39,97 @@ _BREAK = tk.table((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
 _WORD = ~(_BREAK | tk.table((0x09, 0x09), (0x20, 0x20)))
 #: Keys that a single word is dealt over, and parts that a language's phrases are ranked in first.
 _SALTS = 16
-_COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("n", pa.int64())])
+#: Bits of a cell of a bucket's hash space: cells are about as many as the phrases that a bucket of 32 MB of text has.
+_CELL_BITS = 24
+_COUNTED = pa.schema([("lang", pa.string()), ("k", pa.int8()), ("n", pa.int64()), ("phrase", pa.string())])
 
 
 class _Shard:
-    """Words of a shard's texts, slice by slice: a text of words with one space behind each, word starts, and how many words
-    follow each within its piece."""
+    """Words of a shard's texts: their texts, each with a space behind it, first and last bytes there, which end a piece, hashes,
+    languages."""
 
-    def __init__(self, table: pa.Table, longest: int):
+    def __init__(self, table: pa.Table, texts: bool = False):
         buf, off = tk.utf8(table.column("text"))
         langs = tk.as_array(table.column("lang")).dictionary_encode()
         self.langs, of = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-        self.parts = []
+        self.salt = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs], tk.U64)
+        kinds = {"last": bool, "values": tk.U64, "lang": np.int32, "clean": np.uint8, "starts": np.int64, "ends": np.int64, "others": tk.U64}
+        parts: dict[str, list[np.ndarray]] = {k: [np.empty(0, kind)] for k, kind in kinds.items()}
+        size = 0
         for a, b in tk.slices(off):
             low = tk.LOWER[buf[off[a] : off[b]]]
             starts, ends, ptr = tk.words(low, off[a : b + 1] - off[a], _WORD)
-            piece = np.cumsum(_BREAK[low], dtype=np.int64)[starts] if len(starts) else starts
+            piece = np.cumsum(_BREAK[low], dtype=np.int32)[starts]
             last = np.ones(len(starts), bool)
-            if len(starts):
-                last[:-1] = piece[1:] != piece[:-1]
-                last[ptr[1:-1][(ptr[1:-1] > 0)] - 1] = True
-            room = np.ones(len(starts), np.int8)
-            for _ in range(longest - 1):
-                room[:-1] = np.where(last[:-1], 1, np.minimum(room[1:] + 1, longest))
-            values = tk.word_hashes(low, starts, ends)
-            self.parts.append((low, starts, ends, room, values, np.repeat(of[a:b], np.diff(ptr))))
-
-    def hashes(self, longest: int) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-        """For each slice and k from 2: where phrases of k words start, and their hashes, which depend on the language."""
-        salt = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in self.langs], tk.U64)
-        out = []
-        for _, starts, _, room, values, lang in self.parts:
-            sums = tk.prefix_sums(values)
-            own = []
-            for k in range(2, longest + 1):
-                at = np.flatnonzero(room >= k)
-                own.append((at, tk.mix(tk.range_hash(sums, at, at + k, k) ^ salt[lang[at]])))
-            out.append(own)
-        return out
+            last[:-1] = piece[1:] != piece[:-1]
+            last[ptr[1:-1][ptr[1:-1] > 0] - 1] = True
+            own = {"last": last, "values": tk.word_hashes(low, starts, ends), "lang": np.repeat(of[a:b], np.diff(ptr)).astype(np.int32)}
+            if texts:
+                clean, first, end = tk.clean_words(low, starts, ends)
+                own |= {"clean": clean, "starts": first + size, "ends": end + size, "others": tk.word_hashes(low, starts, ends, other=True)}
+                size += len(clean)
+            for k, v in own.items():
+                parts[k].append(v)
+        self.last, self.values, self.lang, self.clean, self.starts, self.ends, self.others = (np.concatenate(parts[k]) for k in kinds)
+        self.sums, self.other_sums = tk.prefix_sums(self.values), tk.prefix_sums(self.others)
+
+    def hashes(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Hashes of the phrases of k words that start at some words; they depend on the language."""
+        return tk.mix(tk.range_hash(self.sums, at, at + k, k) ^ self.salt[self.lang[at]])
+
+    def all(self, k: int) -> np.ndarray:
+        """Where phrases of k words start."""
+        at = np.arange(len(self.last))
+        for n in range(k - 1):
+            at = at[~self.last[at + n]]
+        return at
+
+    def longer(self, named: np.ndarray, size: int, k: int) -> np.ndarray:
+        """Where phrases of k words start whose parts of ``size`` words (1 or 2) all start at named words."""
+        flags = np.zeros(len(self.last) + k, bool)
+        flags[named] = True
+        at = named
+        for n in range(1, k - size + 1):
+            at = at[flags[at + n]]
+            at = at[~self.last[at + n - 1]]
+        return at
+
+
+def _cells(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """bucket << 32 | cell of each hash."""
+    return ((hashes >> tk.U64(32)) % tk.U64(buckets) << tk.U64(32)) | (hashes & tk.U64((1 << _CELL_BITS) - 1))
+
+
+def _named(hashes: np.ndarray, answers: pa.Table, buckets: int) -> np.ndarray:
+    """Flags of the hashes whose cells the answers name."""
+    if not answers.num_rows:
+        return np.zeros(len(hashes), bool)
+    hot = np.concatenate([(tk.U64(b) << tk.U64(32)) | anchors._unpack(p)[0].astype(tk.U64) for b, p in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist(), strict=True)])
+    hot.sort()
+    cells = _cells(hashes, buckets)
+    order = np.argsort(cells)  # ascending keys walk the table once, in cache
+    out = np.empty(len(cells), bool)
+    out[order] = anchors._member(cells[order], hot)
+    return out
 
 
 def _local_support(table: pa.Table, total: int, support: int) -> int:
     return max(1, -(-support * len(tk.utf8(table.column("text"))[0]) // max(total, 1)))
 
 
-def _report(table: pa.Table, name: str, total: int, support: int, longest: int, buckets: int) -> pa.Table:
-    """A shard's message to each bucket: its phrases' tags, counts above the local support in bits, and that support."""
-    chunk, least = table.column(name)[0].as_py(), _local_support(table, total, support)
-    hashes = [h for own in _Shard(table, longest).hashes(longest) for _, h in own]
-    keys = anchors._split(np.concatenate(hashes), buckets) if hashes else np.empty(0, tk.U64)
+def _report(table: pa.Table, answers: pa.Table | None, name: str, total: int, support: int, sizes: range, buckets: int) -> pa.Table:
+    """A shard's message to each bucket: cells of its phrases of some sizes, counts above the local support in bits, and that
+    support. The answers name the candidates of the size before; they go on, past the union, under negative buckets."""
+    if not table.num_rows:
+        return anchors._MESSAGE.empty_table()
+    chunk, least, shard = table.column(name)[0].as_py(), _local_support(table, total, support), _Shard(table)
+    if answers is None:
+        keys = _cells(shard.hashes(shard.all(1), 1), buckets)
+    else:
+        size = sizes.start - 1
+        named = shard.all(size)
+        named = named[_named(shard.hashes(named, size), answers, buckets)]
+        keys = np.concatenate([_cells(shard.hashes(shard.longer(named, size, k), k), buckets) for k in sizes])
     keys.sort()
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
     count = np.minimum(np.diff(np.append(first, len(keys))), support)
@@ -94,7 +139,11 @@ def _report(table: pa.Table, name: str, total: int, support: int, longest: int,
     messages = {b: _pack(tags[c], count[c], support, least) for b, c in zip(own, cut, strict=True)}
     if least > 1:
         messages |= {b: _pack(tags[:0], count[:0], support, least) for b in range(buckets) if b not in messages}
-    return pa.table([pa.array(list(messages), pa.int32()), pa.array([chunk] * len(messages), pa.int32()), pa.array(list(messages.values()), pa.binary())], schema=anchors._MESSAGE)
+    out = pa.table([pa.array(list(messages), pa.int32()), pa.array([chunk] * len(messages), pa.int32()), pa.array(list(messages.values()), pa.binary())], schema=anchors._MESSAGE)
+    if answers is None:
+        return out
+    onward = pa.array([-1 - b for b in answers.column("bucket").to_pylist()], pa.int32())
+    return pa.concat_tables([out, pa.table([onward, answers.column("chunk"), answers.column("payload")], schema=anchors._MESSAGE)])
 
 
 def _pack(tags: np.ndarray, count: np.ndarray, support: int, least: int) -> bytes:
@@ -104,7 +153,9 @@ def _pack(tags: np.ndarray, count: np.ndarray, support: int, least: int) -> byte
 
 def _union(table: pa.Table, support: int) -> pa.Table:
     """The bucket's candidates, for every shard those it may hold: what it reported, or all if it may hold some unreported."""
-    width = support.bit_length()
+    width, bucket = support.bit_length(), table.column("bucket")[0].as_py()
+    if bucket < 0:
+        return pa.table([table.column("chunk"), pa.array([-1 - bucket] * table.num_rows, pa.int32()), table.column("payload")], schema=anchors._ANSWER)
     tags, counts, least = [], [], []
     for payload in table.column("payload").to_pylist():
         own, *bits = anchors._unpack(payload[4:], width)
@@ -124,42 +175,82 @@ def _union(table: pa.Table, support: int) -> pa.Table:
         mine = hot if x > 1 else own[anchors._member(own, hot)]
         if len(mine):
             out.append((chunk, whole if x > 1 else anchors._pack(mine)))
-    bucket = table.column("bucket")[0].as_py()
     return pa.table([pa.array([c for c, _ in out], pa.int32()), pa.array([bucket] * len(out), pa.int32()), pa.array([p for _, p in out], pa.binary())], schema=anchors._ANSWER)
 
 
-def _count(table: pa.Table, answers: pa.Table, longest: int, buckets: int) -> pa.Table:
-    """How often the shard's texts have each word and each candidate, by language; compared as texts."""
-    found: dict[tuple[int, int], list[pa.Array]] = {}
-    shard = _Shard(table, longest) if table.num_rows else None
-    for (low, starts, ends, _, _, lang), hashes in zip(shard.parts, shard.hashes(longest), strict=True) if shard else ():
-        clean, first, last = tk.clean_words(low, starts, ends)
-        places = [(1, np.arange(len(starts))), *((k, at[anchors.repeated(h, answers, buckets)]) for k, (at, h) in enumerate(hashes, 2))]
-        for k, at in places:
-            for which in np.unique(lang[at]).tolist():
-                own = at[lang[at] == which]
-                found.setdefault((which, k), []).append(gather(clean, first[own], last[own + k - 1]).value_counts())
-    out = []
-    for (which, k), parts in found.items():
-        counts = pa.concat_arrays(parts)
-        rows = pa.table({"phrase": counts.field("values"), "n": counts.field("counts")}).group_by("phrase").aggregate([("n", "sum")])
-        n = rows.num_rows
-        out.append(pa.table([pa.array([shard.langs[which]] * n, pa.string()), rows.column("phrase").cast(pa.string()), pa.array([k] * n, pa.int32()), rows.column("n_sum")], schema=_COUNTS))
-    return pa.concat_tables(out) if out else _COUNTS.empty_table()
+def _count(table: pa.Table, answers: pa.Table, name: str, longest: int, buckets: int) -> pa.Table:
+    """A shard's message to each bucket: its candidates by language, size and words, and how often it has them; and how many
+    words it has of each language, as phrases of none."""
+    if not table.num_rows:
+        return anchors._MESSAGE.empty_table()
+    chunk, shard = table.column(name)[0].as_py(), _Shard(table, texts=True)
+    words = np.bincount(shard.lang, minlength=len(shard.langs))
+    lang, size, n, phrase = [np.flatnonzero(words).astype(np.int32)], [np.zeros(np.count_nonzero(words), np.int8)], [words[words > 0]], [pa.array([""] * np.count_nonzero(words), pa.large_string())]
+    own = [np.zeros(np.count_nonzero(words), np.int64)]
+    for k in range(1, longest + 1):
+        at = shard.all(k)
+        h = shard.hashes(at, k)
+        named = _named(h, answers, buckets)
+        at, h = at[named], h[named]
+        other = tk.range_hash(shard.other_sums, at, at + k, k)
+        order = np.argsort(h, kind="stable")
+        if np.any((h[order][1:] == h[order][:-1]) & (other[order][1:] != other[order][:-1])):
+            order = np.lexsort((other, h))
+        at, h, other = at[order], h[order], other[order]
+        first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (other[1:] != other[:-1])))) if len(h) else np.empty(0, np.int64)
+        lang.append(shard.lang[at[first]])
+        size.append(np.full(len(first), k, np.int8))
+        n.append(np.diff(np.append(first, len(h))))
+        phrase.append(gather(shard.clean, shard.starts[at[first]], shard.ends[at[first] + k - 1]))
+        own.append(_home(shard.hashes(at[first], 1), shard.values[at[first] + 1] if k > 1 else None, buckets))
+    rows = pa.table([pa.array(shard.langs).take(pa.array(np.concatenate(lang))), pa.array(np.concatenate(size)), pa.array(np.concatenate(n)), pa.concat_arrays(phrase).cast(pa.string())], schema=_COUNTED)
+    to = np.concatenate(own)
+    order = pa.compute.sort_indices(rows.append_column("to", pa.array(to)), [(c, "ascending") for c in ("to", "lang", "k", "phrase")])
+    rows = rows.take(order)
+    buckets_here, cut = anchors.cuts(to[order.to_numpy()])
+    return pa.table([pa.array(buckets_here, pa.int32()), pa.array([chunk] * len(cut), pa.int32()), pa.array([_stream(rows.slice(c.start, c.stop - c.start)) for c in cut], pa.binary())], schema=anchors._MESSAGE)
+
+
+def _home(word: np.ndarray, second: np.ndarray | None, buckets: int) -> np.ndarray:
+    """The bucket that adds a phrase's counts up: that of its first word, so that phrases with one beginning are sent together;
+    those of a frequent first word are dealt over an eighth of the buckets by their second."""
+    spread = tk.U64(0) if second is None else second % tk.U64(max(1, buckets // 8))
+    return ((word % tk.U64(buckets) + spread) % tk.U64(buckets)).astype(np.int64)
+
+
+def _stream(rows: pa.Table) -> bytes:
+    """Sorted rows, so that phrases with one beginning stand together, compressed."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, _COUNTED, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=7))) as writer:
+        writer.write_table(rows.combine_chunks())
+    return out.getvalue().to_pybytes()
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """A bucket's counts, summed up over the shards."""
+    rows = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in table.column("payload").to_pylist()])
+    out = rows.group_by(["lang", "phrase", "k"]).aggregate([("n", "sum")])
+    return pa.table([out.column("lang"), out.column("phrase"), out.column("k").cast(pa.int32()), out.column("n_sum")], names=["lang", "phrase", "k", "n"])
 
 
 def counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", support: int = SUPPORT, longest: int = LONGEST, chunk_bytes: int = 8 << 20, bucket_bytes: int = 32 << 20) -> DataFrame:
-    """lang, phrase, k (words), n: all words, and all phrases of 2 to longest words that occur support times at least (and some
-    that do not). Exact numbers of occurrences."""
+    """lang, phrase, k (words), n: all phrases of 1 to longest words that occur support times at least (and some that do not),
+    with their exact numbers of occurrences; and each language's number of words, with k = 0."""
     tk.ensure_checkpoint_dir(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    dealt = anchors.deal(rows, ["id"], "text", chunk_bytes, bucket_bytes)
-    name, buckets = dealt.chunk, dealt.buckets
-    reports = dealt.docs.groupBy(name).applyInArrow(lambda t: _report(t, name, total, support, longest, buckets), anchors.MESSAGE)
-    union = reports.groupBy("bucket").applyInArrow(lambda t: _union(t, support), anchors.ANSWER)
-    found = dealt.docs.groupBy(name).cogroup(union.groupBy("chunk")).applyInArrow(lambda t, a: _count(t, a, longest, buckets), "lang string, phrase string, k int, n long")
-    return found.groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
+    dealt = anchors.deal(rows, ["id"], "text", chunk_bytes)
+    # few buckets for few bytes, whatever the partitions: there is a message for each shard and bucket
+    name, buckets = dealt.chunk, max(1, -(-total // bucket_bytes))
+    shards = dealt.docs.groupBy(name)
+    union = lambda reports: reports.groupBy("bucket").applyInArrow(lambda t: _union(t, support), anchors.ANSWER).groupBy("chunk")
+    report = lambda sizes: lambda t, a: _report(t, a, name, total, support, sizes, buckets)
+    first = report(range(1, 2))
+    found = union(shards.applyInArrow(lambda t: first(t, None), anchors.MESSAGE))
+    for sizes in filter(len, (range(2, min(2, longest) + 1), range(3, longest + 1))):
+        found = union(shards.cogroup(found).applyInArrow(report(sizes), anchors.MESSAGE))
+    own = shards.cogroup(found).applyInArrow(lambda t, a: _count(t, a, name, longest, buckets), anchors.MESSAGE)
+    return own.groupBy("bucket").applyInArrow(_add, "lang string, phrase string, k int, n long")
 
 
 def _exact(column: str) -> Column:
@@ -167,27 +258,27 @@ def _exact(column: str) -> Column:
 
 
 def _salt(part: str, of: str) -> Column:
-    """A single word's rows are dealt by the phrase that has it, a longer part's are not."""
+    """A single word's rows are dealt by the other part, a longer part's are not."""
     return F.when(F.instr(part, " ") == 0, F.pmod(F.xxhash64(of), F.lit(_SALTS))).otherwise(0).cast("int")
 
 
-def score(counted: DataFrame, *, support: int = SUPPORT, cover: int = COVER, scale: int = SCALE) -> DataFrame:
+def score(counted: DataFrame, *, support: int = SUPPORT, longest: int = LONGEST, cover: int = COVER, scale: int = SCALE) -> DataFrame:
     """lang, phrase, a, l, r, n, score of the phrases that no longer one covers; counted is best a table."""
-    frequent = counted.where(F.col("n") >= support)
-    candidates = frequent.where("k > 1").select("lang", "phrase", "k", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))
-    salts = F.when(F.col("k") == 1, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    known = frequent.select("lang", F.col("phrase").alias("part"), F.explode(salts).alias("salt"), "n")
-    cuts = candidates.select("lang", "phrase", "k", "a", "w", F.explode(F.expr("sequence(1, k - 1)")).alias("cut"))
-    cuts = cuts.select("lang", "phrase", "a", "cut", F.expr("array_join(slice(w, 1, cut), ' ')").alias("head"), F.expr("array_join(slice(w, cut + 1, k - cut), ' ')").alias("tail"))
-    for part, count in (("head", "l"), ("tail", "r")):
-        cuts = cuts.withColumn("salt", _salt(part, "phrase")).join(known.select("lang", F.col("part").alias(part), "salt", F.col("n").alias(count)), ["lang", part, "salt"]).drop("salt", part)
-    exact = cuts.select("lang", "phrase", "a", "cut", "l", "r", F.expr(f"(cast(a as decimal(19,0)) * {scale}) div (cast(l as decimal(19,0)) + cast(r as decimal(19,0)))").alias("score"))
-    best = exact.groupBy("lang", "phrase").agg(F.min("a").alias("a"), F.min(F.struct("score", "cut", "l", "r")).alias("m"))
+    frequent = counted.where((F.col("n") >= support) & (F.col("k") > 0))
+    candidates = frequent.where("k > 1").select("lang", "phrase", "k", F.col("n").alias("a"))
     inner = F.expr("flatten(transform(sequence(2, k - 1), s -> transform(sequence(1, k - s + 1), i -> array_join(slice(w, i, s), ' '))))")
-    longer = candidates.where("k > 2").select("lang", "a", F.explode(inner).alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
-    kept = best.join(longer, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * _exact("longer") < cover * _exact("a")))
-    words = counted.where("k = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    return kept.join(words, "lang").select("lang", "phrase", "a", "m.l", "m.r", "n", "m.score")
+    longer = candidates.where("k > 2").withColumn("w", F.split("phrase", " ")).select("lang", "a", F.explode(inner).alias("phrase")).groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
+    bare = candidates.join(longer, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (100 * _exact("longer") < cover * _exact("a")))
+    # a cut is carried as its two parts, which make the phrase
+    cuts = bare.withColumn("w", F.split("phrase", " ")).select("lang", "k", "a", "w", F.explode(F.expr("sequence(1, k - 1)")).alias("cut"))
+    cuts = cuts.select("lang", "a", "cut", F.expr("array_join(slice(w, 1, cut), ' ')").alias("head"), F.expr("array_join(slice(w, cut + 1, k - cut), ' ')").alias("tail"))
+    salts = F.when(F.col("k") == 1, F.sequence(F.lit(0), F.lit(_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    known = frequent.where(f"k < {longest}").select("lang", F.col("phrase").alias("part"), F.explode(salts).alias("salt"), "n")
+    for part, other, count in (("head", "tail", "l"), ("tail", "head", "r")):
+        cuts = cuts.withColumn("salt", _salt(part, other)).join(known.select("lang", F.col("part").alias(part), "salt", F.col("n").alias(count)), ["lang", part, "salt"]).drop("salt")
+    exact = cuts.select("lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "a", "cut", "l", "r", F.expr(f"(cast(a as decimal(19,0)) * {scale}) div (cast(l as decimal(19,0)) + cast(r as decimal(19,0)))").alias("score"))
+    kept = exact.groupBy("lang", "phrase").agg(F.min("a").alias("a"), F.min(F.struct("score", "cut", "l", "r")).alias("m"))
+    return kept.join(counted.where("k = 0").select("lang", "n"), "lang").select("lang", "phrase", "a", "m.l", "m.r", "n", "m.score")
 
 
 def top(scored: DataFrame, *, most: int = TOP) -> DataFrame:

@@ -70,7 +70,7 @@ def test_phrase_edges(spark):
 
 def test_scores_past_64_bits(spark):
     big = 2**60 + 1
-    counted = spark.createDataFrame([("x", "a", 1, big), ("x", "b", 1, big), ("x", "a b", 2, big - 1)], "lang string, phrase string, k int, n long")
+    counted = spark.createDataFrame([("x", "", 0, 2 * big), ("x", "a", 1, big), ("x", "b", 1, big), ("x", "a b", 2, big - 1)], "lang string, phrase string, k int, n long")
     row = collocations.score(counted).first()
     assert (row.a, row.l, row.r, row.n, row.score) == (big - 1, big, big, 2 * big, 2_000_000 * (big - 1) // (2 * big))
 
