@@ -219,16 +219,30 @@ def _home(word: np.ndarray, second: np.ndarray | None, buckets: int) -> np.ndarr
 
 
 def _stream(rows: pa.Table) -> bytes:
-    """Sorted rows, so that phrases with one beginning stand together, compressed."""
+    """Sorted rows, so that phrases with one beginning stand together, compressed: lengths apart from the phrases' bytes."""
+    text, off = tk.utf8(rows.column("phrase"))
+    packed = pa.Codec("zstd", compression_level=7).compress(text.tobytes(), asbytes=True)
+    own = rows.drop_columns(["phrase"]).append_column("size", pa.array(np.diff(off), pa.int32())).combine_chunks()
+    own = own.replace_schema_metadata({"bytes": str(len(text))})
     out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, _COUNTED, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=7))) as writer:
-        writer.write_table(rows.combine_chunks())
-    return out.getvalue().to_pybytes()
+    with pa.ipc.new_stream(out, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(own)
+    head = out.getvalue().to_pybytes()
+    return len(head).to_bytes(4, "little") + head + packed
+
+
+def _unstream(payload: bytes) -> pa.Table:
+    head = 4 + int.from_bytes(payload[:4], "little")
+    own = pa.ipc.open_stream(payload[4:head]).read_all()
+    text = pa.decompress(payload[head:], int(own.schema.metadata[b"bytes"]), "zstd")
+    off = np.concatenate(([0], np.cumsum(own.column("size").to_numpy()))).astype(np.int32)
+    phrase = pa.Array.from_buffers(pa.string(), own.num_rows, [None, pa.py_buffer(off), text])
+    return pa.table([own.column("lang"), own.column("k"), own.column("n"), phrase], schema=_COUNTED)
 
 
 def _add(table: pa.Table) -> pa.Table:
     """A bucket's counts, summed up over the shards."""
-    rows = pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in table.column("payload").to_pylist()])
+    rows = pa.concat_tables([_unstream(p) for p in table.column("payload").to_pylist()])
     out = rows.group_by(["lang", "phrase", "k"]).aggregate([("n", "sum")])
     return pa.table([out.column("lang"), out.column("phrase"), out.column("k").cast(pa.int32()), out.column("n_sum")], names=["lang", "phrase", "k", "n"])
 
