@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,16 +17,23 @@ def settle(rows: DataFrame, **made: Column) -> DataFrame:
     return rows.select(*[x for x in rows.columns if x not in made], F.inline(F.array(F.struct(*[v.alias(k) for k, v in made.items()]))))
 
 
+def beside(rows: DataFrame, **made: Column) -> DataFrame:
+    """rows with more columns, as a plain projection, which copies no row. The optimizer may merge it with the next one; that is
+    the faster form where columns get new names and nothing filters by them (measured: repairs 30 to 22 s; conforming in place
+    took 17 s instead of 8 this way)."""
+    return rows.select(*[x for x in rows.columns if x not in made], *[v.alias(k) for k, v in made.items()])
+
+
 #: Columns in the order in which they are made; a step's columns may read those of the steps before.
 Steps = list[dict[str, Column]]
 
 
-def in_steps(rows: DataFrame, *chains: Steps) -> DataFrame:
+def in_steps(rows: DataFrame, *chains: Steps, add: Callable[..., DataFrame] = settle) -> DataFrame:
     """rows with the columns of several chains, whose first steps are made together, then their second ones, and so on. Every
     intermediate text is evaluated once a row and used by name; new names that start with one underscore are dropped."""
     keep = rows.columns
     for k in range(max(map(len, chains))):
-        rows = settle(rows, **{name: made for chain in chains if k < len(chain) for name, made in chain[k].items()})
+        rows = add(rows, **{name: made for chain in chains if k < len(chain) for name, made in chain[k].items()})
     return rows.select(*[x for x in rows.columns if x in keep or x[:1] != "_" or x[:2] == "__"])
 
 

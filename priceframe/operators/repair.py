@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from priceframe.functions import conform as c
 from priceframe.functions import tables as t
-from priceframe.operators.conform import gpu_steps, group_steps, in_steps, memory_steps, provider_steps, region_steps, settle
+from priceframe.operators.conform import beside, gpu_steps, group_steps, in_steps, memory_steps, provider_steps, region_steps
 from priceframe.operators.quality import keep_existing, of
 from priceframe.schema import COLUMNS
 
@@ -17,10 +17,10 @@ col = F.col
 
 
 def _rewrite(rows: DataFrame, new: dict[str, Column], flag: str) -> DataFrame:
-    """rows with new values for all the columns at once, and in flag whether any differs from the old one (see settle).
+    """rows with new values for all the columns at once, and in flag whether any differs from the old one (see beside).
     Columns of rows that start with two underscores are helpers and go."""
     made = {k: f"__new_{k}" for k in new}
-    out = settle(rows, **{made[k]: c.text(v) for k, v in new.items()})
+    out = beside(rows, **{made[k]: c.text(v) for k, v in new.items()})
     before = F.coalesce(col(flag), F.lit(False)) if flag in rows.columns else F.lit(False)
     differs = reduce(lambda a, b: a | b, [col(made[k]) != c.text(col(k)) for k in new], before)
     return out.select(*[col(made[x]).alias(x) if x in made else col(x) for x in rows.columns if x != flag and not x.startswith("__")], differs.alias(flag))
@@ -28,7 +28,7 @@ def _rewrite(rows: DataFrame, new: dict[str, Column], flag: str) -> DataFrame:
 
 def _tail(rows: DataFrame, *keys: str) -> DataFrame:
     """rows with values of the JSON tail, read once, as __key."""
-    return settle(rows, **{f"__{k}": c.json_get(col("raw_extra"), k) for k in keys})
+    return beside(rows, **{f"__{k}": c.json_get(col("raw_extra"), k) for k in keys})
 
 
 def shifted_tail(rows: DataFrame, flag: str = "shifted") -> DataFrame:
@@ -43,9 +43,9 @@ def shifted_tail(rows: DataFrame, flag: str = "shifted") -> DataFrame:
 
 def normalise(rows: DataFrame, flag: str = "changed") -> DataFrame:
     """Provider, GPU name, memory, region and geographic group by the conforming rules."""
-    out = in_steps(rows, provider_steps("provider", "__provider"), gpu_steps("gpu_name", "__gpu"))
-    out = in_steps(out, memory_steps("gpu_memory_gb", "__gpu", "__memory"), region_steps("region", "__provider", "__region"))
-    out = in_steps(out, group_steps("__region", "__group"))
+    out = in_steps(rows, provider_steps("provider", "__provider"), gpu_steps("gpu_name", "__gpu"), add=beside)
+    out = in_steps(out, memory_steps("gpu_memory_gb", "__gpu", "__memory"), region_steps("region", "__provider", "__region"), add=beside)
+    out = in_steps(out, group_steps("__region", "__group"), add=beside)
     new = {"provider": col("__provider"), "gpu_name": col("__gpu"), "gpu_memory_gb": col("__memory"), "region": col("__region"), "geo_group": col("__group")}
     return _rewrite(out, new, flag)
 
@@ -61,7 +61,7 @@ def reserved_markers(rows: DataFrame, flag: str = "changed") -> DataFrame:
         .when(status.isin("UnusedCapacityReservation", "AllocatedCapacityReservation"), "capacity_reservation")
         .when((price > 0) & (price < floor), "capacity_block")
     )
-    rows = settle(rows, __kind=F.when(of("aws") & (F.lower(c.text(col("pricing_type"))) == "on_demand"), kind))
+    rows = beside(rows, __kind=F.when(of("aws") & (F.lower(c.text(col("pricing_type"))) == "on_demand"), kind))
     kind = col("__kind")
     fill = lambda own: F.coalesce(c.blank_to_null(own), kind)
     put = c.json_put(col("raw_extra"), {"purchase_option": fill(purchase), "billing_model": fill(billing)})
@@ -80,7 +80,7 @@ def upfront(rows: DataFrame, flag: str = "changed") -> DataFrame:
     odd = mine & (c.text(col("pricing_type")) == "on_demand") & (each > 500)
     own = lambda k: c.text(col(k))
     or_ = lambda k, other: F.coalesce(c.blank_to_null(own(k)), other)
-    rows = settle(rows, __mine=mine, __odd=odd, __price=c.parse_float(col("price_per_hour")), __count=c.parse_float(specs["gpu_count"]),
+    rows = beside(rows, __mine=mine, __odd=odd, __price=c.parse_float(col("price_per_hour")), __count=c.parse_float(specs["gpu_count"]),
                   __up=F.when(odd, or_("upfront_price", own("price_per_hour"))).otherwise(own("upfront_price")))
     mine, odd, price, count, up = (col(x) for x in ("__mine", "__odd", "__price", "__count", "__up"))
     up_each = F.when(odd, or_("upfront_price_per_gpu", own("price_per_gpu_hour"))).otherwise(own("upfront_price_per_gpu"))
@@ -103,7 +103,7 @@ def daily_as_hourly(rows: DataFrame, flag: str = "changed") -> DataFrame:
     """Hourly prices that were divided by 24 although the source's price was hourly already."""
     rows = _tail(rows, "daily_usd", "source_price_usd", "source_price_unit")
     old = c.parse_float(col("__daily_usd"))
-    rows = settle(
+    rows = beside(
         rows, __mine=of("cloreai"), __legacy=old, __price=c.parse_float(col("price_per_hour")), __each=c.parse_float(col("price_per_gpu_hour")), __own=c.parse_float(col("gpu_count")),
         __source=F.when(old > 0, old).otherwise(c.parse_float(col("__source_price_usd"))), __unit=F.when(old > 0, "hour").otherwise(F.lower(col("__source_price_unit"))),
     )

@@ -36,6 +36,11 @@ def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conformed(spark, sf_dir).where(quality.save_filter())
 
 
+def stored_once(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The stored offers, written once for plans that read them several times."""
+    return written(stored(spark, sf_dir).select(*(columns or ("row_seq", *COLUMNS))), "stored")
+
+
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.split_kind(stored(spark, sf_dir))[0]
 
@@ -149,7 +154,7 @@ def repair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(spark, sf_dir).select(*COLUMNS)
+    rows = stored_once(spark, sf_dir, *COLUMNS)
     return dedup.dedup_exact(rows.unionByName(rows))
 
 
@@ -165,7 +170,7 @@ def retention_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def prune_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(spark, sf_dir).select(*COLUMNS)
+    rows = stored_once(spark, sf_dir, *COLUMNS)
     return dedup.prune_metrics(rows.unionByName(rows), CUTOFF)
 
 
@@ -182,13 +187,13 @@ def archive_month_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(spark, sf_dir)
+    rows = stored_once(spark, sf_dir)
     return dedup.merge_archives(rows.where("source < 'c'"), rows.where("source >= 'b'").select("snapshot_date", "source", "provider", "price_per_hour"))
 
 
 @query
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(spark, sf_dir)
+    rows = stored_once(spark, sf_dir, *COLUMNS)
     parts = {name: rows.where(col("source") == name).drop("source") for name in SOURCES}
     return dedup.union_sources({**parts, "_master": rows.drop("source")}).groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"))
 
@@ -201,7 +206,7 @@ def dedup_keyed_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rank_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.rank_sources(stored(spark, sf_dir).select("row_seq", *resolve.NEEDED)).select("provider", "source", col("ord.rank").alias("rank")).distinct()
+    return resolve.rank_sources(stored(spark, sf_dir).select("row_seq", *resolve.NEEDED)).select("provider", "source", "rank").distinct()
 
 
 @query
@@ -286,20 +291,20 @@ def rollup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_dates_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(spark, sf_dir)
+    rows = stored_once(spark, sf_dir, "row_seq", "snapshot_date", "source", "gpu_name")
     return dedup.scan_dates(rows, rows.where("source = 'aws' and gpu_name = 'H100'")).select("row_seq")
 
 
 @query
 def replace_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(spark, sf_dir).select("row_seq", "snapshot_date")
+    rows = stored_once(spark, sf_dir, "row_seq", "snapshot_date")
     slice_ = rows.where("snapshot_date like '1996-0%'")
     return dedup.replace_dates(rows.withColumn("mark", F.lit("old")), slice_.withColumn("mark", F.lit("new")), slice_, CUTOFF).select("row_seq", "mark")
 
 
 @query
 def affected_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored(spark, sf_dir)
+    rows = stored_once(spark, sf_dir)
     return dedup.affected_dates(rows.where("source != 'akash'"), rows.where("source = 'akash'"), CUTOFF)
 
 
