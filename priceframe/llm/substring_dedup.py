@@ -25,8 +25,8 @@ from pyspark.sql.types import StructType
 from . import anchors
 from . import textkit as tk
 
-#: A window's polynomial and digest.
-_PAIR = np.dtype([("one", "<u8"), ("two", "<u8")])
+#: Two hashes of a window.
+PAIR = np.dtype([("one", "<u8"), ("two", "<u8")])
 
 
 class _Words:
@@ -92,10 +92,10 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, chunk
         words = _Words(table.column(text_col))
         flags = np.zeros(len(words.values), bool)
         if answers.num_rows and table.num_rows:
-            hot = np.sort(np.concatenate([np.frombuffer(p, _PAIR) for p in answers.column("payload").to_pylist()]))
+            hot = np.sort(np.concatenate([np.frombuffer(p, PAIR) for p in answers.column("payload").to_pylist()]))
             at, hashes = tk.rolling(words.values, words.ptr, window, 1)
             maybe = anchors._member(hashes, hot["one"])
-            own = np.empty(int(maybe.sum()), _PAIR)
+            own = np.empty(int(maybe.sum()), PAIR)
             own["one"], own["two"] = hashes[maybe], words.digests(at[maybe], window)
             flags = tk.covered(at[maybe][np.isin(own, hot)], window, len(flags))
         return finish(table, words, flags)
@@ -133,7 +133,7 @@ def _repeated_windows(table: pa.Table) -> pa.Table:
     kept = kept[np.argsort(of[kept], kind="stable")]
     bounds = np.searchsorted(of[kept], np.arange(len(parts) + 1))
     chunks, bucket = table.column("chunk").to_pylist(), table.column("bucket")[0].as_py()
-    pairs = np.empty(len(kept), _PAIR)
+    pairs = np.empty(len(kept), PAIR)
     pairs["one"], pairs["two"] = one[kept], two[kept]
     out = [(c, pairs[bounds[k] : bounds[k + 1]].tobytes()) for k, c in enumerate(chunks) if bounds[k] < bounds[k + 1]]
     return pa.table([pa.array([c for c, _ in out], pa.int32()), pa.array([bucket] * len(out), pa.int32()), pa.array([p for _, p in out], pa.binary())], schema=anchors._ANSWER)

@@ -14,7 +14,7 @@ cannot be built in bounded tasks, so the corpus is first cut along its content:
    statistics are streamed from these samples: within a run a match is one shorter than that of the position before it, so only
    sampled positions are measured. Windows whose match is ``window`` or longer,
    and those of segments that come from several places, are repeats.
-4. The windows of hot anchors, each distinct one once from a chunk, are counted by hashes of 96 bits that also choose the
+4. The windows of hot anchors, each distinct one once from a chunk, are counted by two 64-bit hashes, the first of which chooses the
    bucket, so that no bucket depends on an anchor.
 5. Chunks get the marked ranges by the segments' digests (64 bits beside the bucket) and the hot windows' hashes, and remove
    their bytes.
@@ -36,7 +36,7 @@ from pyspark.sql.types import StructType
 
 from . import anchors
 from . import textkit as tk
-from .substring_dedup import _repeated_windows, _windows_table
+from .substring_dedup import PAIR, _repeated_windows, _windows_table
 
 _PLACE_BITS = 30
 #: Bytes of segments in one index.
@@ -317,7 +317,7 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram:
         """Segments of the other anchors to the anchors' buckets; windows of the hot ones to the windows' buckets, below zero."""
         chunk = anchors.chunk_of(table, answers, name)
         found: dict[int, dict] = {}
-        one, two = [np.empty(0, tk.U64)], [np.empty(0, np.uint32)]
+        one, two = [np.empty(0, tk.U64)], [np.empty(0, tk.U64)]
         if answers.num_rows and table.num_rows:
             often = answers.filter(pa.compute.greater_equal(answers.column("bucket"), 0))
             many = np.sort(_numbers(answers.filter(pa.compute.less(answers.column("bucket"), 0))))
@@ -328,7 +328,7 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram:
                     starts = np.concatenate([np.arange(a, b) for a, b in zip(s.first[is_hot].tolist(), (s.end[is_hot] - window + 1).tolist(), strict=True)])
                     sums = tk.byte_sums(buf)
                     one.append(tk.range_hash(sums, starts, starts + window, 21))
-                    two.append(tk.range_hash(tk.prefix_sums(tk.mix(buf.astype(tk.U64), 22)), starts, starts + window, 23).astype(np.uint32))
+                    two.append(tk.range_hash(tk.byte_sums(buf, other=True), starts, starts + window, 23))
                 for k in np.flatnonzero(~is_hot & anchors.repeated(s.anchor, often, buckets)).tolist():
                     anchor, digest = int(s.anchor[k]), int(s.digest[k])
                     own = found.setdefault(anchor % buckets, {})
@@ -346,7 +346,7 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram:
         if answers.num_rows and table.num_rows:
             marked = _numbers(answers.filter(pa.compute.greater_equal(answers.column("bucket"), 0))).reshape(-1, 3)
             marked = marked[np.argsort(marked[:, 0], kind="stable")]
-            windows = np.sort(_numbers(answers.filter(pa.compute.less(answers.column("bucket"), 0))))
+            windows = np.sort(np.concatenate([np.empty(0, PAIR), *(np.frombuffer(p, PAIR) for p in answers.filter(pa.compute.less(answers.column("bucket"), 0)).column("payload").to_pylist())]))
             for own, bounds, at, s in _slices(table.column(text_col), window, gram):
                 low, high = np.searchsorted(marked[:, 0], s.digest, "left"), np.searchsorted(marked[:, 0], s.digest, "right")
                 change = np.zeros(len(own) + 1, np.int32)
@@ -358,7 +358,11 @@ def _mark(docs: DataFrame, id_cols: list[str], text_col: str, window: int, gram:
                 np.add.at(change, first + marked[rows, 2].astype(np.int64) + window - 1, -1)
                 if len(windows) and len(own) >= window:
                     starts = np.concatenate([np.arange(a, b - window + 1) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
-                    starts = starts[anchors._member(tk.range_hash(tk.byte_sums(own), starts, starts + window, 21), windows)]
+                    hashes = tk.range_hash(tk.byte_sums(own), starts, starts + window, 21)
+                    maybe = anchors._member(hashes, windows["one"])
+                    starts, pairs = starts[maybe], np.empty(int(maybe.sum()), PAIR)
+                    pairs["one"], pairs["two"] = hashes[maybe], tk.range_hash(tk.byte_sums(own, other=True), starts, starts + window, 23)
+                    starts = starts[np.isin(pairs, windows)]
                     np.add.at(change, starts, 1)
                     np.add.at(change, starts + window, -1)
                 flags[at : at + len(own)] = np.cumsum(change[:-1]) > 0
