@@ -18,7 +18,7 @@ def documents(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings", "pages"):
+    for t in ("documents", "benchmark", "embeddings", "pages", "labels"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     sql = con.execute(queries.ORACLE_SQL[name])
