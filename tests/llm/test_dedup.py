@@ -186,3 +186,41 @@ def test_structured_words_are_told_apart(spark, n):
 
 def test_repeats_in_several_chunks_and_buckets(spark, docs, rows):
     same(substring_dedup.digest(docs, chunk_bytes=3000), brute.substring_words([(r[0], r[1]) for r in rows]))
+
+
+def test_suffix_segments_are_found_once_and_only_hot_windows_compared(spark):
+    """Segments go with their documents: they hold every window once, and hot anchors give their own windows and no other."""
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(11)
+    texts = ["".join(draw.choice("abé ") for _ in range(draw.choice([0, 5, 39, 40, 41, 300]))) for _ in range(60)] + [None]
+    packed = suffix_dedup._segments_of(pa.array(texts), 40, 8)
+    table = pa.table({"text": pa.array(texts), "s": packed})
+    data = [(t or "").encode() for t in texts]
+    off = np.cumsum([0, *map(len, data)])
+    chunk = suffix_dedup._Chunk(table, "s", 40, off)
+    windows = [at + i for at, d in zip(off.tolist(), data) for i in range(len(d) - 39)]
+    assert [i for a, b in zip(chunk.first.tolist(), chunk.end.tolist()) for i in range(a, b - 39)] == windows
+    many = np.unique(chunk.anchor)[::3]
+    own = [i for x, a, b in zip(chunk.anchor, chunk.first.tolist(), chunk.end.tolist()) if x in many for i in range(a, b - 39)]
+    buf = np.frombuffer(b"".join(data), np.uint8)
+    assert [int(i) + at for _, at, starts in chunk.hot_windows(buf, off, many, 40) for i in starts] == own and 0 < len(own) < len(windows)
+    plan = suffix_dedup.digest(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow bring" in plan
+
+
+def test_suffix_planted_passages_go_by_bytes_not_words(spark):
+    """Passages of over 50 words in two documents each: all of 400 bytes and more are removed, shorter ones are left."""
+    draw = random.Random(4)
+    make = lambda n, size: " ".join("".join(draw.choice("abcdefghijklmnop") for _ in range(draw.choice(size))) for _ in range(n))
+    rows, planted = [], {}
+    for k in range(60):
+        passage = make(draw.randint(51, 70), (4, 6) if k % 2 else (7, 9))
+        planted[2 * k] = planted[2 * k + 1] = len(passage)
+        rows += [(2 * k + j, make(draw.randint(0, 90), (4, 9)) + "|" + passage + "#" + make(draw.randint(0, 90), (4, 9)) + f"{j}") for j in (0, 1)]
+    rows += [(1000 + k, make(100, (4, 9))) for k in range(40)]
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[k] >= n if n >= 400 else (n < 390) <= (got[k] == 0) for k, n in planted.items())
+    assert not any(got[1000 + k] for k in range(40)) and {n >= 400 for n in planted.values()} == {True, False}
+    same(suffix_dedup.digest(spark.createDataFrame(rows, "doc_id long, text string")), brute.substring_bytes(rows))
