@@ -19,10 +19,13 @@ no rows; a very long text makes a shard larger, since texts are not cut; other c
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-import pyarrow.ipc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +87,16 @@ class _Shard:
             at = at[~self.last[at + n]]
         return at
 
+    def shared(self, begin: np.ndarray, size: np.ndarray, same: np.ndarray) -> np.ndarray:
+        """How many words each phrase, by its first word and size, has in common with the one before, where the flags allow it."""
+        out = np.zeros(len(begin), np.int64)
+        for j in range(int(size.max(initial=0))):
+            at = np.minimum(begin + j, len(self.values) - 1)
+            same = same & (size[1:] > j) & (size[:-1] > j)
+            same &= (self.values[at[1:]] == self.values[at[:-1]]) & (self.others[at[1:]] == self.others[at[:-1]])
+            out[1:] += same
+        return out
+
     def longer(self, named: np.ndarray, size: int, k: int) -> np.ndarray:
         """Where phrases of k words start whose parts of ``size`` words (1 or 2) all start at named words."""
         flags = np.zeros(len(self.last) + k, bool)
@@ -118,8 +131,8 @@ def _local_support(table: pa.Table, total: int, support: int) -> int:
 
 
 def _report(table: pa.Table, answers: pa.Table | None, name: str, total: int, support: int, sizes: range, buckets: int) -> pa.Table:
-    """A shard's message to each bucket: cells of its phrases of some sizes, counts above the local support in bits, and that
-    support. The answers name the candidates of the size before; they go on, past the union, under negative buckets."""
+    """A shard's message to each bucket: cells of its phrases of some sizes, counts above the local support, and that support.
+    The answers name the candidates of the size before."""
     if not table.num_rows:
         return anchors._MESSAGE.empty_table()
     chunk, least, shard = table.column(name)[0].as_py(), _local_support(table, total, support), _Shard(table)
@@ -139,28 +152,40 @@ def _report(table: pa.Table, answers: pa.Table | None, name: str, total: int, su
     messages = {b: _pack(tags[c], count[c], support, least) for b, c in zip(own, cut, strict=True)}
     if least > 1:
         messages |= {b: _pack(tags[:0], count[:0], support, least) for b in range(buckets) if b not in messages}
-    out = pa.table([pa.array(list(messages), pa.int32()), pa.array([chunk] * len(messages), pa.int32()), pa.array(list(messages.values()), pa.binary())], schema=anchors._MESSAGE)
-    if answers is None:
-        return out
-    onward = pa.array([-1 - b for b in answers.column("bucket").to_pylist()], pa.int32())
-    return pa.concat_tables([out, pa.table([onward, answers.column("chunk"), answers.column("payload")], schema=anchors._MESSAGE)])
+    return pa.table([pa.array(list(messages), pa.int32()), pa.array([chunk] * len(messages), pa.int32()), pa.array(list(messages.values()), pa.binary())], schema=anchors._MESSAGE)
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """Numbers by byte plane, compressed."""
+    raw = np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    return pa.Codec("zstd", compression_level=7).compress(raw, asbytes=True)
+
+
+def _from_planes(packed: bytes, n: int, width: int) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(packed, n * width, "zstd", asbytes=True), np.uint8)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = raw.reshape(width, n).T
+    return out.view("<u8").ravel().astype(np.int64)
+
+
+def _width(support: int) -> int:
+    return -(-support.bit_length() // 8)
 
 
 def _pack(tags: np.ndarray, count: np.ndarray, support: int, least: int) -> bytes:
-    bits = [(count >> k & 1).astype(bool) for k in range(support.bit_length())]
-    return least.to_bytes(4, "little") + anchors._pack(tags, *bits)
+    own = anchors._pack(tags)
+    return least.to_bytes(4, "little") + len(own).to_bytes(4, "little") + own + _planes(count, _width(support))
 
 
 def _union(table: pa.Table, support: int) -> pa.Table:
     """The bucket's candidates, for every shard those it may hold: what it reported, or all if it may hold some unreported."""
     width, bucket = support.bit_length(), table.column("bucket")[0].as_py()
-    if bucket < 0:
-        return pa.table([table.column("chunk"), pa.array([-1 - bucket] * table.num_rows, pa.int32()), table.column("payload")], schema=anchors._ANSWER)
     tags, counts, least = [], [], []
     for payload in table.column("payload").to_pylist():
-        own, *bits = anchors._unpack(payload[4:], width)
+        cut = 8 + int.from_bytes(payload[4:8], "little")
+        own = anchors._unpack(payload[8:cut])[0]
         tags.append(own)
-        counts.append(sum(b.astype(np.int64) << k for k, b in enumerate(bits)))
+        counts.append(_from_planes(payload[cut:], len(own), _width(support)))
         least.append(int.from_bytes(payload[:4], "little"))
     keys = (np.concatenate(tags).astype(tk.U64) << tk.U64(width)) | np.concatenate(counts).astype(tk.U64)
     keys.sort()
@@ -186,7 +211,7 @@ def _count(table: pa.Table, answers: pa.Table, name: str, longest: int, buckets:
     chunk, shard = table.column(name)[0].as_py(), _Shard(table, texts=True)
     words = np.bincount(shard.lang, minlength=len(shard.langs))
     lang, size, n, phrase = [np.flatnonzero(words).astype(np.int32)], [np.zeros(np.count_nonzero(words), np.int8)], [words[words > 0]], [pa.array([""] * np.count_nonzero(words), pa.large_string())]
-    own = [np.zeros(np.count_nonzero(words), np.int64)]
+    own, begin = [np.zeros(np.count_nonzero(words), np.int64)], [np.zeros(np.count_nonzero(words), np.int64)]
     for k in range(1, longest + 1):
         at = shard.all(k)
         h = shard.hashes(at, k)
@@ -203,12 +228,18 @@ def _count(table: pa.Table, answers: pa.Table, name: str, longest: int, buckets:
         n.append(np.diff(np.append(first, len(h))))
         phrase.append(gather(shard.clean, shard.starts[at[first]], shard.ends[at[first] + k - 1]))
         own.append(_home(shard.hashes(at[first], 1), shard.values[at[first] + 1] if k > 1 else None, buckets))
-    rows = pa.table([pa.array(shard.langs).take(pa.array(np.concatenate(lang))), pa.array(np.concatenate(size)), pa.array(np.concatenate(n)), pa.concat_arrays(phrase).cast(pa.string())], schema=_COUNTED)
-    to = np.concatenate(own)
-    order = pa.compute.sort_indices(rows.append_column("to", pa.array(to)), [(c, "ascending") for c in ("to", "lang", "k", "phrase")])
-    rows = rows.take(order)
-    buckets_here, cut = anchors.cuts(to[order.to_numpy()])
-    return pa.table([pa.array(buckets_here, pa.int32()), pa.array([chunk] * len(cut), pa.int32()), pa.array([_stream(rows.slice(c.start, c.stop - c.start)) for c in cut], pa.binary())], schema=anchors._MESSAGE)
+        begin.append(at[first])
+    to, lang, size, n, begin = (np.concatenate(x) for x in (own, lang, size, n, begin))
+    rows = pa.table([pa.array(to), pa.array(shard.langs).take(pa.array(lang)), pa.concat_arrays(phrase)], names=["to", "lang", "phrase"])
+    order = pa.compute.sort_indices(rows, [(c, "ascending") for c in ("to", "lang", "phrase")]).to_numpy()
+    to, lang, size, n, begin = (x[order] for x in (to, lang, size, n, begin))
+    share = shard.shared(begin, size, (to[1:] == to[:-1]) & (lang[1:] == lang[:-1]))
+    new = size > share  # all but the languages' numbers of words
+    text = np.zeros((2, len(size)), np.int64)
+    text[:, new] = shard.starts[(begin + share)[new]], shard.ends[(begin + size - 1)[new]] + 1
+    buckets_here, cut = anchors.cuts(to)
+    payloads = [_stream([shard.langs[x] for x in lang[c].tolist()], size[c], share[c], n[c], gather(shard.clean, *text[:, c])) for c in cut]
+    return pa.table([pa.array(buckets_here, pa.int32()), pa.array([chunk] * len(cut), pa.int32()), pa.array(payloads, pa.binary())], schema=anchors._MESSAGE)
 
 
 def _home(word: np.ndarray, second: np.ndarray | None, buckets: int) -> np.ndarray:
@@ -218,26 +249,42 @@ def _home(word: np.ndarray, second: np.ndarray | None, buckets: int) -> np.ndarr
     return ((word % tk.U64(buckets) + spread) % tk.U64(buckets)).astype(np.int64)
 
 
-def _stream(rows: pa.Table) -> bytes:
-    """Sorted rows, so that phrases with one beginning stand together, compressed: lengths apart from the phrases' bytes."""
-    text, off = tk.utf8(rows.column("phrase"))
-    packed = pa.Codec("zstd", compression_level=7).compress(text.tobytes(), asbytes=True)
-    own = rows.drop_columns(["phrase"]).append_column("size", pa.array(np.diff(off), pa.int32())).combine_chunks()
-    own = own.replace_schema_metadata({"bytes": str(len(text))})
-    out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_table(own)
-    head = out.getvalue().to_pybytes()
-    return len(head).to_bytes(4, "little") + head + packed
+def _stream(langs: list[str], size: np.ndarray, share: np.ndarray, n: np.ndarray, text: pa.Array) -> bytes:
+    """Sorted phrases, compressed: of each how many words it shares with the one before, how many more it has, its count; and
+    apart from these the words it has more, each with a space behind it."""
+    runs = [(x, len(list(own))) for x, own in groupby(langs)]
+    raw = tk.utf8(text)[0].tobytes()
+    numbers = [_planes(x, width) for x, width in ((share, 1), (size - share, 1), (n, 8))]
+    head = json.dumps([runs, len(raw), [len(x) for x in numbers]]).encode()
+    return len(head).to_bytes(4, "little") + head + b"".join(numbers) + pa.Codec("zstd", compression_level=7).compress(raw, asbytes=True)
 
 
 def _unstream(payload: bytes) -> pa.Table:
-    head = 4 + int.from_bytes(payload[:4], "little")
-    own = pa.ipc.open_stream(payload[4:head]).read_all()
-    text = pa.decompress(payload[head:], int(own.schema.metadata[b"bytes"]), "zstd")
-    off = np.concatenate(([0], np.cumsum(own.column("size").to_numpy()))).astype(np.int32)
-    phrase = pa.Array.from_buffers(pa.string(), own.num_rows, [None, pa.py_buffer(off), text])
-    return pa.table([own.column("lang"), own.column("k"), own.column("n"), phrase], schema=_COUNTED)
+    at = 4 + int.from_bytes(payload[:4], "little")
+    langs, size_of_text, sizes = json.loads(payload[4:at])
+    rows, numbers = sum(times for _, times in langs), []
+    for size, width in zip(sizes, (1, 1, 8), strict=True):
+        numbers.append(_from_planes(payload[at : at + size], rows, width))
+        at += size
+    share, more, n = numbers
+    buf = np.frombuffer(pa.decompress(payload[at:], size_of_text, "zstd", asbytes=True), np.uint8)
+    ends = np.flatnonzero(buf == 0x20)
+    starts = np.concatenate(([0], ends[:-1] + 1)).astype(np.int64)[: len(ends)]
+    k, first = share + more, np.cumsum(more) - more
+    # the j-th word of a phrase is that of the last phrase, itself included, which brought its own j-th word
+    which, row = np.full((rows, int(k.max(initial=0))), -1), np.arange(rows)
+    for j in range(which.shape[1]):
+        last = np.maximum.accumulate(np.where((share <= j) & (j < k), row, 0))
+        which[:, j] = np.where(j < k, first[last] + j - share[last], -1)
+    which = which[which >= 0]
+    # a space behind each word but a phrase's last
+    inner = np.ones(len(which), np.int64)
+    inner[(np.cumsum(k) - 1)[k > 0]] = 0
+    words = gather(buf, starts[which], ends[which] + inner)
+    off = np.frombuffer(words.buffers()[1], np.int64)[np.concatenate(([0], np.cumsum(k)))]
+    phrase = pa.Array.from_buffers(pa.string(), rows, [None, pa.py_buffer(off.astype(np.int32)), words.buffers()[2]])
+    lang = pa.array([x for x, _ in langs], pa.string()).take(pa.array(np.repeat(np.arange(len(langs)), [times for _, times in langs])))
+    return pa.table([lang, pa.array(k, pa.int8()), pa.array(n), phrase], schema=_COUNTED)
 
 
 def _add(table: pa.Table) -> pa.Table:
@@ -257,13 +304,14 @@ def counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", l
     # few buckets for few bytes, whatever the partitions: there is a message for each shard and bucket
     name, buckets = dealt.chunk, max(1, -(-total // bucket_bytes))
     shards = dealt.docs.groupBy(name)
-    union = lambda reports: reports.groupBy("bucket").applyInArrow(lambda t: _union(t, support), anchors.ANSWER).groupBy("chunk")
+    union = lambda reports: reports.groupBy("bucket").applyInArrow(lambda t: _union(t, support), anchors.ANSWER)
     report = lambda sizes: lambda t, a: _report(t, a, name, total, support, sizes, buckets)
     first = report(range(1, 2))
-    found = union(shards.applyInArrow(lambda t: first(t, None), anchors.MESSAGE))
+    found = [union(shards.applyInArrow(lambda t: first(t, None), anchors.MESSAGE))]
     for sizes in filter(len, (range(2, min(2, longest) + 1), range(3, longest + 1))):
-        found = union(shards.cogroup(found).applyInArrow(report(sizes), anchors.MESSAGE))
-    own = shards.cogroup(found).applyInArrow(lambda t, a: _count(t, a, name, longest, buckets), anchors.MESSAGE)
+        found.append(union(shards.cogroup(found[-1].groupBy("chunk")).applyInArrow(report(sizes), anchors.MESSAGE)))
+    every = reduce(DataFrame.unionByName, found)
+    own = shards.cogroup(every.groupBy("chunk")).applyInArrow(lambda t, a: _count(t, a, name, longest, buckets), anchors.MESSAGE)
     return own.groupBy("bucket").applyInArrow(_add, "lang string, phrase string, k int, n long")
 
 

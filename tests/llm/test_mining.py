@@ -183,3 +183,38 @@ def test_best_two_fit():
         bins = packing.two_fit(sizes, 50)
         assert sorted(k for b in bins for k in b) == list(range(300)) and all(sum(sizes[k] for k in b) <= 50 for b in bins)
         assert len(bins) == min(len(packing._fill(sizes, 50, s)) for s in (True, False)) <= -(-sum(sizes) // 50) * 1.1
+
+
+def test_count_messages_keep_rows_and_are_small():
+    """Odd words, languages, lone control bytes and big counts come back as sent; a phrase costs its new words and little more."""
+    draw = random.Random(8)
+    words = [chr(1), "é", "a\x0eb", "ßt", *("".join(draw.choice("abcdefgh") for _ in range(draw.randint(1, 7))) for _ in range(300))]
+    texts = [" ".join(draw.choice(words[:60] if k % 3 else words) for _ in range(40)) + (". " if k % 2 else "\t") + "x" for k in range(300)] + ["", " . ", "a " * 700]
+    langs = [("en", "und", "日本", "")[k % 4] for k in range(len(texts))]
+    shard = pa.table({"id": pa.array(range(len(texts))), "lang": langs, "text": texts, "chunk": pa.array([7] * len(texts), pa.int32())})
+    expected = Counter()
+    for text, lang in zip(texts, langs, strict=True):
+        for piece in text.translate(LOWER).split("."):
+            w = piece.replace("\t", " ").split(" ")
+            w = [x for x in w if x]
+            expected[lang, 0, ""] += len(w)
+            expected.update((lang, k, " ".join(w[i : i + k])) for k in range(1, 5) for i in range(len(w) - k + 1))
+    buckets, own = 5, collocations._Shard(shard)
+    cells = np.unique(np.concatenate([collocations._cells(own.hashes(own.all(k), k), buckets) for k in range(1, 5)]))
+    named = [(7, b, collocations.anchors._pack((cells[cells >> np.uint64(32) == b] & np.uint64(0xFFFFFFFF)).astype(np.uint32))) for b in range(buckets)]
+    answers = pa.table([pa.array(c) for c in zip(*named, strict=True)], schema=collocations.anchors._ANSWER)
+    messages = collocations._count(shard, answers, "chunk", 4, buckets).column("payload").to_pylist()
+    got = pa.concat_tables([collocations._unstream(p) for p in messages]).to_pylist()
+    assert {(r["lang"], r["k"], r["phrase"]): r["n"] for r in got} == {key: n for key, n in expected.items() if n} and len(got) == sum(n > 0 for n in expected.values())
+    assert sum(map(len, messages)) < 5 * len(got)
+    big = np.array([2**40, 0, 300])
+    assert (collocations._from_planes(collocations._planes(big, 8), 3, 8) == big).all()
+
+
+@pytest.mark.parametrize("support", [2, 30, 300])
+def test_reports_keep_cells_and_counts(support):
+    tags, count = np.array([3, 9, 2**24 - 1], np.uint32), np.array([1, support, 2])
+    one = collocations._pack(tags, count, support, 1)
+    table = pa.table([pa.array([4, 4], pa.int32()), pa.array([0, 1], pa.int32()), pa.array([one, collocations._pack(tags[:1], count[:1], support, 1)])], schema=collocations.anchors._MESSAGE)
+    answers = {r["chunk"]: collocations.anchors._unpack(r["payload"])[0].tolist() for r in collocations._union(table, support).to_pylist()}
+    assert answers == ({0: [3, 9, 2**24 - 1], 1: [3]} if support == 2 else {0: [9]})
