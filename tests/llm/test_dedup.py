@@ -70,6 +70,33 @@ def test_run_index_gives_matching_statistics():
             assert min(got[i], end - i) == longest
 
 
+def test_run_index_keeps_repeats_whose_segments_go_on_alike():
+    """Two segments end alike, and those laid behind them begin alike, for a few symbols more than are sorted by. In every order
+    of the segments no repeat may get lost."""
+    import itertools
+
+    import numpy as np
+    import pyarrow as pa
+
+    draw, window = random.Random(5), 20
+    make = lambda n: bytes(draw.choice(b"abcdefgh") for _ in range(n))
+    for _ in range(10):
+        one = make(49)
+        segments = [make(3) + one[3:], one, one[:20] + make(29)]
+        seen = lambda x: sum(s[i : i + window] == x for s in segments for i in range(30))  # noqa: B023, E731
+        expected = {k: [i for i in range(30) if seen(s[i : i + window]) > 1] for k, s in enumerate(segments)}
+        assert all(len(x) for x in expected.values())
+        for places in itertools.permutations(range(3)):
+            messages = [suffix_dedup._pack(k, {0: [(9, k, 0, segments[k])]}, 1) for k in places]
+            got = suffix_dedup._index(pa.concat_tables(messages), window)
+            marked = {k: [] for k in range(3)}
+            for chunk, payload in zip(got.column("chunk").to_pylist(), got.column("payload").to_pylist(), strict=True):
+                for digest, first, end in np.frombuffer(payload, "<u8").reshape(-1, 3).tolist():
+                    assert digest == chunk
+                    marked[chunk] += range(first, end)
+            assert marked == expected, places
+
+
 def test_near_duplicates_in_blocks(spark, monkeypatch):
     """Buckets of more than one block, with members between half similar and linked."""
     draw = random.Random(4)
