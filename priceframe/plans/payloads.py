@@ -301,15 +301,16 @@ def bulk_price_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "TermType": pick(col("l_suppkey") % 3, "Reserved", "OnDemand", "OnDemand"), "LeaseContractLength": pick(col("l_suppkey") % 3, "1yr", "", ""), "CapacityStatus": pick(col("l_suppkey") % 4, "Used", "Used", "AllocatedCapacityReservation", "Used"),
         "vCPU": col("l_linenumber").cast("string"), "Memory": F.lit("2,048 GiB"), "GPU": F.when(col("l_quantity") > 25, "2").otherwise("NA"), **{f"Note {k}": F.lit("") for k in range(136)},
     }
-    own = items(spark, sf_dir).withColumn("file", F.floor(col("l_orderkey") / 4000))
+    # Lines of one number keep the order of the table's files and rows, so the first of them is the same however the rows are dealt.
+    own = items(spark, sf_dir).select("*", col("_metadata.file_path").alias("of"), col("_metadata.row_index").alias("row")).withColumn("file", F.floor(col("l_orderkey") / 4000))
     line = lambda names: F.concat(F.lit('"'), F.concat_ws('","', *[cells[x] for x in names]), F.lit('"'))
     forth, back = list(cells), list(reversed(cells))
     even = col("file") % 2 == 0
-    lines = own.select("file", col("l_orderkey").alias("a"), (col("l_linenumber") + 6).alias("b"), F.when(even, line(forth)).otherwise(line(back)).alias("text"))
+    lines = own.select("file", col("l_orderkey").alias("a"), (col("l_linenumber") + 6).alias("b"), "of", "row", F.when(even, line(forth)).otherwise(line(back)).alias("text"))
     tops = F.array(*[F.lit(f'"FormatVersion","v{k}"') for k in range(5)], F.when(even, ",".join(forth)).otherwise(",".join(back)))
     tops = own.select("file").distinct().select("file", F.lit(-1).cast("long").alias("a"), F.posexplode(tops).alias("b", "text"))
     path = f"{checkpoint_dir(spark)}/bulk-{uuid.uuid4().hex}"
-    lines.unionByName(tops).repartition("file").sortWithinPartitions("file", "a", "b").select("file", "text").write.partitionBy("file").text(path)
+    lines.unionByName(tops, allowMissingColumns=True).repartition("file").sortWithinPartitions("file", "a", "b", "of", "row").select("file", "text").write.partitionBy("file").text(path)
     offers = adapters.collect(adapters.bulk_files(spark, path, split_bytes=1 << 20), "bulk_prices")
     money = [F.round(c.number(col(x)), k).alias(x) for x, k in (("price_per_hour", 2), ("upfront_price", 2), ("price_per_gpu_hour", 6))]
     tail = lambda key: c.json_get(col("raw_extra"), key)

@@ -2,10 +2,13 @@
 
 import random
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from priceframe.functions import tables as t
 from priceframe.operators import flatten, text
+from priceframe.plans import payloads
 from priceframe.sources.grids import grids_of
 
 
@@ -53,3 +56,14 @@ def test_search_json_at_all_depths(spark):
     assert names() == ["a", "b", "c", "six", "top"] and names(depth=0) == ["top"] and names(depth=7) == ["a", "b", "c", "seven", "six", "top"]
     plan = text.search_json(df, ["name"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan") == 1 and plan.count("Generate") == 1
+
+
+def test_bulk_price_files_take_the_first_of_equal_lines_in_table_order(spark, tmp_path):
+    """Lines of one number differ in the device count; the second file is the larger one, which Spark reads first."""
+    folder = tmp_path / "lineitem.parquet"
+    folder.mkdir()
+    for name, each, quantity in (("a", 1, 10.0), ("b", 9, 40.0)):
+        n = 40 * each
+        pq.write_table(pa.table({"l_orderkey": [k % 40 for k in range(n)], "l_partkey": [0] * n, "l_suppkey": [1] * n, "l_linenumber": pa.array([3] * n, pa.int32()), "l_quantity": [quantity] * n, "l_extendedprice": [1000.0 + k for k in range(n)]}), folder / f"{name}.parquet")
+    got = payloads.bulk_price_files(spark, str(tmp_path)).select("l_orderkey", "gpu_count").collect()
+    assert sorted((r[0], r[1]) for r in got) == [(k, "8") for k in range(40)]
