@@ -171,3 +171,15 @@ def test_plans_read_each_table_once(spark):
     assert planned_scans(queries.repair_counts(spark, SF)) == 2
     backfilled = queries.resolve_backfill(spark, SF)
     assert "lineitem" not in str(backfilled.inputFiles()) and planned_scans(backfilled) <= 8
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prune_metrics_tells_rows_apart_by_narrow_bits(spark):
+    """Texts that are equal when joined, with the joint's sign in them, are different rows; a whole row is never shuffled."""
+    rows = table(spark, *[{"source": "a", "snapshot_date": "2026-01-01", "os": x, "tenancy": y} for x, y in (("p\1q", "r"), ("p", "q\1r"), ("p", "q\1r"), ("pq", "r"))], {"source": "b", "snapshot_date": "2020-01-01"})
+    out = dedup.prune_metrics(rows.repartition(3), "2025-01-01")
+    assert sorted(map(tuple, out.collect())) == [("a", 4, 1, 0, 3), ("b", 1, 0, 1, 0)]
+    assert all("hashpartitioning(content#" in x or "hashpartitioning(source#" in x for x in plan_of(out).splitlines() if "Exchange hashpartitioning" in x)
