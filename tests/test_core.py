@@ -183,3 +183,10 @@ def test_prune_metrics_tells_rows_apart_by_narrow_bits(spark):
     out = dedup.prune_metrics(rows.repartition(3), "2025-01-01")
     assert sorted(map(tuple, out.collect())) == [("a", 4, 1, 0, 3), ("b", 1, 0, 1, 0)]
     assert all("hashpartitioning(content#" in x or "hashpartitioning(source#" in x for x in plan_of(out).splitlines() if "Exchange hashpartitioning" in x)
+
+
+def test_dedup_exact_through_buckets_needs_no_shuffle(spark):
+    rows = table(spark, *[{"source": f"s{k % 5}", "os": "" if k % 2 else "x"} for k in range(60)]).withColumn("tenancy", F.when(F.col("os") == "x", F.lit(None).cast("string")).otherwise("")).repartition(4)
+    out = dedup.dedup_exact(rows, buckets=3)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, dedup.dedup_exact(rows).collect())) and out.count() == 10
+    assert "Exchange" not in plan_of(out) and not [t for t in spark.catalog.listTables() if t.name.startswith("distinct")]
