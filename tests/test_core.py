@@ -190,3 +190,15 @@ def test_dedup_exact_through_buckets_needs_no_shuffle(spark):
     out = dedup.dedup_exact(rows, buckets=3)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, dedup.dedup_exact(rows).collect())) and out.count() == 10
     assert "Exchange" not in plan_of(out) and not [t for t in spark.catalog.listTables() if t.name.startswith("distinct")]
+
+
+def test_resolution_needs_no_shuffle_of_offers(spark):
+    """All steps group and join within buckets of date and provider, the backfill of the offers that stay included."""
+    rows = [{"snapshot_date": f"2026-01-0{k % 3 + 1}", "provider": "p" if k % 2 else "q", "source": ["aws", "skypilot", "zzz"][k % 3 if k > 9 else 2], "instance_type": f"i{k % 7}", "gpu_name": f"g{k % 4}", "zone": "z" if k % 5 else ""} for k in range(60)]
+    df = table(spark, *rows).withColumn("row_seq", F.format_string("%05d", F.monotonically_increasing_id()))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in plan_of(resolve.resolve(df))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
