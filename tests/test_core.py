@@ -202,3 +202,7 @@ def test_resolution_needs_no_shuffle_of_offers(spark):
         assert "Exchange" not in plan_of(resolve.resolve(df))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_incremental_finalize_compares_rows_in_their_buckets(spark):
+    assert "Exchange hashpartitioning" not in plan_of(queries.incremental_finalize(spark, SF))
