@@ -10,7 +10,7 @@ from priceframe.functions import conform as c
 from priceframe.operators import dedup, quality
 from priceframe.schema import COLUMNS, RAW_SCHEMA
 from priceframe.sources import bulk
-from priceframe.sources.shared import written
+from priceframe.sources.shared import bucketed, discard, written
 from priceframe.sources.store import Commit
 
 MASTER_ORDER = ["snapshot_date", "provider", "gpu_name", "region", "pricing_type", "instance_type"]
@@ -37,9 +37,12 @@ def sorted_table(offers: DataFrame, order: list[str]) -> DataFrame:
 
 
 def publish(commit: Commit, hourly: DataFrame, inference: DataFrame, dates: set[str]) -> None:
-    """Both tables of some dates as part of a commit; each input is evaluated once, from a written copy."""
+    """Both tables of some dates as part of a commit; each input is evaluated once, for a copy in buckets by date, so a date's rows are
+    sorted by one task into one file without a shuffle."""
     for table, rows, order in (("master", hourly, MASTER_ORDER), ("inference", inference, INFERENCE_ORDER)):
-        commit.replace(table, sorted_table(written(rows.select(*COLUMNS), table), order), "snapshot_date", dates)
+        copy = bucketed(rows.select(*COLUMNS), ["snapshot_date"], table)
+        commit.replace(table, copy.sortWithinPartitions(*order), "snapshot_date", dates)
+        discard(copy)
 
 
 ARCHIVE = T.StructType([*RAW_SCHEMA.fields, T.StructField("month", T.StringType())])
@@ -48,14 +51,16 @@ ARCHIVE = T.StructType([*RAW_SCHEMA.fields, T.StructField("month", T.StringType(
 def merge_archives(commit: Commit, expired: DataFrame) -> dict[str, int]:
     """Add expired rows to the archives of their months, gzip CSV, a partition for each month: only months that get rows are read
     and written again, each with its distinct rows. Gives the rows that those months have now."""
-    new = written(expired.select(*COLUMNS).withColumn("month", dedup.archive_month(F.col("snapshot_date"))), "expired")
+    new = written(expired.select(*COLUMNS).withColumn("month", dedup.archive_month(F.col("snapshot_date"))), "expired", "zstd")
     months = {r[0] for r in new.select("month").distinct().collect()}
     if not months:
         return {}
     old = commit.store.read("archive", ARCHIVE, months, commit.base, kind="csv")
-    merged = written(dedup.dedup_exact(old.unionByName(new), ARCHIVE.names), "archive")
+    merged = written(dedup.dedup_exact(old.unionByName(new), ARCHIVE.names, buckets=0), "archive", "zstd")
     commit.replace("archive", merged, "month", months, kind="csv")
-    return {r["month"]: r["n"] for r in merged.groupBy("month").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["month"]: r["n"] for r in merged.groupBy("month").agg(F.count(F.lit(1)).alias("n")).collect()}
+    discard(new, merged)
+    return counts
 
 
 def write_archives(expired: DataFrame, folder: str, mode: str = "append") -> None:

@@ -126,7 +126,7 @@ class Commit:
         if kind == "csv":
             writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("compression", "gzip").csv(folder)
         else:
-            writer.parquet(folder)
+            writer.option("compression", "zstd").parquet(folder)
         wrote = [name for name in self.store._list(f"{table}/v={self.version}") if name.startswith(f"{column}=")]
         self.drop(table, self.base.keys(table) if keys is None else keys)
         self.tables.setdefault(table, {}).update({name: self.version for name in wrote})

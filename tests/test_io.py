@@ -1,5 +1,7 @@
 """Files in and out, and the streaming run."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,3 +206,15 @@ def test_append_and_master_order(spark, tmp_path):
     parts = io.sorted_table(offers, io.MASTER_ORDER).rdd.glom().collect()
     rows = [(r.snapshot_date, r.provider) for part in parts for r in part]
     assert rows == sorted(rows)
+
+
+def test_a_batch_shuffles_no_whole_rows_and_leaves_only_the_store(spark, tmp_path):
+    """Batches of two dates and an expired one: nothing that the batch wrote for itself is left in the checkpoint folder but small tables."""
+    rows = [{**BASE, "source": s, "snapshot_date": d, "instance_type": f"i{k}"} for s in ("akash", "aws") for d in ("2026-01-01", "2026-03-30", "2024-01-01") for k in range(3)]
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = set(os.listdir(shared))
+    for number in range(2):
+        incremental.take_in(spark, rows_in(spark, *rows), number, str(tmp_path / "store"), "2025-01-01")
+    left = {x.partition("-")[0].partition("_")[0] for x in set(os.listdir(shared)) - before if any(f.endswith(".parquet") for f in os.listdir(f"{shared}/{x}"))}
+    assert not left & {"new", "every", "slice", "ranked", "placed", "kept", "master", "inference", "expired", "archive"}
+    assert len(published(spark, tmp_path / "store", "history", "snapshot_date")) == 12
