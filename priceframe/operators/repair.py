@@ -162,7 +162,9 @@ def fractional_count(rows: DataFrame, flag: str = "changed") -> DataFrame:
 
 
 def repair_all(rows: DataFrame) -> DataFrame:
-    """All repairs in their order; adds shifted, changed and keep (the quality rule on the repaired row)."""
+    """All repairs in their order; adds shifted, changed and keep (the quality rule on the repaired row). The session's limit for
+    generated methods is set to what HotSpot compiles; longer ones would be interpreted."""
+    rows.sparkSession.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     rest = [x for x in rows.columns if x not in COLUMNS]
     out = normalise(shifted_tail(rows))
     for step in (reserved_markers, upfront, daily_as_hourly, tier_marker, node_counts, fractional_count):

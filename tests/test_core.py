@@ -206,3 +206,9 @@ def test_resolution_needs_no_shuffle_of_offers(spark):
 
 def test_incremental_finalize_compares_rows_in_their_buckets(spark):
     assert "Exchange hashpartitioning" not in plan_of(queries.incremental_finalize(spark, SF))
+
+
+def test_repairs_run_in_methods_that_are_compiled(spark):
+    repair.repair_all(table(spark, {"source": "a"}))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    values(spark, lambda x: c.json_get(x, "a"), [('{"\\u0061":"x"}', "x"), ('{"a":" y "}', "y"), ('{"b":1}', ""), ("not json, a", ""), (None, "")])
